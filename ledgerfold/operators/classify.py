@@ -6,19 +6,19 @@ Plan shape (no driver collect, no IN-lists, no per-row Python):
    ``(employee, date, hash)``. The aggregate de-duplicates the snapshot
    (first wins by ordinal) and yields presence flags in one pass; partial
    aggregation collapses repeated copies before the shuffle.
-2. Per natural key ``(employee, date)``: does anything new appear, does an
-   active stored row vanish, and which vanished hash is the "last" one
-   (greatest ``(first_seen_at, hash)``). Again an aggregate with map-side
-   combine, so a hot natural key never lands whole in one task.
-3. Identities join their natural-key summary (AQE splits a skewed key) and
-   take their action from a CASE.
+2. Per natural key ``(employee, date)`` — a window over the de-duplicated
+   identities: does anything new appear, does an active stored row vanish,
+   and which vanished hash is the "last" one (greatest
+   ``(first_seen_at, hash)``). Copies are gone by then, so a window group
+   holds the distinct identities of one employee-day only.
+3. Each identity takes its action from a CASE over its flags and summary.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NATURAL_KEY = ("employee_xref", "pto_date")
@@ -76,16 +76,23 @@ def classify_identities(
     hash_col: str = HASH,
     stored_order: str = "first_seen_at",
 ) -> DataFrame:
-    """Steps 2-3: adds ``action`` (null for inactive stored rows not seen again)."""
+    """Steps 2-3: adds ``action`` (null for inactive stored rows not seen again).
+
+    The natural-key summary is a window over the *de-duplicated* identities,
+    so the snapshot is expanded and shuffled once; the window group of one
+    (employee, date) holds only its distinct identities.
+    """
     f = _flags(ident)
     has_order = "sto" in f.columns and stored_order in f.schema["sto"].dataType.fieldNames()
     tiebreak = F.struct(F.col(f"sto.{stored_order}") if has_order else F.lit(None), F.col(hash_col))
-    summary = f.groupBy(*natural_key).agg(
-        F.max(F.col("fresh").cast("int")).alias("_has_fresh"),
-        F.max(F.col("gone").cast("int")).alias("_has_gone"),
-        F.max_by(F.when(F.col("gone"), F.col(hash_col)), F.when(F.col("gone"), tiebreak)).alias("_last_gone"),
+    w = Window.partitionBy(*natural_key)
+    j = f.withColumns(
+        {
+            "_has_fresh": F.max(F.col("fresh").cast("int")).over(w),
+            "_has_gone": F.max(F.col("gone").cast("int")).over(w),
+            "_last_gone": F.max_by(F.when(F.col("gone"), F.col(hash_col)), F.when(F.col("gone"), tiebreak)).over(w),
+        }
     )
-    j = f.join(summary, list(natural_key), "inner")
     action = (
         F.when(F.col("in_cur") & F.col("st_active"), F.lit("unchanged"))
         .when(F.col("fresh") & (F.col("_has_gone") == 1), F.lit("changed"))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ledgerfold.functions import identity as idf
 from ledgerfold.functions import values as vf
-from ledgerfold.operators import classify, dedupe, expand, merge
+from ledgerfold.operators import classify, dedupe, expand, merge, roster
+from ledgerfold.sources import mapping
 from ledgerfold.plans import derive
 from ledgerfold.sources.tables import LEDGER_SCHEMA, empty
 
@@ -312,4 +313,140 @@ def hash_migrate_v1(spark, sf):
     )
 
 
+# --------------------------------------------------------------------------- #
+# S13 / P / J: roster, detail payloads, mapping                               #
+# --------------------------------------------------------------------------- #
+PREFIX = "EMP"
+AS_OF_PAST = "2023-06-01"
+AS_OF_NOW = "2026-06-01"
+AS_OF_EARLY = "2018-06-01"
+
+
+def details(spark, sf) -> DataFrame:
+    return roster.parse_details(derive.employee_details(spark, sf))
+
+
+def dept_map(spark, sf) -> DataFrame:
+    return mapping.load(derive.department_map_rows(spark, sf), strict=False)
+
+
+@query("roster_scope")
+def roster_scope(spark, sf):
+    """S24 = P1 + A2 + P2 + P3: in-prefix roster, first row per key, flattened and ordered."""
+    return roster.roster_frame(derive.roster_rows(spark, sf), PREFIX)
+
+
+@query("roster_flatten")
+def roster_flatten(spark, sf):
+    """P2 + P3 over every landed roster row (page ordinals included)."""
+    return roster.order_columns(roster.flatten(derive.roster_rows(spark, sf)))
+
+
+@query("employee_keys")
+def employee_keys(spark, sf):
+    """Roster keys as text, missing ones dropped, repeats kept."""
+    return roster.employee_keys(derive.roster_rows(spark, sf)).select("XRefCode", "page_idx", "row_idx")
+
+
+@query("status_latest")
+def status_latest(spark, sf):
+    """P5 + P6 + W2: name and latest employment status of every employee."""
+    d = F.col("detail")
+    return details(spark, sf).select(
+        "XRefCode", roster.display_name(d).alias("DisplayName"), roster.employment_status(d).alias("employment_status")
+    )
+
+
+@query("primary_department")
+def primary_department(spark, sf):
+    """Department of the primary (else first) wrapped work assignment."""
+    d = F.col("detail")
+    return details(spark, sf).select("XRefCode", roster.primary_department(d).alias("DepartmentXRefCode"))
+
+
+@query("department_as_of")
+def department_as_of(spark, sf):
+    """Department effective on two dates (covering item preferred)."""
+    d = F.col("detail")
+    return details(spark, sf).select(
+        "XRefCode",
+        roster.department_as_of(d, F.to_date(F.lit(AS_OF_PAST))).alias("dept_past"),
+        roster.department_as_of(d, F.to_date(F.lit(AS_OF_NOW))).alias("dept_now"),
+    )
+
+
+@query("department_fallback")
+def department_fallback(spark, sf):
+    """P8 + P10-P12: nothing covers the date → primary or latest start; path fallbacks."""
+    d = F.col("detail")
+    return details(spark, sf).select(
+        "XRefCode", roster.department_as_of(d, F.to_date(F.lit(AS_OF_EARLY))).alias("department_xref")
+    )
+
+
+@query("map_validate")
+def map_validate(spark, sf):
+    """Validation report of the mapping rows."""
+    return mapping.validation(derive.department_map_rows(spark, sf))
+
+
+@query("department_map")
+def department_map(spark, sf):
+    """S13 + H16 + P22: the effective map (later duplicate wins, invalid entries left out)."""
+    return dept_map(spark, sf)
+
+
+@query("department_lookup")
+def department_lookup(spark, sf):
+    """Every employee's current department resolved to project/task (null when unmapped)."""
+    d = details(spark, sf).select(
+        "XRefCode", roster.department_as_of(F.col("detail"), F.to_date(F.lit(AS_OF_NOW))).alias("department_xref")
+    )
+    return mapping.resolve(d, "department_xref", dept_map(spark, sf))
+
+
+@query("employee_rows")
+def employee_rows(spark, sf):
+    """J2 + P23: in-scope roster keys → name, department, project, task, status; unmapped dropped."""
+    keys = roster.roster_frame(derive.roster_rows(spark, sf), PREFIX)
+    return roster.employee_rows(keys, details(spark, sf), dept_map(spark, sf))
+
+
+@query("inactive_status_counts")
+def inactive_status_counts(spark, sf):
+    """P20 + A6: employees per non-ACTIVE status (null group kept)."""
+    keys = roster.roster_frame(derive.roster_rows(spark, sf), PREFIX)
+    return roster.inactive_status_counts(roster.employee_rows(keys, details(spark, sf), dept_map(spark, sf)))
+
+
+def _asof_roster(spark, sf, subset=None):
+    keys = roster.employee_keys(derive.roster_rows(spark, sf))
+    return roster.in_scope_roster(keys, details(spark, sf), dept_map(spark, sf), F.to_date(F.lit(AS_OF_NOW)), subset=subset)
+
+
+@query("scope_counts")
+def scope_counts(spark, sf):
+    """A5: kept / unmapped / unresolved over the whole roster."""
+    return roster.scope_counts(_asof_roster(spark, sf))
+
+
+@query("roster_subset")
+def roster_subset(spark, sf):
+    """J5 + J4 + A3: the as-of roster restricted to a key list (BUILDING segment customers)."""
+    c = derive.table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    sub = roster.employee_keys(derive.roster_rows(spark, sf)).join(
+        c.select(F.col("c_custkey").alias("_ck")),
+        F.regexp_extract(F.col("XRefCode"), r"(\d+)", 1).cast("bigint") == F.col("_ck"),
+        "left_semi",
+    )
+    return _asof_roster(spark, sf, subset=sub)
+
+
+@query("job_roster_asof")
+def job_roster_asof(spark, sf):
+    """C4: in-scope employees with their effective department and project/task."""
+    r = _asof_roster(spark, sf)
+    return r.filter(F.col("outcome") == "kept").drop("outcome")
+
+
 __all__ = ["QUERIES", "NOW1", "NOW2", "NOW3", "query", "vf"]

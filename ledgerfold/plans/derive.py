@@ -98,3 +98,189 @@ def tagged_requests(spark: SparkSession, sf_dir: str, cycle: int = 1, statuses=(
         "ReasonName",
         "PayAdjShortName",
     )
+
+
+# --------------------------------------------------------------------------- #
+# Roster, employee detail, department map, landed pages                       #
+# --------------------------------------------------------------------------- #
+def roster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Employee list rows (F1) from ``customer``, with page/row ordinals.
+
+    Keys vary in case and padding, some are missing or outside the prefix,
+    and customers ≡ 0 (mod 13) appear again on a later page (repeated key).
+    """
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    key = (
+        F.when(k % 11 == 0, F.lit(None).cast("string"))
+        .when(k % 9 == 0, F.concat(F.lit(" x-"), k.cast("string")))
+        .when(k % 2 == 0, F.concat(F.lit("emp-"), k.cast("string"), F.lit(" ")))
+        .otherwise(F.concat(F.lit("EMP-"), k.cast("string")))
+    )
+    base = c.select(
+        (k / 50).cast("bigint").alias("page_idx"),
+        (k % 50).cast("int").alias("row_idx"),
+        key.alias("XRefCode"),
+        F.col("c_name").alias("FirstName"),
+        F.col("c_mktsegment").alias("LastName"),
+        F.struct(
+            F.concat(F.lit("ORG-"), F.col("c_nationkey").cast("string")).alias("XRefCode"),
+            F.col("c_mktsegment").alias("ShortName"),
+        ).alias("HomeOrganization"),
+    )
+    dup = c.filter(k % 13 == 0).select(
+        ((k / 50).cast("bigint") + 1000).alias("page_idx"),
+        (k % 50).cast("int").alias("row_idx"),
+        key.alias("XRefCode"),
+        F.lower("c_name").alias("FirstName"),
+        F.col("c_mktsegment").alias("LastName"),
+        F.struct(
+            F.concat(F.lit("ORG-"), F.col("c_nationkey").cast("string")).alias("XRefCode"),
+            F.col("c_mktsegment").alias("ShortName"),
+        ).alias("HomeOrganization"),
+    )
+    return base.unionByName(dup)
+
+
+def dept_code(n: Column) -> Column:
+    return F.concat(F.lit("dept_"), n.cast("string"))
+
+
+def employee_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Employee detail payloads (F2) as landed JSON text, one per customer.
+
+    ``WorkAssignments`` comes wrapped (``{"Items": [...]}``) for even keys and
+    bare (``[...]``) for odd ones, absent for keys ≡ 5 (mod 10). Columns:
+    ``XRefCode`` (as requested) and ``payload`` (JSON text).
+    """
+    c = table(spark, sf_dir, "customer")
+    k, nk = F.col("c_custkey"), F.col("c_nationkey")
+    nk2 = (nk + 7) % 25
+    wa0 = F.struct(
+        (k % 3 == 0).alias("IsPrimary"),
+        F.lit("2019-01-01").alias("EffectiveStart"),
+        F.lit("2024-12-31").alias("EffectiveEnd"),
+        F.when(k % 4 != 1, F.struct(dept_code(nk).alias("XRefCode"))).alias("Department"),
+        F.struct(F.struct(F.concat(F.lit("Dept_"), ((nk + 3) % 25).cast("string")).alias("XRefCode")).alias("Department")).alias(
+            "Position"
+        ),
+    )
+    wa1 = F.struct(
+        (k % 3 == 1).alias("IsPrimaryWork"),
+        F.lit("2025-01-01").alias("EffectiveStartDate"),
+        dept_code(nk2).alias("DepartmentXRefCode"),
+        F.struct(F.struct(F.concat(F.lit("Dept_"), ((nk2 + 3) % 25).cast("string")).alias("XRefCode")).alias("Department")).alias(
+            "Position"
+        ),
+    )
+    es0 = F.struct(
+        F.lit("2020-01-01").alias("EffectiveStart"),
+        F.struct(F.lit("ACTIVE").alias("XRefCode")).alias("EmploymentStatus"),
+        F.when(k % 20 != 15, F.concat(F.lit("OU_"), nk.cast("string"))).alias("OrgUnitXRefCode"),
+    )
+    es1 = F.struct(
+        F.when(k % 4 == 0, "2021-06-01").when(k % 4 == 1, "2019-06-01").otherwise("2020-01-01").alias("EffectiveStart"),
+        F.struct(
+            F.when(F.col("c_acctbal") < 0, "TERMINATED").otherwise("INACTIVE").alias("XRefCode")
+        ).alias("EmploymentStatus"),
+    )
+    items = F.concat(F.lit("["), F.to_json(wa0), F.lit(","), F.to_json(wa1), F.lit("]"))
+    wa = F.when(k % 10 == 5, F.lit(None)).when(k % 2 == 0, F.concat(F.lit('{"Items":'), items, F.lit("}"))).otherwise(items)
+    es = F.concat(F.lit('{"Items":['), F.to_json(es0), F.lit(","), F.to_json(es1), F.lit("]}"))
+    head = F.to_json(
+        F.struct(
+            F.concat(F.lit("emp-"), k.cast("string")).alias("XRefCode"),
+            F.col("c_name").alias("DisplayName"),
+            F.when(k % 7 == 0, F.upper(dept_code(nk))).alias("DepartmentXRefCode"),
+            F.struct(F.concat(F.lit("HO_"), nk.cast("string")).alias("XRefCode")).alias("HomeOrganization"),
+        )
+    )
+    body = F.concat(
+        F.expr("substring(_head, 1, length(_head) - 1)"),
+        F.when(wa.isNotNull(), F.concat(F.lit(',"WorkAssignments":'), wa)).otherwise(F.lit("")),
+        F.lit(',"EmploymentStatuses":'),
+        es,
+        F.lit("}"),
+    )
+    return (
+        c.select(k, nk, F.col("c_acctbal"), F.col("c_name"), head.alias("_head"))
+        .select(F.concat(F.lit("emp-"), k.cast("string")).alias("XRefCode"), body.alias("payload"))
+    )
+
+
+def department_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mapping rows (F8): nations outside region 4, then one override per region.
+
+    Keys vary in case/padding; region rows come later (greater ordinal) and
+    collide with the key of nation ``5 * r`` after normalisation; region 3
+    lacks its task id (an invalid entry).
+    """
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    nk = F.col("n_nationkey")
+    key = (
+        F.when(nk % 3 == 0, F.concat(F.lit(" dept_"), nk.cast("string"), F.lit(" ")))
+        .when(nk % 3 == 1, F.concat(F.lit("DEPT_"), nk.cast("string")))
+        .otherwise(F.concat(F.lit("Dept_"), nk.cast("string")))
+    )
+    nations = n.filter(F.col("n_regionkey") != 4).select(
+        key.alias("department"),
+        (F.lit(1000) + F.col("n_regionkey")).cast("int").alias("project_id"),
+        (F.lit(5000) + nk).cast("int").alias("task_id"),
+        nk.cast("int").alias("ordinal"),
+    )
+    rk = F.col("r_regionkey")
+    regions = r.select(
+        F.concat(F.lit("dept_"), (rk * 5).cast("string")).alias("department"),
+        (F.lit(3000) + rk).cast("int").alias("project_id"),
+        F.when(rk != 3, F.lit(6000) + rk).cast("int").alias("task_id"),
+        (F.lit(100) + rk).cast("int").alias("ordinal"),
+    )
+    return nations.unionByName(regions)
+
+
+# --- fixed values: denial phrases placed into some landed pages -------------
+DENIAL_TEXT = "Too Many Requests for this tenant"
+# ---------------------------------------------------------------------------
+
+
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed list pages (F1/F10) as JSON text, one per event; events with
+    ``value > 45`` were never landed (their URLs become gaps).
+
+    view: ``{"Data":[e],"Paging":{"Next":url}}``; click: two rows and a
+    padded ``{"href":…}`` pointer; signup: a bare list with a non-object;
+    purchase: empty ``Data``, empty pointer; error: a denial message, no data.
+    """
+    e = table(spark, sf_dir, "events").filter(F.col("value") <= 45)
+    u, eid, et = F.col("user_id"), F.col("event_id"), F.col("event_type")
+
+    def emp(uid: Column, lower_key: bool = False) -> Column:
+        name = "xrefcode" if lower_key else "XRefCode"
+        return F.to_json(
+            F.struct(
+                F.concat(F.lit("emp-"), uid.cast("string")).alias(name),
+                et.alias("FirstName"),
+                F.struct(F.concat(F.lit("ORG-"), (uid % 7).cast("string")).alias("XRefCode")).alias("HomeOrganization"),
+            )
+        )
+
+    nxt = F.concat(F.lit('"p/'), (eid + 1).cast("string"), F.lit('"'))
+    text = (
+        F.when(et == "view", F.concat(F.lit('{"Data":['), emp(u), F.lit('],"Paging":{"Next":'), nxt, F.lit("}}")))
+        .when(
+            et == "click",
+            F.concat(
+                F.lit('{"Data":['), emp(u), F.lit(","), F.when(u % 2 == 0, emp(u + 1, lower_key=True)).otherwise(emp(u + 1)),
+                F.lit('],"Paging":{"Next":{"href":" p/'), (eid + 1).cast("string"), F.lit(' "}}}'),
+            ),
+        )
+        .when(et == "signup", F.concat(F.lit("["), emp(u), F.lit(",7]")))
+        .when(et == "purchase", F.lit('{"Data":[],"Paging":{"Next":""}}'))
+        .otherwise(F.concat(F.lit('{"Messages":["ok","'), F.lit(DENIAL_TEXT), F.lit('"]}')))
+    )
+    return e.select(
+        eid.alias("page_id"),
+        F.concat(F.lit("p/"), eid.cast("string")).alias("url"),
+        text.alias("payload"),
+    )

@@ -341,3 +341,122 @@ SELECT count(*) AS n_hashes, count(*) FILTER (WHERE n_texts > 1) AS n_colliding
 ORACLE["hash_migrate_v1"] = f"""WITH {with_days(1, True)}
 SELECT entry_idx, day_idx, substr(sha256({_CANON}), 1, 16) AS migrated,
   substr(sha256({_CANON}), 1, 16) = record_hash AS matches_v2 FROM days1m"""
+
+
+# --------------------------------------------------------------------------- #
+# Roster, detail payloads, mapping                                            #
+# --------------------------------------------------------------------------- #
+ROS = """ros AS (
+  SELECT CAST(c_custkey // 50 AS BIGINT) AS page_idx, CAST(c_custkey % 50 AS INTEGER) AS row_idx,
+    CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 9 = 0 THEN ' x-' || CAST(c_custkey AS VARCHAR)
+         WHEN c_custkey % 2 = 0 THEN 'emp-' || CAST(c_custkey AS VARCHAR) || ' '
+         ELSE 'EMP-' || CAST(c_custkey AS VARCHAR) END AS XRefCode,
+    c_name AS FirstName, c_mktsegment AS LastName, 'ORG-' || CAST(c_nationkey AS VARCHAR) AS org_x, c_mktsegment AS org_s
+  FROM customer
+  UNION ALL
+  SELECT CAST(c_custkey // 50 AS BIGINT) + 1000, CAST(c_custkey % 50 AS INTEGER),
+    CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 9 = 0 THEN ' x-' || CAST(c_custkey AS VARCHAR)
+         WHEN c_custkey % 2 = 0 THEN 'emp-' || CAST(c_custkey AS VARCHAR) || ' '
+         ELSE 'EMP-' || CAST(c_custkey AS VARCHAR) END,
+    lower(c_name), c_mktsegment, 'ORG-' || CAST(c_nationkey AS VARCHAR), c_mktsegment
+  FROM customer WHERE c_custkey % 13 = 0
+)"""
+
+SCOPE = f"""{ROS}, scoped AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY XRefCode ORDER BY page_idx, row_idx) AS rn
+                 FROM ros WHERE upper(trim(XRefCode)) LIKE 'EMP%') WHERE rn = 1
+)"""
+
+ES_DEPT = "CASE WHEN c_custkey % 20 <> 15 THEN 'OU_' || CAST(c_nationkey AS VARCHAR) ELSE 'HO_' || CAST(c_nationkey AS VARCHAR) END"
+WA0 = ("CASE WHEN c_custkey % 4 <> 1 THEN 'DEPT_' || CAST(c_nationkey AS VARCHAR) "
+       "ELSE 'DEPT_' || CAST((c_nationkey + 3) % 25 AS VARCHAR) END")
+WA1 = "'DEPT_' || CAST((c_nationkey + 7) % 25 AS VARCHAR)"
+DET = f"""det AS (
+  SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment, 'emp-' || CAST(c_custkey AS VARCHAR) AS XRefCode,
+    'EMP-' || CAST(c_custkey AS VARCHAR) AS k_norm, c_name AS DisplayName,
+    CASE WHEN c_custkey % 4 = 0 THEN (CASE WHEN c_acctbal < 0 THEN 'TERMINATED' ELSE 'INACTIVE' END)
+         ELSE 'ACTIVE' END AS employment_status,
+    CASE WHEN c_custkey % 2 = 0 THEN 'Dept_' || CAST((c_nationkey + 3) % 25 AS VARCHAR) END AS p7,
+    CASE WHEN c_custkey % 10 = 5 THEN {ES_DEPT} ELSE {WA0} END AS dept_past,
+    CASE WHEN c_custkey % 10 = 5 THEN {ES_DEPT} ELSE {WA1} END AS dept_now,
+    CASE WHEN c_custkey % 10 = 5 THEN {ES_DEPT} WHEN c_custkey % 3 = 1 THEN {WA1} ELSE {WA0} END AS dept_early
+  FROM customer
+)"""
+
+MAP = f"""mrows AS (
+  SELECT CASE n_nationkey % 3 WHEN 0 THEN ' dept_' || CAST(n_nationkey AS VARCHAR) || ' '
+              WHEN 1 THEN 'DEPT_' || CAST(n_nationkey AS VARCHAR) ELSE 'Dept_' || CAST(n_nationkey AS VARCHAR) END AS department,
+    CAST(1000 + n_regionkey AS INTEGER) AS project_id, CAST(5000 + n_nationkey AS INTEGER) AS task_id,
+    CAST(n_nationkey AS INTEGER) AS ordinal
+  FROM nation WHERE n_regionkey <> 4
+  UNION ALL
+  SELECT 'dept_' || CAST(r_regionkey * 5 AS VARCHAR), CAST(3000 + r_regionkey AS INTEGER),
+    CASE WHEN r_regionkey <> 3 THEN CAST(6000 + r_regionkey AS INTEGER) END, CAST(100 + r_regionkey AS INTEGER)
+  FROM region
+), dmap AS (
+  SELECT dept_key, department, project_id, task_id FROM (
+    SELECT *, {norm('department')} AS dept_key,
+      row_number() OVER (PARTITION BY {norm('department')} ORDER BY ordinal DESC) AS rn
+    FROM mrows WHERE project_id IS NOT NULL AND task_id IS NOT NULL) WHERE rn = 1 AND dept_key IS NOT NULL
+)"""
+
+ORACLE["roster_scope"] = f"""WITH {SCOPE}
+SELECT XRefCode, FirstName, LastName, org_s AS "HomeOrganization.ShortName", org_x AS "HomeOrganization.XRefCode"
+FROM scoped"""
+
+ORACLE["roster_flatten"] = f"""WITH {ROS}
+SELECT XRefCode, FirstName, LastName, org_s AS "HomeOrganization.ShortName", org_x AS "HomeOrganization.XRefCode",
+  page_idx, row_idx FROM ros"""
+
+ORACLE["employee_keys"] = f"""WITH {ROS}
+SELECT XRefCode, page_idx, row_idx FROM ros WHERE XRefCode IS NOT NULL AND XRefCode <> ''"""
+
+ORACLE["status_latest"] = f"WITH {DET} SELECT XRefCode, DisplayName, employment_status FROM det"
+ORACLE["primary_department"] = f"WITH {DET} SELECT XRefCode, p7 AS DepartmentXRefCode FROM det"
+ORACLE["department_as_of"] = f"WITH {DET} SELECT XRefCode, dept_past, dept_now FROM det"
+ORACLE["department_fallback"] = f"WITH {DET} SELECT XRefCode, dept_early AS department_xref FROM det"
+
+ORACLE["map_validate"] = f"""WITH {MAP}
+SELECT count(*) AS n_entries, count(DISTINCT {norm('department')}) AS n_keys,
+  count(*) FILTER (WHERE project_id IS NULL) AS n_missing_project,
+  count(*) FILTER (WHERE task_id IS NULL) AS n_missing_task,
+  count(*) FILTER (WHERE {norm('department')} IS NULL) AS n_blank_keys,
+  count(*) > 0 AND count(*) FILTER (WHERE project_id IS NULL) = 0 AND count(*) FILTER (WHERE task_id IS NULL) = 0 AS valid
+FROM mrows"""
+
+ORACLE["department_map"] = f"WITH {MAP} SELECT dept_key, department, project_id, task_id FROM dmap"
+
+ORACLE["department_lookup"] = f"""WITH {DET}, {MAP}
+SELECT XRefCode, dept_now AS department_xref, project_id, task_id
+FROM det LEFT JOIN dmap ON dmap.dept_key = {norm('dept_now')}"""
+
+EMP_ROWS = f"""{SCOPE}, {DET}, {MAP}, emprows AS (
+  SELECT s.XRefCode, d.DisplayName AS employee_name, d.p7 AS DepartmentXRefCode, m.project_id AS ProjectId,
+    m.task_id AS TaskId, d.employment_status
+  FROM (SELECT DISTINCT XRefCode FROM scoped) s
+  LEFT JOIN det d ON d.k_norm = {norm('s.XRefCode')}
+  JOIN dmap m ON m.dept_key = {norm('d.p7')}
+)"""
+ORACLE["employee_rows"] = f"WITH {EMP_ROWS} SELECT * FROM emprows"
+ORACLE["inactive_status_counts"] = f"""WITH {EMP_ROWS}
+SELECT employment_status, count(*) AS n FROM emprows WHERE employment_status IS DISTINCT FROM 'ACTIVE'
+GROUP BY employment_status"""
+
+ASOF = f"""{ROS}, {DET}, {MAP}, keys AS (
+  SELECT XRefCode, page_idx, row_idx FROM ros WHERE XRefCode IS NOT NULL AND XRefCode <> ''
+), asofr AS (
+  SELECT DISTINCT k.XRefCode AS xref, d.dept_now AS department_xref, m.project_id, m.task_id,
+    CASE WHEN d.dept_now IS NULL OR d.dept_now = '' THEN 'unresolved' WHEN m.project_id IS NULL THEN 'unmapped'
+         ELSE 'kept' END AS outcome
+  FROM keys k LEFT JOIN det d ON d.k_norm = {norm('k.XRefCode')}
+  LEFT JOIN dmap m ON m.dept_key = {norm('d.dept_now')}
+  {{where}}
+)"""
+ORACLE["scope_counts"] = f"""WITH {ASOF.format(where='')}
+SELECT count(*) FILTER (WHERE outcome = 'kept') AS kept, count(*) FILTER (WHERE outcome = 'unmapped') AS unmapped,
+  count(*) FILTER (WHERE outcome = 'unresolved') AS unresolved FROM asofr"""
+_SUB = ("WHERE CAST(regexp_extract(k.XRefCode, '(\\d+)', 1) AS BIGINT) IN "
+        "(SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+ORACLE["roster_subset"] = f"WITH {ASOF.format(where=_SUB)} SELECT * FROM asofr"
+ORACLE["job_roster_asof"] = f"""WITH {ASOF.format(where='')}
+SELECT xref, department_xref, project_id, task_id FROM asofr WHERE outcome = 'kept'"""
