@@ -18,7 +18,7 @@ from ledgerfold.functions import values as vf
 from ledgerfold.operators import classify, dedupe, expand, merge, roster
 from ledgerfold.sources import mapping
 from ledgerfold.plans import derive
-from ledgerfold.sources.tables import LEDGER_SCHEMA, empty
+from ledgerfold.sources.tables import DAY_SCHEMA, EMPLOYEE_SCHEMA, LEDGER_SCHEMA, empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -449,4 +449,92 @@ def job_roster_asof(spark, sf):
     return r.filter(F.col("outcome") == "kept").drop("outcome")
 
 
+# --------------------------------------------------------------------------- #
+# Employee and day tables                            #
+# --------------------------------------------------------------------------- #
+WINDOW_START = "1997-01-01"
+WINDOW_END = "1999-12-31"
+
+
+def _digits(c: str) -> Column:
+    return F.regexp_extract(F.col(c), r"(\d+)", 1).cast("bigint")
+
+
+def employee_source(spark, sf) -> DataFrame:
+    keys = roster.roster_frame(derive.roster_rows(spark, sf), PREFIX)
+    return roster.employee_rows(keys, details(spark, sf), dept_map(spark, sf))
+
+
+def employee_table_v1(spark, sf) -> DataFrame:
+    """Employee table after a first run; rows with digits ≡ 0 (mod 17) predate the stamp column."""
+    t = merge.employee_merge(empty(spark, EMPLOYEE_SCHEMA), employee_source(spark, sf), now=NOW1).drop("merge_action")
+    return t.withColumn(
+        "UpdatedDateTime", F.when(_digits("XRefCode") % 17 == 0, F.lit(None).cast("timestamp")).otherwise(F.col("UpdatedDateTime"))
+    )
+
+
+def employee_merged(spark, sf) -> DataFrame:
+    src = derive.employee_rows_v2(employee_source(spark, sf))
+    return merge.employee_merge(employee_table_v1(spark, sf), src, now=NOW2)
+
+
+@query("employee_merge")
+def employee_merge_q(spark, sf):
+    """M2 + P25: second run against the employee table (stamp moves only on status change)."""
+    m = employee_merged(spark, sf)
+    return m.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
+
+
+def day_source(spark, sf, cycle: int) -> DataFrame:
+    return dedupe.dedupe_day_rows(expand.weekday_days(derive.tagged_requests(spark, sf, cycle)))
+
+
+def day_table_v1(spark, sf) -> DataFrame:
+    return merge.day_merge(
+        empty(spark, DAY_SCHEMA), day_source(spark, sf, 1), now=NOW1, run_keys=None,
+        window_start=WINDOW_START, window_end=WINDOW_END,
+    ).drop("merge_action")
+
+
+def day_merged(spark, sf, run_keys: DataFrame) -> DataFrame:
+    return merge.day_merge(
+        day_table_v1(spark, sf), day_source(spark, sf, 2), now=NOW2, run_keys=run_keys,
+        window_start=WINDOW_START, window_end=WINDOW_END,
+    )
+
+
+def _day_view(df: DataFrame) -> DataFrame:
+    return df.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
+
+
+@query("day_rows_deduped")
+def day_rows_deduped(spark, sf):
+    """A1 on day-table rows: one row per RecordHash, APPROVED before CANCELED (Q3)."""
+    return day_source(spark, sf, 1)
+
+
+@query("day_merge")
+def day_merge_q(spark, sf):
+    """M3 + J11: cycle 2 into the day table; run keys = every employee fetched this run."""
+    keys = derive.tagged_requests(spark, sf, 2).select("_XRefCode")
+    return _day_view(day_merged(spark, sf, keys))
+
+
+@query("day_merge_scoped")
+def day_merge_scoped(spark, sf):
+    """P26 + M4: cancel-if-missing limited to BUILDING-segment employees and the date window."""
+    c = derive.table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    keys = c.select(F.concat(F.lit("emp-"), F.col("c_custkey").cast("string")).alias("XRefCode"))
+    return _day_view(day_merged(spark, sf, keys))
+
+
+@query("merge_metrics")
+def merge_metrics_q(spark, sf):
+    """Affected-row metrics of the employee and day merges."""
+    keys = derive.tagged_requests(spark, sf, 2).select("_XRefCode")
+    e = merge.merge_metrics(employee_merged(spark, sf)).select(F.lit("employee").alias("target"), "*")
+    d = merge.merge_metrics(day_merged(spark, sf, keys)).select(F.lit("day").alias("target"), "*")
+    return e.unionByName(d)
+
+
 __all__ = ["QUERIES", "NOW1", "NOW2", "NOW3", "query", "vf"]

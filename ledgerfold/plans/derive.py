@@ -34,7 +34,8 @@ def requests(spark: SparkSession, sf_dir: str, cycle: int = 1) -> DataFrame:
     """Time-off requests of one snapshot cycle (fields of FIXTURES F3 and F4).
 
     cycle 1: every order whose key is not ≡ 0 (mod 10)
-    cycle 2: every order whose key is not ≡ 1 (mod 10); hours +1 where key ≡ 0 (mod 7)
+    cycle 2: every order whose key is not ≡ 1 (mod 10); hours +1 where key ≡ 0 (mod 7);
+             APPROVED/CANCELED swapped where key ≡ 0 (mod 23)
     cycle 3: same as cycle 1 (used for reactivation)
     """
     o = table(spark, sf_dir, "orders").select(
@@ -60,6 +61,10 @@ def requests(spark: SparkSession, sf_dir: str, cycle: int = 1) -> DataFrame:
         ),
     )
     empty = F.array().cast("array<struct<Date:string,NetHours:double>>")
+    status = _status(F.col("o_orderstatus"))
+    if cycle == 2:
+        flip = F.when(status == "APPROVED", "CANCELED").when(status == "CANCELED", "APPROVED").otherwise(status)
+        status = F.when(k % 23 == 0, flip).otherwise(status)
     return o.select(
         k.alias("entry_idx"),
         F.concat(F.lit(" emp-"), F.col("o_custkey").cast("string"), F.lit(" ")).alias("employee_key"),
@@ -76,7 +81,7 @@ def requests(spark: SparkSession, sf_dir: str, cycle: int = 1) -> DataFrame:
         .otherwise(F.concat(F.lit("PAY"), (k % 5).cast("string")))
         .alias("PayAdjustmentCodeXRefCode"),
         F.when(k % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority")).alias("PayAdjShortName"),
-        _status(F.col("o_orderstatus")).alias("Status"),
+        status.alias("Status"),
         F.when(k % 3 == 0, F.when(k % 8 == 0, empty).otherwise(day_list)).alias("DayList"),
         F.when(((k % 3 == 1) & (k % 2 == 0)) | (k % 24 == 0), day_list).alias("Days"),
     )
@@ -284,3 +289,24 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("p/"), eid.cast("string")).alias("url"),
         text.alias("payload"),
     )
+
+
+def employee_rows_v2(rows: DataFrame) -> DataFrame:
+    """Second version of the employee source (M2): renames, status moves, leavers.
+
+    With ``n`` the digits of the key: name upper-cased where n ≡ 0 (mod 5);
+    status null where n ≡ 0 (mod 7), else TERMINATED where n ≡ 0 (mod 3);
+    rows with n ≡ 0 (mod 11) are missing from this version.
+    """
+    n = F.regexp_extract(F.col("XRefCode"), r"(\d+)", 1).cast("bigint")
+    return rows.filter(n % 11 != 0).select(
+        "XRefCode",
+        F.when(n % 5 == 0, F.upper("employee_name")).otherwise(F.col("employee_name")).alias("employee_name"),
+        "DepartmentXRefCode",
+        "ProjectId",
+        "TaskId",
+        F.when(n % 7 == 0, F.lit(None).cast("string"))
+        .when(n % 3 == 0, F.lit("TERMINATED"))
+        .otherwise(F.col("employment_status"))
+        .alias("employment_status"),
+    )

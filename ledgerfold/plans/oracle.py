@@ -38,6 +38,10 @@ def req_cte(c: int) -> str:
     hours = "(o_orderkey % 80) / 4 + 0.125"
     if c == 2:
         hours = f"CASE WHEN o_orderkey % 7 = 0 THEN {hours} + 1 ELSE {hours} END"
+    status = "CASE o_orderstatus WHEN 'O' THEN 'APPROVED' WHEN 'F' THEN 'CANCELED' WHEN 'P' THEN 'PENDING' END"
+    if c == 2:
+        status = (f"CASE WHEN o_orderkey % 23 = 0 THEN (CASE o_orderstatus WHEN 'O' THEN 'CANCELED' "
+                  f"WHEN 'F' THEN 'APPROVED' ELSE 'PENDING' END) ELSE {status} END")
     return f"""req{c} AS (
   SELECT o_orderkey AS entry_idx, o_custkey, o_orderdate, o_orderstatus, o_orderpriority,
     ' emp-' || CAST(o_custkey AS VARCHAR) || ' ' AS employee_key,
@@ -53,7 +57,7 @@ def req_cte(c: int) -> str:
     CASE WHEN o_orderkey % 17 = 0 THEN '' ELSE o_orderpriority END AS PayAdjustmentCodeName,
     CASE WHEN o_orderkey % 34 = 0 THEN NULL ELSE 'PAY' || CAST(o_orderkey % 5 AS VARCHAR) END AS PayAdjustmentCodeXRefCode,
     CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_orderpriority END AS PayAdjShortName,
-    CASE o_orderstatus WHEN 'O' THEN 'APPROVED' WHEN 'F' THEN 'CANCELED' WHEN 'P' THEN 'PENDING' END AS Status,
+    {status} AS Status,
     ((o_orderkey % 3 = 0 AND o_orderkey % 8 <> 0) OR (o_orderkey % 3 = 1 AND o_orderkey % 2 = 0)) AS has_list,
     (o_orderkey % 5 <> 0) AS list_complete
   FROM orders WHERE o_orderkey % 10 <> {drop}
@@ -460,3 +464,142 @@ _SUB = ("WHERE CAST(regexp_extract(k.XRefCode, '(\\d+)', 1) AS BIGINT) IN "
 ORACLE["roster_subset"] = f"WITH {ASOF.format(where=_SUB)} SELECT * FROM asofr"
 ORACLE["job_roster_asof"] = f"""WITH {ASOF.format(where='')}
 SELECT xref, department_xref, project_id, task_id FROM asofr WHERE outcome = 'kept'"""
+
+
+# --------------------------------------------------------------------------- #
+# Day table (Flow B) and employee table merges                                #
+# --------------------------------------------------------------------------- #
+def wk_cte(c: int) -> str:
+    """Weekday rows of cycle ``c`` (wkrows{c}) and their first-wins dedupe (daysrc{c})."""
+    return f"""tag{c} AS (
+  SELECT trim(employee_key) AS XRefCode, Status AS st, CASE Status WHEN 'APPROVED' THEN 0 ELSE 1 END AS status_rank,
+    entry_idx, TRY_CAST(TimeStart AS TIMESTAMP) AS ts0, TRY_CAST(TimeEnd AS TIMESTAMP) AS ts1, NetHours,
+    ReasonName, PayAdjShortName,
+    CASE WHEN PayAdjShortName IS NOT NULL AND PayAdjShortName <> '' THEN PayAdjShortName
+         ELSE COALESCE(ReasonName, 'None') END AS typ
+  FROM req{c} WHERE Status IN ('APPROVED', 'CANCELED')
+), wk{c} AS (
+  SELECT *, CASE WHEN ts1 > ts0 THEN list_filter(generate_series(ts0, ts1 - INTERVAL 1 MICROSECOND, INTERVAL 1 DAY),
+                                                  lambda d: isodow(d) <= 5) ELSE [] END AS days
+  FROM tag{c} WHERE ts0 IS NOT NULL AND ts1 IS NOT NULL
+), per{c} AS (
+  SELECT *, len(days) AS n,
+    CASE WHEN NetHours IS NULL THEN 800
+         ELSE {half_even('CAST(round(NetHours * 1000) AS BIGINT)', '10 * greatest(len(days), 1)')} END AS cents
+  FROM wk{c}
+), wkx{c} AS (
+  SELECT p.*, CAST(g.i AS INTEGER) AS day_idx, CAST(p.days[g.i + 1] AS DATE) AS dt
+  FROM per{c} p CROSS JOIN generate_series(0, p.n - 1) AS g(i)
+), wkrows{c} AS (
+  SELECT CAST(status_rank AS INTEGER) AS status_rank, 0 AS window_idx, entry_idx, day_idx, XRefCode, dt AS Date,
+    {cents_to_dec('cents')} AS Hours, ReasonName, PayAdjShortName,
+    CASE st WHEN 'APPROVED' THEN 'Approved' ELSE 'Canceled' END AS Status,
+    substr(sha256({norm('XRefCode')} || '|' || strftime(dt, '%Y-%m-%d') || '|' || {norm('typ')} || '|'
+                  || CAST({cents_to_dec('cents')} AS VARCHAR)), 1, 16) AS RecordHash
+  FROM wkx{c}
+), daysrc{c} AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY RecordHash
+      ORDER BY status_rank, window_idx, entry_idx, day_idx) AS rn FROM wkrows{c}) WHERE rn = 1
+)"""
+
+
+ORACLE["expand_weekdays"] = f"WITH {req_cte(1)}, {wk_cte(1)} SELECT * FROM wkrows1"
+ORACLE["day_rows_deduped"] = f"WITH {req_cte(1)}, {wk_cte(1)} SELECT * FROM daysrc1"
+
+WIN = "DATE '1997-01-01' AND DATE '1999-12-31'"
+N1, N2 = f"TIMESTAMP '{NOW1}'", f"TIMESTAMP '{NOW2}'"
+
+
+def day_merge_sql(keys_sql: str) -> str:
+    return f"""WITH {req_cte(1)}, {wk_cte(1)}, {req_cte(2)}, {wk_cte(2)},
+dt1 AS (SELECT XRefCode, Date, Hours, ReasonName, PayAdjShortName, Status, RecordHash, {N1} AS UpdatedDateTime FROM daysrc1),
+rk AS (SELECT DISTINCT k AS XRefCode FROM ({keys_sql}) AS q(k)),
+tgt AS (SELECT t.*, rk.XRefCode IS NOT NULL AS in_run FROM dt1 t LEFT JOIN rk ON t.XRefCode = rk.XRefCode),
+j AS (
+  SELECT COALESCE(t.RecordHash, s.RecordHash) AS RecordHash, t.RecordHash IS NOT NULL AS has_t, s.RecordHash IS NOT NULL AS has_s,
+    t.XRefCode AS t_x, t.Date AS t_d, t.Hours AS t_h, t.ReasonName AS t_r, t.PayAdjShortName AS t_p, t.Status AS t_s,
+    t.UpdatedDateTime AS t_u, t.in_run,
+    s.XRefCode AS s_x, s.Date AS s_d, s.Hours AS s_h, s.ReasonName AS s_r, s.PayAdjShortName AS s_p, s.Status AS s_s
+  FROM tgt t FULL OUTER JOIN daysrc2 s ON t.RecordHash = s.RecordHash
+),
+a AS (
+  SELECT *, CASE
+    WHEN NOT has_t THEN 'insert'
+    WHEN has_s AND (t_s IS DISTINCT FROM s_s OR t_r IS DISTINCT FROM s_r OR t_p IS DISTINCT FROM s_p OR t_u IS NULL) THEN 'update'
+    WHEN has_s THEN 'unchanged'
+    WHEN in_run AND t_d BETWEEN {WIN} AND t_s <> 'Canceled' THEN 'cancel'
+    ELSE 'keep' END AS merge_action
+  FROM j
+),
+merged AS (
+  SELECT RecordHash,
+    CASE WHEN merge_action IN ('insert', 'update') THEN s_x ELSE t_x END AS XRefCode,
+    CASE WHEN merge_action IN ('insert', 'update') THEN s_d ELSE t_d END AS Date,
+    CASE WHEN merge_action IN ('insert', 'update') THEN s_h ELSE t_h END AS Hours,
+    CASE WHEN merge_action IN ('insert', 'update') THEN s_r ELSE t_r END AS ReasonName,
+    CASE WHEN merge_action IN ('insert', 'update') THEN s_p ELSE t_p END AS PayAdjShortName,
+    CASE WHEN merge_action IN ('insert', 'update') THEN s_s WHEN merge_action = 'cancel' THEN 'Canceled' ELSE t_s END AS Status,
+    CASE WHEN merge_action IN ('insert', 'update', 'cancel') THEN {N2} ELSE t_u END AS UpdatedDateTime,
+    merge_action
+  FROM a
+)"""
+
+
+_DAY_VIEW = ("SELECT XRefCode, Date, Hours, ReasonName, PayAdjShortName, Status, RecordHash, "
+             "strftime(UpdatedDateTime, '%Y-%m-%d %H:%M:%S') AS UpdatedDateTime, merge_action FROM merged")
+_RUN_KEYS = "SELECT trim(employee_key) FROM req2 WHERE Status IN ('APPROVED', 'CANCELED')"
+_BUILDING = "SELECT 'emp-' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING'"
+ORACLE["day_merge"] = f"{day_merge_sql(_RUN_KEYS)}\n{_DAY_VIEW}"
+ORACLE["day_merge_scoped"] = f"{day_merge_sql(_BUILDING)}\n{_DAY_VIEW}"
+
+EMP_MERGE = f"""WITH {EMP_ROWS},
+et1 AS (
+  SELECT XRefCode, employee_name, DepartmentXRefCode, ProjectId, TaskId, employment_status,
+    CASE WHEN CAST(regexp_extract(XRefCode, '(\\d+)', 1) AS BIGINT) % 17 = 0 THEN NULL ELSE {N1} END AS UpdatedDateTime
+  FROM emprows
+),
+src AS (
+  SELECT XRefCode,
+    CASE WHEN n % 5 = 0 THEN upper(employee_name) ELSE employee_name END AS employee_name,
+    DepartmentXRefCode, ProjectId, TaskId,
+    CASE WHEN n % 7 = 0 THEN NULL WHEN n % 3 = 0 THEN 'TERMINATED' ELSE employment_status END AS employment_status
+  FROM (SELECT *, CAST(regexp_extract(XRefCode, '(\\d+)', 1) AS BIGINT) AS n FROM emprows) WHERE n % 11 <> 0
+),
+j AS (
+  SELECT COALESCE(t.XRefCode, s.XRefCode) AS XRefCode, t.XRefCode IS NOT NULL AS has_t, s.XRefCode IS NOT NULL AS has_s,
+    t.employee_name AS t_n, t.DepartmentXRefCode AS t_d, t.ProjectId AS t_p, t.TaskId AS t_k, t.employment_status AS t_e,
+    t.UpdatedDateTime AS t_u,
+    s.employee_name AS s_n, s.DepartmentXRefCode AS s_d, s.ProjectId AS s_p, s.TaskId AS s_k, s.employment_status AS s_e
+  FROM et1 t FULL OUTER JOIN src s ON t.XRefCode = s.XRefCode
+),
+a AS (
+  SELECT *, CASE WHEN NOT has_t THEN 'insert' WHEN NOT has_s THEN 'keep'
+    WHEN t_n IS DISTINCT FROM s_n OR t_d IS DISTINCT FROM s_d OR t_p IS DISTINCT FROM s_p OR t_k IS DISTINCT FROM s_k
+         OR t_e IS DISTINCT FROM s_e OR t_u IS NULL THEN 'update'
+    ELSE 'unchanged' END AS merge_action
+  FROM j
+),
+merged AS (
+  SELECT XRefCode,
+    CASE WHEN merge_action IN ('insert', 'update') THEN s_n ELSE t_n END AS employee_name,
+    CASE WHEN merge_action IN ('insert', 'update') THEN s_d ELSE t_d END AS DepartmentXRefCode,
+    CASE WHEN merge_action IN ('insert', 'update') THEN s_p ELSE t_p END AS ProjectId,
+    CASE WHEN merge_action IN ('insert', 'update') THEN s_k ELSE t_k END AS TaskId,
+    CASE WHEN merge_action IN ('insert', 'update') THEN s_e ELSE t_e END AS employment_status,
+    CASE WHEN merge_action = 'insert' THEN {N2}
+         WHEN merge_action = 'update' AND NOT (t_e IS NOT DISTINCT FROM s_e AND t_u IS NOT NULL) THEN {N2}
+         ELSE t_u END AS UpdatedDateTime,
+    merge_action
+  FROM a
+)"""
+ORACLE["employee_merge"] = f"""{EMP_MERGE}
+SELECT XRefCode, employee_name, DepartmentXRefCode, ProjectId, TaskId, employment_status,
+  strftime(UpdatedDateTime, '%Y-%m-%d %H:%M:%S') AS UpdatedDateTime, merge_action FROM merged"""
+
+_A8 = """count(*) FILTER (WHERE merge_action = 'insert') AS num_inserted_rows,
+  count(*) FILTER (WHERE merge_action IN ('update', 'cancel')) AS num_updated_rows,
+  count(*) FILTER (WHERE merge_action IN ('insert', 'update', 'cancel')) AS num_affected_rows,
+  count(*) FILTER (WHERE merge_action = 'unchanged') AS num_unchanged_source_rows"""
+ORACLE["merge_metrics"] = f"""WITH e AS ({EMP_MERGE} SELECT 'employee' AS target, {_A8} FROM merged),
+d AS ({day_merge_sql(_RUN_KEYS)} SELECT 'day' AS target, {_A8} FROM merged)
+SELECT * FROM e UNION ALL SELECT * FROM d"""
