@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ledgerfold.functions import identity as idf
 from ledgerfold.functions import values as vf
 from ledgerfold.operators import classify, dedupe, expand, merge, roster
-from ledgerfold.sources import mapping
+from ledgerfold.functions import items as it
+from ledgerfold.sources import mapping, pages, tables, windows
 from ledgerfold.plans import derive
 from ledgerfold.sources.tables import DAY_SCHEMA, EMPLOYEE_SCHEMA, LEDGER_SCHEMA, empty
 
@@ -537,4 +538,213 @@ def merge_metrics_q(spark, sf):
     return e.unionByName(d)
 
 
+# --------------------------------------------------------------------------- #
+# Landed pages                                               #
+# --------------------------------------------------------------------------- #
+def landed(spark, sf) -> DataFrame:
+    return pages.parse_pages(derive.landed_pages(spark, sf))
+
+
+@query("page_unwrap")
+def page_unwrap(spark, sf):
+    """S1 + S3: object members of every landed page (bare lists too), with position."""
+    rows = pages.unwrap_list(landed(spark, sf))
+    r = F.col("row")
+    return rows.select(
+        "page_id",
+        "row_idx",
+        it.vget(r, "$.XRefCode").alias("XRefCode"),
+        it.vget(r, "$.FirstName").alias("FirstName"),
+        it.vget(r, "$.HomeOrganization.XRefCode").alias("org_xref"),
+    )
+
+
+@query("page_employee_keys")
+def page_employee_keys(spark, sf):
+    """S4 over pages: keys of unwrapped rows, rows without a key dropped."""
+    rows = pages.employee_keys(pages.unwrap_list(landed(spark, sf)))
+    return rows.select("page_id", "row_idx", "XRefCode")
+
+
+@query("page_denials")
+def page_denials(spark, sf):
+    """Pages that carry a denial message instead of data."""
+    return pages.denials(landed(spark, sf))
+
+
+@query("page_gaps")
+def page_gaps(spark, sf):
+    """Next-page pointers (text or href) whose page never landed."""
+    return pages.page_gaps(landed(spark, sf))
+
+
+@query("single_unwrap")
+def single_unwrap(spark, sf):
+    """Detail responses wrapped in ``Data`` (even keys) or bare (odd keys)."""
+    d = derive.employee_details(spark, sf)
+    n = _digits("XRefCode")
+    wrapped = n % 2 == 0
+    text = F.when(wrapped, F.concat(F.lit('{"Data":'), F.col("payload"), F.lit("}"))).otherwise(F.col("payload"))
+    p = pages.parse_pages(d.select(text.alias("payload"), wrapped.alias("wrapped")))
+    p = p.withColumn("detail", pages.unwrap_single("page"))
+    v = F.col("detail")
+    return p.select(it.vget(v, "$.XRefCode").alias("XRefCode"), it.vget(v, "$.DisplayName").alias("DisplayName"), "wrapped")
+
+
+# --------------------------------------------------------------------------- #
+# Windows and manifest                                       #
+# --------------------------------------------------------------------------- #
+NOW_SPAN = "1998-06-15 10:30:00"
+
+
+def _customer_span(spark, sf) -> DataFrame:
+    o = derive.table(spark, sf, "orders")
+    return o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+
+
+@query("window_chunks")
+def window_chunks(spark, sf):
+    """Each customer's order-date span cut into 30-day windows with shared edges."""
+    w = _customer_span(spark, sf).select("o_custkey", F.inline(windows.chunk_windows("first", "last", 30)))
+    return w.select("o_custkey", "window_idx", ts_text("lo").alias("lo"), ts_text("hi").alias("hi"))
+
+
+@query("window_inclusive")
+def window_inclusive(spark, sf):
+    """The same spans as whole-day windows of 31 days without shared edges."""
+    s = _customer_span(spark, sf).select("o_custkey", F.col("first").cast("date").alias("a"), F.col("last").cast("date").alias("b"))
+    return s.select("o_custkey", F.inline(windows.inclusive_windows("a", "b", 31)))
+
+
+@query("lookback_span")
+def lookback_span(spark, sf):
+    """S8 + S9 + H11: for every order date as 'now', the request span and its 30-day windows."""
+    o = derive.table(spark, sf, "orders").select(F.col("o_orderdate").alias("now_ts")).distinct()
+    lo, hi = windows.span_iso("now_ts")
+    return o.select(
+        ts_text("now_ts").alias("now"), lo.alias("span_start"), hi.alias("span_end"),
+        F.size(windows.run_windows("now_ts")).cast("int").alias("n_windows"),
+    )
+
+
+def _manifest(spark, sf, keys: DataFrame) -> DataFrame:
+    return windows.manifest(keys, "XRefCode", windows.run_windows(F.to_timestamp(F.lit(NOW_SPAN))))
+
+
+@query("request_manifest")
+def request_manifest(spark, sf):
+    """S5 + J12 + U2: employees × statuses × windows of one scheduled run."""
+    keys = roster.employee_keys(derive.roster_rows(spark, sf)).select(F.trim("XRefCode").alias("XRefCode")).distinct()
+    m = _manifest(spark, sf, keys)
+    return m.select("XRefCode", "status_rank", "status", "window_idx", ts_text("lo").alias("lo"), ts_text("hi").alias("hi"))
+
+
+@query("requests_in_span")
+def requests_in_span(spark, sf):
+    """Requests overlapping a manifest window of their employee and status (edge spanners twice)."""
+    r = derive.requests(spark, sf, 1).select(
+        "entry_idx", F.trim("employee_key").alias("XRefCode"), "Status",
+        F.col("TimeStart").try_cast("timestamp").alias("ts0"), F.col("TimeEnd").try_cast("timestamp").alias("ts1"),
+    ).filter(F.col("ts0").isNotNull())
+    m = _manifest(spark, sf, r.select("XRefCode").distinct())
+    o = windows.overlapping(r, m, "XRefCode", "Status", "ts0", "ts1")
+    return o.select("entry_idx", "XRefCode", "Status", "status_rank", "window_idx")
+
+
+# --------------------------------------------------------------------------- #
+# Small scalar helpers                                           #
+# --------------------------------------------------------------------------- #
+@query("bool_parse")
+def bool_parse(spark, sf):
+    """H8: three-valued flag parsing of varied spellings."""
+    e = derive.table(spark, sf, "events")
+    u = F.col("user_id")
+    txt = (
+        F.when(F.col("event_type") == "view", (u % 2).cast("string"))
+        .when(F.col("event_type") == "click", F.when(u % 3 == 0, F.lit("Yes")).otherwise(F.lit("no")))
+        .when(F.col("event_type") == "signup", F.lit(""))
+        .when(F.col("event_type") == "purchase", F.lit(None).cast("string"))
+        .otherwise(F.lit(" T "))
+    )
+    return e.select("event_id", txt.alias("flag_text"), vf.tri_bool(txt).alias("flag"))
+
+
+@query("status_title")
+def status_title(spark, sf):
+    """Status words title-cased."""
+    r = derive.requests(spark, sf, 1)
+    return r.select("entry_idx", "Status", vf.title_status(F.col("Status")).alias("status_title"))
+
+
+@query("iso_instant")
+def iso_instant(spark, sf):
+    """Event instants as UTC ISO-8601 with milliseconds and Z."""
+    e = derive.table(spark, sf, "events")
+    return e.select("event_id", vf.iso_instant(F.col("ts")).alias("iso"))
+
+
+@query("now_truncate")
+def now_truncate(spark, sf):
+    """Event instants truncated to whole seconds."""
+    e = derive.table(spark, sf, "events")
+    return e.select("event_id", ts_text(vf.whole_seconds(F.col("ts"))).alias("ts_seconds"))
+
+
+# --------------------------------------------------------------------------- #
+# Typed tables                                                  #
+# --------------------------------------------------------------------------- #
+@query("typed_projection")
+def typed_projection(spark, sf):
+    """A loosely typed frame projected onto the declared employee schema."""
+    src = employee_source(spark, sf).select(
+        "XRefCode", "employee_name", "DepartmentXRefCode",
+        F.col("ProjectId").cast("string").alias("ProjectId"), F.col("TaskId").cast("string").alias("TaskId"),
+        "employment_status", F.lit("x").alias("extra"),
+    )
+    t = tables.typed(src, EMPLOYEE_SCHEMA)
+    return t.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
+
+
+@query("schema_evolve")
+def schema_evolve(spark, sf):
+    """The older five-column employee table gains the later columns."""
+    old = employee_source(spark, sf).select("XRefCode", "employee_name", "DepartmentXRefCode", "ProjectId", "TaskId")
+    ev = tables.add_missing_columns(old)
+    return ev.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
+
+
+@query("table_roundtrip")
+def table_roundtrip(spark, sf):
+    """S15-S17 + S21: employee rows written as a table version in the shared folder and read back."""
+    import uuid
+
+    from ledgerfold.session import shared_dir
+
+    root = f"{shared_dir(spark)}/roundtrip-{uuid.uuid4().hex[:12]}"
+    t = tables.SnapshotTable(spark, root, EMPLOYEE_SCHEMA)
+    m = merge.employee_merge(t.read(), employee_source(spark, sf), now=NOW1)
+    v = t.write(m)
+    return t.read(v).withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
+
+
+# --------------------------------------------------------------------------- #
+# A9, O1, O3                                                                  #
+# --------------------------------------------------------------------------- #
+@query("cycle_metrics")
+def cycle_metrics_q(spark, sf):
+    """One-row metrics of cycle 2 and its one-line summary."""
+    from ledgerfold.plans.cycle import LedgerCycle, cycle_metrics, metrics_text
+
+    cfg = LedgerCycle(now=NOW2, run_id="run-2", expand_multi_day=True)
+    m = cycle_metrics(derive.requests(spark, sf, 2), apply_cycle(spark, sf, 2), cfg)
+    return m.withColumn("summary", metrics_text(m))
+
+
+@query("roster_preview")
+def roster_preview(spark, sf):
+    """O1 + O3: first rows of the day table in (employee, date, hash) order — the limit is the feature."""
+    d = day_source(spark, sf, 1)
+    return d.orderBy("XRefCode", "Date", "RecordHash").limit(20).select("XRefCode", "Date", "Hours", "Status", "RecordHash")
+
+
 __all__ = ["QUERIES", "NOW1", "NOW2", "NOW3", "query", "vf"]

@@ -603,3 +603,108 @@ _A8 = """count(*) FILTER (WHERE merge_action = 'insert') AS num_inserted_rows,
 ORACLE["merge_metrics"] = f"""WITH e AS ({EMP_MERGE} SELECT 'employee' AS target, {_A8} FROM merged),
 d AS ({day_merge_sql(_RUN_KEYS)} SELECT 'day' AS target, {_A8} FROM merged)
 SELECT * FROM e UNION ALL SELECT * FROM d"""
+
+
+# --------------------------------------------------------------------------- #
+# Pages, windows, scalar helpers, typed tables, metrics                      #
+# --------------------------------------------------------------------------- #
+EV = "ev AS (SELECT * FROM events WHERE value <= 45)"
+PAGE_ROWS = f"""{EV}, prows AS (
+  SELECT event_id AS page_id, 0 AS row_idx, 'emp-' || CAST(user_id AS VARCHAR) AS XRefCode, event_type AS FirstName,
+    'ORG-' || CAST(user_id % 7 AS VARCHAR) AS org_xref
+  FROM ev WHERE event_type IN ('view', 'click', 'signup')
+  UNION ALL
+  SELECT event_id, 1, CASE WHEN user_id % 2 = 0 THEN NULL ELSE 'emp-' || CAST(user_id + 1 AS VARCHAR) END,
+    event_type, 'ORG-' || CAST((user_id + 1) % 7 AS VARCHAR)
+  FROM ev WHERE event_type = 'click'
+)"""
+ORACLE["page_unwrap"] = f"WITH {PAGE_ROWS} SELECT * FROM prows"
+ORACLE["page_employee_keys"] = f"WITH {PAGE_ROWS} SELECT page_id, row_idx, XRefCode FROM prows WHERE XRefCode IS NOT NULL"
+ORACLE["page_denials"] = f"""WITH {EV}
+SELECT event_id AS page_id, 'Too Many Requests for this tenant' AS message FROM ev WHERE event_type = 'error'"""
+ORACLE["page_gaps"] = f"""WITH {EV}, ptr AS (
+  SELECT event_id AS page_id, 'p/' || CAST(event_id + 1 AS VARCHAR) AS next_url FROM ev WHERE event_type IN ('view', 'click')
+)
+SELECT page_id, next_url FROM ptr WHERE NOT EXISTS (SELECT 1 FROM ev WHERE 'p/' || CAST(ev.event_id AS VARCHAR) = ptr.next_url)"""
+ORACLE["single_unwrap"] = """SELECT 'emp-' || CAST(c_custkey AS VARCHAR) AS XRefCode, c_name AS DisplayName, c_custkey % 2 = 0 AS wrapped
+FROM customer"""
+
+SPAN = """span AS (SELECT o_custkey, min(o_orderdate) AS first, max(o_orderdate) AS last FROM orders GROUP BY o_custkey)"""
+ORACLE["window_chunks"] = f"""WITH {SPAN}
+SELECT o_custkey, CAST(g.i AS INTEGER) AS window_idx,
+  strftime(first + to_days(CAST(30 * g.i AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS lo,
+  strftime(least(first + to_days(CAST(30 * g.i + 30 AS INTEGER)), last), '%Y-%m-%d %H:%M:%S') AS hi
+FROM span CROSS JOIN generate_series(0, CAST(ceil(date_diff('day', first, last) / 30.0) AS BIGINT) - 1) AS g(i)
+WHERE first < last"""
+ORACLE["window_inclusive"] = f"""WITH {SPAN}, d AS (SELECT o_custkey, CAST(first AS DATE) AS a, CAST(last AS DATE) AS b FROM span)
+SELECT o_custkey, CAST(g.i AS INTEGER) AS window_idx, CAST(a + CAST(31 * g.i AS INTEGER) AS DATE) AS lo,
+  CAST(least(a + CAST(31 * g.i + 30 AS INTEGER), b) AS DATE) AS hi
+FROM d CROSS JOIN generate_series(0, date_diff('day', a, b) // 31) AS g(i)"""
+ORACLE["lookback_span"] = """SELECT strftime(now, '%Y-%m-%d %H:%M:%S') AS now,
+  strftime(date_trunc('day', now - INTERVAL 30 DAY), '%Y-%m-%dT%H:%M:%S.%gZ') AS span_start,
+  strftime(date_trunc('day', now + INTERVAL 90 DAY) + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND, '%Y-%m-%dT%H:%M:%S.%gZ') AS span_end,
+  4 AS n_windows
+FROM (SELECT DISTINCT o_orderdate AS now FROM orders)"""
+
+NOW_SPAN_SQL = "TIMESTAMP '1998-06-15 10:30:00'"
+WINDOWS = f"""wins AS (
+  SELECT CAST(i AS INTEGER) AS window_idx, {NOW_SPAN_SQL} - INTERVAL 30 DAY + to_days(CAST(30 * i AS INTEGER)) AS lo,
+    {NOW_SPAN_SQL} - INTERVAL 30 DAY + to_days(CAST(30 * i + 30 AS INTEGER)) AS hi
+  FROM generate_series(0, 3) AS g(i)
+), sts AS (SELECT 0 AS status_rank, 'APPROVED' AS status UNION ALL SELECT 1, 'CANCELED')"""
+ORACLE["request_manifest"] = f"""WITH {ROS}, {WINDOWS}, k AS (
+  SELECT DISTINCT trim(XRefCode) AS XRefCode FROM ros WHERE XRefCode IS NOT NULL AND XRefCode <> ''
+)
+SELECT XRefCode, status_rank, status, window_idx, strftime(lo, '%Y-%m-%d %H:%M:%S') AS lo,
+  strftime(hi, '%Y-%m-%d %H:%M:%S') AS hi
+FROM k, sts, wins"""
+ORACLE["requests_in_span"] = f"""WITH {req_cte(1)}, {WINDOWS}, r AS (
+  SELECT entry_idx, trim(employee_key) AS XRefCode, Status, TRY_CAST(TimeStart AS TIMESTAMP) AS ts0,
+    TRY_CAST(TimeEnd AS TIMESTAMP) AS ts1 FROM req1
+)
+SELECT r.entry_idx, r.XRefCode, r.Status, sts.status_rank, wins.window_idx
+FROM r JOIN sts ON r.Status = sts.status JOIN wins ON r.ts0 <= wins.hi AND COALESCE(r.ts1, r.ts0) >= wins.lo
+WHERE r.ts0 IS NOT NULL"""
+
+ORACLE["bool_parse"] = """WITH x AS (
+  SELECT event_id, CASE event_type WHEN 'view' THEN CAST(user_id % 2 AS VARCHAR)
+    WHEN 'click' THEN (CASE WHEN user_id % 3 = 0 THEN 'Yes' ELSE 'no' END)
+    WHEN 'signup' THEN '' WHEN 'purchase' THEN NULL ELSE ' T ' END AS flag_text FROM events
+)
+SELECT event_id, flag_text,
+  CASE WHEN flag_text IS NULL OR flag_text = '' THEN NULL
+       ELSE lower(trim(flag_text)) IN ('1', 'true', 'yes', 'y', 't') END AS flag FROM x"""
+ORACLE["status_title"] = f"""WITH {req_cte(1)}
+SELECT entry_idx, Status, CASE Status WHEN 'APPROVED' THEN 'Approved' WHEN 'CANCELED' THEN 'Canceled'
+  WHEN 'PENDING' THEN 'Pending' END AS status_title FROM req1"""
+ORACLE["iso_instant"] = "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso FROM events"
+ORACLE["now_truncate"] = "SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS ts_seconds FROM events"
+
+ORACLE["typed_projection"] = f"""WITH {EMP_ROWS}
+SELECT XRefCode, employee_name, DepartmentXRefCode, ProjectId, TaskId, employment_status, NULL::VARCHAR AS UpdatedDateTime
+FROM emprows"""
+ORACLE["schema_evolve"] = f"""WITH {EMP_ROWS}
+SELECT XRefCode, employee_name, DepartmentXRefCode, ProjectId, TaskId, NULL::VARCHAR AS employment_status,
+  NULL::VARCHAR AS UpdatedDateTime FROM emprows"""
+ORACLE["table_roundtrip"] = f"""WITH {EMP_ROWS}
+SELECT XRefCode, employee_name, DepartmentXRefCode, ProjectId, TaskId, employment_status,
+  '{NOW1}' AS UpdatedDateTime FROM emprows"""
+
+ORACLE["cycle_metrics"] = f"""{ledger_with(2)}, src AS (
+  SELECT count(DISTINCT employee_key) AS employees, count(*) AS fetched_entries FROM req2
+), res AS (
+  SELECT count(*) FILTER (WHERE merge_action IN ('insert', 'reactivate', 'touch', 'noop')) AS day_records,
+    count(*) FILTER (WHERE action = 'new') AS new, count(*) FILTER (WHERE action = 'changed') AS changed,
+    count(*) FILTER (WHERE action = 'unchanged') AS unchanged, count(*) FILTER (WHERE action = 'cancelled') AS cancelled,
+    count(*) FILTER (WHERE action = 'superseded') AS superseded,
+    count(*) FILTER (WHERE merge_action = 'insert') AS inserted, count(*) FILTER (WHERE merge_action = 'touch') AS touched,
+    count(*) FILTER (WHERE merge_action = 'cancel') AS cancelled_rows
+  FROM app2
+)
+SELECT 'run-2' AS run_id, *, printf('run %s | %d employees, %d entries -> %d day-records | new=%d changed=%d unchanged=%d '
+  || 'cancelled=%d | inserted=%d touched=%d cancelled=%d', 'run-2', employees, fetched_entries, day_records, new, changed,
+  unchanged, cancelled, inserted, touched, cancelled_rows) AS summary
+FROM src, res"""
+
+ORACLE["roster_preview"] = f"""WITH {req_cte(1)}, {wk_cte(1)}
+SELECT XRefCode, Date, Hours, Status, RecordHash FROM daysrc1 ORDER BY XRefCode, Date, RecordHash LIMIT 20"""
