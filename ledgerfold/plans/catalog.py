@@ -747,4 +747,43 @@ def roster_preview(spark, sf):
     return d.orderBy("XRefCode", "Date", "RecordHash").limit(20).select("XRefCode", "Date", "Hours", "Status", "RecordHash")
 
 
+# --------------------------------------------------------------------------- #
+# Jobs with their table writes                                         #
+# --------------------------------------------------------------------------- #
+def _tag() -> str:
+    import uuid
+
+    return uuid.uuid4().hex[:12]
+
+
+@query("job_employee_table")
+def job_employee_table(spark, sf):
+    """Roster → employee rows → employee table version 1 (written and re-read)."""
+    from ledgerfold.plans import jobs
+
+    t = jobs.new_table(spark, "employees", EMPLOYEE_SCHEMA, _tag())
+    out = jobs.employee_table_job(
+        t, derive.roster_rows(spark, sf), details(spark, sf), derive.department_map_rows(spark, sf), prefix=PREFIX, now=NOW1
+    )
+    return out.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
+
+
+@query("job_day_table")
+def job_day_table(spark, sf):
+    """ACTIVE employees × statuses × windows → weekday rows → day table version 1."""
+    from ledgerfold.plans import jobs
+
+    t = jobs.new_table(spark, "days", DAY_SCHEMA, _tag())
+    out = jobs.day_table_job(t, employee_source(spark, sf), derive.requests(spark, sf, 1), now=NOW_SPAN)
+    return out.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
+
+
+@query("job_ledger")
+def job_ledger(spark, sf):
+    """Two ledger cycles written as versions; the second version with its actions."""
+    from ledgerfold.plans import jobs
+
+    return ledger_view(jobs.ledger_job(spark, sf, _tag(), stamps=(NOW1, NOW2)))
+
+
 __all__ = ["QUERIES", "NOW1", "NOW2", "NOW3", "query", "vf"]

@@ -469,15 +469,18 @@ SELECT xref, department_xref, project_id, task_id FROM asofr WHERE outcome = 'ke
 # --------------------------------------------------------------------------- #
 # Day table (Flow B) and employee table merges                                #
 # --------------------------------------------------------------------------- #
-def wk_cte(c: int) -> str:
+def wk_cte(c, tag_sql: str | None = None) -> str:
     """Weekday rows of cycle ``c`` (wkrows{c}) and their first-wins dedupe (daysrc{c})."""
+    if tag_sql is None:
+        tag_sql = f"""SELECT trim(employee_key) AS XRefCode, Status AS st, CASE Status WHEN 'APPROVED' THEN 0 ELSE 1 END AS status_rank,
+    0 AS window_idx, entry_idx, TimeStart, TimeEnd, NetHours, ReasonName, PayAdjShortName
+  FROM req{c} WHERE Status IN ('APPROVED', 'CANCELED')"""
     return f"""tag{c} AS (
-  SELECT trim(employee_key) AS XRefCode, Status AS st, CASE Status WHEN 'APPROVED' THEN 0 ELSE 1 END AS status_rank,
-    entry_idx, TRY_CAST(TimeStart AS TIMESTAMP) AS ts0, TRY_CAST(TimeEnd AS TIMESTAMP) AS ts1, NetHours,
-    ReasonName, PayAdjShortName,
+  SELECT XRefCode, st, status_rank, window_idx, entry_idx, TRY_CAST(TimeStart AS TIMESTAMP) AS ts0,
+    TRY_CAST(TimeEnd AS TIMESTAMP) AS ts1, NetHours, ReasonName, PayAdjShortName,
     CASE WHEN PayAdjShortName IS NOT NULL AND PayAdjShortName <> '' THEN PayAdjShortName
          ELSE COALESCE(ReasonName, 'None') END AS typ
-  FROM req{c} WHERE Status IN ('APPROVED', 'CANCELED')
+  FROM ({tag_sql})
 ), wk{c} AS (
   SELECT *, CASE WHEN ts1 > ts0 THEN list_filter(generate_series(ts0, ts1 - INTERVAL 1 MICROSECOND, INTERVAL 1 DAY),
                                                   lambda d: isodow(d) <= 5) ELSE [] END AS days
@@ -491,7 +494,8 @@ def wk_cte(c: int) -> str:
   SELECT p.*, CAST(g.i AS INTEGER) AS day_idx, CAST(p.days[g.i + 1] AS DATE) AS dt
   FROM per{c} p CROSS JOIN generate_series(0, p.n - 1) AS g(i)
 ), wkrows{c} AS (
-  SELECT CAST(status_rank AS INTEGER) AS status_rank, 0 AS window_idx, entry_idx, day_idx, XRefCode, dt AS Date,
+  SELECT CAST(status_rank AS INTEGER) AS status_rank, CAST(window_idx AS INTEGER) AS window_idx, entry_idx, day_idx,
+    XRefCode, dt AS Date,
     {cents_to_dec('cents')} AS Hours, ReasonName, PayAdjShortName,
     CASE st WHEN 'APPROVED' THEN 'Approved' ELSE 'Canceled' END AS Status,
     substr(sha256({norm('XRefCode')} || '|' || strftime(dt, '%Y-%m-%d') || '|' || {norm('typ')} || '|'
@@ -708,3 +712,21 @@ FROM src, res"""
 
 ORACLE["roster_preview"] = f"""WITH {req_cte(1)}, {wk_cte(1)}
 SELECT XRefCode, Date, Hours, Status, RecordHash FROM daysrc1 ORDER BY XRefCode, Date, RecordHash LIMIT 20"""
+
+
+ORACLE["job_employee_table"] = f"""WITH {EMP_ROWS}
+SELECT *, '{NOW1}' AS UpdatedDateTime, 'insert' AS merge_action FROM emprows"""
+
+_RUN_TAG = f"""SELECT a.XRefCode, r.Status AS st, sts.status_rank, wins.window_idx, r.entry_idx, r.TimeStart, r.TimeEnd,
+    r.NetHours, r.ReasonName, r.PayAdjShortName
+  FROM (SELECT XRefCode FROM emprows WHERE employment_status = 'ACTIVE') a
+  JOIN req1 r ON {norm('r.employee_key')} = {norm('a.XRefCode')}
+  JOIN sts ON r.Status = sts.status
+  JOIN wins ON TRY_CAST(r.TimeStart AS TIMESTAMP) <= wins.hi
+           AND COALESCE(TRY_CAST(r.TimeEnd AS TIMESTAMP), TRY_CAST(r.TimeStart AS TIMESTAMP)) >= wins.lo
+  WHERE TRY_CAST(r.TimeStart AS TIMESTAMP) IS NOT NULL"""
+ORACLE["job_day_table"] = f"""WITH {EMP_ROWS}, {req_cte(1)}, {WINDOWS}, {wk_cte('j', _RUN_TAG)}
+SELECT XRefCode, Date, Hours, ReasonName, PayAdjShortName, Status, RecordHash,
+  '1998-06-15 10:30:00' AS UpdatedDateTime, 'insert' AS merge_action FROM daysrcj"""
+
+ORACLE["job_ledger"] = ORACLE["ledger_apply"]
