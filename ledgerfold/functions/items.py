@@ -113,7 +113,33 @@ def effective_item(items: Column, as_of: Column) -> Column:
     return F.coalesce(primary, F.get(pool, -best["ni"]))
 
 
+def with_effective_item(df, items: str, as_of: Column, out: str):
+    """:func:`effective_item` in stages (covering set, pool, pick), each
+    projected once so the arrays are not re-filtered for every use."""
+    it_ = F.col(items)
+    df = df.withColumn(
+        f"{out}_cov",
+        F.filter(it_, lambda x: (_start(x).isNull() | (_start(x) <= as_of)) & (_end(x).isNull() | (_end(x) >= as_of))),
+    )
+    cov = F.col(f"{out}_cov")
+    df = df.withColumns({f"{out}_use": F.size(cov) > 0, f"{out}_pool": F.when(F.size(cov) > 0, cov).otherwise(it_)})
+    pool, use = F.col(f"{out}_pool"), F.col(f"{out}_use")
+    primary = F.get(F.filter(pool, lambda x: truthy_bool(x, "$.IsPrimary") | truthy_bool(x, "$.IsPrimaryWork")), 0)
+    best = F.array_max(
+        F.transform(
+            pool,
+            lambda x, i: F.struct(
+                F.coalesce(F.when(use, _start(x)).otherwise(_start(x, both=False)), F.to_date(F.lit(MIN_DATE))).alias("k"),
+                (-i).alias("ni"),
+            ),
+        )
+    )
+    df = df.withColumn(out, F.coalesce(primary, F.get(pool, -best["ni"])))
+    return df.drop(f"{out}_cov", f"{out}_use", f"{out}_pool")
+
+
 __all__ = [
+    "with_effective_item",
     "as_items",
     "effective_item",
     "first_or_primary",

@@ -195,7 +195,10 @@ def ledger_days(
     count = (
         F.when(F.col("_mode") == "list", F.size("_dl")).when(F.col("_mode") == "spread", F.col("_n")).otherwise(F.lit(1))
     )
-    exploded = e.filter(F.col("valid")).select(
+    # Invalid requests explode a null array (no rows) instead of being
+    # filtered: a filter here would be pushed below the parallelism
+    # repartition, evaluating the whole validity check in the scan stage.
+    exploded = e.select(
         *keep,
         *lineage,
         norm_token(F.col(key)).alias("employee_xref"),
@@ -210,7 +213,7 @@ def ledger_days(
         "_per",
         "_last",
         "_one",
-        F.explode(F.sequence(F.lit(0), count - 1)).alias("day_idx"),
+        F.explode(F.when(F.col("valid"), F.sequence(F.lit(0), count - 1))).alias("day_idx"),
     )
     elem = F.get(F.col("_dl"), F.col("day_idx"))
     i, n = F.col("day_idx"), F.col("_n")
@@ -267,7 +270,7 @@ def _weekday_plan(tagged: DataFrame) -> DataFrame:
     start, end = F.col("TimeStart"), _null_col(tagged, "TimeEnd")
     days = weekday_array(start, end)
     net = _null_col(tagged, "NetHours", "double")
-    per_day = F.when(net.isNull(), F.lit(DEFAULT_DAY_HOURS)).otherwise(net.cast("double") / F.size(days))
+    per_day = F.when(net.isNull(), F.lit(DEFAULT_DAY_HOURS)).otherwise(F.try_divide(net.cast("double"), F.size(days)))
     pay = _null_col(tagged, "PayAdjShortName")
     reason = _null_col(tagged, "ReasonName")
     type_code = F.when(pay.isNotNull() & (pay != ""), pay).otherwise(F.coalesce(reason, F.lit("None")))
@@ -291,7 +294,7 @@ def weekday_days(tagged: DataFrame) -> DataFrame:
     ``XRefCode`` stays as given. A request that cannot be expanded is
     rejected whole (see :func:`weekday_rejects`), never partly.
     """
-    p = _weekday_plan(ensure_parallelism(tagged)).filter(F.col("reject_reason").isNull())
+    p = _weekday_plan(ensure_parallelism(tagged))
     lineage = [c for c in ("status_rank", "window_idx", "entry_idx") if c in tagged.columns]
     rows = p.select(
         *lineage,
@@ -301,7 +304,7 @@ def weekday_days(tagged: DataFrame) -> DataFrame:
         title_status(F.col("_Status")).alias("Status"),
         "_type",
         "_hours",
-        F.posexplode("_days").alias("day_idx", "_day"),
+        F.posexplode(F.when(F.col("reject_reason").isNull(), F.col("_days"))).alias("day_idx", "_day"),
     )
     day = F.col("_day").cast("date")
     return rows.select(

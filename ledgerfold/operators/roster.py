@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from ledgerfold.functions import items as it
 from ledgerfold.functions.identity import norm_token
 from ledgerfold.operators.dedupe import first_wins, last_wins
+from ledgerfold.operators.partitioning import ensure_parallelism
 from ledgerfold.sources import mapping
 
 # --- fixed values: column order preferred by the roster frame ---------------
@@ -113,27 +114,32 @@ DEPARTMENT_PATHS = (
 # ---------------------------------------------------------------------------
 
 
-def department_as_of(v: Column, as_of: Column) -> Column:
+def with_department_as_of(df: DataFrame, as_of: Column, out: str = "department_xref", detail: str = "detail") -> DataFrame:
     """P8 + P9 + P10: first non-empty code over the ordered paths, trimmed and upper-cased.
 
     Collection paths read the item effective on ``as_of`` from either
-    wrapping of the collection.
+    wrapping of the collection. The collections and their picks are projected
+    once as columns, then the seven paths read from them.
     """
-    picks = {}
+    v = F.col(detail)
     for coll in ("WorkAssignments", "EmploymentStatuses"):
-        picks[coll] = it.effective_item(it.as_items(it.vget(v, f"$.{coll}", "variant")), as_of)
+        df = df.withColumn(f"_{coll}", it.as_items(it.vget(v, f"$.{coll}", "variant")))
+        df = it.with_effective_item(df, f"_{coll}", as_of, f"_{coll}_pick")
     cands = []
     for coll, path in DEPARTMENT_PATHS:
-        src = v if coll is None else picks[coll]
+        src = v if coll is None else F.col(f"_{coll}_pick")
         cands.append(it.text(src, path))
-    return F.upper(F.trim(F.coalesce(*cands)))
+    df = df.withColumn(out, F.upper(F.trim(F.coalesce(*cands))))
+    return df.drop(*[f"_{c}{sfx}" for c in ("WorkAssignments", "EmploymentStatuses") for sfx in ("", "_pick")])
 
 
 def parse_details(details: DataFrame, payload: str = "payload") -> DataFrame:
     """Landed detail text → ``detail`` VARIANT (``Data`` object if present, else the payload)."""
     v = F.parse_json(F.col(payload))
     data = it.vget(v, "$.Data", "variant")
-    return details.withColumn("detail", F.when(it.is_object(data), data).otherwise(v))
+    staged = ensure_parallelism(details).withColumn("_v", v)
+    v, data = F.col("_v"), it.vget(F.col("_v"), "$.Data", "variant")
+    return staged.withColumn("detail", F.when(it.is_object(data), data).otherwise(v)).drop("_v")
 
 
 def employee_projection(details: DataFrame, key: str = "XRefCode") -> DataFrame:
@@ -198,9 +204,7 @@ def in_scope_roster(
     """
     if subset is not None:
         keys = keys.join(subset.select("XRefCode").distinct(), "XRefCode", "left_semi")
-    d = details.withColumn("_k", norm_token(F.col("XRefCode"))).select(
-        "_k", department_as_of(F.col("detail"), as_of).alias("department_xref")
-    )
+    d = with_department_as_of(details, as_of).select(norm_token(F.col("XRefCode")).alias("_k"), "department_xref")
     k = keys.withColumn("_k", norm_token(F.col("XRefCode")))
     j = k.join(d, "_k", "left").drop("_k")
     r = mapping.resolve(j, "department_xref", dept_map, how="left")
@@ -232,7 +236,7 @@ def scope_counts(roster: DataFrame) -> DataFrame:
 __all__ = [
     "ACTIVE",
     "active_keys",
-    "department_as_of",
+    "with_department_as_of",
     "display_name",
     "employee_keys",
     "employee_projection",

@@ -368,21 +368,16 @@ def primary_department(spark, sf):
 @query("department_as_of")
 def department_as_of(spark, sf):
     """Department effective on two dates (covering item preferred)."""
-    d = F.col("detail")
-    return details(spark, sf).select(
-        "XRefCode",
-        roster.department_as_of(d, F.to_date(F.lit(AS_OF_PAST))).alias("dept_past"),
-        roster.department_as_of(d, F.to_date(F.lit(AS_OF_NOW))).alias("dept_now"),
-    )
+    d = roster.with_department_as_of(details(spark, sf), F.to_date(F.lit(AS_OF_PAST)), "dept_past")
+    d = roster.with_department_as_of(d, F.to_date(F.lit(AS_OF_NOW)), "dept_now")
+    return d.select("XRefCode", "dept_past", "dept_now")
 
 
 @query("department_fallback")
 def department_fallback(spark, sf):
     """P8 + P10-P12: nothing covers the date → primary or latest start; path fallbacks."""
-    d = F.col("detail")
-    return details(spark, sf).select(
-        "XRefCode", roster.department_as_of(d, F.to_date(F.lit(AS_OF_EARLY))).alias("department_xref")
-    )
+    d = roster.with_department_as_of(details(spark, sf), F.to_date(F.lit(AS_OF_EARLY)))
+    return d.select("XRefCode", "department_xref")
 
 
 @query("map_validate")
@@ -400,9 +395,7 @@ def department_map(spark, sf):
 @query("department_lookup")
 def department_lookup(spark, sf):
     """Every employee's current department resolved to project/task (null when unmapped)."""
-    d = details(spark, sf).select(
-        "XRefCode", roster.department_as_of(F.col("detail"), F.to_date(F.lit(AS_OF_NOW))).alias("department_xref")
-    )
+    d = roster.with_department_as_of(details(spark, sf), F.to_date(F.lit(AS_OF_NOW))).select("XRefCode", "department_xref")
     return mapping.resolve(d, "department_xref", dept_map(spark, sf))
 
 
