@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 NATURAL_KEY = ("employee_xref", "pto_date")
 HASH = "record_hash"
 ACTIONS = ("new", "changed", "unchanged", "cancelled", "superseded")
-CUR_ORDER = ("status_rank", "window_idx", "entry_idx", "day_idx")
+CUR_ORDER = ("status_rank", "window_idx", "page_id", "entry_idx", "day_idx")
 
 
 def _struct_of(df: DataFrame, skip: Sequence[str] = ()) -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ORDER = ("status_rank", "window_idx", "entry_idx", "day_idx")
+DEFAULT_ORDER = ("status_rank", "window_idx", "page_id", "entry_idx", "day_idx")
 
 
 def _ordering(df: DataFrame, order: Sequence[str | Column]) -> Column:

@@ -190,8 +190,9 @@ def ledger_days(
         "time_end": _null_col(e, "TimeEnd"),
         "all_day": tri_bool(_null_col(e, "AllDay")),
         "date_of_request": _null_col(e, "DateOfRequest"),
+        "source_payload": _null_col(e, "source_payload"),
     }
-    lineage = [c for c in ("status_rank", "window_idx", "entry_idx") if c in e.columns]
+    lineage = [c for c in ("status_rank", "window_idx", "page_id", "entry_idx") if c in e.columns]
     count = (
         F.when(F.col("_mode") == "list", F.size("_dl")).when(F.col("_mode") == "spread", F.col("_n")).otherwise(F.lit(1))
     )

@@ -779,4 +779,14 @@ def job_ledger(spark, sf):
     return ledger_view(jobs.ledger_job(spark, sf, _tag(), stamps=(NOW1, NOW2)))
 
 
+@query("landed_requests_expand")
+def landed_requests_expand(spark, sf):
+    """S3 + X4: requests landed as JSON pages, unwrapped and expanded (equals expand_choice)."""
+    from ledgerfold.sources import requests as req_src
+
+    p = pages.parse_pages(derive.landed_request_pages(spark, sf, 1))
+    e = req_src.entries_from_pages(p).withColumn("entry_idx", F.col("page_id"))
+    return expand.ledger_days(e.drop("page_id"), expand_multi_day=True).select(*DAY_OUT)
+
+
 __all__ = ["QUERIES", "NOW1", "NOW2", "NOW3", "query", "vf"]

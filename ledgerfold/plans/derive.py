@@ -310,3 +310,22 @@ def employee_rows_v2(rows: DataFrame) -> DataFrame:
         .otherwise(F.col("employment_status"))
         .alias("employment_status"),
     )
+
+
+def landed_request_pages(spark: SparkSession, sf_dir: str, cycle: int = 1) -> DataFrame:
+    """Request pages (F3) as landed JSON: one page per request, ``Data`` holding it.
+
+    Landing metadata: ``employee_key`` and ``page_id`` (= the order key).
+    """
+    r = requests(spark, sf_dir, cycle)
+    entry = F.to_json(
+        F.struct(
+            "TimeStart", "TimeEnd", "NetHours", "ReasonName", "PayAdjustmentCodeName", "PayAdjustmentCodeXRefCode",
+            "PayAdjShortName", "Status", "DayList", "Days",
+        )
+    )
+    return r.select(
+        "employee_key",
+        F.col("entry_idx").alias("page_id"),
+        F.concat(F.lit('{"Data":['), entry, F.lit('],"Paging":{"Next":""}}')).alias("payload"),
+    )

@@ -74,11 +74,9 @@ def day_table_job(table: SnapshotTable, employees: DataFrame, requests: DataFram
     """Tagged requests → weekday rows → first-wins dedupe → M3 scoped to this run."""
     tagged = tagged_for_run(employees, requests, now)
     source = dedupe.dedupe_day_rows(expand.weekday_days(tagged))
-    lo, hi = windows.lookback_span(F.to_timestamp(F.lit(now)))
-    span = employees.sparkSession.range(1).select(lo.cast("date").alias("a"), hi.cast("date").alias("b")).first()
+    start, end = windows.span_dates(now)
     merged = merge.day_merge(
-        table.read(), source, now=now, run_keys=roster.active_keys(employees),
-        window_start=str(span["a"]), window_end=str(span["b"]),
+        table.read(), source, now=now, run_keys=roster.active_keys(employees), window_start=start, window_end=end
     )
     v = table.write(merged, audit=("merge_action",))
     return table.read(v, audit=True)

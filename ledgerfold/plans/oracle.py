@@ -730,3 +730,5 @@ SELECT XRefCode, Date, Hours, ReasonName, PayAdjShortName, Status, RecordHash,
   '1998-06-15 10:30:00' AS UpdatedDateTime, 'insert' AS merge_action FROM daysrcj"""
 
 ORACLE["job_ledger"] = ORACLE["ledger_apply"]
+
+ORACLE["landed_requests_expand"] = ORACLE["expand_choice"]

@@ -64,6 +64,14 @@ def lookback_span(now, lookback_days: int = LOOKBACK_DAYS, horizon_days: int = H
     return lo, hi
 
 
+def span_dates(now: str, lookback_days: int = LOOKBACK_DAYS, horizon_days: int = HORIZON_DAYS) -> tuple[str, str]:
+    """S8/S9 for a literal ``now``: first and last calendar day of the run's span."""
+    import datetime as dt
+
+    t = dt.datetime.fromisoformat(now)
+    return (str((t - dt.timedelta(days=lookback_days)).date()), str((t + dt.timedelta(days=horizon_days)).date()))
+
+
 def span_iso(now, **kw) -> tuple[Column, Column]:
     """S8 rendered as the source API's ISO-8601 UTC text with milliseconds."""
     lo, hi = lookback_span(now, **kw)
