@@ -27,7 +27,7 @@ from ledgerfold.functions.identity import (
     record_hash,
     record_hash_normalized,
 )
-from ledgerfold.operators.partitioning import ensure_parallelism
+from ledgerfold.operators.partitioning import ensure_parallelism, with_materialized
 from ledgerfold.functions.values import first_text, lenient_date, title_status, tri_bool
 
 # --- fixed values: candidate field names in the source payload, by priority --
@@ -80,15 +80,18 @@ def _spread_scalars(df: DataFrame) -> DataFrame:
     split keeps the total), a single day keeps the total as given.
     """
     lo, hi = F.least("_start", "_end"), F.greatest("_start", "_end")
-    df = df.withColumns({"_lo": lo, "_n": F.datediff(hi, lo) + 1, "_total": F.col("_hours").try_cast("decimal(38,18)")})
+    df = with_materialized(
+        df, {"_lo": lo, "_n": F.datediff(hi, lo) + 1, "_total": F.col("_hours").try_cast("decimal(38,18)")}
+    )
     per = F.bround(F.col("_total").cast("decimal(28,18)") / F.col("_n").cast("decimal(10,0)"), 2)
-    df = df.withColumn("_per_raw", per)
-    return df.withColumns(
+    df = with_materialized(df, {"_per_raw": per})
+    return with_materialized(
+        df,
         {
             "_per": norm_hours(F.col("_per_raw")),
             "_last": norm_hours(F.bround(F.col("_total") - F.col("_per_raw") * (F.col("_n") - 1), 2)),
             "_one": norm_hours(F.col("_total")),
-        }
+        },
     )
 
 
@@ -114,12 +117,13 @@ def ledger_entries(
     needs, ``reject_reason`` and ``valid``. Validity is decided for the whole
     request here, so a request is kept or rejected entirely (P14).
     """
-    e = entries.withColumns(
+    e = with_materialized(
+        entries,
         {
             "type_raw": first_text(*[F.col(c) for c in _present(entries, TYPE_CODE_KEYS)]),
             "_start": lenient_date(F.col("TimeStart")),
-            "_hours": F.coalesce(_null_col(entries, "NetHours", "double"), F.lit(0)),
-        }
+            "_hours": F.coalesce(_null_col(entries, "NetHours", "double"), F.lit(0)).cast("double"),
+        },
     )
     dl, fields = _day_list(e)
     usable = F.lit(False)
@@ -157,11 +161,11 @@ def ledger_entries(
         .when(type_n.isNull(), F.lit("bad_type_code"))
         .when(~F.coalesce(days_ok, F.lit(False)), F.lit("bad_day"))
     )
-    e = e.withColumn("reject_reason", reason).withColumn("valid", F.col("reject_reason").isNull())
-    return e.withColumn("_fields", F.lit(",".join(k for k in fields)))
+    e = with_materialized(e, {"reject_reason": reason})
+    return e.withColumn("valid", F.col("reject_reason").isNull())
 
 
-_SCRATCH = ("type_raw", "_start", "_hours", "_dl", "_end", "_mode", "_lo", "_n", "_total", "_per_raw", "_per", "_last", "_one", "_fields")
+_SCRATCH = ("type_raw", "_start", "_hours", "_dl", "_end", "_mode", "_lo", "_n", "_total", "_per_raw", "_per", "_last", "_one")
 
 
 def ledger_days(

@@ -24,6 +24,19 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     return df.repartition(target)
 
 
+def with_materialized(df: DataFrame, cols: dict) -> DataFrame:
+    """Add ``cols`` as outputs of a one-row generator.
+
+    Catalyst pushes filters through projections (substituting the
+    expressions) and through repartitions, so a predicate on a derived column
+    would be evaluated below the spread — on the scan's single task — and
+    again above it. Generator outputs are plain attributes: predicates on
+    them stay above the generator and the expressions are evaluated once.
+    """
+    packed = F.struct(*[e.alias(n) for n, e in cols.items()])
+    return df.select("*", F.inline(F.array(packed)))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` when it holds at most ``max_rows`` rows (checked by a count)."""
     n = df.limit(max_rows + 1).count()

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from ledgerfold.functions import items as it
 from ledgerfold.functions.identity import norm_token
 from ledgerfold.operators.dedupe import first_wins, last_wins
-from ledgerfold.operators.partitioning import ensure_parallelism
+from ledgerfold.operators.partitioning import ensure_parallelism, with_materialized
 from ledgerfold.sources import mapping
 
 # --- fixed values: column order preferred by the roster frame ---------------
@@ -135,11 +135,9 @@ def with_department_as_of(df: DataFrame, as_of: Column, out: str = "department_x
 
 def parse_details(details: DataFrame, payload: str = "payload") -> DataFrame:
     """Landed detail text → ``detail`` VARIANT (``Data`` object if present, else the payload)."""
-    v = F.parse_json(F.col(payload))
-    data = it.vget(v, "$.Data", "variant")
-    staged = ensure_parallelism(details).withColumn("_v", v)
+    staged = with_materialized(ensure_parallelism(details), {"_v": F.parse_json(F.col(payload))})
     v, data = F.col("_v"), it.vget(F.col("_v"), "$.Data", "variant")
-    return staged.withColumn("detail", F.when(it.is_object(data), data).otherwise(v)).drop("_v")
+    return with_materialized(staged, {"detail": F.when(it.is_object(data), data).otherwise(v)}).drop("_v")
 
 
 def employee_projection(details: DataFrame, key: str = "XRefCode") -> DataFrame:
