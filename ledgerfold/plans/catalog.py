@@ -113,7 +113,7 @@ DAY_OUT = [
 @query("identity_hash")
 def identity_hash(spark, sf):
     """Canonical text and 16-hex identity of every order as a day."""
-    o = derive.table(spark, sf, "orders")
+    o = derive.table(spark, sf, "orders", spread=True)
     k = F.col("o_orderkey")
     key = F.concat(F.lit(" emp-"), F.col("o_custkey").cast("string"), F.lit(" "))
     typ = F.concat(F.lit("  "), F.lower("o_orderpriority"))
@@ -128,7 +128,7 @@ def identity_hash(spark, sf):
 @query("hours_half_even")
 def hours_half_even(spark, sf):
     """H4: half-even 2-dp hours from numbers and from padded text; negatives → null."""
-    li = derive.table(spark, sf, "lineitem")
+    li = derive.table(spark, sf, "lineitem", spread=True)
     raw = F.col("l_quantity") / 8 + F.col("l_discount") - 1
     return li.select(
         "l_orderkey",

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerfold.operators.partitioning import ensure_parallelism
+
 ISO_LOCAL = "yyyy-MM-dd'T'HH:mm:ss"
 
 # --- fixed values: status words of the source system ------------------------
@@ -19,8 +21,11 @@ STATUS_OF_ORDER = {"O": "APPROVED", "F": "CANCELED", "P": "PENDING"}
 # ---------------------------------------------------------------------------
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table; ``spread`` spreads a CPU-heavy derivation over the cores
+    when the file arrived as fewer splits than cores (a no-op on big inputs)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
 
 
 def _status(c: Column) -> Column:
@@ -38,7 +43,7 @@ def requests(spark: SparkSession, sf_dir: str, cycle: int = 1) -> DataFrame:
              APPROVED/CANCELED swapped where key ≡ 0 (mod 23)
     cycle 3: same as cycle 1 (used for reactivation)
     """
-    o = table(spark, sf_dir, "orders").select(
+    o = table(spark, sf_dir, "orders", spread=True).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
     k = F.col("o_orderkey")
@@ -158,7 +163,7 @@ def employee_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     bare (``[...]``) for odd ones, absent for keys ≡ 5 (mod 10). Columns:
     ``XRefCode`` (as requested) and ``payload`` (JSON text).
     """
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", spread=True)
     k, nk = F.col("c_custkey"), F.col("c_nationkey")
     nk2 = (nk + 7) % 25
     wa0 = F.struct(
@@ -257,7 +262,7 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded ``{"href":…}`` pointer; signup: a bare list with a non-object;
     purchase: empty ``Data``, empty pointer; error: a denial message, no data.
     """
-    e = table(spark, sf_dir, "events").filter(F.col("value") <= 45)
+    e = table(spark, sf_dir, "events", spread=True).filter(F.col("value") <= 45)
     u, eid, et = F.col("user_id"), F.col("event_id"), F.col("event_type")
 
     def emp(uid: Column, lower_key: bool = False) -> Column:
