@@ -21,7 +21,9 @@ LEDGER_ACTIONS = ("insert", "update", "reactivate", "touch", "cancel")
 
 
 def _ts(now) -> Column:
-    return now if isinstance(now, Column) else F.to_timestamp(F.lit(str(now)))
+    """The cycle's one stamp (Q21), truncated to whole seconds."""
+    c = now if isinstance(now, Column) else F.to_timestamp(F.lit(str(now)))
+    return F.date_trunc("second", c)
 
 
 def changed(a: Column, b: Column) -> Column:

@@ -789,4 +789,14 @@ def landed_requests_expand(spark, sf):
     return expand.ledger_days(e.drop("page_id"), expand_multi_day=True).select(*DAY_OUT)
 
 
+@query("not_null_audit")
+def not_null_audit(spark, sf):
+    """Rows of the cycle-2 ledger breaking a declared NOT NULL (file tables do not enforce it)."""
+    led = merge.ledger_rows(apply_cycle(spark, sf, 2))
+    return led.agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+        tables.not_null_violations(led, LEDGER_SCHEMA).alias("n_violations"),
+    )
+
+
 __all__ = ["QUERIES", "NOW1", "NOW2", "NOW3", "query", "vf"]

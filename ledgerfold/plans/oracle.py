@@ -732,3 +732,8 @@ SELECT XRefCode, Date, Hours, ReasonName, PayAdjShortName, Status, RecordHash,
 ORACLE["job_ledger"] = ORACLE["ledger_apply"]
 
 ORACLE["landed_requests_expand"] = ORACLE["expand_choice"]
+
+ORACLE["not_null_audit"] = f"""{ledger_with(2)}
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE record_hash IS NULL OR employee_xref IS NULL OR pto_date IS NULL
+  OR approval_type_code IS NULL OR hours_requested IS NULL OR first_seen_at IS NULL OR last_seen_at IS NULL
+  OR is_active IS NULL OR ingest_run_id IS NULL) AS n_violations FROM led2"""

@@ -115,7 +115,7 @@ TAG = T.StructType(
 
 
 def tagged(spark, start, end, hours, status="APPROVED"):
-    return spark.createDataFrame([("H5JN095", status, 0, 0, 0, start, end, hours, "Vacation", "VAC")], TAG)
+    return spark.createDataFrame([("EMP-095", status, 0, 0, 0, start, end, hours, "Vacation", "VAC")], TAG)
 
 
 def test_full_week_splits_evenly_across_weekdays(spark):
@@ -136,7 +136,7 @@ def test_hours_change_changes_hash(spark):
 
     h8 = expand.weekday_days(tagged(spark, "2026-09-14T09:00:00", "2026-09-14T17:00:00", 8.0)).first()["RecordHash"]
     h5 = expand.weekday_days(tagged(spark, "2026-09-14T09:00:00", "2026-09-14T14:00:00", 5.0)).first()["RecordHash"]
-    ref = spark.range(1).select(record_hash(F.lit("H5JN095"), F.lit("2026-09-14"), F.lit("VAC"), F.lit(5.0))).first()[0]
+    ref = spark.range(1).select(record_hash(F.lit("EMP-095"), F.lit("2026-09-14"), F.lit("VAC"), F.lit(5.0))).first()[0]
     assert h8 != h5 and h5 == ref
 
 

@@ -23,21 +23,21 @@ def dept(spark, payload, as_of="2026-06-01"):
 
 def test_department_from_nested_assignment(spark):
     p = {"WorkAssignments": {"Items": [{"IsPrimary": True, "EffectiveStart": "2020-01-01",
-                                        "Department": {"XRefCode": "BTSI_SERVICES"}}]}}
-    assert dept(spark, p) == "BTSI_SERVICES"
+                                        "Department": {"XRefCode": "DEPT_SERVICES"}}]}}
+    assert dept(spark, p) == "DEPT_SERVICES"
 
 
 def test_department_scalar_fallback(spark):
-    assert dept(spark, {"DepartmentXRefCode": "btsi_learninglogics"}) == "BTSI_LEARNINGLOGICS"
+    assert dept(spark, {"DepartmentXRefCode": "dept_learning"}) == "DEPT_LEARNING"
 
 
 def test_department_effective_on_date(spark):
     p = {"WorkAssignments": [
-        {"EffectiveStart": "2019-01-01", "EffectiveEnd": "2024-12-31", "DepartmentXRefCode": "BTSI_CORPORATE"},
-        {"EffectiveStart": "2025-01-01", "DepartmentXRefCode": "BTSI_SERVICES"},
+        {"EffectiveStart": "2019-01-01", "EffectiveEnd": "2024-12-31", "DepartmentXRefCode": "DEPT_CORPORATE"},
+        {"EffectiveStart": "2025-01-01", "DepartmentXRefCode": "DEPT_SERVICES"},
     ]}
-    assert dept(spark, p, "2023-06-01") == "BTSI_CORPORATE"
-    assert dept(spark, p, "2026-06-01") == "BTSI_SERVICES"
+    assert dept(spark, p, "2023-06-01") == "DEPT_CORPORATE"
+    assert dept(spark, p, "2026-06-01") == "DEPT_SERVICES"
 
 
 def test_no_department_anywhere(spark):
@@ -56,18 +56,18 @@ def test_status_latest_and_primary_department(spark):
     assert r["s"] == "TERMINATED" and r["d"] == "D1"
 
 
-MAP_ROWS = [(" btsi_learninglogics ", 96731, 3431179, 0), ("BTSI_SERVICES", 96732, 3431175, 1),
-            ("Btsi_Simulation_Product", 96731, 3431179, 2)]
+MAP_ROWS = [(" dept_learning ", 101, 901, 0), ("DEPT_SERVICES", 102, 902, 1),
+            ("Dept_Simulation", 101, 901, 2)]
 
 
 def test_map_resolution_and_scope(spark):
     rows = spark.createDataFrame(MAP_ROWS, "department string, project_id int, task_id int, ordinal int")
     m = mapping.load(rows)
-    emp = spark.createDataFrame([("E1", "btsi_services "), ("E2", "BTSI_CORPORATE"), ("E3", None)], "x string, d string")
+    emp = spark.createDataFrame([("E1", "dept_services "), ("E2", "DEPT_CORPORATE"), ("E3", None)], "x string, d string")
     got = {r["x"]: (r["project_id"], r["task_id"]) for r in mapping.resolve(emp, "d", m).collect()}
-    assert got == {"E1": (96732, 3431175), "E2": (None, None), "E3": (None, None)}
+    assert got == {"E1": (102, 902), "E2": (None, None), "E3": (None, None)}
     assert mapping.size(m).first()[0] == 3
-    assert sorted(r[0] for r in mapping.project_ids(m).collect()) == [96731, 96732]
+    assert sorted(r[0] for r in mapping.project_ids(m).collect()) == [101, 102]
 
 
 def test_map_rejects_missing_id_and_empty(spark):
@@ -113,11 +113,17 @@ def test_denials_and_gaps(spark):
 
 def test_roster_frame_prefix_dedupe_flatten(spark):
     rows = spark.createDataFrame(
-        [(0, 0, "H5JN1", "Ada", ("ORG", "o")), (0, 1, " h5jn2", "Al", ("ORG", "o")), (1, 0, "H5JN1", "Dup", ("ORG", "o")),
+        [(0, 0, "EMP1", "Ada", ("ORG", "o")), (0, 1, " emp2", "Al", ("ORG", "o")), (1, 0, "EMP1", "Dup", ("ORG", "o")),
          (1, 1, None, "NoKey", ("ORG", "o")), (1, 2, "X9", "Out", ("ORG", "o"))],
         "page_idx int, row_idx int, XRefCode string, FirstName string, HomeOrganization struct<XRefCode:string,ShortName:string>",
     )
-    f = roster.roster_frame(rows, "H5JN")
+    f = roster.roster_frame(rows, "EMP")
     assert f.columns == ["XRefCode", "FirstName", "HomeOrganization.ShortName", "HomeOrganization.XRefCode"]
     got = {r["XRefCode"]: r["FirstName"] for r in f.collect()}
-    assert got == {"H5JN1": "Ada", " h5jn2": "Al"}
+    assert got == {"EMP1": "Ada", " emp2": "Al"}
+
+
+def test_empty_roster_keeps_key_column(spark):
+    rows = spark.createDataFrame([], "page_idx int, row_idx int, XRefCode string, FirstName string")
+    f = roster.roster_frame(rows, "EMP")
+    assert f.count() == 0 and f.columns[0] == "XRefCode"
