@@ -1,9 +1,11 @@
 """Request → day rows.
 
-Each request becomes ONE ``array<struct<day_idx, pto_date, hours>>`` column,
-chosen by a single CASE, validated as a whole (an entry is kept or rejected
-entirely), and exploded once. No Python runs per row; the array is bounded by
-the request's own day span.
+Per request, one projection decides the source of its days (explicit list,
+even split or the start day), computes the split's scalars once and
+validates the request as a whole (kept or rejected entirely); then a single
+``explode`` over the day index yields the days, whose date and hours are
+derived after the generator. No Python runs per row; the fan-out is bounded
+by the request's own day span.
 
 Two conventions exist and are kept apart:
 
@@ -21,14 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from ledgerfold.functions.identity import (
-    norm_date,
     norm_hours,
     norm_token,
     record_hash,
     record_hash_normalized,
 )
-from ledgerfold.operators.partitioning import ensure_parallelism, with_materialized
 from ledgerfold.functions.values import first_text, lenient_date, title_status, tri_bool
+from ledgerfold.operators.partitioning import ensure_parallelism, with_materialized
 
 # --- fixed values: candidate field names in the source payload, by priority --
 TYPE_CODE_KEYS = ("PayAdjustmentCodeName", "PayAdjustmentCodeXRefCode", "ReasonName")
@@ -39,9 +40,6 @@ DAY_TABLE_TYPE_KEYS = ("PayAdjShortName", "ReasonName")
 DEFAULT_DAY_HOURS = 8.0
 # ---------------------------------------------------------------------------
 
-DAY_STRUCT = "struct<day_idx:int,pto_date:date,hours:decimal(6,2)>"
-
-
 def _present(df: DataFrame, names) -> list[str]:
     cols = set(df.columns)
     return [n for n in names if n in cols]
@@ -332,12 +330,10 @@ def weekday_rejects(tagged: DataFrame) -> DataFrame:
 
 
 __all__ = [
-
     "ledger_entries",
     "ledger_days",
     "rejected_entries",
     "weekday_array",
     "weekday_days",
     "weekday_rejects",
-    "norm_date",
 ]

@@ -799,4 +799,4 @@ def not_null_audit(spark, sf):
     )
 
 
-__all__ = ["QUERIES", "NOW1", "NOW2", "NOW3", "query", "vf"]
+__all__ = ["QUERIES", "NOW1", "NOW2", "NOW3", "query"]
