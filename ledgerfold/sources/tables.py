@@ -169,10 +169,16 @@ class SnapshotTable:
         out = typed(df, self.schema)
         if audit:
             out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], *audit)
-        writer = out
+        path = f"{self.root}/v={v:06d}"
         if self.month_of:
-            writer = out.withColumn("month", F.date_format(F.col(self.month_of), "yyyy-MM"))
-            writer.write.mode("overwrite").partitionBy("month").parquet(f"{self.root}/v={v:06d}")
+            # Range-partition by (month, key hash) first: partitions are balanced
+            # (a big month is split) and each holds one or few months, so the
+            # version has about one file per partition instead of one per
+            # task and month.
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            monthly = out.withColumn("month", F.date_format(F.col(self.month_of), "yyyy-MM"))
+            spread = monthly.repartitionByRange(n, "month", F.xxhash64(*[F.col(c) for c in out.columns[:3]]))
+            spread.write.mode("overwrite").partitionBy("month").parquet(path)
         else:
-            writer.write.mode("overwrite").parquet(f"{self.root}/v={v:06d}")
+            out.write.mode("overwrite").parquet(path)
         return v
