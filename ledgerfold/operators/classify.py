@@ -38,8 +38,15 @@ def identities(
     natural_key: Sequence[str] = NATURAL_KEY,
     hash_col: str = HASH,
     order: Sequence[str] = CUR_ORDER,
+    colocate: bool = False,
 ) -> DataFrame:
-    """Step 1: one row per identity with ``cur`` (first-wins snapshot row) and ``sto`` structs."""
+    """Step 1: one row per identity with ``cur`` (first-wins snapshot row) and ``sto`` structs.
+
+    ``colocate=True`` hash-partitions the union by the natural key first, so
+    this aggregate and the natural-key window share one exchange (the plan of
+    SURVEY §7.3.1). The default keeps map-side combining of repeated copies
+    before the shuffle, at the price of a second, smaller exchange.
+    """
     keys = [*natural_key, hash_col]
     order_cols = [c for c in order if c in current.columns]
     cur = current.select(
@@ -54,8 +61,11 @@ def identities(
         F.lit(None).cast(cur.schema["_ord"].dataType).alias("_ord"),
         _struct_of(stored).alias("sto"),
     )
+    union = cur.unionByName(sto)
+    if colocate:
+        union = union.repartition(*natural_key)
     return (
-        cur.unionByName(sto)
+        union
         .groupBy(*keys)
         .agg(F.min_by("cur", "_ord").alias("cur"), F.first("sto", ignorenulls=True).alias("sto"))
     )
