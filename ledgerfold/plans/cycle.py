@@ -40,12 +40,13 @@ def ledger_cycle_plan(stored: DataFrame, requests: DataFrame, cfg: LedgerCycle)
 def cycle_metrics(requests: DataFrame, applied: DataFrame, cfg: LedgerCycle, key: str = "employee_key") -> DataFrame:
     """One row — employees, fetched entries, day records, class and merge counts.
 
-    Built from two aggregates joined on a constant key (no cross join).
+    Two one-row aggregates are stacked (``unionByName``) and folded with
+    ``max``; no join is needed to put them side by side.
     """
     src = requests.agg(
         F.count_distinct(F.col(key)).cast("bigint").alias("employees"),
         F.count(F.lit(1)).cast("bigint").alias("fetched_entries"),
-    ).withColumn("_k", F.lit(1))
+    )
     ma, act = F.col("merge_action"), F.col("action")
     res = applied.agg(
         F.count_if(ma.isin("insert", "reactivate", "touch", "noop")).cast("bigint").alias("day_records"),
@@ -53,8 +54,10 @@ def cycle_metrics(requests: DataFrame, applied: DataFrame, cfg: LedgerCycle, key
         F.count_if(ma == "insert").cast("bigint").alias("inserted"),
         F.count_if(ma == "touch").cast("bigint").alias("touched"),
         F.count_if(ma == "cancel").cast("bigint").alias("cancelled_rows"),
-    ).withColumn("_k", F.lit(1))
-    return src.join(res, "_k").drop("_k").select(F.lit(cfg.run_id).alias("run_id"), "*")
+    )
+    both = src.unionByName(res, allowMissingColumns=True)
+    cols = [*src.columns, *res.columns]
+    return both.agg(*[F.max(c).alias(c) for c in cols]).select(F.lit(cfg.run_id).alias("run_id"), *cols)
 
 
 def metrics_json(metrics: DataFrame) -> Column:
