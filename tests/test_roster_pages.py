@@ -127,3 +127,17 @@ def test_empty_roster_keeps_key_column(spark):
     rows = spark.createDataFrame([], "page_idx int, row_idx int, XRefCode string, FirstName string")
     f = roster.roster_frame(rows, "EMP")
     assert f.count() == 0 and f.columns[0] == "XRefCode"
+
+
+def test_request_pages_to_typed_entries(spark):
+    """S3 + H14: entries from a landed request page; the payload text has sorted keys."""
+    from ledgerfold.sources.requests import entries_from_pages
+
+    page = {"Data": [{"TimeStart": "2026-04-06T00:00:00", "NetHours": 24.0, "ReasonName": "Personal",
+                      "Days": [{"WorkDate": "2026-04-06", "Hours": 8.0}, {"DateTime": "2026-04-07", "NetHours": 16.0}]},
+                     "junk"]}
+    df = pages.parse_pages(spark.createDataFrame([("E1", 0, json.dumps(page))], "employee_key string, page_id long, payload string"))
+    e = entries_from_pages(df).collect()
+    assert len(e) == 1
+    assert [(d["Date"], d["NetHours"]) for d in e[0]["DayList"]] == [("2026-04-06", 8.0), ("2026-04-07", 16.0)]
+    assert e[0]["source_payload"].startswith('{"Days":[')
