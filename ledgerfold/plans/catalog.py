@@ -799,4 +799,19 @@ def not_null_audit(spark, sf):
     )
 
 
+@query("job_ledger_scoped")
+def job_ledger_scoped(spark, sf):
+    """C3 with S4/J5 + S8/S10 + statuses: BUILDING employees, APPROVED then CANCELED,
+    requests overlapping the span around one 'now', written as a first ledger version."""
+    from ledgerfold.plans import jobs
+    from ledgerfold.plans.cycle import LedgerCycle, run_ledger_cycle
+
+    t = jobs.new_table(spark, "ledger-scoped", LEDGER_SCHEMA, _tag(), month_of="pto_date")
+    c = derive.table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    keys = c.select(F.concat(F.lit("emp-"), F.col("c_custkey").cast("string")).alias("XRefCode"))
+    cfg = LedgerCycle(now=NOW1, run_id="run-1", expand_multi_day=True, statuses=("APPROVED", "CANCELED"), span_now=NOW_SPAN)
+    _, out = run_ledger_cycle(t, derive.requests(spark, sf, 1), cfg, keys)
+    return ledger_view(out)
+
+
 __all__ = ["QUERIES", "NOW1", "NOW2", "NOW3", "query"]

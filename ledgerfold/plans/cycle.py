@@ -13,27 +13,55 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerfold.functions.identity import norm_token
 from ledgerfold.operators import expand, merge
 from ledgerfold.operators.classify import ACTIONS
+from ledgerfold.sources import windows
 from ledgerfold.sources.tables import SnapshotTable
 
 
 @dataclass(frozen=True)
 class LedgerCycle:
-    """C3 configuration: one scheduled ledger run."""
+    """C3 configuration: one scheduled ledger run.
+
+    ``statuses`` (in request order) keeps requests whose status was queried and
+    ranks them for first-wins; ``span_now`` keeps requests overlapping the
+    look-back/horizon span around it (S8 + S10); ``keys`` restricts the run to
+    an explicit employee list (J5) instead of the whole roster.
+    """
 
     now: str
     run_id: str
     expand_multi_day: bool = False
     key: str = "employee_key"
-
-
-def ledger_cycle_plan(stored: DataFrame, requests: DataFrame, cfg: LedgerCycle) -> DataFrame:
-    """C3 as one plan: requests → day records → classify against ``stored`` → next version.
+    statuses: tuple[str, ...] | None = None
+    span_now: str | None = None
+
+
+def scope_requests(requests: DataFrame, cfg: LedgerCycle, keys: DataFrame | None = None) -> DataFrame:
+    """S4/J5 + S10 + status selection of the landed requests of one run."""
+    r = requests
+    if keys is not None:
+        k = keys.select(norm_token(F.col(keys.columns[0])).alias("_k")).distinct()
+        r = r.withColumn("_k", norm_token(F.col(cfg.key))).join(k, "_k", "left_semi").drop("_k")
+    if cfg.statuses:
+        rank = F.array_position(F.array(*[F.lit(x) for x in cfg.statuses]), F.col("Status")).cast("int") - 1
+        r = r.filter(F.col("Status").isin(*cfg.statuses)).withColumn("status_rank", rank)
+    if cfg.span_now:
+        lo, hi = windows.lookback_span(F.to_timestamp(F.lit(cfg.span_now)))
+        start = F.col("TimeStart").try_cast("timestamp")
+        end = F.coalesce(F.col("TimeEnd").try_cast("timestamp"), start)
+        r = r.filter((start <= hi) & (end >= lo))
+    return r
+
+
+def ledger_cycle_plan(stored: DataFrame, requests: DataFrame, cfg: LedgerCycle, keys: DataFrame | None = None) -> DataFrame:
+    """C3 as one plan: scoped requests → day records → classify against ``stored`` → next version.
 
     Returns the apply frame (ledger columns + ``action`` + ``merge_action``).
     """
-    days = expand.ledger_days(requests, key=cfg.key, expand_multi_day=cfg.expand_multi_day)
+    scoped = scope_requests(requests, cfg, keys)
+    days = expand.ledger_days(scoped, key=cfg.key, expand_multi_day=cfg.expand_multi_day)
     return merge.ledger_apply(stored, days, now=cfg.now, run_id=cfg.run_id)
 
 
@@ -75,17 +103,19 @@ def metrics_text(metrics: DataFrame) -> Column:
     )
 
 
-def run_ledger_cycle(table: SnapshotTable, requests: DataFrame, cfg: LedgerCycle) -> tuple[int, DataFrame]:
+def run_ledger_cycle(
+    table: SnapshotTable, requests: DataFrame, cfg: LedgerCycle, keys: DataFrame | None = None
+) -> tuple[int, DataFrame]:
     """C3 with its single write: read newest version, apply, write the next one.
 
-    Returns (new version, metrics frame over the *written* rows).
+    Returns (new version, the written version with its audit columns).
     """
     stored = table.read()
-    applied = ledger_cycle_plan(stored, requests, cfg)
+    applied = ledger_cycle_plan(stored, requests, cfg, keys)
     # The apply result is written once and re-read for the metrics, so the
     # plan is not evaluated twice and lineage stops at the written version.
     version = table.write(applied, audit=("action", "merge_action"))
     return version, table.read(version, audit=True)
 
 
-__all__ = ["LedgerCycle", "cycle_metrics", "ledger_cycle_plan", "metrics_json", "metrics_text", "run_ledger_cycle"]
+__all__ = ["LedgerCycle", "scope_requests", "cycle_metrics", "ledger_cycle_plan", "metrics_json", "metrics_text", "run_ledger_cycle"]

@@ -150,10 +150,11 @@ EMPTY_LEDGER = """led0 AS (
 )"""
 
 
-def apply_cte(c: int) -> str:
-    """M1 on led{c-1} with cur{c}: app{c} (ledger + action + merge_action) and led{c}."""
-    now = f"TIMESTAMP '{STAMPS[c]}'"
-    p = c - 1
+def apply_cte(c: int, prev: int | None = None, stamp: str | None = None, run: str | None = None) -> str:
+    """M1 on led{prev} with cur{c}: app{c} (ledger + action + merge_action) and led{c}."""
+    now = f"TIMESTAMP '{stamp or STAMPS[c]}'"
+    p = c - 1 if prev is None else prev
+    run = run or f"run-{c}"
     return f"""idn{c} AS (
   SELECT COALESCE(s.employee_xref, k.employee_xref) AS employee_xref, COALESCE(s.pto_date, k.pto_date) AS pto_date,
     COALESCE(s.record_hash, k.record_hash) AS record_hash,
@@ -194,7 +195,7 @@ def apply_cte(c: int) -> str:
     CASE WHEN in_cur THEN {now} ELSE s_last END AS last_seen_at,
     CASE WHEN in_cur THEN true WHEN gone THEN false ELSE COALESCE(s_active, true) END AS is_active,
     CASE WHEN merge_action IN ('insert', 'reactivate') THEN NULL::TIMESTAMP WHEN gone THEN {now} ELSE s_deleted END AS deleted_at,
-    CASE WHEN merge_action IN ('insert', 'reactivate') THEN 'run-{c}' ELSE s_run END AS ingest_run_id,
+    CASE WHEN merge_action IN ('insert', 'reactivate') THEN '{run}' ELSE s_run END AS ingest_run_id,
     action, merge_action
   FROM cls{c}
 ), led{c} AS (SELECT {LEDGER_COLS} FROM app{c})"""
@@ -737,3 +738,20 @@ ORACLE["not_null_audit"] = f"""{ledger_with(2)}
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE record_hash IS NULL OR employee_xref IS NULL OR pto_date IS NULL
   OR approval_type_code IS NULL OR hours_requested IS NULL OR first_seen_at IS NULL OR last_seen_at IS NULL
   OR is_active IS NULL OR ingest_run_id IS NULL) AS n_violations FROM led2"""
+
+
+_SCOPED_REQ = f"""req9 AS (
+  SELECT * FROM req1
+  WHERE Status IN ('APPROVED', 'CANCELED')
+    AND {norm('employee_key')} IN (SELECT 'EMP-' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING')
+    AND TRY_CAST(TimeStart AS TIMESTAMP) <= TIMESTAMP '1998-09-13 23:59:59.999'
+    AND COALESCE(TRY_CAST(TimeEnd AS TIMESTAMP), TRY_CAST(TimeStart AS TIMESTAMP)) >= TIMESTAMP '1998-05-16 00:00:00'
+)"""
+_SCOPED_CUR = """cur9 AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY employee_xref, pto_date, record_hash
+      ORDER BY CASE status WHEN 'APPROVED' THEN 0 ELSE 1 END, entry_idx, day_idx) AS rn FROM days9m) WHERE rn = 1
+)"""
+ORACLE["job_ledger_scoped"] = (
+    f"WITH {EMPTY_LEDGER}, {req_cte(1)}, {_SCOPED_REQ}, {days_cte(9, True)}, {_SCOPED_CUR}, "
+    f"{apply_cte(9, prev=0, stamp=NOW1, run='run-1')}\n{ledger_view('app9')}"
+)
