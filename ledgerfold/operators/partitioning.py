@@ -18,10 +18,16 @@ DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    """Round-robin spread to ``min(cores, spark.sql.shuffle.partitions)`` partitions
+    when the input has fewer; the cap keeps a small input on a big cluster
+    from turning into thousands of tiny tasks."""
+    spark = df.sparkSession
+    if min_partitions is None:
+        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        min_partitions = min(spark.sparkContext.defaultParallelism, cap)
+    if df.rdd.getNumPartitions() >= min_partitions:
         return df
-    return df.repartition(target)
+    return df.repartition(min_partitions)
 
 
 def with_materialized(df: DataFrame, cols: dict) -> DataFrame:
