@@ -115,11 +115,14 @@ def add_missing_columns_sql(table: str, existing: Iterable[str], added=EMPLOYEE_
     return [f"ALTER TABLE {table} ADD COLUMNS ({n} {t})" for n, t in added if n.lower() not in have]
 
 
-def create_table_sql(table: str, ddl: str, fmt: str = "parquet", partition_by: str | None = None) -> str:
-    """``CREATE TABLE IF NOT EXISTS`` text for a catalog-managed table."""
+def create_table_sql(
+    table: str, ddl: str, fmt: str = "parquet", partition_by: str | None = None, location: str | None = None
+) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for a catalog table (optionally at ``location``)."""
     clean = re.sub(r"\s+NOT NULL", "", ddl) if fmt == "parquet" else ddl
     part = f" PARTITIONED BY ({partition_by})" if partition_by else ""
-    return f"CREATE TABLE IF NOT EXISTS {table} ({clean}) USING {fmt}{part}"
+    loc = f" LOCATION '{location}'" if location else ""
+    return f"CREATE TABLE IF NOT EXISTS {table} ({clean}) USING {fmt}{part}{loc}"
 
 
 class SnapshotTable:

@@ -13,8 +13,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
+    work = tempfile.mkdtemp(prefix="ledgerfold-test-")
     s = (
         SparkSession.builder.master("local[*]")
+        .config("spark.sql.warehouse.dir", os.path.join(work, "warehouse"))
         .appName("ledgerfold-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
@@ -24,7 +26,7 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="ledgerfold-test-")
+        d = os.path.join(work, "shared")
         s.sparkContext.setCheckpointDir(d)
         s.conf.set("spark.checkpoint.dir", d)
     yield s
