@@ -25,7 +25,6 @@ from pyspark.sql.types import ArrayType, StringType, StructType
 from ledgerfold.functions.identity import (
     norm_hours,
     norm_token,
-    record_hash,
     record_hash_normalized,
 )
 from ledgerfold.functions.values import first_text, lenient_date, title_status, tri_bool
@@ -269,23 +268,39 @@ def weekday_array(start_text: Column, end_text: Column) -> Column:
 
 
 def _weekday_plan(tagged: DataFrame) -> DataFrame:
-    """Per tagged request: weekday array, per-day hours, type and validity."""
+    """Per tagged request: weekday array, per-day hours, type and validity (each computed once)."""
     start, end = F.col("TimeStart"), _null_col(tagged, "TimeEnd")
-    days = weekday_array(start, end)
     net = _null_col(tagged, "NetHours", "double")
-    per_day = F.when(net.isNull(), F.lit(DEFAULT_DAY_HOURS)).otherwise(F.try_divide(net.cast("double"), F.size(days)))
     pay = _null_col(tagged, "PayAdjShortName")
     reason = _null_col(tagged, "ReasonName")
-    type_code = F.when(pay.isNotNull() & (pay != ""), pay).otherwise(F.coalesce(reason, F.lit("None")))
-    parsed = start.try_cast("timestamp_ntz").isNotNull() & end.try_cast("timestamp_ntz").isNotNull()
+    p = with_materialized(
+        tagged,
+        {
+            "_days": weekday_array(start, end),
+            "_type": F.when(pay.isNotNull() & (pay != ""), pay).otherwise(F.coalesce(reason, F.lit("None"))),
+            "_parsed": start.try_cast("timestamp_ntz").isNotNull() & end.try_cast("timestamp_ntz").isNotNull(),
+        },
+    )
+    n = F.size("_days")
+    p = with_materialized(
+        p,
+        {"_hours": F.when(net.isNull(), F.lit(DEFAULT_DAY_HOURS)).otherwise(F.try_divide(net.cast("double"), n))},
+    )
     why = (
-        F.when(~parsed, F.lit("bad_time_span"))
+        F.when(~F.col("_parsed"), F.lit("bad_time_span"))
         .when(norm_token(F.col("_XRefCode")).isNull(), F.lit("bad_employee_key"))
-        .when(norm_token(type_code).isNull(), F.lit("bad_type_code"))
-        .when((F.size(days) > 0) & norm_hours(per_day).isNull(), F.lit("bad_hours"))
+        .when(norm_token(F.col("_type")).isNull(), F.lit("bad_type_code"))
+        .when((n > 0) & norm_hours(F.col("_hours")).isNull(), F.lit("bad_hours"))
     )
-    return tagged.withColumns(
-        {"_days": days, "_hours": per_day, "_type": type_code, "reject_reason": why}
+    p = with_materialized(p, {"reject_reason": why}).drop("_parsed")
+    # identity parts are per request: normalise once, not once per exploded day
+    return with_materialized(
+        p,
+        {
+            "_key_n": norm_token(F.col("_XRefCode")),
+            "_type_n": norm_token(F.col("_type")),
+            "_hours_n": norm_hours(F.col("_hours")),
+        },
     )
 
 
@@ -305,8 +320,9 @@ def weekday_days(tagged: DataFrame) -> DataFrame:
         _null_col(p, "ReasonName").alias("ReasonName"),
         _null_col(p, "PayAdjShortName").alias("PayAdjShortName"),
         title_status(F.col("_Status")).alias("Status"),
-        "_type",
-        "_hours",
+        "_key_n",
+        "_type_n",
+        "_hours_n",
         F.posexplode(F.when(F.col("reject_reason").isNull(), F.col("_days"))).alias("day_idx", "_day"),
     )
     day = F.col("_day").cast("date")
@@ -315,11 +331,11 @@ def weekday_days(tagged: DataFrame) -> DataFrame:
         "day_idx",
         "XRefCode",
         day.alias("Date"),
-        norm_hours(F.col("_hours")).alias("Hours"),
+        F.col("_hours_n").alias("Hours"),
         "ReasonName",
         "PayAdjShortName",
         "Status",
-        record_hash(F.col("XRefCode"), day, F.col("_type"), F.col("_hours")).alias("RecordHash"),
+        record_hash_normalized(F.col("_key_n"), day, F.col("_type_n"), F.col("_hours_n")).alias("RecordHash"),
     )
 
 
