@@ -74,6 +74,35 @@ def roster_frame(rows: DataFrame, prefix: str, order: Sequence[str] = ("page_idx
     return order_columns(flatten(first))
 
 
+def rows_to_struct(rows: DataFrame, col: str = "row") -> DataFrame:
+    """P2 input for landed rows: VARIANT objects → top-level typed columns.
+
+    The merged schema of all rows comes from one ``schema_of_variant_agg``
+    aggregate (the driver receives only the schema text); every row is then
+    read with ``variant_get`` into that struct. Spark resolves names without
+    case, so of two keys differing only in case the first is kept.
+    """
+    schema = rows.agg(F.schema_of_variant_agg(F.col(col))).first()[0]
+    others = [c for c in rows.columns if c != col]
+    if not schema or not schema.startswith("OBJECT<"):
+        return rows.select(*others)
+    typed = rows.select(*others, F.variant_get(F.col(col), "$", schema.replace("OBJECT<", "STRUCT<")).alias("_s"))
+    seen, keep = {c.lower() for c in others}, []
+    for name in typed.schema["_s"].dataType.fieldNames():
+        if name.lower() not in seen:
+            seen.add(name.lower())
+            keep.append(F.col("_s").getField(name).alias(name))
+    return typed.select(*others, *keep)
+
+
+def roster_frame_from_pages(rows: DataFrame, prefix: str, order: Sequence[str] = ("page_id", "row_idx")) -> DataFrame:
+    """S24 over landed list pages: prefix filter on the raw key first (as the
+    source system did), then the struct is inferred from the kept rows only."""
+    k = F.upper(F.trim(it.vget(F.col("row"), "$.XRefCode")))
+    scoped = rows.filter(k.startswith(prefix.upper())).select(*order, "row")
+    return roster_frame(rows_to_struct(scoped), prefix, order)
+
+
 def employee_keys(rows: DataFrame, key: str = "XRefCode") -> DataFrame:
     """Keys of the list pages as text, empty/missing dropped (repeats kept)."""
     k = F.col(key).cast("string")
@@ -248,5 +277,7 @@ __all__ = [
     "parse_details",
     "primary_department",
     "roster_frame",
+    "roster_frame_from_pages",
+    "rows_to_struct",
     "scope_counts",
 ]

@@ -559,6 +559,13 @@ def page_employee_keys(spark, sf):
     return rows.select("page_id", "row_idx", "XRefCode")
 
 
+@query("roster_from_pages")
+def roster_from_pages(spark, sf):
+    """S24 on landed list pages: unwrap (S1), prefix (P1), inferred struct, first wins (A2), flatten."""
+    rows = pages.unwrap_list(landed(spark, sf))
+    return roster.roster_frame_from_pages(rows, PREFIX)
+
+
 @query("page_denials")
 def page_denials(spark, sf):
     """Pages that carry a denial message instead of data."""

@@ -755,3 +755,9 @@ ORACLE["job_ledger_scoped"] = (
     f"WITH {EMPTY_LEDGER}, {req_cte(1)}, {_SCOPED_REQ}, {days_cte(9, True)}, {_SCOPED_CUR}, "
     f"{apply_cte(9, prev=0, stamp=NOW1, run='run-1')}\n{ledger_view('app9')}"
 )
+
+ORACLE["roster_from_pages"] = f"""WITH {PAGE_ROWS}, k AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY XRefCode ORDER BY page_id, row_idx) AS rn
+                 FROM prows WHERE upper(trim(XRefCode)) LIKE 'EMP%') WHERE rn = 1
+)
+SELECT XRefCode, FirstName, org_xref AS "HomeOrganization.XRefCode" FROM k"""

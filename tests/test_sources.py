@@ -47,3 +47,14 @@ def test_snapshot_versions_and_empty_read(spark):
     src = spark.createDataFrame([("E1", "Ann", "D", 1, 1, "ACTIVE", None)], tables.EMPLOYEE_SCHEMA)
     assert t.write(src) == 1 and t.write(src) == 2
     assert t.versions() == [1, 2] and t.read().count() == 1
+
+
+def test_rows_to_struct_infers_schema_and_keeps_first_case(spark):
+    from ledgerfold.operators import roster
+
+    df = spark.createDataFrame([(0, '{"XRefCode": "A", "Org": {"X": "o"}}'), (1, '{"xrefcode": "b", "Extra": 5}')],
+                               "page_id long, t string").select("page_id", F.parse_json("t").alias("row"))
+    out = roster.rows_to_struct(df)
+    names = [c.lower() for c in out.columns]
+    assert len(names) == len(set(names)) and "org" in names and "extra" in names
+    assert out.filter(F.col("page_id") == 0).first()["Org"]["X"] == "o"
