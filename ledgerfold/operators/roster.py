@@ -86,13 +86,15 @@ def rows_to_struct(rows: DataFrame, col: str = "row") -> DataFrame:
     others = [c for c in rows.columns if c != col]
     if not schema or not schema.startswith("OBJECT<"):
         return rows.select(*others)
-    typed = rows.select(*others, F.variant_get(F.col(col), "$", schema.replace("OBJECT<", "STRUCT<")).alias("_s"))
-    seen, keep = {c.lower() for c in others}, []
-    for name in typed.schema["_s"].dataType.fieldNames():
-        if name.lower() not in seen:
-            seen.add(name.lower())
-            keep.append(F.col("_s").getField(name).alias(name))
-    return typed.select(*others, *keep)
+    full = rows.select(F.variant_get(F.col(col), "$", schema.replace("OBJECT<", "STRUCT<")).alias("_s"))
+    seen, fields = {c.lower() for c in others}, []
+    for f in full.schema["_s"].dataType.fields:
+        if f.name.lower() not in seen:
+            seen.add(f.name.lower())
+            fields.append(f)
+    reduced = StructType(fields)
+    typed = rows.select(*others, F.variant_get(F.col(col), "$", reduced.simpleString()).alias("_s"))
+    return typed.select(*others, *[F.col("_s").getField(f.name).alias(f.name) for f in fields])
 
 
 def roster_frame_from_pages(rows: DataFrame, prefix: str, order: Sequence[str] = ("page_id", "row_idx")) -> DataFrame:
