@@ -25,11 +25,27 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     if min_partitions is None:
         cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
         min_partitions = min(spark.sparkContext.defaultParallelism, cap)
-    if df.rdd.getNumPartitions() >= min_partitions:
+    if planned_partitions(df) >= min_partitions:
         return df
     return df.repartition(min_partitions)
 
 
+def planned_partitions(df: DataFrame) -> int:
+    """Partition count of ``df``'s plan without running anything.
+
+    Under adaptive execution, asking a plan with shuffles for its RDD runs
+    the shuffle stages first; planning with AQE switched off only builds it.
+    """
+    spark = df.sparkSession
+    key = "spark.sql.adaptive.enabled"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return df.rdd.getNumPartitions()
+    finally:
+        spark.conf.set(key, prev)
+
+
 def with_materialized(df: DataFrame, cols: dict) -> DataFrame:
     """Add ``cols`` as outputs of a one-row generator.
 
