@@ -181,6 +181,13 @@ def expand_weekdays(spark, sf):
     return expand.weekday_days(derive.tagged_requests(spark, sf, 1))
 
 
+@query("weekday_quarantine")
+def weekday_quarantine(spark, sf):
+    """Q8 + P14 for the day-table flow: tagged requests that cannot be expanded, with the reason."""
+    r = expand.weekday_rejects(derive.tagged_requests(spark, sf, 1))
+    return r.select("status_rank", "entry_idx", "_XRefCode", "reject_reason")
+
+
 @query("split_sum_check")
 def split_sum_check(spark, sf):
     """A10: per split request, days and split total vs the request's rounded total."""

@@ -761,3 +761,9 @@ ORACLE["roster_from_pages"] = f"""WITH {PAGE_ROWS}, k AS (
                  FROM prows WHERE upper(trim(XRefCode)) LIKE 'EMP%') WHERE rn = 1
 )
 SELECT XRefCode, FirstName, org_xref AS "HomeOrganization.XRefCode" FROM k"""
+
+ORACLE["weekday_quarantine"] = f"""WITH {req_cte(1)}
+SELECT CAST(CASE Status WHEN 'APPROVED' THEN 0 ELSE 1 END AS INTEGER) AS status_rank, entry_idx,
+  trim(employee_key) AS _XRefCode, 'bad_time_span' AS reject_reason
+FROM req1 WHERE Status IN ('APPROVED', 'CANCELED')
+  AND (TRY_CAST(TimeStart AS TIMESTAMP) IS NULL OR TRY_CAST(TimeEnd AS TIMESTAMP) IS NULL)"""
