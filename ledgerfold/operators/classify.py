@@ -85,24 +85,31 @@ def classify_identities(
     natural_key: Sequence[str] = NATURAL_KEY,
     hash_col: str = HASH,
     stored_order: str = "first_seen_at",
+    hot_keys: bool = False,
 ) -> DataFrame:
     """Steps 2-3: adds ``action`` (null for inactive stored rows not seen again).
 
-    The natural-key summary is a window over the *de-duplicated* identities,
-    so the snapshot is expanded and shuffled once; the window group of one
-    (employee, date) holds only its distinct identities.
+    By default the natural-key summary is a window over the *de-duplicated*
+    identities, so the snapshot is expanded and shuffled once; the window
+    group of one (employee, date) holds only its distinct identities.
+    ``hot_keys=True`` computes the summary as a partial aggregate and joins it
+    back instead (AQE splits a hot key in the join). That form never puts a
+    whole employee-day into one task, but re-runs the identity subtree.
     """
     f = _flags(ident)
     has_order = "sto" in f.columns and stored_order in f.schema["sto"].dataType.fieldNames()
     tiebreak = F.struct(F.col(f"sto.{stored_order}") if has_order else F.lit(None), F.col(hash_col))
-    w = Window.partitionBy(*natural_key)
-    j = f.withColumns(
-        {
-            "_has_fresh": F.max(F.col("fresh").cast("int")).over(w),
-            "_has_gone": F.max(F.col("gone").cast("int")).over(w),
-            "_last_gone": F.max_by(F.when(F.col("gone"), F.col(hash_col)), F.when(F.col("gone"), tiebreak)).over(w),
-        }
-    )
+    parts = {
+        "_has_fresh": F.max(F.col("fresh").cast("int")),
+        "_has_gone": F.max(F.col("gone").cast("int")),
+        "_last_gone": F.max_by(F.when(F.col("gone"), F.col(hash_col)), F.when(F.col("gone"), tiebreak)),
+    }
+    if hot_keys:
+        summary = f.groupBy(*natural_key).agg(*[e.alias(n) for n, e in parts.items()])
+        j = f.join(summary, list(natural_key), "inner")
+    else:
+        w = Window.partitionBy(*natural_key)
+        j = f.withColumns({n: e.over(w) for n, e in parts.items()})
     action = (
         F.when(F.col("in_cur") & F.col("st_active"), F.lit("unchanged"))
         .when(F.col("fresh") & (F.col("_has_gone") == 1), F.lit("changed"))
@@ -119,6 +126,7 @@ def reconcile(
     *,
     natural_key: Sequence[str] = NATURAL_KEY,
     hash_col: str = HASH,
+    hot_keys: bool = False,
 ) -> DataFrame:
     """J6-J9 as one frame: ``natural key, hash, action`` plus the snapshot row.
 
@@ -127,7 +135,7 @@ def reconcile(
     reappear get no action and are left out.
     """
     ident = identities(current, stored, natural_key=natural_key, hash_col=hash_col)
-    c = classify_identities(ident, natural_key=natural_key, hash_col=hash_col)
+    c = classify_identities(ident, natural_key=natural_key, hash_col=hash_col, hot_keys=hot_keys)
     return c.filter(F.col("action").isNotNull())
 
 

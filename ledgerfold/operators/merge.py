@@ -42,7 +42,9 @@ def assert_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
 # --------------------------------------------------------------------------- #
 # M1 / M5: ledger apply                                                        #
 # --------------------------------------------------------------------------- #
-def ledger_apply(stored: DataFrame, current: DataFrame, *, now, run_id: str, colocate: bool = False) -> DataFrame:
+def ledger_apply(
+    stored: DataFrame, current: DataFrame, *, now, run_id: str, colocate: bool = False, hot_keys: bool = False
+) -> DataFrame:
     """Next ledger version from all stored rows and this cycle's day records.
 
     ``current`` may still hold duplicates; first wins by ordinal. Per
@@ -54,7 +56,7 @@ def ledger_apply(stored: DataFrame, current: DataFrame, *, now, run_id: str, col
     """
     now_c = _ts(now)
     stored = typed(stored, LEDGER_SCHEMA)
-    c = classify_identities(identities(current, stored, colocate=colocate))
+    c = classify_identities(identities(current, stored, colocate=colocate), hot_keys=hot_keys)
     cur_fields = set(c.schema["cur"].dataType.fieldNames())
 
     def cur(name: str) -> Column:
