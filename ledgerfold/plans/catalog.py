@@ -241,6 +241,13 @@ def reconcile_actions(spark, sf):
     return c.select("employee_xref", "pto_date", "record_hash", "action")
 
 
+@query("reconcile_actions_hot_keys")
+def reconcile_actions_hot_keys(spark, sf):
+    """J6-J9 with the hot-key plan (natural-key summary as partial aggregate + join back)."""
+    c = classify.reconcile(ledger_days(spark, sf, 2), ledger_after(spark, sf, 1), hot_keys=True)
+    return c.select("employee_xref", "pto_date", "record_hash", "action")
+
+
 @query("reconcile_counts")
 def reconcile_counts(spark, sf):
     """A4: class counts of cycle 2."""

@@ -767,3 +767,5 @@ SELECT CAST(CASE Status WHEN 'APPROVED' THEN 0 ELSE 1 END AS INTEGER) AS status_
   trim(employee_key) AS _XRefCode, 'bad_time_span' AS reject_reason
 FROM req1 WHERE Status IN ('APPROVED', 'CANCELED')
   AND (TRY_CAST(TimeStart AS TIMESTAMP) IS NULL OR TRY_CAST(TimeEnd AS TIMESTAMP) IS NULL)"""
+
+ORACLE["reconcile_actions_hot_keys"] = ORACLE["reconcile_actions"]
