@@ -31,7 +31,8 @@ def norm_token(c) -> Column:
     An empty result becomes null, which downstream validity checks treat as
     an invalid record (the source raised an error there).
     """
-    s = F.upper(F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", ""))
+    # (?U): Unicode whitespace (no-break space, em space, …) as Python's str.strip()
+    s = F.upper(F.regexp_replace(_col(c).cast("string"), r"(?U)^\s+|\s+$", ""))
     return F.when(s != "", s)
 
 

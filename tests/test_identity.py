@@ -36,6 +36,7 @@ def test_format_insensitive(spark):
         (F.lit("ABC123"), F.lit("2026-03-14T09:30:00Z"), F.lit("VACATION"), F.lit(8.0)),
         (F.lit("ABC123"), F.lit("2026-03-14T00:00:00"), F.lit(" Vacation "), F.lit("8.000")),
         (F.lit("\tABC123\n"), F.lit("2026-03-14"), F.lit("VACATION"), F.lit(8)),
+        (F.lit("\u00a0ABC123\u2003"), F.lit("2026-03-14"), F.lit("\u3000vacation"), F.lit(8)),
     ]
     for v in variants:
         assert one(spark, idf.record_hash(*v)) == base
