@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerfold.llm import packing, token_counts
+from ledgerfold.llm import packing, secret_scan, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +29,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
