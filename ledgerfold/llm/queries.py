@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerfold.llm import near_dedup, packing, secret_scan, token_counts
+from ledgerfold.llm import near_dedup, packing, secret_scan, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,3 +40,16 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def fold(column: str, n: int):
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(F.col(column).cast("string")) % n
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), learns=fold("id", 5) != 0)
+    scores = toxicity.scored(docs, model)
+    return scores.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
