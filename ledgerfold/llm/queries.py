@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import near_dedup, packing, secret_scan, token_counts, toxicity
+from ledgerfold.llm import decontaminate, line_dedup, near_dedup, packing, secret_scan, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -53,3 +53,30 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), learns=fold("id", 5) != 0)
     scores = toxicity.scored(docs, model)
     return scores.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "source", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"), F.sha2(F.col("__text"), 256).alias("text_sha256"))
+
+
+ORACLE["op10_line_dedup"] = f"""
+WITH d AS (SELECT doc_id, source, coalesce(source, '') AS host, text, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT DISTINCT host, text, trim(x) AS line FROM (SELECT host, text, unnest(ls) AS x FROM d WHERE text IS NOT NULL) WHERE trim(x) <> ''),
+t AS (SELECT host, count(DISTINCT text) AS pages FROM d WHERE text IS NOT NULL GROUP BY host),
+b AS (SELECT host, list(line) AS lines FROM (
+  SELECT l.host, line FROM l JOIN t USING (host) GROUP BY l.host, line, pages
+  HAVING count(*) >= {line_dedup.LEAST_PAGES} AND count(*) > pages * {line_dedup.RATIO}) GROUP BY host),
+k AS (SELECT doc_id, source, text, ls, CASE WHEN len(list_filter(ls, lambda x: list_contains(lines, trim(x)))) > 0
+  THEN list_filter(ls, lambda x: trim(x) = '' OR NOT list_contains(lines, trim(x))) END AS kept FROM d LEFT JOIN b USING (host)),
+c AS (SELECT *, kept IS NOT NULL AND length(coalesce(array_to_string(kept, chr(10)), '')) >= length(text) * {1 - line_dedup.MOST_SHARE} AS changed FROM k)
+SELECT doc_id, source, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines,
+  CAST(CASE WHEN changed THEN len(ls) - len(kept) ELSE 0 END AS BIGINT) AS n_dropped,
+  sha256(CASE WHEN changed THEN coalesce(array_to_string(kept, chr(10)), '') ELSE text END) AS text_sha256 FROM c
+"""
