@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import decontaminate, line_dedup, near_dedup, packing, secret_scan, token_counts, toxicity
+from ledgerfold.llm import decontaminate, language_id, line_dedup, near_dedup, packing, secret_scan, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -80,3 +80,10 @@ SELECT doc_id, source, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines,
   CAST(CASE WHEN changed THEN len(ls) - len(kept) ELSE 0 END AS BIGINT) AS n_dropped,
   sha256(CASE WHEN changed THEN coalesce(array_to_string(kept, chr(10)), '') ELSE text END) AS text_sha256 FROM c
 """
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.label(docs, language_id.learn(docs, learns=fold("id", 4) != 2))
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.common import text_blocks
-from ledgerfold.llm.words import split_words
+from ledgerfold.llm.words import letter_words
 
 # Identity terms, by kind. Terms of a kind are swapped for each other.
 IDENTITY = {
@@ -57,22 +57,12 @@ def _features(words: pa.Array) -> np.ndarray:
     return out
 
 
-def document_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct words of a block (letters only, lower case; empty ones too), each occurrence's word, and the texts' bounds."""
-    flat, bounds = split_words(texts)
-    coded = flat.dictionary_encode()
-    letters = pc.replace_substring_regex(pc.utf8_lower(coded.dictionary), r"[^\p{L}]+", "")
-    again = letters.dictionary_encode()
-    index = np.asarray(again.indices)[np.asarray(coded.indices)] if len(flat) else np.zeros(0, np.int64)
-    return again.dictionary, index, bounds
-
-
 def featured(docs: DataFrame) -> DataFrame:
     """``label, mentions, features`` per row of ``label, text``: its identity terms, and its distinct features as packed int32."""
 
     def run(batches):
         for block in text_blocks(batches):
-            words, index, bounds = document_words(block.column("text"))
+            words, index, bounds = letter_words(block.column("text"))
             features = _features(words).astype(np.int32)
             empty = np.asarray(pc.binary_length(words)) == 0
             blobs, mentions = [], []
@@ -99,7 +89,7 @@ class Model:
         return np.where(self.feature[at] == features, self.weight[at], 0.0)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        words, index, bounds = document_words(texts)
+        words, index, bounds = letter_words(texts)
         features = _features(words)
         weights = self.weights(features)
         weights[np.asarray(pc.binary_length(words)) == 0] = 0

@@ -72,3 +72,13 @@ def shingle_sets(texts: pa.Array, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
     new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
     owner, hashes = owner[new], hashes[new]
     return hashes, np.searchsorted(owner, np.arange(len(counts) + 1))
+
+
+def letter_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of a block (letters only, lower case; empty ones too), each occurrence's word, and the texts' bounds."""
+    flat, bounds = split_words(texts)
+    coded = flat.dictionary_encode()
+    letters = pc.replace_substring_regex(pc.utf8_lower(coded.dictionary), r"[^\p{L}]+", "")
+    again = letters.dictionary_encode()
+    index = np.asarray(again.indices)[np.asarray(coded.indices)] if len(flat) else np.zeros(0, np.int64)
+    return again.dictionary, index, bounds
