@@ -17,6 +17,7 @@
 Documents link when 100 * |A and B| >= 75 * |A or B| on full sets. Candidate search is
 probabilistic: at similarity 0.75 a pair meets in no band with probability
 (1 - 0.75**4)**32 = 5e-6, and the sketch bound lies five standard errors below the limit.
+A second bitmap, the parity of the whole set, rules out most pairs just below it.
 
 Defined cases: null text, empty text and text without words have an empty set
 and link with nothing; a row with a null id links with nothing, has no component and is
@@ -40,11 +41,13 @@ from ledgerfold.llm.words import mix, shingle_sets
 SHINGLE, BANDS, ROWS = 5, 32, 4
 #: Bits of the odd sketch: four per sample, so that few samples meet in a bit near the limit.
 BITS = 512
+#: Bits of the second bitmap, the parity of the whole set.
+SET_BITS = 1024
 NUMERATOR, DENOMINATOR = 75, 100
 SMALL = 48
 #: Standard errors of the estimate that a candidate may lie below the limit.
 SLACK = 5.0
-FIRST_TRIES = 8
+FIRST_TRIES = 2
 
 
 def _seeds(n: int) -> np.ndarray:
@@ -77,6 +80,14 @@ def odd_sketches(samples: np.ndarray, bits: int = BITS) -> np.ndarray:
     return np.packbits(parity & 1, axis=1).view(np.uint64)
 
 
+def set_parities(hashes: np.ndarray, bounds: np.ndarray, bits: int = SET_BITS) -> np.ndarray:
+    """Parity bitmap of each whole set (n + 1 bounds): differing bits never outnumber the elements in which two sets differ."""
+    n = len(bounds) - 1
+    spot = np.repeat(np.arange(n), np.diff(bounds)) * bits + (mix(hashes) % np.uint64(bits)).astype(np.int64)
+    parity = np.bincount(spot, minlength=n * bits).reshape(n, bits) & 1
+    return np.packbits(parity.astype(np.uint8), axis=1).view(np.uint64)
+
+
 def odd_limit(similarity: float, samples: int = BANDS * ROWS, bits: int = BITS, slack: float = SLACK) -> int:
     """Most differing bits that a pair of this similarity shows, but for ``slack`` standard errors of the samples."""
     low = max(0.0, similarity - slack * np.sqrt(similarity * (1 - similarity) / samples))
@@ -84,6 +95,13 @@ def odd_limit(similarity: float, samples: int = BANDS * ROWS, bits: int = BITS,
     return int(np.ceil(expected))
 
 
+def set_limit(sizes: np.ndarray, bits: int = SET_BITS, slack: float = SLACK) -> np.ndarray:
+    """Most differing bits of two sets of ``sizes`` elements together that link: the elements in which they may differ, or for large sets what these show."""
+    differ = sizes * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR)
+    expected = bits / 2 * (1 - (1 - 2 / bits) ** differ)
+    return np.minimum(differ, np.ceil(expected + slack * np.sqrt(np.minimum(expected, bits / 4)) + 1)).astype(np.int64)
+
+
 def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Per row with an id: set size, set digest, band keys and odd sketch (the last two null without words)."""
 
@@ -97,7 +115,8 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             for r in range(ROWS):
                 keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + samples[:, r::ROWS].astype(np.uint64) + np.uint64(r + 1))
             keys = mix(keys + np.arange(BANDS, dtype=np.uint64))
-            sketch = odd_sketches(samples)
+            inner = np.append(bounds[:-1][some], len(hashes))
+            sketch = np.concatenate([odd_sketches(samples), set_parities(hashes, inner)], axis=1)
             full = [None] * len(sizes)
             band, odd = list(full), list(full)
             digest = [xxhash.xxh3_128_digest(hashes[bounds[i] : bounds[i + 1]].tobytes()) if sizes[i] else None for i in range(len(sizes))]
@@ -149,9 +168,14 @@ def differing(odd: np.ndarray, one: np.ndarray) -> np.ndarray:
     return np.bitwise_count(odd ^ one).sum(axis=-1, dtype=np.int64)
 
 
-def _possible(sizes: np.ndarray, size) -> np.ndarray:
-    """Sets whose sizes alone allow the similarity."""
-    return DENOMINATOR * np.minimum(sizes, size) >= NUMERATOR * np.maximum(sizes, size)
+def alike(odd: np.ndarray, size: np.ndarray, one_odd: np.ndarray, one_size, limit: int) -> np.ndarray:
+    """Numbers of the rows that may link with ``one`` (or row by row with arrays of them), by set sizes, then the odd sketch, then the set parity."""
+    each = lambda x, i: x[i] if np.ndim(x) == np.ndim(odd) else x
+    sizes = lambda i: one_size[i] if np.ndim(one_size) else one_size
+    ok = np.flatnonzero(DENOMINATOR * np.minimum(size, one_size) >= NUMERATOR * np.maximum(size, one_size))
+    words = BITS // 64
+    ok = ok[differing(odd[ok, :words], each(one_odd, ok)[..., :words]) <= limit]
+    return ok[differing(odd[ok, words:], each(one_odd, ok)[..., words:]) <= set_limit(size[ok] + sizes(ok))]
 
 
 def first_candidates(doc: np.ndarray, size: np.ndarray, odd: np.ndarray, limit: int):
@@ -159,16 +183,14 @@ def first_candidates(doc: np.ndarray, size: np.ndarray, odd: np.ndarray, limit:
     n = len(doc)
     if n <= SMALL:
         i, j = np.triu_indices(n, 1)
-        ok = _possible(size[i], size[j])
-        i, j = i[ok], j[ok]
-        ok = differing(odd[i], odd[j]) <= limit
+        ok = alike(odd[i], size[i], odd[j], size[j], limit)
         return i[ok], j[ok]
     ones = np.zeros(odd.shape[1] * 64, np.int64)
     for at in range(0, n, 4096):
         ones += np.unpackbits(odd[at : at + 4096].view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
     majority = np.packbits(ones * 2 > n).view(np.uint64)
     centre = int(np.argmin(differing(odd, majority)))
-    ok = np.flatnonzero((differing(odd, odd[centre]) <= limit) & _possible(size, size[centre]))
+    ok = alike(odd, size, odd[centre], size[centre], limit)
     ok = ok[ok != centre]
     return np.full(len(ok), centre), ok
 
@@ -184,10 +206,10 @@ def rest_candidates(doc: np.ndarray, size: np.ndarray, odd: np.ndarray, before:
     if len(names) < 2 or len(doc) <= SMALL:
         return
     for u in np.flatnonzero(of != np.argmax(counts)):
-        far = differing(odd, odd[u])
-        ok = np.flatnonzero((far <= limit) & (before != before[u]) & _possible(size, size[u]))
+        ok = alike(odd, size, odd[u], size[u], limit)
+        ok = ok[before[ok] != before[u]]
         if len(ok) > skip:
-            ok = ok[np.argsort(far[ok], kind="stable")]
+            ok = ok[np.argsort(differing(odd[ok], odd[u]), kind="stable")]
             other = of[ok] != of[u]
             if other[skip + most :].any():
                 yield np.array([u]), np.array([u])
@@ -262,9 +284,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # classes of equal sets; min over a struct combines map-side, so copies shrink before the shuffle
     with_words = signed.where("n_shingles > 0")
     classes = settled(with_words.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "odd")).alias("c")).select("digest", F.col("c.doc_id").alias("rep"), "c.n_shingles", "c.bands", "c.odd"))
-    keyed = classes.select(F.posexplode("bands").alias("band", "key"), "rep", F.col("n_shingles").alias("size"), "odd").select("key", "rep", "size", "odd")
+    # buckets are found on (key, id) alone; only members of shared ones carry their bitmaps
+    keyed = classes.select(F.explode("bands").alias("key"), "rep")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = settled(keyed.join(shared, "key", "left_semi"))
+    members = settled(keyed.join(shared, "key", "left_semi").join(classes.select("rep", F.col("n_shingles").alias("size"), "odd"), "rep").select("key", "rep", "size", "odd"))
 
     def sorted_buckets(df: DataFrame) -> DataFrame:
         return df.repartition("key").sortWithinPartitions("key", "rep")
