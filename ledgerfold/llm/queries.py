@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import decontaminate, language_id, line_dedup, near_dedup, packing, secret_scan, token_counts, toxicity
+from ledgerfold.llm import ann, decontaminate, language_id, line_dedup, near_dedup, packing, secret_scan, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -87,3 +87,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.label(docs, language_id.learn(docs, learns=fold("id", 4) != 2))
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
