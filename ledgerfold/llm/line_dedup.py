@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerfold.llm.common import written
+
 #: A line is boilerplate on more than this share of a host's pages, and on at least LEAST_PAGES of them.
 RATIO, LEAST_PAGES = 0.02, 5
 #: A page of which more than this share of characters is boilerplate stays whole.
@@ -68,4 +70,5 @@ def drop_lines(docs: DataFrame, lines: DataFrame, host: str = "source", text: st
 
 
 def line_dedup(docs: DataFrame, host: str = "source", text: str = "text", **limits) -> DataFrame:
-    return drop_lines(docs, boilerplate(docs, host, text, **limits), host, text)
+    # a small table's size is known once it is written, so that page texts need no shuffle
+    return drop_lines(docs, written(boilerplate(docs, host, text, **limits)), host, text)
