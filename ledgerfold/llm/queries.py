@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import ann, decontaminate, language_id, line_dedup, near_dedup, packing, secret_scan, token_counts, toxicity
+from ledgerfold.llm import ann, decontaminate, language_id, line_dedup, lm_scoring, near_dedup, packing, secret_scan, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,3 +92,31 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm_scoring.score(table(spark, sf_dir, "documents"))
+    mean = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).otherwise(0.0)
+    return scores.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round(mean, 6).alias("mean_log_score"))
+
+
+ORACLE["op1_lm_scoring"] = f"""
+WITH w AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents)),
+g AS (SELECT doc_id, i, w AS g1, CASE WHEN i >= 2 THEN lag(w) OVER p || ' ' || w END AS g2,
+  CASE WHEN i >= 3 THEN lag(w, 2) OVER p || ' ' || lag(w) OVER p || ' ' || w END AS g3,
+  CASE WHEN i >= 2 THEN lag(w) OVER p END AS h1, CASE WHEN i >= 3 THEN lag(w, 2) OVER p || ' ' || lag(w) OVER p END AS h2
+  FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+c1 AS (SELECT g1 AS g, count(*) AS c FROM g GROUP BY 1),
+c2 AS (SELECT g2 AS g, count(*) AS c FROM g WHERE g2 IS NOT NULL GROUP BY 1),
+c3 AS (SELECT g3 AS g, count(*) AS c FROM g WHERE g3 IS NOT NULL GROUP BY 1),
+s AS (SELECT doc_id, CASE
+    WHEN c3.c >= {lm_scoring.MIN_COUNT} THEN ln(c3.c) - ln(k2.c)
+    WHEN c2.c >= {lm_scoring.MIN_COUNT} THEN CASE WHEN i >= 3 THEN ln({lm_scoring.ALPHA}) ELSE 0 END + ln(c2.c) - ln(k1.c)
+    ELSE least(i - 1, 2) * ln({lm_scoring.ALPHA}) + ln(c1.c) - ln((SELECT count(*) FROM w)) END AS s
+  FROM g JOIN c1 ON g1 = c1.g LEFT JOIN c2 ON g2 = c2.g LEFT JOIN c3 ON g3 = c3.g LEFT JOIN c1 AS k1 ON h1 = k1.g LEFT JOIN c2 AS k2 ON h2 = k2.g)
+SELECT d.doc_id, coalesce(n, 0) AS n_words, round(coalesce(t, 0), 4) AS log_score, round(coalesce(t / n, 0), 6) AS mean_log_score
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, sum(s) AS t FROM s GROUP BY 1) USING (doc_id)
+"""
