@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+from pathlib import Path
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +17,14 @@ ORACLE: dict[str, str] = {}
 
 
 def query(f):
-    QUERIES[f.__name__] = f
-    return f
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # where the package isn't installed but found by path, Python workers find it there too
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,3 +129,12 @@ s AS (SELECT doc_id, CASE
 SELECT d.doc_id, coalesce(n, 0) AS n_words, round(coalesce(t, 0), 4) AS log_score, round(coalesce(t / n, 0), 6) AS mean_log_score
 FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, sum(s) AS t FROM s GROUP BY 1) USING (doc_id)
 """
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
