@@ -138,3 +138,46 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op7_minhash_near_dedup"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex({_LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))) END AS g FROM w),
+x AS (SELECT doc_id, len(g) AS n, hash(unnest(g)) AS h FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x AS a JOIN x AS b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, least_id) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.b, r.least_id FROM r JOIN e ON r.doc_id = e.a),
+c AS (SELECT doc_id, min(least_id) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+
+def _found(kind: str, pattern: str, group: str = "") -> str:
+    """SQL for (doc_id, kind, start, end, match, value) of each match: lengths of the texts between and of the matches before."""
+    value = f"regexp_extract_all(t, '{pattern}', {group})" if group else "m"
+    return f"""SELECT doc_id, {secret_scan.KINDS.index(kind) if kind in secret_scan.KINDS else 9} AS rank, '{kind}' AS kind, m[i] AS m, v[i] AS v,
+    list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS s
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, {value} AS v, string_split_regex(t, '{pattern}') AS p FROM t))"""
+
+
+_RUN = "[A-Za-z0-9+/_=-]{20,}"
+_ALLOWED = " OR ".join(f"regexp_matches(m, '{p}')" for p in secret_scan.ALLOWED)
+ORACLE["op2_secret_scan"] = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS (SELECT * FROM ({_found("assign", secret_scan.ASSIGN.replace("'", "''"), "2")}) WHERE length(v) >= 8
+  UNION ALL {_found("access", secret_scan.ACCESS_KEPT)} UNION ALL {_found("hex", "[0-9a-f]{32,}")}),
+run AS (SELECT *, regexp_full_match(m, '[0-9a-fA-F]+') AS hex,
+  list_max(list_transform(range(1, length(m) - 18), lambda i: list_entropy(string_split(substr(m, i, {secret_scan.WINDOW}), '')))) AS bits
+  FROM ({_found("run", _RUN)}) WHERE NOT ({_ALLOWED})),
+every AS (SELECT doc_id, rank, kind, s, s + length(m) AS e FROM base UNION ALL
+  SELECT doc_id, CASE WHEN hex THEN 3 ELSE 4 END, CASE WHEN hex THEN 'hexrun' ELSE 'keyrun' END, s, s + length(m) FROM run
+  WHERE bits >= CASE WHEN hex THEN {secret_scan.BITS["hexrun"]} ELSE {secret_scan.BITS["keyrun"]} END),
+per AS (SELECT doc_id, count(*) FILTER (rank = 0) AS n0, count(*) FILTER (rank = 1) AS n1, count(*) FILTER (rank = 2) AS n2,
+  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3) AS b, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS a
+  FROM every GROUP BY doc_id)
+SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(a, '') AS spans
+FROM documents LEFT JOIN per USING (doc_id)
+"""
