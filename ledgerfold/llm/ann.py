@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerfold.llm.common import among_lowest
+
 TABLES, REACH, SAMPLE = 3, 0.75, 4096
 MOST_BUCKETS, BLOCK = 4096, 4096
 #: Width of a cell, in standard deviations of a projection.
@@ -137,7 +139,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     schema = f"query_id {kind}, vec_id {kind}, score double"
     if not n:
         return vectors.sparkSession.createDataFrame([], schema).select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
-    sample = np.array([r["v"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()])
+    sample = np.array([r["v"] for r in rows.where(among_lowest(F.col("vec_id"), SAMPLE, F.lit(n))).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()])
     index = fit(sample, n, norm, k, tables, seed)
 
     def counted(batches):

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.common import text_blocks
+from ledgerfold.llm.common import among_lowest, text_blocks
 from ledgerfold.llm.words import letter_words
 
 SAMPLE, SPAN, HIDDEN = 300, 24, 16
@@ -193,7 +193,9 @@ def sample_words(docs: DataFrame, learns: Column | None, doc_id: str, text: str,
     rows = rows.where(learns) if learns is not None else rows
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample)
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))  # a row per language
+    likely = rows.select("id", "lang").join(sizes, "lang").where(among_lowest(F.col("id"), sample, F.col("total")))
+    chosen = likely.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample)
     chosen = chosen.select("id", "lang").distinct()
 
     def run(batches):

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.common import text_blocks
+from ledgerfold.llm.common import among_lowest, text_blocks
 from ledgerfold.llm.words import letter_words
 
 # Identity terms, by kind. Terms of a kind are swapped for each other.
@@ -190,7 +190,7 @@ def learn(docs: DataFrame, labels: DataFrame, learns: Column | None = None, doc_
     known = known.where(learns) if learns is not None else known
     known = known.groupBy("id").agg(F.max("label").alias("label"))
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    picked = [known.where(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(sample) for v in (0, 1)]
+    picked = [known.where(F.col("label") == v).where(among_lowest(F.col("id"), sample, F.lit(counts.get(v, 1)))).orderBy(F.xxhash64("id"), "id").limit(sample) for v in (0, 1)]
     chosen = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * sample ids
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL").join(chosen, "id")
     found = featured(texts).toArrow()  # bounded by the sample
