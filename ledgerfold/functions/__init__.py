@@ -14,11 +14,9 @@ from ledgerfold.functions.identity import (  # noqa: F401
     record_hash_normalized,
 )
 from ledgerfold.functions.values import (  # noqa: F401
-    first_present,
     first_text,
     iso_instant,
     lenient_date,
-    strict_date,
     title_status,
     tri_bool,
     whole_seconds,

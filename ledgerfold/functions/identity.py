@@ -25,14 +25,22 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c) -> Column:
+    """Text without leading and trailing whitespace of any kind.
+
+    ``(?U)`` makes the classes Unicode-aware (no-break space, em space, …), as
+    ``F.trim`` is not.
+    """
+    return F.regexp_replace(_col(c).cast("string"), r"(?U)^\s+|\s+$", "")
+
+
 def norm_token(c) -> Column:
     """Strip every leading/trailing whitespace char, upper-case.
 
     An empty result becomes null, which downstream validity checks treat as
     an invalid record (the source raised an error there).
     """
-    # (?U): Unicode whitespace (no-break space, em space, …) as Python's str.strip()
-    s = F.upper(F.regexp_replace(_col(c).cast("string"), r"(?U)^\s+|\s+$", ""))
+    s = F.upper(strip(c))
     return F.when(s != "", s)
 
 
@@ -42,7 +50,7 @@ def norm_date(c) -> Column:
     Dates and timestamps are first rendered as text so that a wall-clock
     timestamp keeps its written calendar day (no zone shift). Unparsable → null.
     """
-    text = F.substring(F.trim(_col(c).cast("string")), 1, 10)
+    text = F.substring(strip(c), 1, 10)
     return F.try_to_date(text, "yyyy-MM-dd")
 
 

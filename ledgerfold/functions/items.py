@@ -84,38 +84,15 @@ def _end(x: Column) -> Column:
     return lenient_date(F.coalesce(text(x, "$.EffectiveEnd"), text(x, "$.EffectiveEndDate")))
 
 
-def effective_item(items: Column, as_of: Column) -> Column:
-    """The item effective on ``as_of``.
+def with_effective_item(df, items: str, as_of: Column, out: str):
+    """The item effective on ``as_of``, in column ``out``.
 
     Covering items (open bounds allowed, both ends inclusive); when none
     cover, all items (then only ``EffectiveStart`` is read for ordering). In
     that pool: the first primary (``IsPrimary`` or ``IsPrimaryWork``), else
-    the greatest start (missing = lowest), first on tie.
+    the greatest start (missing = lowest), first on tie. Covering set, pool and pick
+    are projected in stages, so the arrays are not re-filtered for every use.
     """
-    covering = F.filter(
-        items,
-        lambda x: (_start(x).isNull() | (_start(x) <= as_of)) & (_end(x).isNull() | (_end(x) >= as_of)),
-    )
-    use_cover = F.size(covering) > 0
-    pool = F.when(use_cover, covering).otherwise(items)
-    primary = F.get(
-        F.filter(pool, lambda x: truthy_bool(x, "$.IsPrimary") | truthy_bool(x, "$.IsPrimaryWork")), 0
-    )
-    best = F.array_max(
-        F.transform(
-            pool,
-            lambda x, i: F.struct(
-                F.coalesce(F.when(use_cover, _start(x)).otherwise(_start(x, both=False)), F.to_date(F.lit(MIN_DATE))).alias("k"),
-                (-i).alias("ni"),
-            ),
-        )
-    )
-    return F.coalesce(primary, F.get(pool, -best["ni"]))
-
-
-def with_effective_item(df, items: str, as_of: Column, out: str):
-    """:func:`effective_item` in stages (covering set, pool, pick), each
-    projected once so the arrays are not re-filtered for every use."""
     it_ = F.col(items)
     df = df.withColumn(
         f"{out}_cov",
@@ -141,7 +118,6 @@ def with_effective_item(df, items: str, as_of: Column, out: str):
 __all__ = [
     "with_effective_item",
     "as_items",
-    "effective_item",
     "first_or_primary",
     "is_object",
     "latest_by_text",

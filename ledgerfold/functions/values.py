@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerfold.functions.identity import strip
+
 # --- fixed values: spellings the source system reads as "true" --------------
 TRUE_WORDS = ("1", "true", "yes", "y", "t")
 # ---------------------------------------------------------------------------
@@ -14,15 +16,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def first_present(*cols) -> Column:
-    """P13 for non-text candidates: first non-null value.
-
-    Numbers, booleans and arrays (even empty ones) count as present; text
-    candidates go through :func:`first_text`, which also skips ``''``.
-    """
-    return F.coalesce(*[_col(c) for c in cols])
-
-
 def first_text(*cols) -> Column:
     """P13 for text candidates: ``coalesce(nullif(c1,''), nullif(c2,''), …)``."""
     return F.coalesce(*[F.nullif(_col(c).cast("string"), F.lit("")) for c in cols])
@@ -33,17 +26,9 @@ def lenient_date(c) -> Column:
     return F.try_to_date(F.substring(_col(c).cast("string"), 1, 10), "yyyy-MM-dd")
 
 
-def strict_date(c) -> Column:
-    """H9: date part of a date / timestamp / ISO text; null when unparsable.
-
-    Callers turn the null into an invalid-entry flag (the source raised).
-    """
-    return lenient_date(c)
-
-
 def tri_bool(c) -> Column:
     """H8: null or '' → null; booleans kept; listed words → true; else false."""
-    text = F.lower(F.trim(_col(c).cast("string")))
+    text = F.lower(strip(c))
     return (
         F.when(_col(c).isNull() | (_col(c).cast("string") == ""), F.lit(None).cast("boolean"))
         .otherwise(text.isin(*TRUE_WORDS))
@@ -51,13 +36,22 @@ def tri_bool(c) -> Column:
 
 
 def title_status(c) -> Column:
-    """``APPROVED`` → ``Approved`` (word-wise title case)."""
-    return F.initcap(F.lower(_col(c)))
+    """Every run of letters in title case: ``ON_HOLD`` → ``On_Hold``."""
+    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(0))
+    return F.array_join(F.transform(runs, F.initcap), "")
 
 
 def iso_instant(c) -> Column:
-    """Instant rendered as UTC ISO-8601 with milliseconds and ``Z``."""
-    return F.date_format(_col(c), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """Instant rendered as UTC ISO-8601 with milliseconds and ``Z``.
+
+    The wall clock in UTC is counted from the epoch as a zone-less timestamp, so the
+    session's zone has no part in it.
+    """
+    millis = F.unix_millis(_col(c).cast("timestamp"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    wall = F.timestamp_add("SECOND", F.floor(millis / 1000), epoch).cast("string")
+    part = F.lpad(F.pmod(millis, F.lit(1000)).cast("string"), 3, "0")
+    return F.concat(F.translate(wall, " ", "T"), F.lit("."), part, F.lit("Z"))
 
 
 def whole_seconds(c) -> Column:

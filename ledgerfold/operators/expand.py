@@ -48,6 +48,12 @@ def _null_col(df: DataFrame, name: str, dtype: str = "string") -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
 
 
+def _number(value: Column, missing: float) -> Column:
+    """A number or numeric text; null or '' counts as ``missing``, anything unreadable is null."""
+    text = value.cast("string")
+    return F.when(text.isNull() | (text == ""), F.lit(missing)).otherwise(text.try_cast("double"))
+
+
 def _first_field(elem: Column, fields: dict, names) -> Column:
     """P13 over the fields of one array element (text fields skip '')."""
     cands = []
@@ -80,7 +86,8 @@ def _spread_scalars(df: DataFrame) -> DataFrame:
     df = with_materialized(
         df, {"_lo": lo, "_n": F.datediff(hi, lo) + 1, "_total": F.col("_hours").try_cast("decimal(38,18)")}
     )
-    per = F.bround(F.col("_total").cast("decimal(28,18)") / F.col("_n").cast("decimal(10,0)"), 2)
+    # a total beyond the decimal's range gives null, and so a rejected request
+    per = F.bround(F.col("_total").try_cast("decimal(28,18)") / F.col("_n").cast("decimal(10,0)"), 2)
     df = with_materialized(df, {"_per_raw": per})
     return with_materialized(
         df,
@@ -104,7 +111,6 @@ def ledger_entries(
     entries: DataFrame,
     *,
     key: str = "employee_key",
-    query_status: str | None = None,
     expand_multi_day: bool = False,
 ) -> DataFrame:
     """P13-P16 + X4 per request, before any explode.
@@ -119,7 +125,7 @@ def ledger_entries(
         {
             "type_raw": first_text(*[F.col(c) for c in _present(entries, TYPE_CODE_KEYS)]),
             "_start": lenient_date(F.col("TimeStart")),
-            "_hours": F.coalesce(_null_col(entries, "NetHours", "double"), F.lit(0)).cast("double"),
+            "_hours": _number(_null_col(entries, "NetHours", "double"), 0.0),
         },
     )
     dl, fields = _day_list(e)
@@ -179,11 +185,11 @@ def ledger_days(
     computed after it from the request's scalars (or its list element).
     """
     entries = ensure_parallelism(entries)
-    e = ledger_entries(entries, key=key, query_status=query_status, expand_multi_day=expand_multi_day)
+    e = ledger_entries(entries, key=key, expand_multi_day=expand_multi_day)
     _, fields = _day_list(entries)
     if not fields:
         fields = {"Date": StringType(), "NetHours": None}
-    status = F.coalesce(F.nullif(_null_col(e, "Status"), F.lit("")), F.lit(query_status))
+    status = F.coalesce(F.nullif(_null_col(e, "Status"), F.lit("")), _null_col(e, "query_status"), F.lit(query_status))
     audit = {
         "reason_name": _null_col(e, "ReasonName"),
         "status": status,
@@ -284,7 +290,7 @@ def _weekday_plan(tagged: DataFrame) -> DataFrame:
     n = F.size("_days")
     p = with_materialized(
         p,
-        {"_hours": F.when(net.isNull(), F.lit(DEFAULT_DAY_HOURS)).otherwise(F.try_divide(net.cast("double"), n))},
+        {"_hours": F.when(net.isNull(), F.lit(DEFAULT_DAY_HOURS)).otherwise(F.try_divide(net.try_cast("double"), n))},
     )
     why = (
         F.when(~F.col("_parsed"), F.lit("bad_time_span"))

@@ -17,6 +17,7 @@ from ledgerfold.functions.identity import norm_token
 from ledgerfold.operators import expand, merge
 from ledgerfold.operators.classify import ACTIONS
 from ledgerfold.sources import windows
+from ledgerfold.sources.pages import affected_employees, require_complete
 from ledgerfold.sources.tables import SnapshotTable
 
 
@@ -45,12 +46,15 @@ def scope_requests(requests: DataFrame, cfg: LedgerCycle, keys: DataFrame | None
         k = keys.select(norm_token(F.col(keys.columns[0])).alias("_k")).distinct()
         r = r.withColumn("_k", norm_token(F.col(cfg.key))).join(k, "_k", "left_semi").drop("_k")
     if cfg.statuses:
+        # An entry without a status of its own has the one it was queried with
+        own = F.nullif(F.col("Status"), F.lit(""))
+        r = r.withColumn("Status", F.coalesce(own, F.col("query_status")) if "query_status" in r.columns else own)
         rank = F.array_position(F.array(*[F.lit(x) for x in cfg.statuses]), F.col("Status")).cast("int") - 1
         r = r.filter(F.col("Status").isin(*cfg.statuses)).withColumn("status_rank", rank)
     if cfg.span_now:
         lo, hi = windows.lookback_span(F.to_timestamp(F.lit(cfg.span_now)))
-        start = F.col("TimeStart").try_cast("timestamp")
-        end = F.coalesce(F.col("TimeEnd").try_cast("timestamp"), start)
+        start = F.col("TimeStart").try_cast("timestamp_ntz")
+        end = F.coalesce(F.col("TimeEnd").try_cast("timestamp_ntz"), start)
         r = r.filter((start <= hi) & (end >= lo))
     return r
 
@@ -65,21 +69,25 @@ def ledger_cycle_plan(stored: DataFrame, requests: DataFrame, cfg: LedgerCycle,
     return merge.ledger_apply(stored, days, now=cfg.now, run_id=cfg.run_id)
 
 
-def cycle_metrics(requests: DataFrame, applied: DataFrame, cfg: LedgerCycle, key: str = "employee_key") -> DataFrame:
+def cycle_metrics(
+    requests: DataFrame, applied: DataFrame, cfg: LedgerCycle, checked: DataFrame | None = None, key: str = "employee_key"
+) -> DataFrame:
     """One row — employees, fetched entries, day records, class and merge counts.
 
-    Two one-row aggregates are stacked (``unionByName``) and folded with
-    ``max``; no join is needed to put them side by side.
+    ``checked`` (first column: the key) are the employees the run asked for, those
+    without any request too; without it the requesting ones count. One-row
+    aggregates are stacked (``unionByName``) and folded with ``max``; no join
+    is needed to put them side by side.
     """
-    src = requests.agg(
-        F.count_distinct(F.col(key)).cast("bigint").alias("employees"),
-        F.count(F.lit(1)).cast("bigint").alias("fetched_entries"),
-    )
+    asked = checked.select(F.col(checked.columns[0]).alias("_key")) if checked is not None else requests.select(F.col(key).alias("_key"))
+    src = asked.agg(F.count_distinct("_key").cast("bigint").alias("employees"))
+    src = src.unionByName(requests.agg(F.count(F.lit(1)).cast("bigint").alias("fetched_entries")), allowMissingColumns=True)
     ma, act = F.col("merge_action"), F.col("action")
     res = applied.agg(
         F.count_if(ma.isin("insert", "reactivate", "touch", "noop")).cast("bigint").alias("day_records"),
         *[F.count_if(act == a).cast("bigint").alias(a) for a in ACTIONS],
         F.count_if(ma == "insert").cast("bigint").alias("inserted"),
+        F.count_if(ma == "reactivate").cast("bigint").alias("reactivated"),
         F.count_if(ma == "touch").cast("bigint").alias("touched"),
         F.count_if(ma == "cancel").cast("bigint").alias("cancelled_rows"),
     )
@@ -94,24 +102,46 @@ def metrics_json(metrics: DataFrame) -> Column:
 
 
 def metrics_text(metrics: DataFrame) -> Column:
-    """A9 as a one-line summary."""
-    return F.format_string(
-        "run %s | %d employees, %d entries -> %d day-records | new=%d changed=%d unchanged=%d cancelled=%d"
-        " | inserted=%d touched=%d cancelled=%d",
-        "run_id", "employees", "fetched_entries", "day_records", "new", "changed", "unchanged", "cancelled",
-        "inserted", "touched", "cancelled_rows",
-    )
+    """A9 as one line of ``name=value`` pairs in the metrics' own order."""
+    pairs = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in metrics.columns]
+    return F.concat_ws(" ", *pairs)
 
 
 def run_ledger_cycle(
-    table: SnapshotTable, requests: DataFrame, cfg: LedgerCycle, keys: DataFrame | None = None
+    table: SnapshotTable,
+    requests: DataFrame,
+    cfg: LedgerCycle,
+    keys: DataFrame | None = None,
+    *,
+    pages: DataFrame | None = None,
+    strict: bool = True,
+    rejects: SnapshotTable | None = None,
 ) -> tuple[int, DataFrame]:
     """C3 with its single write: read newest version, apply, write the next one.
 
+    ``pages`` are the landed pages behind ``requests``. With ``strict`` an
+    unreadable, refused or missing page ends the run before anything is
+    written; otherwise the stored rows of the employees concerned stay as
+    they are in this cycle. Rejected requests go to ``rejects`` with their reasons.
     Returns (new version, the written version with its audit columns).
     """
+    held = None
+    if pages is not None:
+        if strict:
+            require_complete(pages)
+        else:
+            held = affected_employees(pages).select(norm_token(F.col("employee_key")).alias("employee_xref"))
+    if rejects is not None:
+        refused = expand.rejected_entries(scope_requests(requests, cfg, keys), key=cfg.key, expand_multi_day=cfg.expand_multi_day)
+        rejects.write(refused.select(F.col(cfg.key).alias("employee_key"), "entry_idx", "reject_reason", F.lit(cfg.now).cast("timestamp").alias("run_at")))
     stored = table.read()
-    applied = ledger_cycle_plan(stored, requests, cfg, keys)
+    if held is None:
+        applied = ledger_cycle_plan(stored, requests, cfg, keys)
+    else:
+        named = requests.withColumn("_k", norm_token(F.col(cfg.key))).join(held.withColumnRenamed("employee_xref", "_k"), "_k", "left_anti").drop("_k")
+        applied = ledger_cycle_plan(stored.join(held, "employee_xref", "left_anti").select(*stored.columns), named, cfg, keys)
+        kept = stored.join(held, "employee_xref", "left_semi").select(*stored.columns, F.lit("keep").alias("merge_action"))
+        applied = applied.unionByName(kept, allowMissingColumns=True)
     # The apply result is written once and re-read for the metrics, so the
     # plan is not evaluated twice and lineage stops at the written version.
     version = table.write(applied, audit=("action", "merge_action"))

@@ -17,46 +17,48 @@ from ledgerfold.plans import derive
 from ledgerfold.plans.cycle import LedgerCycle, run_ledger_cycle
 from ledgerfold.session import shared_dir
 from ledgerfold.sources import mapping, windows
+from ledgerfold.sources.pages import IncompleteInput, affected_employees, require_complete
 from ledgerfold.sources.tables import DAY_SCHEMA, EMPLOYEE_SCHEMA, LEDGER_SCHEMA, SnapshotTable
 
 
 def employee_table_job(
-    table: SnapshotTable, roster_rows: DataFrame, details: DataFrame, map_rows: DataFrame, *, prefix: str, now: str
+    table: SnapshotTable, roster_rows: DataFrame, details: DataFrame, map_rows: DataFrame, *, prefix: str, now: str, strict: bool = True
 ) -> DataFrame:
     """Roster pages → in-scope employee rows → M2 into the employee table.
 
+    ``strict`` raises on a map entry that lacks an id (it would drop its
+    department's employees); the source rows are checked to be unique.
     Returns the written version with its ``merge_action`` audit column.
     """
     keys = roster.roster_frame(roster_rows, prefix)
-    src = roster.employee_rows(keys, details, mapping.load(map_rows, strict=False))
+    src = roster.employee_rows(keys, details, mapping.load(map_rows, strict=strict))
+    merge.assert_unique(src, ["XRefCode"])
     merged = merge.employee_merge(table.read(), src, now=now)
     v = table.write(merged, audit=("merge_action",))
     return table.read(v, audit=True)
 
 
 def tagged_for_run(employees: DataFrame, requests: DataFrame, now: str, statuses=windows.DEFAULT_STATUSES) -> DataFrame:
-    """C2 fetch stage: ACTIVE employees × statuses × windows → overlapping requests.
+    """C2 fetch stage: requests of ACTIVE employees that overlap the run's windows, tagged.
 
     ``requests`` carries ``employee_key``, ``Status`` and the request fields;
-    matching is on the normalised key, and each matched request is tagged
-    with the run key as given, its status rank and window index.
+    they are cut to the run's span first, then joined to the run's keys on the
+    normalised key, and tagged with the run key as given, the status rank and
+    window index. A request whose times can't be read stays in, so that
+    expansion rejects it where the job can see it.
     """
-    run_keys = roster.active_keys(employees)
-    man = windows.manifest(run_keys, "XRefCode", windows.run_windows(F.to_timestamp(F.lit(now))), statuses)
+    run_keys = roster.active_keys(employees).withColumn("_k", norm_token(F.col("XRefCode")))
     r = requests.withColumns(
         {
             "_k": norm_token(F.col("employee_key")),
-            "_ts0": F.col("TimeStart").try_cast("timestamp"),
-            "_ts1": F.col("TimeEnd").try_cast("timestamp"),
+            "_ts0": F.col("TimeStart").try_cast("timestamp_ntz"),
+            "_ts1": F.col("TimeEnd").try_cast("timestamp_ntz"),
         }
-    ).filter(F.col("_ts0").isNotNull())
-    m = man.withColumn("_k", norm_token(F.col("XRefCode"))).withColumnRenamed("status", "_mstatus")
-    hit = r.join(m, ["_k"], "inner").filter(
-        (F.col("Status") == F.col("_mstatus"))
-        & (F.col("_ts0") <= F.col("hi"))
-        & (F.coalesce(F.col("_ts1"), F.col("_ts0")) >= F.col("lo"))
     )
-    return hit.select(
+    ended = F.col("TimeEnd").isNotNull() & (F.col("TimeEnd") != "")
+    unread = F.col("_ts0").isNull() | (ended & F.col("_ts1").isNull())
+    hit = windows.matching(r, windows.run_windows(F.to_timestamp_ntz(F.lit(now))), statuses, "Status", "_ts0", "_ts1", always=unread)
+    return hit.join(run_keys, "_k").select(
         F.col("XRefCode").alias("_XRefCode"),
         F.col("Status").alias("_Status"),
         "status_rank",
@@ -70,14 +72,43 @@ def tagged_for_run(employees: DataFrame, requests: DataFrame, now: str, statuses
     )
 
 
-def day_table_job(table: SnapshotTable, employees: DataFrame, requests: DataFrame, *, now: str) -> DataFrame:
-    """Tagged requests → weekday rows → first-wins dedupe → M3 scoped to this run."""
+def day_table_job(
+    table: SnapshotTable,
+    employees: DataFrame,
+    requests: DataFrame,
+    *,
+    now: str,
+    strict: bool = True,
+    pages: DataFrame | None = None,
+    rejects: SnapshotTable | None = None,
+) -> DataFrame:
+    """Tagged requests → weekday rows → first-wins dedupe → M3 scoped to this run.
+
+    Nothing is canceled on input that isn't whole. With ``strict`` (as in the
+    source system) an incomplete page or a rejected request ends the job before
+    it writes. Otherwise the employees concerned leave the cancel scope of this
+    run: their stored days stay, and their readable requests are merged.
+    Rejected requests are stored with their reasons in ``rejects``.
+    """
     tagged = tagged_for_run(employees, requests, now)
+    refused = expand.weekday_rejects(tagged).select(F.col("_XRefCode").alias("employee_key"), "entry_idx", "reject_reason")
+    keys = roster.active_keys(employees)
+    if strict:
+        if pages is not None:
+            require_complete(pages)
+        if not refused.isEmpty():
+            raise IncompleteInput(f"requests were rejected, first: {refused.first().asDict()}")
+    else:
+        held = refused.select("employee_key")
+        if pages is not None:
+            held = held.unionByName(affected_employees(pages))
+        held = held.select(norm_token(F.col("employee_key")).alias("_k")).distinct()
+        keys = keys.withColumn("_k", norm_token(F.col("XRefCode"))).join(held, "_k", "left_anti").drop("_k")
+    if rejects is not None:
+        rejects.write(refused.withColumn("run_at", F.lit(now).cast("timestamp")))
     source = dedupe.dedupe_day_rows(expand.weekday_days(tagged))
     start, end = windows.span_dates(now)
-    merged = merge.day_merge(
-        table.read(), source, now=now, run_keys=roster.active_keys(employees), window_start=start, window_end=end
-    )
+    merged = merge.day_merge(table.read(), source, now=now, run_keys=keys, window_start=start, window_end=end)
     v = table.write(merged, audit=("merge_action",))
     return table.read(v, audit=True)
 

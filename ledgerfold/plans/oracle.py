@@ -451,13 +451,13 @@ ASOF = f"""{ROS}, {DET}, {MAP}, keys AS (
   SELECT XRefCode, page_idx, row_idx FROM ros WHERE XRefCode IS NOT NULL AND XRefCode <> ''
 ), asofr AS (
   SELECT DISTINCT k.XRefCode AS xref, d.dept_now AS department_xref, m.project_id, m.task_id,
-    CASE WHEN d.dept_now IS NULL OR d.dept_now = '' THEN 'unresolved' WHEN m.project_id IS NULL THEN 'unmapped'
+    CASE WHEN d.dept_now IS NULL THEN 'unresolved' WHEN m.project_id IS NULL THEN 'unmapped'
          ELSE 'kept' END AS outcome
   FROM keys k LEFT JOIN det d ON d.k_norm = {norm('k.XRefCode')}
   LEFT JOIN dmap m ON m.dept_key = {norm('d.dept_now')}
   {{where}}
 )"""
-ORACLE["scope_counts"] = f"""WITH {ASOF.format(where='')}
+ORACLE["scope_counts"] = f"""WITH {ASOF.format(where='').replace('SELECT DISTINCT k.XRefCode', 'SELECT k.XRefCode')}
 SELECT count(*) FILTER (WHERE outcome = 'kept') AS kept, count(*) FILTER (WHERE outcome = 'unmapped') AS unmapped,
   count(*) FILTER (WHERE outcome = 'unresolved') AS unresolved FROM asofr"""
 _SUB = ("WHERE CAST(regexp_extract(k.XRefCode, '(\\d+)', 1) AS BIGINT) IN "
@@ -696,19 +696,20 @@ SELECT XRefCode, employee_name, DepartmentXRefCode, ProjectId, TaskId, employmen
   '{NOW1}' AS UpdatedDateTime FROM emprows"""
 
 ORACLE["cycle_metrics"] = f"""{ledger_with(2)}, src AS (
-  SELECT count(DISTINCT employee_key) AS employees, count(*) AS fetched_entries FROM req2
+  SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS employees, count(*) AS fetched_entries FROM req2
 ), res AS (
   SELECT count(*) FILTER (WHERE merge_action IN ('insert', 'reactivate', 'touch', 'noop')) AS day_records,
     count(*) FILTER (WHERE action = 'new') AS new, count(*) FILTER (WHERE action = 'changed') AS changed,
     count(*) FILTER (WHERE action = 'unchanged') AS unchanged, count(*) FILTER (WHERE action = 'cancelled') AS cancelled,
     count(*) FILTER (WHERE action = 'superseded') AS superseded,
-    count(*) FILTER (WHERE merge_action = 'insert') AS inserted, count(*) FILTER (WHERE merge_action = 'touch') AS touched,
+    count(*) FILTER (WHERE merge_action = 'insert') AS inserted,
+    count(*) FILTER (WHERE merge_action = 'reactivate') AS reactivated, count(*) FILTER (WHERE merge_action = 'touch') AS touched,
     count(*) FILTER (WHERE merge_action = 'cancel') AS cancelled_rows
   FROM app2
 )
-SELECT 'run-2' AS run_id, *, printf('run %s | %d employees, %d entries -> %d day-records | new=%d changed=%d unchanged=%d '
-  || 'cancelled=%d | inserted=%d touched=%d cancelled=%d', 'run-2', employees, fetched_entries, day_records, new, changed,
-  unchanged, cancelled, inserted, touched, cancelled_rows) AS summary
+SELECT 'run-2' AS run_id, *, printf('run_id=run-2 employees=%d fetched_entries=%d day_records=%d new=%d changed=%d unchanged=%d '
+  || 'cancelled=%d superseded=%d inserted=%d reactivated=%d touched=%d cancelled_rows=%d', employees, fetched_entries, day_records,
+  new, changed, unchanged, cancelled, superseded, inserted, reactivated, touched, cancelled_rows) AS summary
 FROM src, res"""
 
 ORACLE["roster_preview"] = f"""WITH {req_cte(1)}, {wk_cte(1)}

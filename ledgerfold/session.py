@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -29,12 +30,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) a temporary
-    folder is created and registered as the checkpoint directory.
+    The cluster names it. Where it is unset, only a master whose tasks run in
+    this one process gets a temporary folder; elsewhere executors would write
+    to their own disks, so that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
+    if not path and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="ledgerfold-")
         spark.sparkContext.setCheckpointDir(path)

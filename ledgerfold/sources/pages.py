@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.functions import items as it
+from ledgerfold.functions.identity import strip
 from ledgerfold.operators.partitioning import ensure_parallelism, with_materialized
 
 # --- fixed values: message keys and phrases that mark a denied request -------
@@ -21,10 +22,28 @@ DENIAL_PHRASES = ("rate limit", "too many requests", "threshold", "limit has bee
 # ---------------------------------------------------------------------------
 
 
+class IncompleteInput(ValueError):
+    """Input from which nothing may be retired: unreadable, refused or missing pages, or rejected requests."""
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed JSON pages → ``(url, page)``; ``page`` is a VARIANT, ``url`` the file."""
-    df = spark.read.option("singleVariantColumn", "page").json(path)
-    return df.select(F.col("_metadata.file_path").alias("url"), "page")
+    """Landed page records, one JSON object per line → ``(page_id, url, employee_key, query_status, page)``.
+
+    The landing step writes ``{"page_id":…, "url":…, "employee_key":…, "query_status":…, "page":{…}}``:
+    the page's number in the run, the service URL it came from (what ``Paging.Next``
+    of another page names) and the request it answers. A line that is no such
+    object keeps a row with a null page, so that the gate sees it; lines are
+    numbered by file and position where no ``page_id`` was written.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    v = F.try_parse_json(F.col("value"))
+    return lines.select(
+        F.coalesce(it.vget(v, "$.page_id", "long"), F.xxhash64("_metadata.file_path", "value")).alias("page_id"),
+        it.vget(v, "$.url").alias("url"),
+        it.vget(v, "$.employee_key").alias("employee_key"),
+        it.vget(v, "$.query_status").alias("query_status"),
+        it.vget(v, "$.page", "variant").alias("page"),
+    )
 
 
 def parse_pages(df: DataFrame, text: str = "payload") -> DataFrame:
@@ -53,7 +72,7 @@ def next_pointer(page: Column) -> Column:
     nxt = F.coalesce(it.vget(page, "$.Paging.Next.href"), it.vget(page, "$.Paging.Next"))
     is_obj = it.is_object(it.vget(page, "$.Paging.Next", "variant"))
     raw = F.when(is_obj, it.vget(page, "$.Paging.Next.href")).otherwise(nxt)
-    t = F.trim(raw)
+    t = strip(raw)
     return F.when(t != "", t)
 
 
@@ -78,10 +97,45 @@ def denial_text(page: Column) -> Column:
 
 
 def denials(pages: DataFrame) -> DataFrame:
-    """S11 quarantine: pages that are denials dressed up as normal responses."""
+    """``page_id`` and text of every page that carries a refusal instead of data."""
     return pages.select("page_id", denial_text(F.col("page")).alias("message")).filter(F.col("message").isNotNull())
 
 
+def completeness(pages: DataFrame, url: str | None = "url") -> DataFrame:
+    """One row: pages, unreadable pages, denials and gaps of a landed run (gaps need the pages' ``url``)."""
+    denied = denial_text(F.col("page")).isNotNull()
+    whole = pages.agg(
+        F.count(F.lit(1)).alias("n_pages"),
+        F.count_if(F.col("page").isNull()).alias("n_unreadable"),
+        F.count_if(denied).alias("n_denied"),
+    )
+    if url is None or url not in pages.columns:
+        return whole.withColumn("n_gaps", F.lit(0).cast("bigint"))
+    both = whole.unionByName(page_gaps(pages, url).agg(F.count(F.lit(1)).alias("n_gaps")), allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
+def require_complete(pages: DataFrame, url: str | None = "url") -> None:
+    """Raise :class:`IncompleteInput` unless every page of the run was landed, readable and answered."""
+    found = completeness(pages, url).first().asDict()
+    if found["n_unreadable"] or found["n_denied"] or found["n_gaps"]:
+        raise IncompleteInput(f"landed pages are incomplete: {found}")
+
+
+def affected_employees(pages: DataFrame) -> DataFrame:
+    """``employee_key`` of every page that is unreadable, refused or points to a page that did not land.
+
+    A page without an employee can't be held back alone and raises :class:`IncompleteInput`.
+    """
+    bad = pages.where(F.col("page").isNull() | denial_text(F.col("page")).isNotNull()).select("employee_key")
+    if "url" in pages.columns:
+        gaps = page_gaps(pages).select("page_id")
+        bad = bad.unionByName(pages.join(gaps, "page_id", "left_semi").select("employee_key"))
+    if not bad.where("employee_key IS NULL").isEmpty():
+        raise IncompleteInput("an unreadable or refused page names no employee")
+    return bad.distinct()
+
+
 def employee_keys(rows: DataFrame, row: str = "row") -> DataFrame:
     """S4 over unwrapped rows: the key as text; missing or empty keys dropped."""
     k = it.vget(F.col(row), "$.XRefCode")

@@ -26,17 +26,24 @@ ENTRY_TEXT_FIELDS = (
     "Status",
     "AllDay",
 )
-DAY_LIST_TYPE = "array<struct<Date:string,NetHours:double>>"
+#: Hours stay text, so that a value which is there but no number is told from a missing one.
+DAY_LIST_TYPE = "array<struct<Date:string,NetHours:string>>"
 
 
 def _day_list(row: Column) -> Column:
-    """First present day-list key (an empty list counts), elements as (Date, NetHours)."""
-    lists = [it.vget(row, f"$.{k}", "array<variant>") for k in DAY_LIST_KEYS]
-    chosen = F.coalesce(*lists)
+    """The first present day-list key (an empty list counts, null and '' don't), elements as (Date, NetHours).
+
+    A key that is present without being a list ends the search: the request has no breakdown.
+    """
+    chosen = None
+    for k in reversed(DAY_LIST_KEYS):
+        value = it.vget(row, f"$.{k}", "variant")
+        present = value.isNotNull() & ~F.is_variant_null(value) & ~F.coalesce(it.vget(row, f"$.{k}") == "", F.lit(False))
+        chosen = F.when(present, it.vget(row, f"$.{k}", "array<variant>")).otherwise(F.lit(None) if chosen is None else chosen)
 
     def elem(x: Column) -> Column:
         date = F.coalesce(*[it.text(x, f"$.{k}") for k in DAY_DATE_KEYS])
-        hours = F.coalesce(*[it.vget(x, f"$.{k}", "double") for k in DAY_HOURS_KEYS])
+        hours = F.coalesce(*[it.text(x, f"$.{k}") for k in DAY_HOURS_KEYS])
         return F.when(it.is_object(x), F.struct(date.alias("Date"), hours.alias("NetHours")))
 
     return F.transform(chosen, elem).cast(DAY_LIST_TYPE)
@@ -56,7 +63,7 @@ def entries_from_pages(pages: DataFrame, keep: tuple[str, ...] = ("employee_key"
         *keep,
         F.col("row_idx").cast("long").alias("entry_idx"),
         *[v.alias(k) for k, v in fields.items()],
-        it.vget(r, "$.NetHours", "double").alias("NetHours"),
+        it.vget(r, "$.NetHours").alias("NetHours"),
         _day_list(r).alias("DayList"),
         F.to_json(r).alias("source_payload"),
     )

@@ -1,16 +1,15 @@
 """Stored tables: declared schemas, typed projection, versioned snapshots.
 
-Plain file tables have no MERGE/UPDATE, so a cycle writes the merged table as
-a new *version* directory and never overwrites what it reads in the same
-plan. A version counts once Spark's committer wrote its ``_SUCCESS`` marker,
-so a job lost half-way leaves nothing visible and can simply be retried.
-Tables are partitioned by month of their date so a reader filtering on dates
-prunes files.
+Plain file tables have no MERGE/UPDATE, so a cycle writes what it changed to
+a new folder and never overwrites what it reads in the same plan. A version
+counts once its pointer file exists, so a job lost half-way leaves nothing
+visible and can simply be retried.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +54,10 @@ _TYPES = {
 }
 
 
+#: Files a month is spread over at most.
+MONTH_SPLITS = 16
+
+
 def schema_of(ddl: str) -> StructType:
     """Declared column list → ``StructType`` (no session needed)."""
     fields = []
@@ -72,13 +75,13 @@ DAY_SCHEMA = schema_of(DAY_DDL)
 def typed(df: DataFrame, schema: StructType, *, fill_missing: bool = True) -> DataFrame:
     """Project ``df`` onto ``schema`` — fixed order, declared types, missing → null.
 
-    Narrowing casts use ``try_cast`` semantics through :func:`not_null_violations`
-    so that a bad value is reported, not silently stored.
+    A value that can't be read as its type becomes null by ``try_cast``; a
+    null where the schema allows none is found by :func:`not_null_violations`.
     """
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
         elif fill_missing:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:
@@ -109,10 +112,15 @@ def add_missing_columns(df: DataFrame, added: Iterable[tuple[str, str]] = EMPLOY
     return df.select("*", *[F.lit(None).cast(t).alias(n) for n, t in extra]) if extra else df
 
 
-def add_missing_columns_sql(table: str, existing: Iterable[str], added=EMPLOYEE_ADDED_COLUMNS) -> list[str]:
-    """S18 for catalog tables: ``ALTER TABLE … ADD COLUMNS`` per missing column."""
-    have = {c.lower() for c in existing}
-    return [f"ALTER TABLE {table} ADD COLUMNS ({n} {t})" for n, t in added if n.lower() not in have]
+def evolve_table(spark: SparkSession, table: str, schema: StructType = None) -> list[str]:
+    """S18 for a catalog table: add the fields of ``schema`` that it lacks, in one statement; returns their names."""
+    schema = EMPLOYEE_SCHEMA if schema is None else schema
+    known = {f.name.lower() for f in spark.table(table).schema.fields}
+    lacking = [f for f in schema.fields if f.name.lower() not in known]
+    if lacking:
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lacking)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
+    return [f.name for f in lacking]
 
 
 def create_table_sql(
@@ -126,62 +134,101 @@ def create_table_sql(
 
 
 class SnapshotTable:
-    """A directory of immutable versions ``v=000001``, ``v=000002``, …
+    """Immutable versions of a table, as a pointer file each and the folders it names.
 
-    ``write`` always creates the next version; ``read`` returns the newest
-    committed one (or an empty frame of the declared schema).
+    A write goes to a folder of its own and then becomes version n by creating
+    ``versions/n`` without overwriting, last of all: a writer that died leaves
+    nothing visible, and of two writers of one version the second fails. The
+    pointer names the folder of every month (a table without months has one),
+    so a cycle writes only months in which a row changed and takes over the rest.
     """
 
+    #: ``merge_action`` values that leave a stored row as it is.
+    UNCHANGED = ("keep", "noop", "unchanged")
+
     def __init__(self, spark: SparkSession, root: str, schema: StructType, month_of: str | None = None):
         self.spark, self.root, self.schema, self.month_of = spark, root.rstrip("/"), schema, month_of
 
-    def _fs(self):
+    def _path(self, name: str):
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path, jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
     def versions(self) -> list[int]:
-        fs, root, jvm = self._fs()
-        if not fs.exists(root):
+        fs, path = self._path("versions")
+        if not fs.exists(path):
             return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
+        names = [st.getPath().getName() for st in fs.listStatus(path)]
+        return sorted(int(n) for n in names if n.isdigit())
 
     def current_version(self) -> int:
         v = self.versions()
         return v[-1] if v else 0
 
+    def folders(self, version: int) -> dict[str, str]:
+        """Month (or ``''``) → folder of a version."""
+        rows = self.spark.read.text(f"{self.root}/versions/{version:06d}").collect()  # a line per month
+        return dict(r["value"].split("\t") for r in rows)
+
+    def _commit(self, version: int, folders: dict[str, str]) -> None:
+        fs, path = self._path(f"versions/{version:06d}")
+        out = fs.create(path, False)  # fails where the version exists
+        try:
+            out.write(bytearray("".join(f"{m}\t{f}\n" for m, f in sorted(folders.items())).encode()))
+        finally:
+            out.close()
+
     def read(self, version: int | None = None, *, audit: bool = False) -> DataFrame:
-        """Newest committed version (or ``version``); ``audit`` keeps the
-        per-cycle audit columns written with it."""
+        """Newest committed version (or ``version``). ``audit`` adds the audit columns
+        of its cycle; rows of months taken over unwritten have ``merge_action`` 'keep'."""
         v = self.current_version() if version is None else version
         if v == 0:
             return empty(self.spark, self.schema)
-        df = self.spark.read.parquet(f"{self.root}/v={v:06d}")
-        if audit:
-            return df.drop("month")
-        return typed(df, self.schema)
+        paths = list(self.folders(v).values())
+        earlier = set(self.folders(v - 1).values()) if v > 1 and audit else set()
+        df = self._parts([p for p in paths if p not in earlier])
+        if not audit:
+            return typed(df, self.schema)
+        extra = [c for c in df.columns if c not in self.schema.fieldNames()]
+        own = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], *extra)
+        taken = [p for p in paths if p in earlier]
+        if not taken:
+            return own
+        rest = typed(self._parts(taken), self.schema)
+        rest = rest.withColumn("merge_action", F.lit("keep")) if "merge_action" in extra else rest
+        return own.unionByName(rest, allowMissingColumns=True)
+
+    def _parts(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return empty(self.spark, self.schema)
+        return self.spark.read.parquet(*[f"{self.root}/{f}" for f in folders])
 
     def write(self, df: DataFrame, audit: tuple[str, ...] = ()) -> int:
-        """Write ``df`` as the next version; ``audit`` columns are stored alongside."""
+        """Write ``df`` as the next version; ``audit`` columns are stored alongside.
+
+        ``df`` is the whole next table. With a ``merge_action`` column and
+        months, only months that hold a changed row are written; the others' folders stay.
+        """
         v = self.current_version() + 1
-        out = typed(df, self.schema)
-        if audit:
-            out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], *audit)
-        path = f"{self.root}/v={v:06d}"
-        if self.month_of:
-            # Range-partition by (month, key hash) first: partitions are balanced
-            # (a big month is split) and each holds one or few months, so the
-            # version has about one file per partition instead of one per
-            # task and month.
-            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            monthly = out.withColumn("month", F.date_format(F.col(self.month_of), "yyyy-MM"))
-            spread = monthly.repartitionByRange(n, "month", F.xxhash64(*[F.col(c) for c in out.columns[:3]]))
-            spread.write.mode("overwrite").partitionBy("month").parquet(path)
-        else:
-            out.write.mode("overwrite").parquet(path)
+        out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], *audit) if audit else typed(df, self.schema)
+        attempt = f"data/{uuid.uuid4().hex}"
+        if not self.month_of:
+            out.write.parquet(f"{self.root}/{attempt}")
+            self._commit(v, {"": attempt})
+            return v
+        month = F.coalesce(F.date_format(F.col(self.month_of), "yyyy-MM"), F.lit("none"))
+        old = self.folders(v - 1) if v > 1 else {}
+        monthly = out.withColumn("month", month)
+        if old and "merge_action" in df.columns:
+            changed = df.where(~F.col("merge_action").isin(*self.UNCHANGED)).select(month.alias("month")).distinct()
+            names = [r["month"] for r in changed.collect()]  # months, not rows
+            names += [r["month"] for r in df.select(month.alias("month")).distinct().collect() if r["month"] not in old]
+            monthly = monthly.where(F.col("month").isin(*names))
+        # By (month, hash of the first columns): each file holds one or few months, a big month is split.
+        spread = monthly.repartition("month", F.pmod(F.xxhash64(*[F.col(c) for c in out.columns[:3]]), F.lit(MONTH_SPLITS)))
+        spread.write.partitionBy("month").parquet(f"{self.root}/{attempt}")
+        fs, path = self._path(attempt)
+        written = [st.getPath().getName() for st in fs.listStatus(path)]
+        new = {n.removeprefix("month="): f"{attempt}/{n}" for n in written if n.startswith("month=")}
+        self._commit(v, old | new)
         return v

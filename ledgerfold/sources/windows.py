@@ -96,16 +96,19 @@ def manifest(employees: DataFrame, key: str, windows: Column, statuses: Sequence
     return employees.select(key, F.inline(combos))
 
 
-def overlapping(requests: DataFrame, manifest_rows: DataFrame, key: str, status: str, start, end) -> DataFrame:
-    """Requests that overlap a manifest window of their employee and status.
+def matching(requests: DataFrame, windows: Column, statuses: Sequence[str], status: str, start, end, always: Column | None = None) -> DataFrame:
+    """One row per request and window that it overlaps, with ``status_rank`` and ``window_idx``.
 
     Overlap is ``start <= hi and end >= lo`` (a missing end counts as the
     start); a request spanning a window edge matches both windows, as the
-    source returned it twice. Each employee's manifest is bounded by the
-    window and status parameters.
+    source returned it twice. The windows are a literal array, so matching is
+    a filter on the request's own row: no join. Rows for which ``always``
+    holds are kept once, with window 0.
     """
     s = _col(start)
     e = F.coalesce(_col(end), s)
-    m = manifest_rows.withColumnRenamed(key, "_mkey").withColumnRenamed("status", "_mstatus")
-    cond = (F.col(key) == F.col("_mkey")) & (F.col(status) == F.col("_mstatus")) & (s <= F.col("hi")) & (e >= F.col("lo"))
-    return requests.join(m, cond, "inner").drop("_mkey", "_mstatus")
+    always = F.lit(False) if always is None else F.coalesce(always, F.lit(False))
+    rank = F.array_position(F.array(*[F.lit(x) for x in statuses]), F.col(status)).cast("int") - 1
+    hits = F.transform(F.filter(windows, lambda w: (s <= w["hi"]) & (e >= w["lo"])), lambda w: w["window_idx"])
+    idx = F.when(always, F.array(F.lit(0))).otherwise(hits)
+    return requests.filter(F.col(status).isin(*statuses)).select("*", rank.alias("status_rank"), F.explode(idx).alias("window_idx"))

@@ -1,23 +1,25 @@
 """Incremental ledger runs over a landing folder (Structured Streaming).
 
-The source system is polled on a schedule and each poll lands one snapshot
-file of request pages (JSON lines ``{"employee_key":…, "page_id":…, "page":{…}}``).
-Instead of listing the folder by hand, a file stream with
-``trigger(availableNow=True)`` picks up exactly the snapshots not yet
-processed (its checkpoint remembers them) and ``foreachBatch`` applies each
-one as a ledger cycle, writing the next table version.
-
-One file per snapshot and ``maxFilesPerTrigger=1`` keep one snapshot per
-micro-batch: a cycle must see a whole snapshot, because anything missing from
-it is retired. If the driver dies after a version is written but before the
-batch commits, the batch is replayed on the new version; replaying the same
-snapshot only refreshes ``last_seen_at``.
+The source system is polled on a schedule and each poll lands one snapshot of
+request pages as any number of files of JSON lines
+(``{"snapshot_id":…, "employee_key":…, "page_id":…, "url":…, "page":{…}}``), and last of
+all a completion line ``{"snapshot_id":…, "pages":n}``. A file stream with
+``trigger(availableNow=True)`` picks up the files not yet processed and keeps
+their lines in a staging folder, one per micro-batch. A snapshot is applied as
+a ledger cycle once its completion line is there and as many readable pages as
+it names; until then nothing of it is used, because anything missing from a
+cycle is retired. How files fall into micro-batches has no influence.
+
+Snapshots are applied in the order of their ids. If the driver dies after a
+version is written but before the snapshot is noted as applied, it is applied
+again; that only refreshes ``last_seen_at``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,24 +28,57 @@ from ledgerfold.plans.cycle import LedgerCycle, run_ledger_cycle
 from ledgerfold.sources.requests import entries_from_pages
 from ledgerfold.sources.tables import SnapshotTable
 
+LANDED = "snapshot_id string, value string"
+
+
+def landed_lines(spark: SparkSession, landing_path: str) -> DataFrame:
+    """Streaming frame of landed lines with the snapshot they belong to (null where unreadable)."""
+    raw = spark.readStream.format("text").load(landing_path)
+    return raw.select(it.vget(F.try_parse_json(F.col("value")), "$.snapshot_id").alias("snapshot_id"), "value")
 
-def landed_snapshots(spark: SparkSession, landing_path: str) -> DataFrame:
-    """Streaming frame of landed page records: ``employee_key, page_id, page``."""
-    raw = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(landing_path)
+
+def snapshot_pages(lines: DataFrame) -> DataFrame:
+    """Landed lines → ``snapshot_id, pages, employee_key, page_id, url, page``; completion lines have ``pages``."""
     v = F.try_parse_json(F.col("value"))
-    return raw.select(
+    return lines.select(
+        "snapshot_id",
+        it.vget(v, "$.pages", "long").alias("pages"),
         it.vget(v, "$.employee_key").alias("employee_key"),
         it.vget(v, "$.page_id", "long").alias("page_id"),
+        it.vget(v, "$.url").alias("url"),
         it.vget(v, "$.page", "variant").alias("page"),
     )
 
 
-def apply_snapshot(table: SnapshotTable, batch: DataFrame, epoch_id: int, *, run_prefix: str, expand_multi_day: bool):
-    """``foreachBatch`` body: one micro-batch = one complete snapshot = one ledger cycle."""
-    now = dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None).isoformat(sep=" ")
-    cfg = LedgerCycle(now=now, run_id=f"{run_prefix}-{epoch_id}", expand_multi_day=expand_multi_day)
-    entries = entries_from_pages(batch)
-    run_ledger_cycle(table, entries, cfg)
+def complete_snapshots(lines: DataFrame) -> DataFrame:
+    """Ids of snapshots whose completion line names exactly the pages that landed."""
+    p = snapshot_pages(lines).where("snapshot_id IS NOT NULL")
+    counts = p.groupBy("snapshot_id").agg(F.max("pages").alias("want"), F.count_distinct(F.when(F.col("page").isNotNull(), F.col("page_id"))).alias("got"))
+    return counts.where("want = got").select("snapshot_id")
+
+
+def _applied(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema("snapshot_id string").parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "snapshot_id string")
+
+
+def apply_landed(table: SnapshotTable, batch: DataFrame, epoch_id: int, *, work: str, run_prefix: str, expand_multi_day: bool, strict: bool):
+    """``foreachBatch`` body: stage the batch, then one ledger cycle per snapshot that is now complete."""
+    spark = batch.sparkSession
+    batch.write.mode("overwrite").parquet(f"{work}/landed/batch={epoch_id}")  # a repeated batch replaces itself
+    landed = spark.read.schema(LANDED).parquet(f"{work}/landed")
+    ready = complete_snapshots(landed).join(_applied(spark, f"{work}/applied"), "snapshot_id", "left_anti")
+    for row in ready.orderBy("snapshot_id").collect():  # ids of new snapshots
+        now = dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None).isoformat(sep=" ")
+        cfg = LedgerCycle(now=now, run_id=f"{run_prefix}-{row['snapshot_id']}", expand_multi_day=expand_multi_day)
+        pages = snapshot_pages(landed.where(F.col("snapshot_id") == row["snapshot_id"])).where("pages IS NULL")
+        pages = pages.dropDuplicates(["page_id"])
+        run_ledger_cycle(table, entries_from_pages(pages), cfg, pages=pages, strict=strict)
+        spark.createDataFrame([(row["snapshot_id"],)], "snapshot_id string").write.mode("append").parquet(f"{work}/applied")
 
 
 def run_available(
@@ -54,12 +89,19 @@ def run_available(
     *,
     run_prefix: str = "stream",
     expand_multi_day: bool = False,
+    strict: bool = True,
 ):
-    """Process every snapshot landed since the last run, then stop (``availableNow``)."""
+    """Process everything landed since the last run, then stop (``availableNow``).
+
+    ``strict`` ends the run on a refused page or one whose next page is missing; otherwise the employees
+    concerned keep their stored rows (see :func:`run_ledger_cycle`).
+    """
     q = (
-        landed_snapshots(spark, landing_path)
+        landed_lines(spark, landing_path)
         .writeStream.foreachBatch(
-            lambda df, eid: apply_snapshot(table, df, eid, run_prefix=run_prefix, expand_multi_day=expand_multi_day)
+            lambda df, eid: apply_landed(
+                table, df, eid, work=f"{checkpoint}-work", run_prefix=run_prefix, expand_multi_day=expand_multi_day, strict=strict
+            )
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -6,6 +6,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerfold.sources import pages, tables
@@ -13,14 +14,23 @@ from ledgerfold.sources import pages, tables
 
 def test_read_landed_json_files(spark):
     folder = tempfile.mkdtemp(dir=spark.conf.get("spark.checkpoint.dir"), prefix="pages-")
-    docs = {"p0.json": {"Data": [{"XRefCode": "A"}, {"XRefCode": "B"}], "Paging": {"Next": "p1.json"}},
-            "p1.json": [{"XRefCode": "C"}, 3]}
-    for name, doc in docs.items():
+    files = {
+        "a.json": [{"page_id": 0, "url": "https://x/list?p=0", "page": {"Data": [{"XRefCode": "A"}, {"XRefCode": "B"}], "Paging": {"Next": "https://x/list?p=1"}}},
+                   {"page_id": 1, "url": "https://x/list?p=1", "page": [{"XRefCode": "C"}, 3]}],
+        "b.json": [{"page_id": 2, "url": "https://x/list?p=2", "page": {"Data": [], "Paging": {"Next": {"href": " https://x/list?p=9 "}}}}],
+    }
+    for name, docs in files.items():
         with open(os.path.join(folder, name), "w") as fh:
-            fh.write(json.dumps(doc) + "\n")
-    p = pages.read_pages(spark, folder).withColumn("page_id", F.regexp_extract("url", r"p(\d)\.json", 1).cast("long"))
+            fh.write("\n".join(json.dumps(d) for d in docs) + "\n")
+    p = pages.read_pages(spark, folder)
     rows = pages.employee_keys(pages.unwrap_list(p)).orderBy("page_id", "row_idx").collect()
     assert [r["XRefCode"] for r in rows] == ["A", "B", "C"]
+    assert [tuple(r) for r in pages.page_gaps(p).select("page_id", "next_url").collect()] == [(2, "https://x/list?p=9")]
+    assert pages.denials(p).count() == 0
+    assert pages.completeness(p).first().asDict() == {"n_pages": 3, "n_unreadable": 0, "n_denied": 0, "n_gaps": 1}
+    with pytest.raises(pages.IncompleteInput):
+        pages.require_complete(p)
+    pages.require_complete(p.where("page_id < 2"))
 
 
 def test_create_and_evolve_catalog_table(spark):
@@ -28,15 +38,9 @@ def test_create_and_evolve_catalog_table(spark):
     old_ddl = "XRefCode STRING NOT NULL, employee_name STRING, DepartmentXRefCode STRING, ProjectId INT, TaskId INT"
     spark.sql("DROP TABLE IF EXISTS lf_test_employees")
     spark.sql(tables.create_table_sql("lf_test_employees", old_ddl, location=loc))
-    stmts = tables.add_missing_columns_sql("lf_test_employees", spark.table("lf_test_employees").columns)
-    assert stmts == [
-        "ALTER TABLE lf_test_employees ADD COLUMNS (employment_status STRING)",
-        "ALTER TABLE lf_test_employees ADD COLUMNS (UpdatedDateTime TIMESTAMP)",
-    ]
-    for st in stmts:
-        spark.sql(st)
+    assert tables.evolve_table(spark, "lf_test_employees") == ["employment_status", "UpdatedDateTime"]
     assert spark.table("lf_test_employees").columns == tables.EMPLOYEE_SCHEMA.fieldNames()
-    assert tables.add_missing_columns_sql("lf_test_employees", spark.table("lf_test_employees").columns) == []
+    assert tables.evolve_table(spark, "lf_test_employees") == []
     spark.sql("DROP TABLE lf_test_employees")
 
 
@@ -71,3 +75,42 @@ def test_planned_partitions_runs_no_job(spark):
     n = planned_partitions(df)
     assert n > 0 and len(tracker.getJobIdsForGroup(None)) == before
     assert spark.conf.get("spark.sql.adaptive.enabled") in ("true", "True")
+
+
+def test_versions_without_success_markers_and_untouched_months(spark):
+    """A version is its pointer file; a month without a changed row keeps its files."""
+    import datetime as dt
+    from decimal import Decimal
+
+    root = tempfile.mkdtemp(dir=spark.conf.get("spark.checkpoint.dir"), prefix="months-")
+    t = tables.SnapshotTable(spark, f"{root}/t", tables.DAY_SCHEMA, month_of="Date")
+
+    def rows(*hours):
+        data = [("A", dt.date(2031, m + 1, 3), Decimal(h), None, None, "Approved", f"h{m}", None, act) for m, (h, act) in enumerate(hours)]
+        return spark.createDataFrame(data, tables.DAY_SCHEMA.simpleString()[7:-1].replace(":", " ") + ", merge_action string")
+
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        assert t.write(rows((8, "insert"), (8, "insert")), audit=("merge_action",)) == 1
+        assert t.write(rows((8, "keep"), (4, "update"), (2, "insert")), audit=("merge_action",)) == 2
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    one, two = t.folders(1), t.folders(2)
+    assert set(one) == {"2031-01", "2031-02"} and set(two) == {"2031-01", "2031-02", "2031-03"}
+    assert one["2031-01"] == two["2031-01"] and one["2031-02"] != two["2031-02"]
+    assert {r["RecordHash"]: int(r["Hours"]) for r in t.read().collect()} == {"h0": 8, "h1": 4, "h2": 2}
+    assert {r["RecordHash"]: r["merge_action"] for r in t.read(audit=True).collect()} == {"h0": "keep", "h1": "update", "h2": "insert"}
+    assert t.read(1).count() == 2
+    with pytest.raises(Exception):  # two writers of one version: the second fails
+        t._commit(2, {})
+    assert t.read().count() == 3
+
+
+def test_names_that_are_null_blank_or_differ_in_case(spark):
+    from ledgerfold.operators import roster
+
+    texts = ['{"XRefCode":"emp-1","a b":1,"c":null,"d":{"x":null,"Y y":[{"k k":null}]},"A B":"z"}', '{"XRefCode":"emp-2\\u00a0","A b":"q","a b":7}']
+    df = spark.createDataFrame(list(enumerate(texts)), "page_id long, t string").select("page_id", F.lit(0).alias("row_idx"), F.parse_json("t").alias("row"))
+    out = roster.roster_frame_from_pages(df, "EMP")
+    assert [c.lower() for c in out.columns] == ["xrefcode", "a b", "c", "d.y y", "d.x"]
+    assert [r[1] for r in out.orderBy("XRefCode").collect()] == ["z", "q"]

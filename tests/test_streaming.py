@@ -1,4 +1,4 @@
-"""Landing-folder trigger: two snapshots → two ledger versions (stream, availableNow)."""
+"""Landing-folder trigger: whole snapshots only, however their files arrive."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerfold.sources.tables import LEDGER_SCHEMA, SnapshotTable
@@ -17,24 +18,67 @@ def entry(day, hours):
             "ReasonName": "Vacation", "PayAdjustmentCodeName": "VAC", "Status": "APPROVED"}
 
 
-def land(folder, name, pages):
-    with open(os.path.join(folder, name), "w") as fh:
-        for i, (key, entries) in enumerate(pages):
-            fh.write(json.dumps({"employee_key": key, "page_id": i, "page": {"Data": entries}}) + "\n")
+def page_lines(snapshot, pages, first=0):
+    return [json.dumps({"snapshot_id": snapshot, "employee_key": key, "page_id": first + i, "page": {"Data": entries}}) for i, (key, entries) in enumerate(pages)]
 
 
-def test_two_snapshots_two_versions(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    landing = tempfile.mkdtemp(dir=base, prefix="landing-")
+def done(snapshot, n):
+    return json.dumps({"snapshot_id": snapshot, "pages": n})
+
+
+@pytest.fixture
+def land(spark):
+    landing = tempfile.mkdtemp(dir=spark.conf.get("spark.checkpoint.dir"), prefix="landing-")
     table = SnapshotTable(spark, f"{landing}-ledger", LEDGER_SCHEMA, month_of="pto_date")
-    ckpt = f"{landing}-ckpt"
-    land(landing, "snap-1.json", [("EMP-001", [entry("2026-03-16", 8), entry("2026-03-20", 8)])])
-    run_available(spark, landing, table, ckpt)
-    assert table.current_version() == 1
-    land(landing, "snap-2.json", [("EMP-001", [entry("2026-03-16", 4), entry("2026-03-25", 8)])])
-    run_available(spark, landing, table, ckpt)
+
+    def put(name, lines, **how):
+        with open(os.path.join(landing, name), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        run_available(spark, landing, table, f"{landing}-ckpt", **how)
+        return table
+
+    return put
+
+
+def active(table):
+    return {r["employee_xref"] for r in table.read().where("is_active").collect()}
+
+
+def test_two_snapshots_two_versions(land):
+    one = page_lines("s1", [("EMP-001", [entry("2026-03-16", 8), entry("2026-03-20", 8)])])
+    assert land("1.json", [*one, done("s1", 1)]).current_version() == 1
+    two = page_lines("s2", [("EMP-001", [entry("2026-03-16", 4), entry("2026-03-25", 8)])])
+    table = land("2.json", [*two, done("s2", 1)])
     assert table.current_version() == 2
     v2 = table.read(2, audit=True)
     acts = {r["action"]: r["n"] for r in v2.groupBy("action").agg(F.count("*").alias("n")).collect()}
     assert acts == {"new": 1, "changed": 1, "cancelled": 1, "superseded": 1}
     assert v2.filter("is_active").count() == 2
+
+
+def test_snapshot_in_several_files_is_one_cycle(land):
+    a, b = page_lines("s1", [("A", [entry("2026-03-16", 8)])]), page_lines("s1", [("B", [entry("2026-03-17", 8)])], first=1)
+    assert land("1.json", a).current_version() == 0
+    assert land("2.json", b).current_version() == 0  # no completion line yet
+    table = land("3.json", [done("s1", 2)])
+    assert table.current_version() == 1 and active(table) == {"A", "B"}
+
+
+def test_cut_line_holds_the_snapshot_back(land):
+    lines = page_lines("s1", [("A", [entry("2026-03-16", 8)]), ("B", [entry("2026-03-17", 8)])])
+    assert active(land("1.json", [*lines, done("s1", 2)])) == {"A", "B"}
+    again = page_lines("s2", [("A", [entry("2026-03-16", 8)]), ("B", [entry("2026-03-17", 8)])])
+    table = land("2.json", [again[0], again[1][:-20], done("s2", 2)])
+    assert table.current_version() == 1 and active(table) == {"A", "B"}
+
+
+def test_refused_page_ends_or_holds(land):
+    lines = page_lines("s1", [("A", [entry("2026-03-16", 8)]), ("B", [entry("2026-03-17", 8)]), ("C", [entry("2026-03-18", 8)])])
+    land("1.json", [*lines, done("s1", 3)])
+    refused = json.dumps({"snapshot_id": "s2", "employee_key": "B", "page_id": 1, "page": {"Message": "Too many requests"}})
+    two = [page_lines("s2", [("A", [entry("2026-03-16", 8)])])[0], refused, json.dumps({"snapshot_id": "s2", "employee_key": "C", "page_id": 2, "page": {"Data": []}}), done("s2", 3)]
+    table = land("2.json", two, strict=False)
+    assert table.current_version() == 2 and active(table) == {"A", "B"}  # C is gone, B is held
+    with pytest.raises(Exception, match="incomplete"):
+        land("3.json", [line.replace('"s2"', '"s3"') for line in two])
+    assert active(table) == {"A", "B"}
