@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ledgerfold.llm.common import among_lowest
 
 TABLES, REACH, SAMPLE = 3, 0.75, 4096
-MOST_BUCKETS, BLOCK = 4096, 4096
+MOST_BUCKETS, BLOCK, GROUP = 4096, 4096, 16384
 #: Width of a cell, in standard deviations of a projection.
 WIDTH = 2.0
 
@@ -114,6 +114,22 @@ def fit(sample: np.ndarray, n: int, norm: float, k: int, tables: int, seed: int)
     return index
 
 
+def _best(out: tuple[list, list, list], asked: np.ndarray, near: np.ndarray, score: np.ndarray, names: np.ndarray, k: int) -> None:
+    """Append each query's k best different neighbours, by score and then id."""
+    order = np.lexsort((names[near], -score, names[asked]))
+    asked, near, score = asked[order], near[order], score[order]
+    again = np.lexsort((np.arange(len(asked)), names[near], names[asked]))  # a neighbour's best row comes first
+    q, n = names[asked][again], names[near][again]
+    repeated = np.zeros(len(asked), bool)
+    repeated[again[1:]] = (q[1:] == q[:-1]) & (n[1:] == n[:-1])
+    asked, near, score = asked[~repeated], near[~repeated], score[~repeated]
+    q = names[asked]
+    first = np.searchsorted(q, q)
+    keep = np.arange(len(q)) - first < k
+    for held, part in zip(out, (asked, near, score)):
+        held.append(part[keep])
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return np.asarray(lists.flatten(), np.float64).reshape(len(lists), -1)
@@ -159,6 +175,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     for s in splits:
         firsts.append(total + np.cumsum(s) - s)
         total += int(s.sum())
+    # blocks that are answered together: one result per query and group, GROUP rows or one block
+    sizes = np.concatenate([np.repeat([m / -(-m // BLOCK) for _, m in h], s) for h, s in zip(held, splits)])
+    group_of = np.floor((np.cumsum(sizes) - sizes) / GROUP).astype(np.int64)
     queries = rows.where(is_query).count()
     sets = max(1, -(-queries // BLOCK))  # blocks of queries
 
@@ -190,40 +209,38 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
             pick = np.concatenate(picks)
             for at in range(0, len(pick), 20_000):
                 part = pa.array(pick[at : at + 20_000])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)[at : at + 20_000]), pa.array(np.concatenate(sides)[at : at + 20_000]), batch.column("vec_id").take(part), batch.column("v").take(part)], ["key", "asks", "vec_id", "v"])
+                key = np.concatenate(keys)[at : at + 20_000]
+                group = group_of[key // sets] * sets + key % sets
+                yield pa.RecordBatch.from_arrays([pa.array(group), pa.array(key), pa.array(np.concatenate(sides)[at : at + 20_000]), batch.column("vec_id").take(part), batch.column("v").take(part)], ["part", "key", "asks", "vec_id", "v"])
 
-    dealt = rows.select("vec_id", "v", is_query.alias("asks"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 40)).alias("salt")).mapInArrow(deal, f"key long, asks boolean, vec_id {kind}, v array<double>")
+    dealt = rows.select("vec_id", "v", is_query.alias("asks"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 40)).alias("salt")).mapInArrow(deal, f"part long, key long, asks boolean, vec_id {kind}, v array<double>")
 
     def rerank(group: pa.Table) -> pa.Table:
+        """Each query's k best in a group of blocks."""
         asks = np.asarray(group.column("asks").combine_chunks())
         ids = group.column("vec_id").combine_chunks()
+        block = np.asarray(group.column("key").combine_chunks())
         v = _matrix(group.column("v"))
-        them, us = np.flatnonzero(~asks), np.flatnonzero(asks)
-        names = np.asarray(ids)
+        _, names = np.unique(np.asarray(ids), return_inverse=True)  # numbers in the order of ids
         found = ([], [], [])
-        for at in range(0, len(us) if len(them) else 0, 256):
-            q = us[at : at + 256]
-            score = v[q] @ v[them].T
-            score[names[q][:, None] == names[them][None]] = -np.inf
-            if len(them) > k:
-                # everything that ties with the k-th stays; the final ranking settles ties by id
-                least = np.partition(score, len(them) - k, axis=1)[:, len(them) - k]
-            else:
-                least = np.full(len(q), -np.inf)
-            i, j = np.nonzero((score >= least[:, None]) & (score > -np.inf))
-            if len(i) > 2 * k * len(q):  # many ties: keep each query's first k by score and id
-                order = np.lexsort((names[them[j]], -score[i, j], i))
-                i, j = i[order], j[order]
-                first = np.searchsorted(i, np.arange(len(q)))
-                keep = np.arange(len(i)) - first[i] < k
-                i, j = i[keep], j[keep]
-            found[0].append(q[i])
-            found[1].append(them[j])
-            found[2].append(score[i, j])
+        for one in np.unique(block):
+            here = np.flatnonzero(block == one)
+            them, us = here[~asks[here]], here[asks[here]]
+            for at in range(0, len(us) if len(them) else 0, 256):
+                q = us[at : at + 256]
+                score = v[q] @ v[them].T
+                score[names[q][:, None] == names[them][None]] = -np.inf
+                # everything that ties with the k-th stays until ties are settled by id
+                least = np.partition(score, len(them) - k, axis=1)[:, len(them) - k] if len(them) > k else np.full(len(q), -np.inf)
+                i, j = np.nonzero((score >= least[:, None]) & (score > -np.inf))
+                _best(found, q[i], them[j], score[i, j], names, k)
         asked, near, score = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in found)
+        kept = ([], [], [])
+        _best(kept, asked, near, score, names, k)
+        asked, near, score = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in kept)
         return pa.Table.from_arrays([ids.take(pa.array(asked, pa.int64())), ids.take(pa.array(near, pa.int64())), pa.array(score, pa.float64())], ["query_id", "vec_id", "score"])
 
-    pairs = dealt.groupBy("key").applyInArrow(rerank, schema)
+    pairs = dealt.groupBy("part").applyInArrow(rerank, schema)
     best = pairs.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
