@@ -96,9 +96,13 @@ def classify_identities(
     back instead (AQE splits a hot key in the join). That form never puts a
     whole employee-day into one task, but re-runs the identity subtree.
     """
-    f = _flags(ident)
-    has_order = "sto" in f.columns and stored_order in f.schema["sto"].dataType.fieldNames()
-    tiebreak = F.struct(F.col(f"sto.{stored_order}") if has_order else F.lit(None), F.col(hash_col))
+    has_order = "sto" in ident.columns and stored_order in ident.schema["sto"].dataType.fieldNames()
+    seen = F.col(f"sto.{stored_order}") if has_order else F.lit(None)
+    return _with_action(_flags(ident), seen, natural_key, hash_col, hot_keys)
+
+
+def _with_action(f: DataFrame, seen: Column, natural_key: Sequence[str], hash_col: str, hot_keys: bool) -> DataFrame:
+    tiebreak = F.struct(seen, F.col(hash_col))
     parts = {
         "_has_fresh": F.max(F.col("fresh").cast("int")),
         "_has_gone": F.max(F.col("gone").cast("int")),
@@ -126,17 +130,26 @@ def reconcile(
     *,
     natural_key: Sequence[str] = NATURAL_KEY,
     hash_col: str = HASH,
+    stored_order: str = "first_seen_at",
     hot_keys: bool = False,
 ) -> DataFrame:
-    """J6-J9 as one frame: ``natural key, hash, action`` plus the snapshot row.
+    """J6-J9 as one frame: ``natural key, hash, action``.
 
+    Only keys, two flags and the stored row's first sight are shuffled; they
+    are maxima, so copies combine in a hash aggregate before the exchange.
     ``stored`` may hold every ledger row; only active ones (missing flag =
     active, P24) take part in the pairing. Inactive stored rows that do not
     reappear get no action and are left out.
     """
-    ident = identities(current, stored, natural_key=natural_key, hash_col=hash_col)
-    c = classify_identities(ident, natural_key=natural_key, hash_col=hash_col, hot_keys=hot_keys)
-    return c.filter(F.col("action").isNotNull())
+    keys = [*natural_key, hash_col]
+    order = F.col(stored_order).cast("timestamp") if stored_order in stored.columns else F.lit(None).cast("timestamp")
+    flag = F.coalesce(F.col("is_active"), F.lit(True)) if "is_active" in stored.columns else F.lit(True)
+    cur = current.select(*keys, F.lit(True).alias("in_cur"), F.lit(False).alias("st_active"), F.lit(None).cast("timestamp").alias("_seen"))
+    sto = stored.select(*keys, F.lit(False).alias("in_cur"), flag.alias("st_active"), order.alias("_seen"))
+    one = cur.unionByName(sto).groupBy(*keys).agg(*[F.max(c).alias(c) for c in ("in_cur", "st_active", "_seen")])
+    f = one.withColumns({"fresh": F.col("in_cur") & ~F.col("st_active"), "gone": ~F.col("in_cur") & F.col("st_active")})
+    c = _with_action(f, F.col("_seen"), natural_key, hash_col, hot_keys)
+    return c.filter(F.col("action").isNotNull()).select(*keys, "action")
 
 
 def action_counts(classified: DataFrame) -> DataFrame:

@@ -145,58 +145,58 @@ def hours_half_even(spark, sf):
 @query("expand_daylist")
 def expand_daylist(spark, sf):
     """Requests carrying a usable per-day list, one row per listed day."""
-    d = ledger_days(spark, sf, 1, multi=False)
+    d = ledger_days(spark, sf, 0, multi=False)
     return d.filter(F.col("day_source") == "list").select(*DAY_OUT)
 
 
 @query("expand_even")
 def expand_even(spark, sf):
     """X2 + W3: even split over calendar days, end inclusive, remainder on the last day."""
-    d = ledger_days(spark, sf, 1, multi=True)
+    d = ledger_days(spark, sf, 0, multi=True)
     return d.filter(F.col("day_source") == "spread").select(*DAY_OUT)
 
 
 @query("expand_choice")
 def expand_choice(spark, sf):
     """X4 + P13-P18: list → even split → single day, every valid request of cycle 1."""
-    return ledger_days(spark, sf, 1, multi=True).select(*DAY_OUT)
+    return ledger_days(spark, sf, 0, multi=True).select(*DAY_OUT)
 
 
 @query("expand_single")
 def expand_single(spark, sf):
     """X4 without the multi-day option: list → single day on the start date."""
-    return ledger_days(spark, sf, 1, multi=False).select(*DAY_OUT)
+    return ledger_days(spark, sf, 0, multi=False).select(*DAY_OUT)
 
 
 @query("expand_quarantine")
 def expand_quarantine(spark, sf):
     """Requests rejected as a whole, with the reason."""
-    r = expand.rejected_entries(derive.requests(spark, sf, 1), expand_multi_day=True)
+    r = expand.rejected_entries(derive.requests(spark, sf, 0), expand_multi_day=True)
     return r.select("entry_idx", "employee_key", "reject_reason")
 
 
 @query("expand_weekdays")
 def expand_weekdays(spark, sf):
     """X3 + P21 + H10: tagged requests → weekday rows of the day table (before dedupe)."""
-    return expand.weekday_days(derive.tagged_requests(spark, sf, 1))
+    return expand.weekday_days(derive.tagged_requests(spark, sf, 0))
 
 
 @query("weekday_quarantine")
 def weekday_quarantine(spark, sf):
     """Q8 + P14 for the day-table flow: tagged requests that cannot be expanded, with the reason."""
-    r = expand.weekday_rejects(derive.tagged_requests(spark, sf, 1))
+    r = expand.weekday_rejects(derive.tagged_requests(spark, sf, 0))
     return r.select("status_rank", "entry_idx", "_XRefCode", "reject_reason")
 
 
 @query("split_sum_check")
 def split_sum_check(spark, sf):
     """A10: per split request, days and split total vs the request's rounded total."""
-    d = ledger_days(spark, sf, 1, multi=True).filter(F.col("day_source") == "spread")
+    d = ledger_days(spark, sf, 0, multi=True).filter(F.col("day_source") == "spread")
     per = d.groupBy("entry_idx").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_days"),
         F.sum("hours_requested").cast("decimal(12,2)").alias("split_total"),
     )
-    req = derive.requests(spark, sf, 1).select(
+    req = derive.requests(spark, sf, 0).select(
         "entry_idx", idf.norm_hours(F.coalesce(F.col("NetHours"), F.lit(0.0))).cast("decimal(12,2)").alias("entry_total")
     )
     j = per.join(req, "entry_idx")
@@ -227,7 +227,7 @@ def dedupe_first(spark, sf):
 @query("dedupe_day_records")
 def dedupe_day_records(spark, sf):
     """A1 on day records: one row per identity, the earliest (entry, day) wins."""
-    d = ledger_days(spark, sf, 1, multi=True).select(*DAY_OUT)
+    d = ledger_days(spark, sf, 0, multi=True).select(*DAY_OUT)
     return dedupe.dedupe_day_records(d, order=("entry_idx", "day_idx"))
 
 
@@ -299,7 +299,7 @@ def ledger_stats(spark, sf):
 @query("hash_collisions")
 def hash_collisions(spark, sf):
     """Identities whose 16-hex prefix is shared by more than one canonical text."""
-    d = ledger_days(spark, sf, 1)
+    d = ledger_days(spark, sf, 0)
     canon = F.concat_ws(
         "|", "employee_xref", F.col("pto_date").cast("string"), "approval_type_code",
         F.col("hours_requested").cast("string"),
@@ -314,7 +314,7 @@ def hash_collisions(spark, sf):
 @query("hash_migrate_v1")
 def hash_migrate_v1(spark, sf):
     """H7: a full 64-hex (v1) digest migrates to its 16-hex prefix, equal to the v2 hash."""
-    d = ledger_days(spark, sf, 1)
+    d = ledger_days(spark, sf, 0)
     canon = F.concat_ws(
         "|", "employee_xref", F.col("pto_date").cast("string"), "approval_type_code",
         F.col("hours_requested").cast("string"),
@@ -518,7 +518,7 @@ def _day_view(df: DataFrame) -> DataFrame:
 @query("day_rows_deduped")
 def day_rows_deduped(spark, sf):
     """A1 on day-table rows: one row per RecordHash, APPROVED before CANCELED (Q3)."""
-    return day_source(spark, sf, 1)
+    return day_source(spark, sf, 0)
 
 
 @query("day_merge")
@@ -548,8 +548,8 @@ def merge_metrics_q(spark, sf):
 # --------------------------------------------------------------------------- #
 # Landed pages                                               #
 # --------------------------------------------------------------------------- #
-def landed(spark, sf) -> DataFrame:
-    return pages.parse_pages(derive.landed_pages(spark, sf))
+def landed(spark, sf, gaps: bool = False) -> DataFrame:
+    return pages.parse_pages(derive.landed_pages(spark, sf, gaps))
 
 
 @query("page_unwrap")
@@ -589,7 +589,7 @@ def page_denials(spark, sf):
 @query("page_gaps")
 def page_gaps(spark, sf):
     """Next-page pointers (text or href) whose page never landed."""
-    return pages.page_gaps(landed(spark, sf))
+    return pages.page_gaps(landed(spark, sf, gaps=True))
 
 
 @query("single_unwrap")
@@ -609,6 +609,7 @@ def single_unwrap(spark, sf):
 # Windows and manifest                                       #
 # --------------------------------------------------------------------------- #
 NOW_SPAN = "1998-06-15 10:30:00"
+NOW_SPAN_2 = "1998-06-16 10:30:00"
 
 
 def _customer_span(spark, sf) -> DataFrame:
@@ -656,7 +657,7 @@ def request_manifest(spark, sf):
 @query("requests_in_span")
 def requests_in_span(spark, sf):
     """Requests overlapping a manifest window of their employee and status (edge spanners twice)."""
-    r = derive.requests(spark, sf, 1).select(
+    r = derive.requests(spark, sf, 0).select(
         "entry_idx", F.trim("employee_key").alias("XRefCode"), "Status",
         F.col("TimeStart").try_cast("timestamp_ntz").alias("ts0"), F.col("TimeEnd").try_cast("timestamp_ntz").alias("ts1"),
     ).filter(F.col("ts0").isNotNull())
@@ -686,7 +687,7 @@ def bool_parse(spark, sf):
 @query("status_title")
 def status_title(spark, sf):
     """Status words title-cased."""
-    r = derive.requests(spark, sf, 1)
+    r = derive.requests(spark, sf, 0)
     return r.select("entry_idx", "Status", vf.title_status(F.col("Status")).alias("status_title"))
 
 
@@ -758,7 +759,7 @@ def cycle_metrics_q(spark, sf):
 @query("roster_preview")
 def roster_preview(spark, sf):
     """O1 + O3: first rows of the day table in (employee, date, hash) order — the limit is the feature."""
-    d = day_source(spark, sf, 1)
+    d = day_source(spark, sf, 0)
     return d.orderBy("XRefCode", "Date", "RecordHash").limit(20).select("XRefCode", "Date", "Hours", "Status", "RecordHash")
 
 
@@ -778,7 +779,7 @@ def job_employee_table(spark, sf):
 
     t = jobs.new_table(spark, "employees", EMPLOYEE_SCHEMA, _tag())
     out = jobs.employee_table_job(
-        t, derive.roster_rows(spark, sf), details(spark, sf), derive.department_map_rows(spark, sf), prefix=PREFIX, now=NOW1
+        t, derive.roster_rows(spark, sf), details(spark, sf), derive.department_map_rows(spark, sf), prefix=PREFIX, now=NOW1, strict=False
     )
     return out.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
 
@@ -789,7 +790,7 @@ def job_day_table(spark, sf):
     from ledgerfold.plans import jobs
 
     t = jobs.new_table(spark, "days", DAY_SCHEMA, _tag())
-    out = jobs.day_table_job(t, employee_source(spark, sf), derive.requests(spark, sf, 1), now=NOW_SPAN, strict=False)
+    out = jobs.day_table_job(t, employee_source(spark, sf), derive.requests(spark, sf, 0), now=NOW_SPAN, strict=False)
     return out.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
 
 
@@ -806,11 +807,58 @@ def landed_requests_expand(spark, sf):
     """S3 + X4: requests landed as JSON pages, unwrapped and expanded (equals expand_choice)."""
     from ledgerfold.sources import requests as req_src
 
-    p = pages.parse_pages(derive.landed_request_pages(spark, sf, 1))
+    p = pages.parse_pages(derive.landed_request_pages(spark, sf, 0))
     e = req_src.entries_from_pages(p).withColumn("entry_idx", F.col("page_id"))
     return expand.ledger_days(e.drop("page_id"), expand_multi_day=True).select(*DAY_OUT)
 
 
+@query("landed_rejects")
+def landed_rejects(spark, sf):
+    """P14/P15 from landed JSON pages: requests rejected as a whole, with the reason."""
+    from ledgerfold.sources import requests as req_src
+
+    p = pages.parse_pages(derive.landed_request_pages(spark, sf, 0))
+    e = req_src.entries_from_pages(p).withColumn("entry_idx", F.col("page_id"))
+    return expand.rejected_entries(e.drop("page_id"), expand_multi_day=True).select("entry_idx", "employee_key", "reject_reason")
+
+
+@query("page_completeness")
+def page_completeness(spark, sf):
+    """S11 + S12 gate: pages, unreadable pages, denials and gaps of the landed run, in one row."""
+    return pages.completeness(landed(spark, sf, gaps=True))
+
+
+@query("job_ledger_gate")
+def job_ledger_gate(spark, sf):
+    """C3 on an incomplete second snapshot: employees with a refused page keep their stored rows.
+
+    Every request is a page of its own; in cycle 2 the pages of orders ≡ 3 (mod 50) are refusals.
+    """
+    from ledgerfold.plans import jobs
+    from ledgerfold.plans.cycle import LedgerCycle, run_ledger_cycle
+
+    t = jobs.new_table(spark, "ledger-gate", LEDGER_SCHEMA, _tag(), month_of="pto_date")
+    run_ledger_cycle(t, derive.requests(spark, sf, 1), LedgerCycle(now=NOW1, run_id="run-1", expand_multi_day=True))
+    two = derive.requests(spark, sf, 2)
+    refused = F.col("entry_idx") % 50 == 3
+    page = F.when(refused, F.parse_json(F.lit('{"Message":"Rate limit reached"}'))).otherwise(F.parse_json(F.lit('{"Data":[]}')))
+    landed_run = two.select("employee_key", F.col("entry_idx").alias("page_id"), page.alias("page"))
+    cfg = LedgerCycle(now=NOW2, run_id="run-2", expand_multi_day=True)
+    _, out = run_ledger_cycle(t, two.where(~refused), cfg, pages=landed_run, strict=False)
+    return out.select("record_hash", "employee_xref", "pto_date", "is_active", "ingest_run_id", "action", "merge_action")
+
+
+@query("job_day_table_gate")
+def job_day_table_gate(spark, sf):
+    """C2 on a second run in which requests are rejected: their employees' stored days aren't canceled."""
+    from ledgerfold.plans import jobs
+
+    t = jobs.new_table(spark, "days-gate", DAY_SCHEMA, _tag(), month_of="Date")
+    for cycle, now in ((1, NOW_SPAN), (2, NOW_SPAN_2)):
+        out = jobs.day_table_job(t, employee_source(spark, sf), derive.requests(spark, sf, cycle), now=now, strict=False)
+    return out.select("RecordHash", "XRefCode", "Date", "Status", "merge_action")
+
+
 @query("not_null_audit")
 def not_null_audit(spark, sf):
     """Rows of the cycle-2 ledger breaking a declared NOT NULL (file tables do not enforce it)."""
@@ -832,7 +880,7 @@ def job_ledger_scoped(spark, sf):
     c = derive.table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
     keys = c.select(F.concat(F.lit("emp-"), F.col("c_custkey").cast("string")).alias("XRefCode"))
     cfg = LedgerCycle(now=NOW1, run_id="run-1", expand_multi_day=True, statuses=("APPROVED", "CANCELED"), span_now=NOW_SPAN)
-    _, out = run_ledger_cycle(t, derive.requests(spark, sf, 1), cfg, keys)
+    _, out = run_ledger_cycle(t, derive.requests(spark, sf, 0), cfg, keys)
     return ledger_view(out)
 
 

@@ -28,7 +28,8 @@ class LedgerCycle:
     ``statuses`` (in request order) keeps requests whose status was queried and
     ranks them for first-wins; ``span_now`` keeps requests overlapping the
     look-back/horizon span around it (S8 + S10); ``keys`` restricts the run to
-    an explicit employee list (J5) instead of the whole roster.
+    an explicit employee list (J5) instead of the whole roster. ``hot_keys``
+    picks the plan that splits an employee-day with very many records.
     """
 
     now: str
@@ -37,6 +38,7 @@ class LedgerCycle:
     key: str = "employee_key"
     statuses: tuple[str, ...] | None = None
     span_now: str | None = None
+    hot_keys: bool = False
 
 
 def scope_requests(requests: DataFrame, cfg: LedgerCycle, keys: DataFrame | None = None) -> DataFrame:
@@ -66,7 +68,7 @@ def ledger_cycle_plan(stored: DataFrame, requests: DataFrame, cfg: LedgerCycle,
     """
     scoped = scope_requests(requests, cfg, keys)
     days = expand.ledger_days(scoped, key=cfg.key, expand_multi_day=cfg.expand_multi_day)
-    return merge.ledger_apply(stored, days, now=cfg.now, run_id=cfg.run_id)
+    return merge.ledger_apply(stored, days, now=cfg.now, run_id=cfg.run_id, hot_keys=cfg.hot_keys)
 
 
 def cycle_metrics(

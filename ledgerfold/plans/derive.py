@@ -38,6 +38,7 @@ def _status(c: Column) -> Column:
 def requests(spark: SparkSession, sf_dir: str, cycle: int = 1) -> DataFrame:
     """Time-off requests of one snapshot cycle (fields of FIXTURES F3 and F4).
 
+    cycle 0: every order (for queries that look at one snapshot)
     cycle 1: every order whose key is not ≡ 0 (mod 10)
     cycle 2: every order whose key is not ≡ 1 (mod 10); hours +1 where key ≡ 0 (mod 7);
              APPROVED/CANCELED swapped where key ≡ 0 (mod 23)
@@ -47,8 +48,8 @@ def requests(spark: SparkSession, sf_dir: str, cycle: int = 1) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
     k = F.col("o_orderkey")
-    drop = 1 if cycle == 2 else 0
-    o = o.filter(k % 10 != drop)
+    if cycle:  # two snapshots differ in what they hold; one by itself is whole
+        o = o.filter(k % 10 != (1 if cycle == 2 else 0))
     span = (k % 9).cast("int")
     offset = F.when(k % 4 == 3, -span).otherwise(span)
     start_ts = F.col("o_orderdate")
@@ -254,15 +255,16 @@ DENIAL_TEXT = "Too Many Requests for this tenant"
 # ---------------------------------------------------------------------------
 
 
-def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed list pages (F1/F10) as JSON text, one per event; events with
-    ``value > 45`` were never landed (their URLs become gaps).
+def landed_pages(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """Landed list pages (F1/F10) as JSON text, one per event. With ``gaps``, events with
+    ``value > 45`` were never landed, so that pointers to them lead nowhere.
 
     view: ``{"Data":[e],"Paging":{"Next":url}}``; click: two rows and a
     padded ``{"href":…}`` pointer; signup: a bare list with a non-object;
     purchase: empty ``Data``, empty pointer; error: a denial message, no data.
     """
-    e = table(spark, sf_dir, "events", spread=True).filter(F.col("value") <= 45)
+    e = table(spark, sf_dir, "events", spread=True)
+    e = e.filter(F.col("value") <= 45) if gaps else e
     u, eid, et = F.col("user_id"), F.col("event_id"), F.col("event_type")
 
     def emp(uid: Column, lower_key: bool = False) -> Column:

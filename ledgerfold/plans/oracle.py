@@ -34,7 +34,7 @@ def cents_to_dec(c: str) -> str:
 
 
 def req_cte(c: int) -> str:
-    drop = 1 if c == 2 else 0
+    kept = f"o_orderkey % 10 <> {1 if c == 2 else 0}" if c else "true"
     hours = "(o_orderkey % 80) / 4 + 0.125"
     if c == 2:
         hours = f"CASE WHEN o_orderkey % 7 = 0 THEN {hours} + 1 ELSE {hours} END"
@@ -60,10 +60,14 @@ def req_cte(c: int) -> str:
     {status} AS Status,
     ((o_orderkey % 3 = 0 AND o_orderkey % 8 <> 0) OR (o_orderkey % 3 = 1 AND o_orderkey % 2 = 0)) AS has_list,
     (o_orderkey % 5 <> 0) AS list_complete
-  FROM orders WHERE o_orderkey % 10 <> {drop}
+  FROM orders WHERE {kept}
 )"""
 
 
+#: The requests of one snapshot by itself: all orders.
+REQ_WHOLE = req_cte(0).replace("req0 AS", "req1 AS", 1)
+
+
 def ent_cte(c: int, multi: bool) -> str:
     """Per request: mode, scalars in cents, validity (mirrors expand.ledger_entries)."""
     m = "m" if multi else "s"
@@ -130,6 +134,10 @@ def with_days(c: int, multi: bool) -> str:
     return f"{req_cte(c)}, {days_cte(c, multi)}"
 
 
+def whole_days(multi: bool) -> str:
+    return f"{REQ_WHOLE}, {days_cte(1, multi)}"
+
+
 def cur_cte(c: int) -> str:
     return f"""cur{c} AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY employee_xref, pto_date, record_hash
@@ -253,14 +261,14 @@ SELECT l_orderkey, l_linenumber,
 FROM lineitem
 """
 
-ORACLE["expand_daylist"] = f"WITH {with_days(1, False)} SELECT {DAY_COLS} FROM days1s WHERE day_source = 'list'"
-ORACLE["expand_even"] = f"WITH {with_days(1, True)} SELECT {DAY_COLS} FROM days1m WHERE day_source = 'spread'"
-ORACLE["expand_choice"] = f"WITH {with_days(1, True)} SELECT {DAY_COLS} FROM days1m"
-ORACLE["expand_single"] = f"WITH {with_days(1, False)} SELECT {DAY_COLS} FROM days1s"
-ORACLE["expand_quarantine"] = f"""WITH {req_cte(1)}, {ent_cte(1, True)}
+ORACLE["expand_daylist"] = f"WITH {whole_days(False)} SELECT {DAY_COLS} FROM days1s WHERE day_source = 'list'"
+ORACLE["expand_even"] = f"WITH {whole_days(True)} SELECT {DAY_COLS} FROM days1m WHERE day_source = 'spread'"
+ORACLE["expand_choice"] = f"WITH {whole_days(True)} SELECT {DAY_COLS} FROM days1m"
+ORACLE["expand_single"] = f"WITH {whole_days(False)} SELECT {DAY_COLS} FROM days1s"
+ORACLE["expand_quarantine"] = f"""WITH {REQ_WHOLE}, {ent_cte(1, True)}
 SELECT entry_idx, employee_key, reject_reason FROM ent1m WHERE reject_reason IS NOT NULL"""
 
-ORACLE["split_sum_check"] = f"""WITH {with_days(1, True)},
+ORACLE["split_sum_check"] = f"""WITH {whole_days(True)},
 per AS (SELECT entry_idx, count(*) AS n_days, CAST(sum(hours_requested) AS DECIMAL(12,2)) AS split_total
         FROM days1m WHERE day_source = 'spread' GROUP BY entry_idx),
 tot AS (SELECT entry_idx, CAST({cents_to_dec(half_even('CAST(round(COALESCE(NetHours, 0) * 1000) AS BIGINT)', '10'))}
@@ -269,7 +277,7 @@ SELECT per.entry_idx, n_days, split_total, entry_total, split_total = entry_tota
 FROM per JOIN tot USING (entry_idx)
 """
 
-ORACLE["expand_weekdays"] = f"""WITH {req_cte(1)},
+ORACLE["expand_weekdays"] = f"""WITH {REQ_WHOLE},
 tag AS (
   SELECT trim(employee_key) AS XRefCode, Status AS st, CASE Status WHEN 'APPROVED' THEN 0 ELSE 1 END AS status_rank,
     entry_idx, TRY_CAST(TimeStart AS TIMESTAMP) AS ts0, TRY_CAST(TimeEnd AS TIMESTAMP) AS ts1, NetHours,
@@ -309,7 +317,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                  l_returnflag, l_linestatus) AS rn FROM lineitem) WHERE rn = 1
 """
 
-ORACLE["dedupe_day_records"] = f"""WITH {with_days(1, True)}, {cur_cte(1)} SELECT {DAY_COLS} FROM cur1"""
+ORACLE["dedupe_day_records"] = f"""WITH {whole_days(True)}, {cur_cte(1)} SELECT {DAY_COLS} FROM cur1"""
 
 ORACLE["reconcile_actions"] = f"""{ledger_with(2)}
 SELECT employee_xref, pto_date, record_hash, action FROM app2 WHERE action IS NOT NULL"""
@@ -339,11 +347,11 @@ SELECT 1 AS cycle, {_COUNTS} FROM app1 UNION ALL SELECT 2 AS cycle, {_COUNTS} FR
 UNION ALL SELECT 3 AS cycle, {_COUNTS} FROM app3"""
 
 _CANON = "employee_xref || '|' || strftime(pto_date, '%Y-%m-%d') || '|' || approval_type_code || '|' || CAST(hours_requested AS VARCHAR)"
-ORACLE["hash_collisions"] = f"""WITH {with_days(1, True)},
+ORACLE["hash_collisions"] = f"""WITH {whole_days(True)},
 g AS (SELECT record_hash, count(DISTINCT {_CANON}) AS n_texts FROM days1m GROUP BY record_hash)
 SELECT count(*) AS n_hashes, count(*) FILTER (WHERE n_texts > 1) AS n_colliding FROM g"""
 
-ORACLE["hash_migrate_v1"] = f"""WITH {with_days(1, True)}
+ORACLE["hash_migrate_v1"] = f"""WITH {whole_days(True)}
 SELECT entry_idx, day_idx, substr(sha256({_CANON}), 1, 16) AS migrated,
   substr(sha256({_CANON}), 1, 16) = record_hash AS matches_v2 FROM days1m"""
 
@@ -508,8 +516,8 @@ def wk_cte(c, tag_sql: str | None = None) -> str:
 )"""
 
 
-ORACLE["expand_weekdays"] = f"WITH {req_cte(1)}, {wk_cte(1)} SELECT * FROM wkrows1"
-ORACLE["day_rows_deduped"] = f"WITH {req_cte(1)}, {wk_cte(1)} SELECT * FROM daysrc1"
+ORACLE["expand_weekdays"] = f"WITH {REQ_WHOLE}, {wk_cte(1)} SELECT * FROM wkrows1"
+ORACLE["day_rows_deduped"] = f"WITH {REQ_WHOLE}, {wk_cte(1)} SELECT * FROM daysrc1"
 
 WIN = "DATE '1997-01-01' AND DATE '1999-12-31'"
 N1, N2 = f"TIMESTAMP '{NOW1}'", f"TIMESTAMP '{NOW2}'"
@@ -613,7 +621,8 @@ SELECT * FROM e UNION ALL SELECT * FROM d"""
 # --------------------------------------------------------------------------- #
 # Pages, windows, scalar helpers, typed tables, metrics                      #
 # --------------------------------------------------------------------------- #
-EV = "ev AS (SELECT * FROM events WHERE value <= 45)"
+EV = "ev AS (SELECT * FROM events)"
+EV_GAPS = "ev AS (SELECT * FROM events WHERE value <= 45)"
 PAGE_ROWS = f"""{EV}, prows AS (
   SELECT event_id AS page_id, 0 AS row_idx, 'emp-' || CAST(user_id AS VARCHAR) AS XRefCode, event_type AS FirstName,
     'ORG-' || CAST(user_id % 7 AS VARCHAR) AS org_xref
@@ -627,7 +636,7 @@ ORACLE["page_unwrap"] = f"WITH {PAGE_ROWS} SELECT * FROM prows"
 ORACLE["page_employee_keys"] = f"WITH {PAGE_ROWS} SELECT page_id, row_idx, XRefCode FROM prows WHERE XRefCode IS NOT NULL"
 ORACLE["page_denials"] = f"""WITH {EV}
 SELECT event_id AS page_id, 'Too Many Requests for this tenant' AS message FROM ev WHERE event_type = 'error'"""
-ORACLE["page_gaps"] = f"""WITH {EV}, ptr AS (
+ORACLE["page_gaps"] = f"""WITH {EV_GAPS}, ptr AS (
   SELECT event_id AS page_id, 'p/' || CAST(event_id + 1 AS VARCHAR) AS next_url FROM ev WHERE event_type IN ('view', 'click')
 )
 SELECT page_id, next_url FROM ptr WHERE NOT EXISTS (SELECT 1 FROM ev WHERE 'p/' || CAST(ev.event_id AS VARCHAR) = ptr.next_url)"""
@@ -663,7 +672,7 @@ ORACLE["request_manifest"] = f"""WITH {ROS}, {WINDOWS}, k AS (
 SELECT XRefCode, status_rank, status, window_idx, strftime(lo, '%Y-%m-%d %H:%M:%S') AS lo,
   strftime(hi, '%Y-%m-%d %H:%M:%S') AS hi
 FROM k, sts, wins"""
-ORACLE["requests_in_span"] = f"""WITH {req_cte(1)}, {WINDOWS}, r AS (
+ORACLE["requests_in_span"] = f"""WITH {REQ_WHOLE}, {WINDOWS}, r AS (
   SELECT entry_idx, trim(employee_key) AS XRefCode, Status, TRY_CAST(TimeStart AS TIMESTAMP) AS ts0,
     TRY_CAST(TimeEnd AS TIMESTAMP) AS ts1 FROM req1
 )
@@ -679,7 +688,7 @@ ORACLE["bool_parse"] = """WITH x AS (
 SELECT event_id, flag_text,
   CASE WHEN flag_text IS NULL OR flag_text = '' THEN NULL
        ELSE lower(trim(flag_text)) IN ('1', 'true', 'yes', 'y', 't') END AS flag FROM x"""
-ORACLE["status_title"] = f"""WITH {req_cte(1)}
+ORACLE["status_title"] = f"""WITH {REQ_WHOLE}
 SELECT entry_idx, Status, CASE Status WHEN 'APPROVED' THEN 'Approved' WHEN 'CANCELED' THEN 'Canceled'
   WHEN 'PENDING' THEN 'Pending' END AS status_title FROM req1"""
 ORACLE["iso_instant"] = "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso FROM events"
@@ -712,7 +721,7 @@ SELECT 'run-2' AS run_id, *, printf('run_id=run-2 employees=%d fetched_entries=%
   new, changed, unchanged, cancelled, superseded, inserted, reactivated, touched, cancelled_rows) AS summary
 FROM src, res"""
 
-ORACLE["roster_preview"] = f"""WITH {req_cte(1)}, {wk_cte(1)}
+ORACLE["roster_preview"] = f"""WITH {REQ_WHOLE}, {wk_cte(1)}
 SELECT XRefCode, Date, Hours, Status, RecordHash FROM daysrc1 ORDER BY XRefCode, Date, RecordHash LIMIT 20"""
 
 
@@ -727,7 +736,7 @@ _RUN_TAG = f"""SELECT a.XRefCode, r.Status AS st, sts.status_rank, wins.window_i
   JOIN wins ON TRY_CAST(r.TimeStart AS TIMESTAMP) <= wins.hi
            AND COALESCE(TRY_CAST(r.TimeEnd AS TIMESTAMP), TRY_CAST(r.TimeStart AS TIMESTAMP)) >= wins.lo
   WHERE TRY_CAST(r.TimeStart AS TIMESTAMP) IS NOT NULL"""
-ORACLE["job_day_table"] = f"""WITH {EMP_ROWS}, {req_cte(1)}, {WINDOWS}, {wk_cte('j', _RUN_TAG)}
+ORACLE["job_day_table"] = f"""WITH {EMP_ROWS}, {REQ_WHOLE}, {WINDOWS}, {wk_cte('j', _RUN_TAG)}
 SELECT XRefCode, Date, Hours, ReasonName, PayAdjShortName, Status, RecordHash,
   '1998-06-15 10:30:00' AS UpdatedDateTime, 'insert' AS merge_action FROM daysrcj"""
 
@@ -753,7 +762,7 @@ _SCOPED_CUR = """cur9 AS (
       ORDER BY CASE status WHEN 'APPROVED' THEN 0 ELSE 1 END, entry_idx, day_idx) AS rn FROM days9m) WHERE rn = 1
 )"""
 ORACLE["job_ledger_scoped"] = (
-    f"WITH {EMPTY_LEDGER}, {req_cte(1)}, {_SCOPED_REQ}, {days_cte(9, True)}, {_SCOPED_CUR}, "
+    f"WITH {EMPTY_LEDGER}, {REQ_WHOLE}, {_SCOPED_REQ}, {days_cte(9, True)}, {_SCOPED_CUR}, "
     f"{apply_cte(9, prev=0, stamp=NOW1, run='run-1')}\n{ledger_view('app9')}"
 )
 
@@ -763,10 +772,24 @@ ORACLE["roster_from_pages"] = f"""WITH {PAGE_ROWS}, k AS (
 )
 SELECT XRefCode, FirstName, org_xref AS "HomeOrganization.XRefCode" FROM k"""
 
-ORACLE["weekday_quarantine"] = f"""WITH {req_cte(1)}
+ORACLE["weekday_quarantine"] = f"""WITH {REQ_WHOLE}
 SELECT CAST(CASE Status WHEN 'APPROVED' THEN 0 ELSE 1 END AS INTEGER) AS status_rank, entry_idx,
   trim(employee_key) AS _XRefCode, 'bad_time_span' AS reject_reason
 FROM req1 WHERE Status IN ('APPROVED', 'CANCELED')
   AND (TRY_CAST(TimeStart AS TIMESTAMP) IS NULL OR TRY_CAST(TimeEnd AS TIMESTAMP) IS NULL)"""
 
 ORACLE["reconcile_actions_hot_keys"] = ORACLE["reconcile_actions"]
+
+ORACLE["landed_rejects"] = ORACLE["expand_quarantine"]
+ORACLE["page_completeness"] = f"""WITH {EV_GAPS}, ptr AS (
+  SELECT 'p/' || CAST(event_id + 1 AS VARCHAR) AS next_url FROM ev WHERE event_type IN ('view', 'click')
+)
+SELECT (SELECT count(*) FROM ev) AS n_pages, 0 AS n_unreadable, (SELECT count(*) FROM ev WHERE event_type = 'error') AS n_denied,
+  (SELECT count(*) FROM ptr WHERE NOT EXISTS (SELECT 1 FROM ev WHERE 'p/' || CAST(ev.event_id AS VARCHAR) = ptr.next_url)) AS n_gaps"""
+
+_GATE = ledger_with(2).replace("FROM orders WHERE o_orderkey % 10 <> 1", "FROM orders WHERE o_orderkey % 10 <> 1 AND o_orderkey % 50 <> 3")
+_HELD = f"(SELECT {norm("' emp-' || CAST(o_custkey AS VARCHAR) || ' '")} FROM orders WHERE o_orderkey % 10 <> 1 AND o_orderkey % 50 = 3)"
+ORACLE["job_ledger_gate"] = f"""{_GATE}
+SELECT record_hash, employee_xref, pto_date, is_active, ingest_run_id, action, merge_action FROM app2 WHERE employee_xref NOT IN {_HELD}
+UNION ALL
+SELECT record_hash, employee_xref, pto_date, is_active, ingest_run_id, NULL, 'keep' FROM led1 WHERE employee_xref IN {_HELD}"""
