@@ -47,7 +47,7 @@ NUMERATOR, DENOMINATOR = 75, 100
 SMALL = 48
 #: Standard errors of the estimate that a candidate may lie below the limit.
 SLACK = 5.0
-FIRST_TRIES = 2
+FIRST_TRIES = 64
 
 
 def _seeds(n: int) -> np.ndarray:
@@ -308,24 +308,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     links = settled(links.unionByName(ties.where("a <> b").distinct()))
 
     labels = components(links)
-    before = labels.select(F.col("node").alias("rep"), F.col("component").alias("before"))
+    named = lambda column: labels.select(F.col("node").alias("rep"), F.col("component").alias(column))
+    crowd = settled(crowd.join(named("before"), "rep", "left").withColumn("before", F.coalesce("before", "rep")))
+    marked = crowd.withColumn("now", F.col("before"))
     tried, most, more = 0, FIRST_TRIES, not crowd.isEmpty()
-    crowd = crowd.join(before, "rep", "left").withColumn("before", F.coalesce("before", "rep"))
     while more:
-        marked = crowd.join(labels.select(F.col("node").alias("rep"), F.col("component").alias("now")), "rep", "left").withColumn("now", F.coalesce("now", "rep"))
 
         def rest(batches, tried=tried, most=most):
             yield from _pairs(batches, lambda d, s, o, b, n: rest_candidates(d, s, o, b, n, limit, tried, most), ["rep", "size", "odd", "before", "now"])
 
         found = settled(sorted_buckets(marked).mapInArrow(rest, f"a {kind}, b {kind}").distinct())
-        more = not found.where("a = b").isEmpty()
         fresh = settled(_confirmed(found.where("a <> b"), sets).distinct())
         tried, most = tried + most, most * 4
         if not fresh.isEmpty():
             links = settled(links.unionByName(fresh).distinct())
             labels = components(links)
-
-    named = classes.select("digest", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class_component"))
-    rows = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+        # only buckets with a member that has more to try go on
+        waiting = found.where("a = b").select(F.col("a").alias("rep"))
+        more = not waiting.isEmpty()
+        if more:
+            open_keys = crowd.join(waiting, "rep", "left_semi").select("key").distinct()
+            crowd = settled(crowd.join(open_keys, "key", "left_semi"))
+            marked = crowd.join(named("now"), "rep", "left").withColumn("now", F.coalesce("now", "rep"))
+
+    final = classes.select("digest", "rep").join(named("component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class_component"))
+    rows = signed.select("doc_id", "n_shingles", "digest").join(final, "digest", "left")
     out = rows.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.coalesce(F.min("class_component"), F.col("doc_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
