@@ -22,8 +22,8 @@ blocks keep messages from getting short.
 
 Defined cases: null or empty text and text without words have no words and score 0; every
 row is scored by itself, and repeated rows count as often as they occur;
-extra columns and nulls elsewhere have no effect. Input rows must come in the same order
-if a lost task is run again, as a table scan's do; blocks carry a digest, and a mix of two orders is an error, not a wrong score.
+extra columns and nulls elsewhere have no effect. The input is read twice and must come in the same order,
+as a table scan does; blocks carry a digest, and a mix of two orders is an error, not a wrong score.
 """
 
 from __future__ import annotations
@@ -125,10 +125,29 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     ranges = 1 << wide
     fields = ["block", "part", "n", "payload"]
 
-    def explode(batches):
+    def numbered(batches):
+        """(name, block, word hashes, bounds) of each block; the name holds its place and a digest of its words."""
         made = 0
         for block in text_blocks(batches, size=BLOCK):
             words, bounds = word_hashes(block.column("text"))
+            digest = xxhash.xxh3_64_hexdigest(words.tobytes() + bounds.tobytes())
+            yield f"{TaskContext.get().partitionId()}-{made}-{digest}", block, words, bounds
+            made += 1
+
+    def explode(batches):
+        """The distinct n-grams of each block with their counts, packed for every range."""
+        for name, _, words, bounds in numbered(batches):
+            for n, (_, hashes) in enumerate(grams(words, bounds, order, bits), 1):
+                own, times = np.unique(hashes, return_counts=True)
+                cuts = np.searchsorted(own, np.arange(1, ranges, dtype=np.uint64) << np.uint64(bits - wide))
+                cuts = np.concatenate([[0], cuts, [len(own)]])
+                rows = [(name, p, n, pack(own[a:b], times[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+                for at in range(0, len(rows), 256):
+                    yield _batch(rows[at : at + 256])
+
+    def homes(batches):
+        """The words of each block, for its scores."""
+        for name, block, words, bounds in numbered(batches):
             known, index = np.unique(words, return_inverse=True)
             order_of = np.argsort(-np.bincount(index, minlength=len(known)), kind="stable")  # frequent words get small numbers
             number = np.empty(len(known), np.int64)
@@ -140,19 +159,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
             raw = known[order_of].tobytes() + _planes(number[index].astype(np.uint32))
             head = np.array([len(known), len(words)], np.int64).tobytes() + sink.getvalue().to_pybytes()
             body = zstandard.ZstdCompressor(level=1).compress(raw)
-            name = f"{TaskContext.get().partitionId()}-{made}-{xxhash.xxh3_64_hexdigest(body + head)}"
-            made += 1
-            rows = [(name, xxhash.xxh3_64_intdigest(name) % ranges, HOME, len(body).to_bytes(8, "little") + body + head)]
-            for n, (_, hashes) in enumerate(grams(words, bounds, order, bits), 1):
-                own, times = np.unique(hashes, return_counts=True)
-                cuts = np.searchsorted(own, np.arange(1, ranges, dtype=np.uint64) << np.uint64(bits - wide))
-                cuts = np.concatenate([[0], cuts, [len(own)]])
-                rows += [(name, p, n, pack(own[a:b], times[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-                if len(rows) > 256:
-                    yield _batch(rows)
-                    rows = []
-            if rows:
-                yield _batch(rows)
+            yield _batch([(name, -1, HOME, len(body).to_bytes(8, "little") + body + head)])
 
     def _batch(rows):
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.binary())], fields)
@@ -164,10 +171,6 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
         out = [None] * len(n)
         for k in np.unique(n):
             mine = np.flatnonzero(n == k)
-            if k == HOME:
-                for i in mine:
-                    out[i] = payload[i].as_py()
-                continue
             sent = [unpack(payload[i].as_py()) for i in mine]
             hashes = np.concatenate([h for h, _ in sent])
             times = np.concatenate([c for _, c in sent])
@@ -204,8 +207,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
         sums, alone = document_scores(words, bounds, found, counts, alpha, min_count)
         return pa.Table.from_arrays([home.column("doc_id").combine_chunks(), pa.array(per_text, pa.int64()), pa.array(sums), pa.array(alone)], ["doc_id", "n_words", "sum", "alone"])
 
-    sent = source.mapInArrow(explode, SCHEMA)
-    answered = sent.groupBy("part").applyInArrow(count, SCHEMA)
-    scored = settled(answered.groupBy("block").applyInArrow(gather, f"doc_id {kind}, n_words long, sum double, alone long"))
+    # words and n-grams go separate ways, so that the words are shuffled only once; both passes see the same blocks
+    answered = source.mapInArrow(explode, SCHEMA).groupBy("part").applyInArrow(count, SCHEMA)
+    scored = settled(answered.unionByName(source.mapInArrow(homes, SCHEMA)).groupBy("block").applyInArrow(gather, f"doc_id {kind}, n_words long, sum double, alone long"))
     words = scored.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     return scored.select("doc_id", "n_words", (F.col("sum") - F.col("alone") * F.lit(math.log(max(1, words)))).alias("log_score"))
