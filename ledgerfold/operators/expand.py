@@ -28,7 +28,7 @@ from ledgerfold.functions.identity import (
     record_hash_normalized,
 )
 from ledgerfold.functions.values import first_text, lenient_date, title_status, tri_bool
-from ledgerfold.operators.partitioning import ensure_parallelism, with_materialized
+from ledgerfold.operators.partitioning import with_materialized
 
 # --- fixed values: candidate field names in the source payload, by priority --
 TYPE_CODE_KEYS = ("PayAdjustmentCodeName", "PayAdjustmentCodeXRefCode", "ReasonName")
@@ -184,7 +184,6 @@ def ledger_days(
     One ``explode`` over the day index; dates and hours of each day are
     computed after it from the request's scalars (or its list element).
     """
-    entries = ensure_parallelism(entries)
     e = ledger_entries(entries, key=key, expand_multi_day=expand_multi_day)
     _, fields = _day_list(entries)
     if not fields:
@@ -204,8 +203,7 @@ def ledger_days(
         F.when(F.col("_mode") == "list", F.size("_dl")).when(F.col("_mode") == "spread", F.col("_n")).otherwise(F.lit(1))
     )
     # Invalid requests explode a null array (no rows) instead of being
-    # filtered: a filter here would be pushed below the parallelism
-    # repartition, evaluating the whole validity check in the scan stage.
+    # filtered: a filter would be evaluated a second time, in the scan stage.
     exploded = e.select(
         *keep,
         *lineage,
@@ -318,7 +316,7 @@ def weekday_days(tagged: DataFrame) -> DataFrame:
     ``XRefCode`` stays as given. A request that cannot be expanded is
     rejected whole (see :func:`weekday_rejects`), never partly.
     """
-    p = _weekday_plan(ensure_parallelism(tagged))
+    p = _weekday_plan(tagged)
     lineage = [c for c in ("status_rank", "window_idx", "entry_idx") if c in tagged.columns]
     rows = p.select(
         *lineage,

@@ -1,50 +1,10 @@
-"""Parallelism and broadcast guards.
-
-``ensure_parallelism`` spreads a row-expanding step over the cluster when
-its input arrived in fewer partitions than there are cores (a small file is
-one parquet split). On big inputs the scan already has enough partitions and
-nothing is added, so no shuffle appears at scale.
-
-``broadcast_if_small`` broadcasts a dimension only after counting it against
-an explicit row bound; above the bound the join stays a shuffle join.
-"""
+"""Where derived columns are evaluated."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin spread to ``min(cores, spark.sql.shuffle.partitions)`` partitions
-    when the input has fewer; the cap keeps a small input on a big cluster
-    from turning into thousands of tiny tasks."""
-    spark = df.sparkSession
-    if min_partitions is None:
-        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        min_partitions = min(spark.sparkContext.defaultParallelism, cap)
-    if planned_partitions(df) >= min_partitions:
-        return df
-    return df.repartition(min_partitions)
-
-
-def planned_partitions(df: DataFrame) -> int:
-    """Partition count of ``df``'s plan without running anything.
-
-    Under adaptive execution, asking a plan with shuffles for its RDD runs
-    the shuffle stages first; planning with AQE switched off only builds it.
-    """
-    spark = df.sparkSession
-    key = "spark.sql.adaptive.enabled"
-    prev = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return df.rdd.getNumPartitions()
-    finally:
-        spark.conf.set(key, prev)
-
 
 def with_materialized(df: DataFrame, cols: dict) -> DataFrame:
     """Add ``cols`` as outputs of a one-row generator.
@@ -57,9 +17,3 @@ def with_materialized(df: DataFrame, cols: dict) -> DataFrame:
     """
     packed = F.struct(*[e.alias(n) for n, e in cols.items()])
     return df.select("*", F.inline(F.array(packed)))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when it holds at most ``max_rows`` rows (checked by a count)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

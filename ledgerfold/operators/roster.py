@@ -18,7 +18,7 @@ from pyspark.sql.types import ArrayType, DataType, NullType, StructType
 from ledgerfold.functions import items as it
 from ledgerfold.functions.identity import norm_token, strip
 from ledgerfold.operators.dedupe import first_wins, last_wins
-from ledgerfold.operators.partitioning import ensure_parallelism, with_materialized
+from ledgerfold.operators.partitioning import with_materialized
 from ledgerfold.sources import mapping
 
 # --- fixed values: column order preferred by the roster frame ---------------
@@ -200,7 +200,7 @@ def with_department_as_of(df: DataFrame, as_of: Column, out: str = "department_x
 
 def parse_details(details: DataFrame, payload: str = "payload") -> DataFrame:
     """Landed detail text → ``detail`` VARIANT (``Data`` object if present, else the payload; unreadable text → null)."""
-    staged = with_materialized(ensure_parallelism(details), {"_v": F.try_parse_json(F.col(payload))})
+    staged = with_materialized(details, {"_v": F.try_parse_json(F.col(payload))})
     v, data = F.col("_v"), it.vget(F.col("_v"), "$.Data", "variant")
     return with_materialized(staged, {"detail": F.when(it.is_object(data), data).otherwise(v)}).drop("_v")
 

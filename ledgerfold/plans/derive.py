@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.operators.partitioning import ensure_parallelism
-
 ISO_LOCAL = "yyyy-MM-dd'T'HH:mm:ss"
 
 # --- fixed values: status words of the source system ------------------------
@@ -22,10 +20,12 @@ STATUS_OF_ORDER = {"O": "APPROVED", "F": "CANCELED", "P": "PENDING"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table; ``spread`` spreads a CPU-heavy derivation over the cores
-    when the file arrived as fewer splits than cores (a no-op on big inputs)."""
+    """A driver table. ``spread`` deals out a table that came as fewer files than
+    there are cores, before a CPU-heavy derivation: such a file is one split.
+    The file list is all that is looked at; a table of many files stays as it is."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if spread else df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and len(df.inputFiles()) < cores else df
 
 
 def _status(c: Column) -> Column:

@@ -1,8 +1,7 @@
 """Department → (project, task) dimension.
 
-The map is a small configuration dimension. It is validated with one
-aggregate, its size is checked against an explicit bound before it is
-broadcast, and lookups are left joins on the normalised key (strip + upper).
+The map is a configuration dimension. It is validated with one aggregate;
+lookups are left joins on the normalised key (strip + upper).
 A later entry (greater ``ordinal``) for the same normalised key wins.
 """
 
@@ -13,9 +12,6 @@ from pyspark.sql import functions as F
 
 from ledgerfold.functions.identity import norm_token
 from ledgerfold.operators.dedupe import last_wins
-from ledgerfold.operators.partitioning import broadcast_if_small
-
-MAX_MAP_ROWS = 100_000
 
 
 def validation(rows: DataFrame) -> DataFrame:
@@ -56,17 +52,16 @@ def load(rows: DataFrame, *, strict: bool = True) -> DataFrame:
 def resolve(df: DataFrame, dept_col: str, dept_map: DataFrame, *, how: str = "left") -> DataFrame:
     """Add ``project_id``/``task_id`` for ``dept_col`` (null key → no match).
 
-    The map is broadcast only after its row count is checked against
-    ``MAX_MAP_ROWS``; a larger map stays a shuffle join.
+    How the map is joined is the optimizer's choice, by its measured size.
     """
-    m = broadcast_if_small(dept_map.select("dept_key", "project_id", "task_id"), MAX_MAP_ROWS)
+    m = dept_map.select("dept_key", "project_id", "task_id")
     keyed = df.withColumn("_dept_key", norm_token(F.col(dept_col)))
     return keyed.join(m, keyed["_dept_key"] == m["dept_key"], how).drop("_dept_key", "dept_key")
 
 
 def keep_in_scope(df: DataFrame, dept_col: str, dept_map: DataFrame) -> DataFrame:
     """P22 membership: rows whose department is mapped (semi-join)."""
-    m = broadcast_if_small(dept_map.select("dept_key"), MAX_MAP_ROWS)
+    m = dept_map.select("dept_key")
     keyed = df.withColumn("_dept_key", norm_token(F.col(dept_col)))
     return keyed.join(m, keyed["_dept_key"] == m["dept_key"], "left_semi").drop("_dept_key")
 

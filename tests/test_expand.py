@@ -152,3 +152,63 @@ def test_missing_hours_is_eight_per_day(spark):
 def test_uneven_split_does_not_keep_total(spark):
     r = expand.weekday_days(tagged(spark, "2026-03-16T00:00:00", "2026-03-19T00:00:00", 20.0)).collect()
     assert [x["Hours"] for x in r] == [Decimal("6.67")] * 3
+
+
+# --- landed values that are there but can't be used -------------------------------
+def _landed(spark, entries):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from ledgerfold.sources.requests import entries_from_pages
+
+    rows = [(f"K{i}", i, json.dumps({"Data": [dict({"PayAdjustmentCodeName": "VAC", "TimeStart": "2031-03-03T00:00:00"}, **e)]})) for i, e in enumerate(entries)]
+    p = spark.createDataFrame(rows, "employee_key string, page_id long, t string").select("employee_key", "page_id", F.lit("APPROVED").alias("query_status"), F.parse_json("t").alias("page"))
+    return entries_from_pages(p)
+
+
+def test_present_but_unusable_values(spark):
+    """Text hours and a huge total reject the request; a key that is no list ends the search for one."""
+    from ledgerfold.operators import expand
+
+    day = {"Date": "2031-03-04", "NetHours": 4}
+    cases = [
+        {"NetHours": "abc"},
+        {"NetHours": "7.5"},
+        {"NetHours": 1e11, "TimeEnd": "2031-03-05T00:00:00"},
+        {"NetHours": 8, "DayList": [{"Date": "2031-03-04", "NetHours": "abc"}]},
+        {"NetHours": 8, "DayList": {"0": day}, "Days": [day]},
+        {"NetHours": 8, "DayList": None, "Days": [day]},
+        {"NetHours": 8, "DayList": "", "Days": [day]},
+        {"NetHours": 8, "DayList": [day, 5]},
+        {"NetHours": "", "Status": ""},
+        {"NetHours": 8, "DayList": [{"Date": "2031-03-04", "NetHours": "4.125"}]},
+    ]
+    e = _landed(spark, cases)
+    rejected = {r["employee_key"]: r["reject_reason"] for r in expand.rejected_entries(e, expand_multi_day=True).collect()}
+    assert rejected == {"K0": "bad_day", "K2": "bad_day", "K3": "bad_day"}
+    got = {r["employee_xref"]: (str(r["pto_date"]), str(r["hours_requested"]), r["status"]) for r in expand.ledger_days(e, expand_multi_day=True).collect()}
+    single = ("2031-03-03", "8.00", "APPROVED")
+    listed = ("2031-03-04", "4.00", "APPROVED")
+    assert got == {"K1": ("2031-03-03", "7.50", "APPROVED"), "K4": single, "K5": listed, "K6": listed, "K7": single, "K8": ("2031-03-03", "0.00", "APPROVED"), "K9": ("2031-03-04", "4.12", "APPROVED")}
+
+
+def test_queried_status_stands_in(spark):
+    """An entry without its own status passes the status filter by the one it was queried with."""
+    from ledgerfold.operators import expand
+    from ledgerfold.plans.cycle import LedgerCycle, scope_requests
+
+    e = _landed(spark, [{"NetHours": 1}, {"NetHours": 1, "Status": ""}, {"NetHours": 1, "Status": "PENDING"}])
+    cfg = LedgerCycle(now="2031-03-01 00:00:00", run_id="r", statuses=("APPROVED", "CANCELED"))
+    days = expand.ledger_days(scope_requests(e, cfg)).collect()
+    assert {(r["employee_xref"], r["status"], r["status_rank"]) for r in days} == {("K0", "APPROVED", 0), ("K1", "APPROVED", 0)}
+
+
+def test_unreadable_weekday_hours(spark):
+    from ledgerfold.operators import expand
+
+    rows = [("A", "APPROVED", "2031-03-03T00:00:00", "2031-03-05T00:00:00", h) for h in ("abc", "9", None, "")]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "_XRefCode string, _Status string, TimeStart string, TimeEnd string, NetHours string, entry_idx long")
+    df = df.selectExpr("*", "'VAC' AS PayAdjShortName", "0 AS status_rank")
+    assert {r["entry_idx"]: r["reject_reason"] for r in expand.weekday_rejects(df).collect()} == {0: "bad_hours", 3: "bad_hours"}
+    assert {(r["entry_idx"], str(r["Hours"])) for r in expand.weekday_days(df).collect()} == {(1, "4.50"), (2, "8.00")}

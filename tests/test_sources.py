@@ -64,19 +64,6 @@ def test_rows_to_struct_infers_schema_and_keeps_first_case(spark):
     assert out.filter(F.col("page_id") == 0).first()["Org"]["X"] == "o"
 
 
-def test_planned_partitions_runs_no_job(spark):
-    """ensure_parallelism's check must only plan: asking an adaptive shuffled plan for
-    its RDD would otherwise run the shuffle stages while the query is still being built."""
-    from ledgerfold.operators.partitioning import planned_partitions
-
-    df = spark.range(0, 1000, numPartitions=3).repartition(5, "id").groupBy("id").count()
-    tracker = spark.sparkContext.statusTracker()
-    before = len(tracker.getJobIdsForGroup(None))
-    n = planned_partitions(df)
-    assert n > 0 and len(tracker.getJobIdsForGroup(None)) == before
-    assert spark.conf.get("spark.sql.adaptive.enabled") in ("true", "True")
-
-
 def test_versions_without_success_markers_and_untouched_months(spark):
     """A version is its pointer file; a month without a changed row keeps its files."""
     import datetime as dt
