@@ -1,7 +1,7 @@
 """Toxicity by a counterfactually regularised linear classifier (operator 3).
 
-A document is the set of features of its words: the whole word, its first four
-and six and its last four letters, all hashed. A sparse logistic model is
+A document is the set of features of its words: the whole word and its first
+three to seven letters, all hashed. A sparse logistic model is
 fitted on a bounded sample of labelled rows. Identity terms in the labelled
 sentences are swapped for other terms of the same kind, and the squared change of the score is
 penalised, so that the mention of a group by itself moves no score. Sentences
@@ -41,14 +41,16 @@ IDENTITY = {
     "ability": "disabled blind deaf autistic elderly young behindert aveugle sourd ciego sordo",
 }
 TERMS = {t: kind for kind, terms in IDENTITY.items() for t in terms.split()}
-DIMENSIONS = 1 << 22
+#: Lengths of the beginnings of a word that are features: stems of word families.
+BEGINNINGS = (3, 4, 5, 6, 7)
+DIMENSIONS = 1 << 21
 #: Bound of the training sample: rows of either label, taken in the order of a hash of the id.
-SAMPLE = 4000
+SAMPLE = 3000
 
 
 def _features(words: pa.Array) -> np.ndarray:
-    """Four hashed features of each word: whole, first four, first six, last four letters."""
-    parts = [words, pc.utf8_slice_codeunits(words, 0, 4), pc.utf8_slice_codeunits(words, 0, 6), pc.utf8_slice_codeunits(words, -4)]
+    """Hashed features of each word: the whole word and its beginnings of 3 to 7 letters."""
+    parts = [words, *(pc.utf8_slice_codeunits(words, 0, n) for n in BEGINNINGS)]
     out = np.empty((len(words), len(parts)), np.int64)
     for j, part in enumerate(parts):
         coded = part.dictionary_encode()
@@ -132,8 +134,8 @@ def fit(rows: list[tuple[int, str, bytes]], share: float, counterfactual: float
         return Model(float(np.log(share / (1 - share))) if 0 < share < 1 else (-30.0 if share <= 0 else 30.0))
     weight = np.where(labels == 1, share / labels.mean(), (1 - share) / (1 - labels.mean())) / len(labels)
     sets = [np.frombuffer(r[2], "<i4") for r in rows]
-    flat, sizes = np.concatenate(sets).astype(np.int64), np.array([len(x) for x in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])
     toxic, other = int(labels.sum()), int(len(labels) - labels.sum())
     n1, n = np.bincount(flat, labels[owner], DIMENSIONS), np.bincount(flat, minlength=DIMENSIONS)
     p = n / len(labels)
@@ -147,6 +149,7 @@ def fit(rows: list[tuple[int, str, bytes]], share: float, counterfactual: float
     place[known] = np.arange(len(known))
     held = wanted[flat]
     flat, owner = place[flat[held]], owner[held]
+    del n1, n, p, z, held, sets  # as large as the feature space or the sample
 
     swaps = _swaps([r[1] for r in rows], np.random.default_rng(seed))
     plus = [np.setdiff1d(place[term[a]], place[term[b]]) for a, b in swaps]  # letters that both share don't change
