@@ -129,6 +129,7 @@ def active_records(ledger: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- #
 # M2: employee upsert                                                          #
 # --------------------------------------------------------------------------- #
+# fixed value: part of the merge's contract
 EMPLOYEE_COMPARED = ("employee_name", "DepartmentXRefCode", "ProjectId", "TaskId", "employment_status")
 
 
@@ -171,7 +172,9 @@ def employee_merge(target: DataFrame, source: DataFrame, *, now) -> DataFrame:
 # --------------------------------------------------------------------------- #
 # Day-table upsert                                              #
 # --------------------------------------------------------------------------- #
+# fixed value: part of the merge's contract
 DAY_COMPARED = ("Status", "ReasonName", "PayAdjShortName")
+# fixed value: part of the merge's contract
 CANCELED = "Canceled"
 
 

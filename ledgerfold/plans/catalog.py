@@ -859,6 +859,65 @@ def job_day_table_gate(spark, sf):
     return out.select("RecordHash", "XRefCode", "Date", "Status", "merge_action")
 
 
+@query("expand_audit")
+def expand_audit(spark, sf):
+    """The audit columns of every day record, taken over from its request."""
+    k = F.col("entry_idx")
+    r = derive.requests(spark, sf, 0).withColumns(
+        {
+            "AllDay": F.when(k % 4 == 0, F.lit(None).cast("string")).when(k % 4 == 1, "\tYes ").otherwise("no"),
+            "DateOfRequest": F.col("TimeStart").substr(1, 10),
+            "source_payload": F.concat(F.lit("order "), k.cast("string")),
+        }
+    )
+    d = expand.ledger_days(r, expand_multi_day=True)
+    return d.select("entry_idx", "day_idx", "reason_name", "status", "time_start", "time_end", "all_day", "date_of_request", "source_payload")
+
+
+@query("ledger_active")
+def ledger_active(spark, sf):
+    """S14 + P24: identities of the active ledger rows after cycle 2."""
+    return merge.active_records(merge.ledger_rows(apply_cycle(spark, sf, 2)))
+
+
+@query("reconcile_writes")
+def reconcile_writes(spark, sf):
+    """The hashes cycle 2 writes (new, changed) and retires (cancelled, superseded)."""
+    c = classify.reconcile(ledger_days(spark, sf, 2), ledger_after(spark, sf, 1))
+    up = classify.upserts(c).select("record_hash", F.lit("upsert").alias("write"))
+    return up.unionByName(classify.deactivations(c).select("record_hash", F.lit("retire").alias("write")))
+
+
+@query("employees_in_scope")
+def employees_in_scope(spark, sf):
+    """Employees whose current department is in the map (semi-join)."""
+    d = roster.with_department_as_of(details(spark, sf), F.to_date(F.lit(AS_OF_NOW))).select("XRefCode", "department_xref")
+    return mapping.keep_in_scope(d, "department_xref", dept_map(spark, sf))
+
+
+@query("ddl_tables")
+def ddl_tables(spark, sf):
+    """The three catalog tables created from their DDL, filled and read back (rows per table)."""
+    from ledgerfold.session import shared_dir
+
+    filled = {
+        "ledger": (tables.LEDGER_DDL, merge.ledger_rows(apply_cycle(spark, sf, 1))),
+        "employees": (tables.EMPLOYEE_DDL, tables.typed(employee_source(spark, sf), EMPLOYEE_SCHEMA)),
+        "days": (tables.DAY_DDL, day_table_v1(spark, sf)),
+    }
+    out = None
+    for name, (ddl, rows) in filled.items():
+        table = f"lf_{name}_{_tag()}"
+        spark.sql(tables.create_table_sql(table, ddl, location=f"{shared_dir(spark)}/{table}"))
+        rows.select(*spark.table(table).columns).write.insertInto(table)
+        read = spark.read.schema(spark.table(table).schema).parquet(f"{shared_dir(spark)}/{table}")
+        spark.sql(f"DROP TABLE {table}")  # the files stay
+        hashed = F.count_distinct("record_hash" if name == "ledger" else "XRefCode" if name == "employees" else "RecordHash")
+        part = read.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"), hashed.alias("n_keys")).withColumn("n_columns", F.lit(len(read.columns)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("not_null_audit")
 def not_null_audit(spark, sf):
     """Rows of the cycle-2 ledger breaking a declared NOT NULL (file tables do not enforce it)."""

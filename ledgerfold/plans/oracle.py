@@ -793,3 +793,24 @@ ORACLE["job_ledger_gate"] = f"""{_GATE}
 SELECT record_hash, employee_xref, pto_date, is_active, ingest_run_id, action, merge_action FROM app2 WHERE employee_xref NOT IN {_HELD}
 UNION ALL
 SELECT record_hash, employee_xref, pto_date, is_active, ingest_run_id, NULL, 'keep' FROM led1 WHERE employee_xref IN {_HELD}"""
+
+ORACLE["expand_audit"] = f"""WITH {whole_days(True)}
+SELECT entry_idx, day_idx, ReasonName AS reason_name, NULLIF(Status, '') AS status, TimeStart AS time_start, TimeEnd AS time_end,
+  CASE WHEN entry_idx % 4 = 0 THEN NULL ELSE entry_idx % 4 = 1 END AS all_day, substr(TimeStart, 1, 10) AS date_of_request,
+  'order ' || entry_idx AS source_payload FROM days1my"""
+
+ORACLE["ledger_active"] = f"""{ledger_with(2)}
+SELECT record_hash, employee_xref, pto_date FROM led2 WHERE COALESCE(is_active, true)"""
+
+ORACLE["reconcile_writes"] = f"""{ledger_with(2)}
+SELECT record_hash, CASE WHEN action IN ('new', 'changed') THEN 'upsert' ELSE 'retire' END AS write
+FROM app2 WHERE action IN ('new', 'changed', 'cancelled', 'superseded')"""
+
+ORACLE["employees_in_scope"] = f"""WITH {DET}, {MAP}
+SELECT XRefCode, dept_now AS department_xref FROM det WHERE {norm('dept_now')} IN (SELECT dept_key FROM dmap)"""
+
+_DAYS1 = f"WITH {req_cte(1)}, {wk_cte(1)} SELECT RecordHash FROM daysrc1"
+ORACLE["ddl_tables"] = f"""
+SELECT 'ledger' AS name, count(*) AS n_rows, count(DISTINCT record_hash) AS n_keys, 17 AS n_columns FROM ({ledger_with(1)} SELECT record_hash FROM led1)
+UNION ALL SELECT 'employees', count(*), count(DISTINCT XRefCode), 7 FROM (WITH {EMP_ROWS} SELECT XRefCode FROM emprows)
+UNION ALL SELECT 'days', count(*), count(DISTINCT RecordHash), 8 FROM ({_DAYS1})"""
