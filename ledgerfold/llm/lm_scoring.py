@@ -34,7 +34,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,13 +125,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     fields = ["block", "part", "n", "payload"]
 
     def numbered(batches):
-        """(name, block, word hashes, bounds) of each block; the name holds its place and a digest of its words."""
-        made = 0
+        """(name, block, word hashes, bounds) of each block; the name is a digest of its words, so equal blocks share their answers."""
         for block in text_blocks(batches, size=BLOCK):
             words, bounds = word_hashes(block.column("text"))
-            digest = xxhash.xxh3_64_hexdigest(words.tobytes() + bounds.tobytes())
-            yield f"{TaskContext.get().partitionId()}-{made}-{digest}", block, words, bounds
-            made += 1
+            yield xxhash.xxh3_128_hexdigest(words.tobytes() + bounds.tobytes()), block, words, bounds
 
     def explode(batches):
         """The distinct n-grams of each block with their counts, packed for every range."""
@@ -182,10 +178,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
         return pa.Table.from_arrays([group.column("block"), group.column("part"), group.column("n"), pa.array(out, pa.binary())], fields)
 
     def gather(group: pa.Table) -> pa.Table:
-        """One block: its words with the answers of all ranges, summed per document."""
+        """The blocks of one name, mostly one: their words with the answers of all ranges, summed per document."""
         n, part, payload = group.column("n").to_pylist(), group.column("part").to_pylist(), group.column("payload")
         homes = [i for i, k in enumerate(n) if k == HOME]
-        if len(homes) != 1:
+        if not homes:
             raise ValueError("a block was read twice in different orders; checkpoint the input first")
         blob = payload[homes[0]].as_py()
         long = int.from_bytes(blob[:8], "little")
@@ -205,7 +201,12 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
                 raise ValueError("answers are missing: a block was read twice in different orders; checkpoint the input first")
             counts.append(every[where])
         sums, alone = document_scores(words, bounds, found, counts, alpha, min_count)
-        return pa.Table.from_arrays([home.column("doc_id").combine_chunks(), pa.array(per_text, pa.int64()), pa.array(sums), pa.array(alone)], ["doc_id", "n_words", "sum", "alone"])
+        out = []
+        for i in homes:
+            blob = payload[i].as_py()
+            home = pa.ipc.open_stream(pa.py_buffer(blob[8 + int.from_bytes(blob[:8], "little") + 16 :])).read_all()
+            out.append(pa.Table.from_arrays([home.column("doc_id").combine_chunks(), pa.array(per_text, pa.int64()), pa.array(sums), pa.array(alone)], ["doc_id", "n_words", "sum", "alone"]))
+        return pa.concat_tables(out)
 
     # words and n-grams go separate ways, so that the words are shuffled only once; both passes see the same blocks
     answered = source.mapInArrow(explode, SCHEMA).groupBy("part").applyInArrow(count, SCHEMA)

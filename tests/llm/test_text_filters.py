@@ -105,7 +105,7 @@ def words_of(text):
 
 
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
-def test_backoff_scores(spark, order, monkeypatch):
+def test_backoff_scores(spark, order, monkeypatch, tmp_path):
     monkeypatch.setattr(lm_scoring, "BLOCK", 300)  # many blocks
     rng = random.Random(order)
     texts = [" ".join(rng.choices(["the", "of", "And", "a", "b", "ß", "x1", "\n", "é"], k=rng.randint(0, 25))) for _ in range(120)] + [None, "", "one", "long words " * 4000]
@@ -123,12 +123,21 @@ def test_backoff_scores(spark, order, monkeypatch):
         return penalty + math.log(counts[words[i],]) - math.log(total)
 
     want = sorted((str(i), len(w), round(sum(log_s(w, k) for k in range(len(w))), 6)) for i, t, _ in rows for w in [words_of(t)])
-    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words int").repartition(2)
-    got = sorted((str(r["doc_id"]), r["n_words"], round(r["log_score"], 6)) for r in lm_scoring.score(docs.coalesce(1), order=order).collect())
+    spark.createDataFrame(rows, "doc_id long, text string, n_words int").repartition(3).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    got = sorted((str(r["doc_id"]), r["n_words"], round(r["log_score"], 6)) for r in lm_scoring.score(docs, order=order).collect())
     assert [g[:2] for g in got] == [w[:2] for w in want]
     assert np.allclose([g[2] for g in got], [w[2] for w in want], atol=1e-5)
 
 
+def test_scores_of_equal_blocks(spark, tmp_path):
+    """Blocks that hold the same words share their answers, each with its own ids."""
+    for k in range(3):
+        spark.createDataFrame([(3 * k + i, t) for i, t in enumerate(["a b c a b", "b c", "x"])], "doc_id long, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "d"))
+    out = {r["doc_id"]: (r["n_words"], round(r["log_score"], 9)) for r in lm_scoring.score(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    assert set(out) == set(range(9)) and all(out[i] == out[i % 3] for i in out) and len(set(out.values())) == 3
+
+
 def test_scores_of_an_empty_table(spark):
     assert lm_scoring.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
