@@ -13,8 +13,8 @@ each range adds up the counts of all blocks and answers every block for the
 n-grams it sent; a block's answers meet its words again and are summed per
 document. So an n-gram that every text holds is one entry per block, and the rows that
 are shuffled are packed arrays: sorted hashes as compressed differences.
-Hashes have log2(corpus bytes) + 24 bits (at most 64), so that an n-gram meets another one with a
-chance of about 2 ** -24 whatever the corpus size.
+Hashes have log2(corpus bytes) + 20 bits (48 to 64), so that an n-gram meets another one with a
+chance of about one in a million whatever the corpus size.
 
 The number of ranges grows with the corpus, one per ``SHARE`` bytes. A block sends one message to each
 range, so blocks of BLOCK bytes suit corpora of up to some terabytes; beyond, larger
@@ -120,7 +120,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     wide = max(3, math.ceil(math.log2(max(2, size / SHARE))))
-    bits = min(64, math.ceil(math.log2(max(2, size))) + 24)
+    bits = min(64, max(48, math.ceil(math.log2(max(2, size))) + 20))
     ranges = 1 << wide
     fields = ["block", "part", "n", "payload"]
 
