@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ledgerfold.llm.common import among_lowest
 
 TABLES, REACH, SAMPLE = 3, 0.75, 4096
-MOST_BUCKETS, BLOCK, GROUP = 4096, 4096, 16384
+MOST_BUCKETS, BLOCK, GROUP = 16384, 4096, 16384
 #: Width of a cell, in standard deviations of a projection.
 WIDTH = 2.0
 
@@ -58,14 +58,15 @@ class Index:
         return np.column_stack([q, np.zeros(len(q))])
 
     def cells(self, x: np.ndarray, table: int) -> np.ndarray:
-        return np.floor((x @ self.a[table].T + self.b[table]) / self.width).astype(np.int64)
+        """Cells -2 to 2 of each function; the outer two are open, so that a table has at most 5 ** functions buckets."""
+        return np.floor((x @ self.a[table].T + self.b[table]) / self.width).clip(-2, 2).astype(np.int64)
 
     @staticmethod
     def code(cells: np.ndarray) -> np.ndarray:
-        """One number per bucket; cells lie within +-32 of the centre."""
+        """One number per bucket."""
         out = np.zeros(len(cells), np.int64)
         for j in range(cells.shape[1]):
-            out = out * 64 + (cells[:, j].clip(-32, 31) + 32)
+            out = out * 8 + cells[:, j] + 2
         return out
 
     def visits(self, q: np.ndarray, table: int, buckets: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
@@ -75,10 +76,11 @@ class Index:
         spread = math.sqrt(max(1e-6, 1 - self.similarity**2))
         chance = np.ones((len(q), len(buckets)))
         for j in range(functions):
-            cell = buckets // 64 ** (functions - 1 - j) % 64 - 32
+            cell = buckets // 8 ** (functions - 1 - j) % 8 - 2
             names, which = np.unique(cell, return_inverse=True)
             low = (names * self.width - self.b[table, j] - self.similarity * at[:, j : j + 1]) / spread
-            high = low + self.width / spread
+            high = np.where(names == 2, np.inf, low + self.width / spread)
+            low = np.where(names == -2, -np.inf, low)
             chance *= (_normal(high) - _normal(low))[:, which]
         order = np.argsort(-chance, axis=1, kind="stable")
         ranked = np.take_along_axis(chance, order, axis=1)
@@ -92,7 +94,7 @@ class Index:
 
 def _normal(x: np.ndarray) -> np.ndarray:
     """Distribution function of the standard normal (Abramowitz and Stegun 7.1.26, error below 2e-7)."""
-    z = np.abs(x) / math.sqrt(2)
+    z = np.minimum(np.abs(x), 40) / math.sqrt(2)
     t = 1 / (1 + 0.3275911 * z)
     poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
     return 0.5 * (1 + np.sign(x) * (1 - poly * np.exp(-z * z)))
@@ -101,7 +103,7 @@ def _normal(x: np.ndarray) -> np.ndarray:
 def fit(sample: np.ndarray, n: int, norm: float, k: int, tables: int, seed: int) -> Index:
     """Functions enough for about ``BLOCK / 4`` rows a bucket, and the similarity of a k-th neighbour among n rows."""
     rng = np.random.default_rng(seed)
-    functions = int(np.clip(round(math.log(max(2, n / (BLOCK / 4)), 3)), 2, 7))
+    functions = int(np.clip(round(math.log(max(2, n / (BLOCK / 4)), 3)), 2, 6))  # at most 5 ** 6 buckets
     a = rng.normal(size=(tables, functions, sample.shape[1] + 1))
     index = Index(a, rng.uniform(0, WIDTH, (tables, functions)), WIDTH, norm, 0.0)
     if len(sample) > 1:
@@ -167,8 +169,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
 
     counts = rows.select("v").mapInArrow(counted, "t long, code long, n long").groupBy("t", "code").agg(F.sum("n").alias("n")).collect()
     held = [sorted((r["code"], r["n"]) for r in counts if r["t"] == t) for t in range(tables)]
-    if max(len(h) for h in held) > MOST_BUCKETS:
-        raise ValueError("more buckets than the bound; use wider cells")
+    assert max(len(h) for h in held) <= MOST_BUCKETS, "use wider cells"
     codes = [np.array([c for c, _ in h]) for h in held]
     splits = [np.array([-(-m // BLOCK) for _, m in h]) for h in held]  # blocks of each bucket
     firsts, total = [], 0
