@@ -9,10 +9,11 @@
    blocks: a bucket of up to ``SMALL`` members compares all of them; a larger one first compares all members
    with its centre (the member nearest to the bucket's majority bitmap). Candidates go to
    an exact comparison of the full sets, and confirmed links to connected components.
-4. The rest, for large buckets: members outside their bucket's largest
-   component compare with every member of other components, and their best
-   untried candidates are confirmed; each round tries four times as many, until no bucket has any left. So
-   nothing that the sketches let through is dropped.
+4. The rest, for large buckets: members outside their bucket's home, the component that holds its
+   largest one of step 3, compare with every member of other components, and their best
+   untried candidates are confirmed; each round tries four times as many, until no bucket has any left.
+   The home only grows, whichever component is largest later, so a member outside has been tried
+   from its first candidate on, and of two unlinked members one is outside: nothing that the sketches let through is dropped.
 
 Documents link when 100 * |A and B| >= 75 * |A or B| on full sets. Candidate search is
 probabilistic: at similarity 0.75 a pair meets in no band with probability
@@ -196,16 +197,17 @@ def first_candidates(doc: np.ndarray, size: np.ndarray, odd: np.ndarray, limit:
 
 
 def rest_candidates(doc: np.ndarray, size: np.ndarray, odd: np.ndarray, before: np.ndarray, now: np.ndarray, limit: int, skip: int, most: int):
-    """For members outside the bucket's largest component: numbers ``skip`` to ``skip + most`` of their nearest allowed members.
+    """For members outside the bucket's home: numbers ``skip`` to ``skip + most`` of their nearest allowed members.
 
-    They are numbered among members of other components ``before`` the first
+    The home is the component by ``now`` that holds the largest one ``before``. Candidates are numbered among members of other components ``before`` the first
     round, so the numbers stay the same; those in the same component by ``now`` are left out. A member
     with more to try gives a pair with itself.
     """
-    names, of, counts = np.unique(now, return_inverse=True, return_counts=True)
+    names, of = np.unique(now, return_inverse=True)
     if len(names) < 2 or len(doc) <= SMALL:
         return
-    for u in np.flatnonzero(of != np.argmax(counts)):
+    _, start, counts = np.unique(before, return_index=True, return_counts=True)
+    for u in np.flatnonzero(of != of[start[np.argmax(counts)]]):
         ok = alike(odd, size, odd[u], size[u], limit)
         ok = ok[before[ok] != before[u]]
         if len(ok) > skip:

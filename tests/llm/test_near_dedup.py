@@ -5,6 +5,7 @@ import re
 import numpy as np
 from ledgerfold.llm import near_dedup as nd
 from ledgerfold.llm.components import components
+from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -69,6 +70,30 @@ def test_families_near_the_limit(spark):
     assert result(spark, rows) == brute(rows)
 
 
+def test_family_that_overtakes_the_largest(spark, monkeypatch):
+    """One bucket: the centre's family of 100, and 110 texts that merge in the first rest round; one pair, the last of its list, links the two."""
+    signatures = nd.signatures
+    monkeypatch.setattr(nd, "signatures", lambda *a: signatures(*a).withColumn("bands", F.expr("if(bands is null, null, array(7L))")))
+    rng = random.Random(8)
+    a = [f"w{i}" for i in range(90)]
+    b, c = a[:73] + [f"b{i}" for i in range(73, 90)], [f"c{i}" for i in range(20)] + a[20:]
+    bridge = a[:80] + b[80:]  # links with a and b only, which do not link
+
+    def changed(base, n):
+        """``n`` texts, each with one word of its own."""
+        out = []
+        for _ in range(n):
+            at = rng.randrange(25, 65)
+            out.append(" ".join([*base[:at], f"v{rng.randrange(10**9)}", *base[at + 1 :]]))
+        return out
+
+    texts = [" ".join(a), " ".join(bridge), *changed(a, 98), " ".join(b), *changed(b, 109), *changed(c, 60)]
+    rows = list(enumerate(texts))
+    want = brute(rows)
+    assert len({root for _, root in want.values()}) == 2 and want[100][1] == 0
+    assert result(spark, rows) == want
+
+
 def test_defined_cases(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one  TWO"), (6, "É a b c d"), (7, "é a b c d"), (8, "a b c d e"), (8, "p q r s t"), (9, "p q r s t"), (10, "A B C D E"), (11, "x" * 10), (11, "x" * 10), (-3, "p q r s t"), (None, "a b c d e"), (12, "one two three " * 9000)]
     got = result(spark, rows, 1)
