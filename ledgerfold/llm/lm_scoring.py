@@ -13,8 +13,8 @@ each range adds up the counts of all blocks and answers every block for the
 n-grams it sent; a block's answers meet its words again and are summed per
 document. So an n-gram that every text holds is one entry per block, and the rows that
 are shuffled are packed arrays: sorted hashes as compressed differences.
-Hashes have log2(corpus bytes) + 20 bits (48 to 64), so that an n-gram meets another one with a
-chance of about one in a million whatever the corpus size.
+n-grams are told apart by 64-bit hashes; nothing compares the words behind them. Among ten billion
+different n-grams (about 30 GB of text) one meets another with a chance of 5e-10.
 
 The number of ranges grows with the corpus, one per ``SHARE`` bytes. A block sends one message to each
 range, so blocks of BLOCK bytes suit corpora of up to some terabytes; beyond, larger
@@ -78,14 +78,14 @@ def unpack_counts(blob: bytes) -> np.ndarray:
     return _unplanes(zstandard.ZstdDecompressor().decompress(blob[4:], max_output_size=8 * n + 1), n, np.uint64).astype(np.int64)
 
 
-def grams(words: np.ndarray, bounds: np.ndarray, order: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def grams(words: np.ndarray, bounds: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per n: the positions (of the last word) that have n words within their text, and the n-gram hashes there."""
     nth = np.arange(len(words)) - np.repeat(bounds[:-1], np.diff(bounds))
     out = []
     for n in range(1, order + 1):
         at = np.flatnonzero(nth >= n - 1)
         hashes = ngram_hashes(words, n)[at - (n - 1)] if len(at) else np.zeros(0, np.uint64)
-        out.append((at, hashes >> np.uint64(64 - bits)))
+        out.append((at, hashes))
     return out
 
 
@@ -120,7 +120,6 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     wide = max(3, math.ceil(math.log2(max(2, size / SHARE))))
-    bits = min(64, max(48, math.ceil(math.log2(max(2, size))) + 20))
     ranges = 1 << wide
     fields = ["block", "part", "n", "payload"]
 
@@ -133,9 +132,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     def explode(batches):
         """The distinct n-grams of each block with their counts, packed for every range."""
         for name, _, words, bounds in numbered(batches):
-            for n, (_, hashes) in enumerate(grams(words, bounds, order, bits), 1):
+            for n, (_, hashes) in enumerate(grams(words, bounds, order), 1):
                 own, times = np.unique(hashes, return_counts=True)
-                cuts = np.searchsorted(own, np.arange(1, ranges, dtype=np.uint64) << np.uint64(bits - wide))
+                cuts = np.searchsorted(own, np.arange(1, ranges, dtype=np.uint64) << np.uint64(64 - wide))
                 cuts = np.concatenate([[0], cuts, [len(own)]])
                 rows = [(name, p, n, pack(own[a:b], times[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
                 for at in range(0, len(rows), 256):
@@ -192,7 +191,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
         per_text = np.asarray(home.column("words").combine_chunks())
         bounds = np.concatenate([[0], np.cumsum(per_text)])
         answers: dict[tuple[int, int], np.ndarray] = {(k, p): unpack_counts(payload[i].as_py()) for i, (k, p) in enumerate(zip(n, part)) if k != HOME}
-        found, counts = grams(words, bounds, order, bits), []
+        found, counts = grams(words, bounds, order), []
         for k, (_, hashes) in enumerate(found, 1):
             own, where = np.unique(hashes, return_inverse=True)
             every = [answers[k, p] for p in sorted(p for j, p in answers if j == k)]

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from ledgerfold.llm import decontaminate as dc
 from ledgerfold.llm import line_dedup, lm_scoring
@@ -138,6 +139,18 @@ def test_scores_of_equal_blocks(spark, tmp_path):
     assert set(out) == set(range(9)) and all(out[i] == out[i % 3] for i in out) and len(set(out.values())) == 3
 
 
+def test_ngrams_with_nearly_the_same_hash(spark, tmp_path):
+    """Pairs of words whose hashes share their first 48 bits are counted apart."""
+    pairs = [("t5805 t2675", "t3148 t86"), ("t711 t7413", "t4065 t8310"), ("t6345 t193", "t3936 t681")]
+    texts = [t for pair in pairs for t in pair]
+    words, _ = lm_scoring.word_hashes(pa.array(texts))
+    hashes = lm_scoring.ngram_hashes(words, 2)[::2].reshape(-1, 2)
+    assert (hashes[:, 0] != hashes[:, 1]).all() and (hashes[:, 0] >> np.uint64(16) == hashes[:, 1] >> np.uint64(16)).all()
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    out = lm_scoring.score(spark.read.parquet(str(tmp_path / "d"))).collect()
+    assert np.allclose([r["log_score"] for r in out], math.log(0.4) - 2 * math.log(12)) and len(out) == 6
+
+
 def test_scores_of_an_empty_table(spark):
     assert lm_scoring.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
