@@ -7,7 +7,7 @@ floor((a.x + b) / w). A query visits a table's buckets in the order of their est
 success: a neighbour's projection, given the query's, is normal with a mean
 and a spread that follow from the expected similarity, so the chance of
 each cell, and as a product of each perturbed bucket, is known; buckets are
-visited until these chances add up to ``REACH``. Candidates of all tables are
+visited until these chances add up to ``REACH`` and enough rows are met for k other ids. Candidates of all tables are
 merged and ranked by the exact inner product in double precision.
 
 The expected similarity is fitted on a bounded sample of ``SAMPLE`` rows in the order of
@@ -69,8 +69,8 @@ class Index:
             out = out * 8 + cells[:, j] + 2
         return out
 
-    def visits(self, q: np.ndarray, table: int, buckets: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-        """(query, number of bucket) pairs: each query's buckets in the order of estimated success until ``reach``."""
+    def visits(self, q: np.ndarray, table: int, buckets: np.ndarray, rows: np.ndarray, reach: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, number of bucket) pairs: each query's buckets in the order of estimated success until ``reach``, and until they hold ``least`` of their ``rows``."""
         functions = self.b.shape[1]
         at = q @ self.a[table].T
         spread = math.sqrt(max(1e-6, 1 - self.similarity**2))
@@ -86,7 +86,8 @@ class Index:
         ranked = np.take_along_axis(chance, order, axis=1)
         total = ranked.sum(axis=1, keepdims=True)  # empty buckets hold no neighbour
         before = np.cumsum(ranked, axis=1) - ranked
-        visited = before < reach * total
+        met = np.cumsum(rows[order], axis=1) - rows[order]
+        visited = (before < reach * total) | (met < least)
         visited[:, 0] = True
         who, place = np.nonzero(visited)
         return who, order[who, place]
@@ -171,6 +172,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     held = [sorted((r["code"], r["n"]) for r in counts if r["t"] == t) for t in range(tables)]
     assert max(len(h) for h in held) <= MOST_BUCKETS, "use wider cells"
     codes = [np.array([c for c, _ in h]) for h in held]
+    sizes_of = [np.array([m for _, m in h]) for h in held]
+    # more rows than the k most frequent ids have hold more than k ids
+    frequent = rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(k)
+    least = frequent.agg(F.sum("n")).first()[0] + 1
     splits = [np.array([-(-m // BLOCK) for _, m in h]) for h in held]  # blocks of each bucket
     firsts, total = [], 0
     for s in splits:
@@ -200,7 +205,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
                     picks.append(np.arange(len(v)))
                     sides.append(np.zeros(len(v), bool))
                 if len(asks):
-                    who, where = index.visits(q, t, codes[t], reach)
+                    who, where = index.visits(q, t, codes[t], sizes_of[t], reach, least)
                     many = splits[t][where]
                     block = np.repeat(firsts[t][where], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                     who = np.repeat(asks[who], many)
@@ -227,14 +232,19 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
         for one in np.unique(block):
             here = np.flatnonzero(block == one)
             them, us = here[~asks[here]], here[asks[here]]
+            them = them[np.argsort(names[them], kind="stable")]
+            _, starts = np.unique(names[them], return_index=True)
+            each = them[starts]  # one row of each id stands for all of them
             for at in range(0, len(us) if len(them) else 0, 256):
                 q = us[at : at + 256]
                 score = v[q] @ v[them].T
-                score[names[q][:, None] == names[them][None]] = -np.inf
+                if len(each) < len(them):
+                    score = np.maximum.reduceat(score, starts, axis=1)
+                score[names[q][:, None] == names[each][None]] = -np.inf
                 # everything that ties with the k-th stays until ties are settled by id
-                least = np.partition(score, len(them) - k, axis=1)[:, len(them) - k] if len(them) > k else np.full(len(q), -np.inf)
+                least = np.partition(score, len(each) - k, axis=1)[:, len(each) - k] if len(each) > k else np.full(len(q), -np.inf)
                 i, j = np.nonzero((score >= least[:, None]) & (score > -np.inf))
-                _best(found, q[i], them[j], score[i, j], names, k)
+                _best(found, q[i], each[j], score[i, j], names, k)
         asked, near, score = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in found)
         kept = ([], [], [])
         _best(kept, asked, near, score, names, k)

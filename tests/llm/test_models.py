@@ -141,6 +141,20 @@ def test_nearest_neighbours(spark, n, monkeypatch):
     assert hits >= 0.9 * sum(len(w) for w in want.values())
 
 
+@pytest.mark.parametrize("n", [15, 21])
+def test_all_candidates_of_a_small_table(spark, n):
+    """Up to 21 vectors, every other id is a neighbour, also where ids repeat."""
+    rng = np.random.default_rng(n)
+    rows = [(i * 4, rng.normal(size=8).tolist()) for i in range(n)]
+    rows += [(4, rng.normal(size=8).tolist()) for _ in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = ann.nearest(table, F.col("vec_id") % 20 == 0).collect()
+    got = {}
+    for x in out:
+        got.setdefault(x["query_id"], set()).add(x["vec_id"])
+    assert got == {q: {4 * i for i in range(n)} - {q} for q in range(0, 4 * n, 20)}
+
+
 def test_no_vectors(spark):
     table = spark.createDataFrame([(1, None), (20, [0.0])], "vec_id long, embedding array<float>")
     assert ann.nearest(table, F.col("vec_id") % 20 == 0).count() == 0
