@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import ann, decontaminate, language_id, line_dedup, lm_scoring, near_dedup, packing, periodic_runs, secret_scan, token_counts, toxicity
+from ledgerfold.llm import ann, decontaminate, language_id, license_scan, line_dedup, lm_scoring, near_dedup, packing, periodic_runs, secret_scan, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -131,6 +131,11 @@ FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, sum(s) AS t FROM s GRO
 """
 
 
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.license_scan(table(spark, sf_dir, "documents")))
+
+
 @query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
