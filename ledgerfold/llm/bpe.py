@@ -6,7 +6,8 @@ each distinct piece of a block is encoded once, and ids are gathered per documen
 Texts in which such cuts could change a white-space run (three white-space
 characters in a row, or two at the end) are encoded whole. Distinct pieces of
 Latin script go through ``tiktoken`` with the same vocabulary, all others
-through ``tokenizers``; tests hold both against ``tokenizers`` on whole texts.
+through ``tokenizers``; tests hold both against ``tokenizers`` on whole texts. Texts that hold
+a special token's string are encoded whole by ``tokenizers``, which makes it that token's id (``plain``: ordinary text).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import base64
 import functools
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +36,15 @@ def vocabulary_path(name: str) -> str:
 
 
 class BlockEncoder:
-    def __init__(self, vocabulary: str, ranks: str, pattern: str):
+    def __init__(self, vocabulary: str, ranks: str, pattern: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
         from tokenizers import Tokenizer
 
         self.exact = Tokenizer.from_file(vocabulary)
-        self.exact.encode_special_tokens = True
+        self.exact.encode_special_tokens = plain
+        special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
+        self.special = None if plain or not special else "|".join(re.escape(t) for t in special)
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
@@ -52,9 +56,14 @@ class BlockEncoder:
     def _fast(self, text: str) -> np.ndarray:
         return self.fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
 
+    def _special(self, texts: pa.Array) -> np.ndarray:
+        """Which texts hold a special token's string that counts as such."""
+        return np.asarray(pc.match_substring_regex(texts, self.special)) if self.special else np.zeros(len(texts), bool)
+
     def _each(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text by itself."""
-        beyond = np.asarray(pc.match_substring_regex(pa.array(texts, pa.large_string()), BEYOND_LATIN)) if texts else []
+        given = pa.array(texts, pa.large_string())
+        beyond = np.asarray(pc.match_substring_regex(given, BEYOND_LATIN)) | self._special(given)
         out: list = [None if far else self._fast(t) for t, far in zip(texts, beyond)]
         rest = [i for i, x in enumerate(out) if x is None]
         for i, e in zip(rest, self.exact.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
@@ -107,7 +116,7 @@ class BlockEncoder:
     def prepare(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids of the distinct pieces, (start, count) of each, pieces in text order, and each text's bounds in them."""
         texts = texts.fill_null("").cast(pa.large_string())
-        whole = pc.match_substring_regex(texts, WHOLE)
+        whole = pc.or_(pc.match_substring_regex(texts, WHOLE), pa.array(self._special(texts)))
         pieces = pc.split_pattern(pc.if_else(whole, "", texts), " ")
         bounds = np.asarray(pieces.offsets).astype(np.int64)
         bounds = bounds - bounds[0]
@@ -152,8 +161,8 @@ class BlockEncoder:
 
 
 @functools.cache
-def encoder(vocabulary: str, ranks: str) -> BlockEncoder:
+def encoder(vocabulary: str, ranks: str, plain: bool = False) -> BlockEncoder:
     """One encoder per Python worker."""
     import public_tokenizers
 
-    return BlockEncoder(vocabulary, ranks, public_tokenizers.PATTERN)
+    return BlockEncoder(vocabulary, ranks, public_tokenizers.PATTERN, plain)

@@ -16,21 +16,37 @@ def encoder():
     return bpe.encoder(bpe.vocabulary_path("byte_bpe_50k.json"), bpe.vocabulary_path("byte_bpe_50k.tiktoken"))
 
 
+@pytest.fixture(scope="module")
+def plain():
+    """The library's own object with its own options."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(bpe.vocabulary_path("byte_bpe_50k.json"))
+
+
 @pytest.fixture(scope="module")
 def texts():
     rng = random.Random(3)
-    return [None, "", " ", *("".join(rng.choices(PARTS, k=rng.randint(1, 40))) for _ in range(4000)), "word " * 3000, "x" * 5000]
+    return [None, "", " ", *("".join(rng.choices(PARTS, k=rng.randint(1, 40))) for _ in range(4000)), "word " * 3000, "x" * 5000, "x <|endoftext|> y", "x<|endoftext|>y", "a  <|endoftext|>  b", "é<|endoftext|>" * 3, "<|endoftext|"]
 
 
-def test_ids_equal_tokenizers(encoder, texts):
-    whole = [e.ids for e in encoder.exact.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+def test_ids_equal_tokenizers(encoder, plain, texts):
+    whole = [e.ids for e in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     assert [x.tolist() for x in encoder.ids(pa.array(texts, pa.string()), most=500)] == whole
     assert encoder.lengths(pa.array(texts, pa.string())).tolist() == [len(x) for x in whole]
 
 
-def test_histogram(spark, encoder, texts):
+def test_special_strings(encoder, plain, texts):
+    assert plain.encode("x <|endoftext|> y").ids.count(50256) == 1
+    own = bpe.encoder(bpe.vocabulary_path("byte_bpe_50k.json"), bpe.vocabulary_path("byte_bpe_50k.tiktoken"), plain=True)
+    ordinary = type(plain).from_file(bpe.vocabulary_path("byte_bpe_50k.json"))
+    ordinary.encode_special_tokens = True
+    assert [x.tolist() for x in own.ids(pa.array(texts, pa.string()))] == [e.ids for e in ordinary.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_histogram(spark, plain, texts):
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts + texts[:50])], "doc_id long, text string, n_tokens string")
-    lengths = sorted(len(encoder.exact.encode(t or "", add_special_tokens=False).ids) for t in texts + texts[:50])
+    lengths = sorted(len(plain.encode(t or "", add_special_tokens=False).ids) for t in texts + texts[:50])
     histogram = token_counts.token_histogram(docs).cache()
     for r in histogram.collect():
         n = r["n_tokens"]
@@ -53,13 +69,13 @@ def test_empty_tables(spark):
     assert packing.pack(docs).count() == 0
 
 
-def test_pack_round_trip(spark, encoder, texts):
+def test_pack_round_trip(spark, plain, texts):
     rows = [(i if i % 7 else None, t, i) for i, t in enumerate(texts)] + [(5, texts[8], 0)] * 40
     docs = spark.createDataFrame(rows, "doc_id long, text string, length long").repartition(3)
     out = packing.pack(docs).toPandas()
     want = []
     for name, text, _ in rows:
-        ids = np.array([*encoder.exact.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        ids = np.array([*plain.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
         for at in range(0, len(ids), 2048):
             part = ids[at : at + 2048]
             want.append((-1 if name is None else name, at, len(part), zlib.crc32(part.tobytes()), len(ids)))
