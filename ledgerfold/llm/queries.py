@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import ann, decontaminate, language_id, license_scan, line_dedup, lm_scoring, near_dedup, packing, periodic_runs, secret_scan, token_counts, toxicity
+from ledgerfold.llm import ann, decontaminate, language_id, license_scan, line_dedup, lm_scoring, near_dedup, packing, periodic_runs, secret_scan, token_alignment, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -143,6 +143,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.periodic_runs(texts))
 
 
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.token_alignment(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
