@@ -77,17 +77,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op10_line_dedup"] = f"""
 WITH d AS (SELECT doc_id, source, coalesce(source, '') AS host, text, string_split(text, chr(10)) AS ls FROM documents),
-l AS (SELECT DISTINCT host, text, trim(x) AS line FROM (SELECT host, text, unnest(ls) AS x FROM d WHERE text IS NOT NULL) WHERE trim(x) <> ''),
-t AS (SELECT host, count(DISTINCT text) AS pages FROM d WHERE text IS NOT NULL GROUP BY host),
+g AS (SELECT DISTINCT host, list_sort(list_distinct(list_filter(list_transform(ls, lambda x: trim(x)), lambda x: x <> ''))) AS page FROM d WHERE text IS NOT NULL),
+t AS (SELECT host, count(*) AS pages FROM g GROUP BY host),
 b AS (SELECT host, list(line) AS lines FROM (
-  SELECT l.host, line FROM l JOIN t USING (host) GROUP BY l.host, line, pages
+  SELECT l.host, line FROM (SELECT host, unnest(page) AS line FROM g) AS l JOIN t USING (host) GROUP BY l.host, line, pages
   HAVING count(*) >= {line_dedup.LEAST_PAGES} AND count(*) > pages * {line_dedup.RATIO}) GROUP BY host),
 k AS (SELECT doc_id, source, text, ls, CASE WHEN len(list_filter(ls, lambda x: list_contains(lines, trim(x)))) > 0
-  THEN list_filter(ls, lambda x: trim(x) = '' OR NOT list_contains(lines, trim(x))) END AS kept FROM d LEFT JOIN b USING (host)),
-c AS (SELECT *, kept IS NOT NULL AND length(coalesce(array_to_string(kept, chr(10)), '')) >= length(text) * {1 - line_dedup.MOST_SHARE} AS changed FROM k)
+  THEN list_filter(ls, lambda x: trim(x) = '' OR NOT list_contains(lines, trim(x))) END AS kept FROM d LEFT JOIN b USING (host))
 SELECT doc_id, source, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines,
-  CAST(CASE WHEN changed THEN len(ls) - len(kept) ELSE 0 END AS BIGINT) AS n_dropped,
-  sha256(CASE WHEN changed THEN coalesce(array_to_string(kept, chr(10)), '') ELSE text END) AS text_sha256 FROM c
+  CAST(CASE WHEN kept IS NOT NULL THEN len(ls) - len(kept) ELSE 0 END AS BIGINT) AS n_dropped,
+  sha256(CASE WHEN kept IS NOT NULL THEN coalesce(array_to_string(kept, chr(10)), '') ELSE text END) AS text_sha256 FROM k
 """
 
 
