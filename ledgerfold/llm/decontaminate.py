@@ -8,44 +8,51 @@ hit places the item in the document, and Myers' bit-parallel algorithm gives
 the least edit distance of the item to any passage there.
 
 Texts are compared as bytes with A-Z lowered and runs of other ASCII
-characters than letters and digits made one space. The items of a block (at most ``BLOCK`` bytes)
+characters than letters and digits made one space. Items and documents begin and end with a space, which counts as a character:
+an item that must occur unchanged stands between whole words, and elsewhere a cut word costs an edit. The items of a block (at most ``BLOCK`` bytes)
 are sent to every task; a larger benchmark is searched block by block. Documents
 are read once a block, whole, and aren't shuffled.
 
-Defined cases: null or empty documents hold nothing; null items and items
-without letters or digits are ignored; an item shorter than a piece must occur unchanged; repeated items or documents give
-one row per (doc_id, item_id); empty tables give no rows.
+Defined cases: null or empty documents hold nothing; null items, items without an id and items of fewer than ``least_words``
+words are not searched (a few common words are no evidence of a leak); repeated items or documents give
+one row per (doc_id, item_id), and rows with a null doc_id one per item; ids of any type keep it; empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerfold.llm.common import text_blocks
 
 #: Edits allowed, as a share of the item's normalised length.
 ERRORS = 0.05
 HEAD = 8
+#: Fewest words of an item that is searched.
+LEAST_WORDS = 5
 BLOCK = 16 << 20
 _TABLE = np.arange(256, dtype=np.uint8)
 for _c in range(128):
     _TABLE[_c] = ord(chr(_c).lower()) if chr(_c).isalnum() else 32
 
 
-def normalised(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Normalised bytes and which input bytes they come from."""
+def normalised(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Normalised bytes and which input bytes they come from; runs of spaces end where a text starts."""
     out = _TABLE[raw]
     space = out == 32
     keep = np.ones(len(out), bool)
     keep[1:] = ~(space[1:] & space[:-1])
+    keep[starts] = True
     return out[keep], keep
 
 
 def normal(text: str) -> bytes:
-    return normalised(np.frombuffer(text.encode(), np.uint8))[0].tobytes().strip(b" ")
+    """The normalised text between two spaces."""
+    return normalised(np.frombuffer(f" {text} ".encode(), np.uint8), np.array([0]))[0].tobytes()
 
 
 def myers(pattern: bytes, text: bytes, most: int) -> int | None:
@@ -75,14 +82,11 @@ def myers(pattern: bytes, text: bytes, most: int) -> int | None:
 class Pieces:
     """Search structure of one block of items."""
 
-    def __init__(self, items: list[tuple[object, bytes]], errors: float):
+    def __init__(self, items: list[tuple[object, bytes]], errors: float, least_words: int):
         self.items, heads, where = [], [], []
-        self.short = []
         for name, text in items:
             m = len(text)
-            if m < HEAD:
-                if m:
-                    self.short.append((name, text))
+            if len(text.split()) < least_words or m < HEAD:
                 continue
             budget = max(0, min(int(errors * m), m // HEAD - 1))
             cuts = [m * i // (budget + 1) for i in range(budget + 2)]
@@ -104,18 +108,14 @@ class Pieces:
     def find(self, texts: pa.Array) -> dict[tuple[int, int], int]:
         """(document, item) -> least distance, for the matches of a block of documents."""
         out: dict[tuple[int, int], int] = {}
-        texts = texts.fill_null("").cast(pa.binary())
+        texts = pc.binary_join_element_wise("", texts.fill_null("").cast(pa.string()), "", " ").cast(pa.binary())
         offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
         data = texts.buffers()[2]
         if data is None or not len(texts):
             return out
         raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
-        clean, kept = normalised(raw)
+        clean, kept = normalised(raw, offsets[:-1] - offsets[0])
         bounds = np.concatenate([[0], np.cumsum(kept)])[offsets - offsets[0]]
-        for number, (name, text) in enumerate(self.short):
-            for d in range(len(texts)):
-                if text in clean[bounds[d] : bounds[d + 1]].tobytes():
-                    out[d, -1 - number] = 0
         n = len(clean) - HEAD + 1
         if n <= 0 or not len(self.heads):
             return out
@@ -142,9 +142,6 @@ class Pieces:
                     out[d, number] = min(distance, out.get((d, number), distance))
         return out
 
-    def name(self, number: int):
-        return self.items[number][0] if number >= 0 else self.short[-1 - number][0]
-
 
 _made: dict[str, Pieces] = {}
 
@@ -157,7 +154,7 @@ def _pieces(sent, key: str) -> Pieces:
     return _made[key]
 
 
-def blocks(items: DataFrame, item_id: str, text: str, errors: float, size: int = BLOCK):
+def blocks(items: DataFrame, item_id: str, text: str, errors: float, size: int = BLOCK, least_words: int = LEAST_WORDS):
     """Broadcasts of at most about ``size`` bytes of items each, with their keys."""
     rows = items.select(F.col(item_id).alias("id"), F.col(text).cast("string").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -165,16 +162,17 @@ def blocks(items: DataFrame, item_id: str, text: str, errors: float, size: int =
     for k in range(n):
         part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).distinct().collect()
         found = [(r["id"], normal(r["text"])) for r in part]
-        sent = items.sparkSession.sparkContext.broadcast((sorted(found, key=lambda x: (x[1], str(x[0]))), errors))
+        sent = items.sparkSession.sparkContext.broadcast((sorted(found, key=lambda x: (x[1], str(x[0]))), errors, least_words))
         yield sent, f"{items.sparkSession.sparkContext.applicationId}-{sent._jbroadcast.id()}"
 
 
-def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", errors: float = ERRORS) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", errors: float = ERRORS, least_words: int = LEAST_WORDS) -> DataFrame:
     """``doc_id, item_id, distance`` for every document that holds a passage within an item's budget."""
     kind, item_kind = dict(docs.dtypes)[doc_id], dict(items.dtypes)[item_id]
+    item_type = to_arrow_type(items.schema[item_id].dataType)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     out = None
-    for sent, key in blocks(items, item_id, item_text, errors):
+    for sent, key in blocks(items, item_id, item_text, errors, least_words=least_words):
 
         def run(batches, sent=sent, key=key):
             for block in text_blocks(batches):
@@ -182,7 +180,7 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
                 found = pieces.find(block.column("text"))
                 pairs = sorted(found)
                 ids = block.column("doc_id").take(pa.array([d for d, _ in pairs], pa.int64()))
-                names = pa.array([pieces.name(i) for _, i in pairs], pa.int64() if item_kind == "bigint" else None)
+                names = pa.array([pieces.items[i][0] for _, i in pairs], item_type)
                 yield pa.RecordBatch.from_arrays([ids, names, pa.array([found[p] for p in pairs], pa.int64())], ["doc_id", "item_id", "distance"])
 
         part = source.mapInArrow(run, f"doc_id {kind}, item_id {item_kind}, distance long")
@@ -190,9 +188,9 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     return out.groupBy("doc_id", "item_id").agg(F.min("distance").alias("distance"))
 
 
-def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", errors: float = ERRORS) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", errors: float = ERRORS, least_words: int = LEAST_WORDS) -> DataFrame:
     """The rows of ``docs`` without any passage of an item, all columns."""
-    for sent, key in blocks(items, item_id, item_text, errors):
+    for sent, key in blocks(items, item_id, item_text, errors, least_words=least_words):
 
         def run(batches, sent=sent, key=key):
             for block in text_blocks(batches, text):
