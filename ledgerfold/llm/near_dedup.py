@@ -21,7 +21,7 @@ probabilistic: at similarity 0.75 a pair meets in no band with probability
 A second bitmap, the parity of the whole set, rules out most pairs just below it.
 
 Defined cases: null text, empty text and text without words have an empty set
-and link with nothing; a row with a null id links with nothing, has no component and is
+and link with nothing; each row with a null id is a row of the result: it links with nothing, has no component and is
 kept; rows that share an id are one document, linked by what any of them holds, and n_shingles is their largest;
 extra columns are ignored; an empty table gives an empty result.
 """
@@ -104,7 +104,7 @@ def set_limit(sizes: np.ndarray, bits: int = SET_BITS, slack: float = SLACK) ->
 
 
 def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Per row with an id: set size, set digest, band keys and odd sketch (the last two null without words)."""
+    """Per row: set size, set digest, band keys and odd sketch (the last two null without words)."""
 
     def run(batches):
         for block in text_blocks(batches):
@@ -129,7 +129,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             )
 
     kind = dict(docs.dtypes)[doc_id]
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     return source.mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, bands array<long>, odd binary")
 
 
@@ -278,10 +278,11 @@ def shingle_blobs(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) ->
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per document id."""
+    """``doc_id, n_shingles, component_id, kept`` per document id, and per row without one."""
     kind = dict(docs.dtypes)[doc_id]
     limit = odd_limit(NUMERATOR / DENOMINATOR)
     signed = settled(signatures(docs, doc_id, text))
+    nameless, signed = signed.where("doc_id IS NULL"), signed.where("doc_id IS NOT NULL")
 
     # classes of equal sets; min over a struct combines map-side, so copies shrink before the shuffle
     with_words = signed.where("n_shingles > 0")
@@ -336,4 +337,5 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     final = classes.select("digest", "rep").join(named("component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class_component"))
     rows = signed.select("doc_id", "n_shingles", "digest").join(final, "digest", "left")
     out = rows.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.coalesce(F.min("class_component"), F.col("doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    out = out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.unionByName(nameless.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
