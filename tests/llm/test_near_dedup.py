@@ -41,6 +41,9 @@ def brute(rows):
 def result(spark, rows, partitions=3):
     docs = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], "doc_id long, text string, digest string, n_shingles int").repartition(partitions)
     out = nd.near_duplicates(docs).collect()
+    nameless = [(r["n_shingles"], r["component_id"], r["kept"]) for r in out if r["doc_id"] is None]
+    assert sorted(nameless) == sorted((len(shingles(t)), None, True) for i, t in rows if i is None)
+    out = [r for r in out if r["doc_id"] is not None]
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
     assert len({r["doc_id"] for r in out}) == len(out)
     return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out}
@@ -95,7 +98,7 @@ def test_family_that_overtakes_the_largest(spark, monkeypatch):
 
 
 def test_defined_cases(spark):
-    rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one  TWO"), (6, "É a b c d"), (7, "é a b c d"), (8, "a b c d e"), (8, "p q r s t"), (9, "p q r s t"), (10, "A B C D E"), (11, "x" * 10), (11, "x" * 10), (-3, "p q r s t"), (None, "a b c d e"), (12, "one two three " * 9000)]
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one  TWO"), (6, "É a b c d"), (7, "é a b c d"), (8, "a b c d e"), (8, "p q r s t"), (9, "p q r s t"), (10, "A B C D E"), (11, "x" * 10), (11, "x" * 10), (-3, "p q r s t"), (None, "a b c d e"), (None, "a b c d e"), (None, None), (12, "one two three " * 9000)]
     got = result(spark, rows, 1)
     assert got == brute(rows)
     assert got[8][1] == got[9][1] == got[10][1] == -3 and got[2] == (0, 2)

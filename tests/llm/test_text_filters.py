@@ -12,19 +12,17 @@ from ledgerfold.llm import decontaminate as dc
 from ledgerfold.llm import line_dedup, lm_scoring
 
 
-def brute_lines(rows, ratio, least, most=0.5):
+def brute_lines(rows, ratio, least):
     pages = collections.defaultdict(set)
     for _, host, text in rows:
         if text is not None:
-            pages[host or ""].add(text)
-    held = collections.Counter((h, line) for h, texts in pages.items() for t in texts for line in {x.strip(" ") for x in t.split("\n")} if line)
+            pages[host or ""].add(frozenset(x.strip(" ") for x in text.split("\n")) - {""})
+    held = collections.Counter((h, line) for h, sets in pages.items() for lines in sets for line in lines)
     out = []
     for i, host, text in rows:
         lines = [] if text is None else text.split("\n")
         kept = [x for x in lines if not x.strip(" ") or held[host or "", x.strip(" ")] < least or held[host or "", x.strip(" ")] <= ratio * len(pages[host or ""])]
-        shorter = "\n".join(kept)
-        changed = text is not None and len(kept) < len(lines) and len(shorter) >= len(text) * (1 - most)
-        out.append((i, len(lines), len(lines) - len(kept) if changed else 0, shorter if changed else text))
+        out.append((i, len(lines), len(lines) - len(kept), text if text is None else "\n".join(kept)))
     return out
 
 
@@ -44,6 +42,18 @@ def test_line_dedup(spark):
     assert got == sorted((str(i), n, k, str(t)) for i, n, k, t in brute_lines(rows, 0.1, 3))
     assert any(k for _, _, k, _ in got) and ("1000", 2, 0, "copied content line\nanother one") in got  # copies are one page
     assert line_dedup.line_dedup(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="__hit"):
+        line_dedup.line_dedup(docs.withColumnRenamed("lines", "__hit"))
+
+
+def test_no_line_over_the_ratio_stays(spark):
+    """Pages that are mostly boilerplate lose it too; a small site has boilerplate as well; copies in any line order are one page."""
+    rows = [(i, "big", f"Menu\nFooter, all rights reserved\n{'Terms and conditions apply' if i % 2 else ''}\nown {i}") for i in range(100)]
+    rows += [(200 + i, "small", f"Menu\nstory {i}") for i in range(4)] + [(300 + i, "copies", ["a b\nc d", "c d\na b\na b", " c d \n\na b"][i % 3]) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r["doc_id"]: r["__text"] for r in line_dedup.line_dedup(docs).collect()}
+    assert all(got[i].strip("\n") == f"own {i}" for i in range(100)) and all(got[200 + i] == f"story {i}" for i in range(4))
+    assert all(got[i] == t for i, h, t in rows if h == "copies")
 
 
 def least_distance(pattern, text):
@@ -66,7 +76,7 @@ def test_myers():
 
 def test_decontamination(spark):
     rng = random.Random(1)
-    items = [(i, "".join(rng.choices("abcdef gh", k=rng.choice([5, 30, 90, 200])))) for i in range(25)]
+    items = [(i, "".join(rng.choices("abcdef gh", k=rng.choice([5, 15, 30, 90, 200])))) for i in range(30)]
     docs = []
     for k in range(100):
         text = list(rng.choice(items)[1])
@@ -77,12 +87,10 @@ def test_decontamination(spark):
         docs.append((k, noise[0] + "".join(text) + noise[1]))
     want = {}
     for i, t in docs:
-        clean = dc.normalised(np.frombuffer(t.encode(), "u1"))[0].tobytes()
+        clean = dc.normal(t)
         for k, x in items:
             p = dc.normal(x)
-            if len(p) < dc.HEAD:
-                if p and p in clean:
-                    want[i, k] = 0
+            if len(p.split()) < 2:
                 continue
             budget, d = max(0, min(int(dc.ERRORS * len(p)), len(p) // dc.HEAD - 1)), least_distance(p, clean)
             if d <= budget:
@@ -90,10 +98,10 @@ def test_decontamination(spark):
     rows = [(i, t, "e") for i, t in [*docs, *docs[:5], (500, None), (501, "")]]
     d = spark.createDataFrame(rows, "doc_id long, text string, item_id string").repartition(3)
     b = spark.createDataFrame([*items, items[0], (900, None), (901, " !"), (None, "abcdef")], "item_id long, text string")
-    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in dc.contaminated(d, b).collect()}
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in dc.contaminated(d, b, least_words=2).collect()}
     assert got == want
     assert len({v for v in want.values()}) > 2
-    kept = dc.clean(d, b)
+    kept = dc.clean(d, b, least_words=2)
     assert kept.columns == d.columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i, *_ in rows} - {i for i, _ in want}
     assert dc.contaminated(d, b.limit(0)).count() == 0 and dc.contaminated(d.limit(0), b).count() == 0
@@ -101,6 +109,24 @@ def test_decontamination(spark):
     assert len(list(dc.blocks(b, "item_id", "text", dc.ERRORS, size=200))) > 3
 
 
+def test_few_words_and_cut_words_are_no_leak(spark):
+    items = spark.createDataFrame([(1, "yes"), (2, "2 + 2 = ?"), (3, "one two three four"), (4, "I sat on a mat")], "item_id int, text string")
+    texts = ["eyes saw it yesterday", "2 + 2 = 4", "one two three four", "I sat on a mat", "ai sat on a mat", "I sat on a matter", "x i, sat on: a MAT!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = dc.contaminated(docs, items)
+    assert dict(got.dtypes)["item_id"] == "int" and sorted(map(tuple, got.collect())) == [(3, 4, 0), (6, 4, 0)]
+    assert sorted(r["doc_id"] for r in dc.clean(docs, items).collect()) == [0, 1, 2, 4, 5]
+
+
+@pytest.mark.parametrize("kind, value", [("int", "7"), ("smallint", "7"), ("bigint", "7"), ("string", "'a'"), ("double", "0.5"), ("date", "date'2031-01-01'"), ("decimal(6,2)", "1.5")])
+def test_ids_of_any_type(spark, kind, value):
+    one = spark.sql(f"SELECT CAST({value} AS {kind}) AS id, 'five words are an item' AS text")
+    docs = one.withColumnRenamed("id", "doc_id").unionByName(spark.sql(f"SELECT CAST(NULL AS {kind}) AS doc_id, 'so five words are an item here' AS text"))
+    got = dc.contaminated(docs, one.withColumnRenamed("id", "item_id"))
+    assert dict(got.dtypes)["item_id"] == kind and dict(got.dtypes)["doc_id"] == kind
+    assert sorted((r["doc_id"] is None, r["item_id"] == one.first()["id"], r["distance"]) for r in got.collect()) == [(False, True, 0), (True, True, 0)]
+
+
 def words_of(text):
     return re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
 
@@ -151,6 +177,26 @@ def test_ngrams_with_nearly_the_same_hash(spark, tmp_path):
     assert np.allclose([r["log_score"] for r in out], math.log(0.4) - 2 * math.log(12)) and len(out) == 6
 
 
+@pytest.mark.parametrize("least", [1, 2, 3, 5])
+def test_other_evidence(spark, least, monkeypatch, tmp_path):
+    """Marks keep out what has less evidence, at any threshold and with leading bits that many n-grams share."""
+    monkeypatch.setattr(lm_scoring, "BLOCK", 200)
+    rng = random.Random(least)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.randint(0, 12))) for _ in range(150)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2).write.parquet(str(tmp_path / "d"))
+    counts = collections.Counter(tuple(w[i : i + n]) for t in texts for w in [t.split()] for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    total = sum(len(t.split()) for t in texts)
+
+    def log_s(gram):
+        if len(gram) == 1:
+            return math.log(counts[gram]) - math.log(total)
+        return math.log(counts[gram]) - math.log(counts[gram[:-1]]) if counts[gram] >= least else math.log(0.4) + log_s(gram[1:])
+
+    want = [sum(log_s(tuple(w[max(0, i - 2) : i + 1])) for i in range(len(w))) for w in map(str.split, texts)]
+    got = {r["doc_id"]: r["log_score"] for r in lm_scoring.score(spark.read.parquet(str(tmp_path / "d")), min_count=least).collect()}
+    assert np.allclose([got[i] for i in range(len(texts))], want, atol=1e-6)
+
+
 def test_scores_of_an_empty_table(spark):
     assert lm_scoring.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -162,5 +208,8 @@ def test_packing_of_counts():
         counts = rng.integers(1, 10**6, len(hashes))
         a, b = lm_scoring.unpack(lm_scoring.pack(hashes, counts))
         assert (a == hashes).all() and (b == counts).all()
+        marked = rng.random(len(hashes)) < 0.3
+        m, a, b = lm_scoring.unpack_marked(lm_scoring.pack_marked(marked, hashes, counts))
+        assert (m == marked).all() and (a == hashes[marked]).all() and (b == counts[marked]).all()
         big = counts * 10**9
         assert (lm_scoring.unpack_counts(lm_scoring.pack_counts(big)) == big).all()
