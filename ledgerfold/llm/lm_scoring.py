@@ -10,17 +10,9 @@ ORDER - 1 words before it in the document.
 The count tables are partitioned by ranges of the n-gram hash. A block of
 documents explodes into its distinct n-grams with counts, packed per range;
 each range adds up the counts of all blocks and answers every block for the
-n-grams it sent; a block's answers meet its words again and are summed per
+n-grams it sent (0 for one without evidence, whose count no score uses); a block's answers meet its words again and are summed per
 document. So an n-gram that every text holds is one entry per block, and the rows that
 are shuffled are packed arrays: sorted hashes as compressed differences.
-
-Most n-grams are seen less than MIN_COUNT times, and those need no count. So blocks first send only
-the leading bits of the hashes (log2 of the corpus bytes, and three more), and the ranges mark those
-that MIN_COUNT n-grams or more share. Equal n-grams have equal bits, so no n-gram with
-evidence is missed; marked ones are then sent and counted by their whole hashes, and a few percent that are
-marked by chance get their true count there. Every word is counted, and a context whose n-gram has
-evidence has it too, so scores are those of the full tables.
-
 n-grams are told apart by 64-bit hashes; nothing compares the words behind them. Among ten billion
 different n-grams (about 30 GB of text) one meets another with a chance of 5e-10.
 
@@ -30,7 +22,7 @@ blocks keep messages from getting short.
 
 Defined cases: null or empty text and text without words have no words and score 0; every
 row is scored by itself, and repeated rows count as often as they occur;
-extra columns and nulls elsewhere have no effect. The input is read three times and must come in the same order,
+extra columns and nulls elsewhere have no effect. The input is read twice and must come in the same order,
 as a table scan does; blocks carry a digest, and a mix of two orders is an error, not a wrong score.
 """
 
@@ -49,7 +41,8 @@ from ledgerfold.llm.common import settled, text_blocks
 from ledgerfold.llm.words import ngram_hashes, word_hashes
 
 ORDER, ALPHA, MIN_COUNT = 3, 0.4, 2
-BLOCK, SHARE = 8 << 20, 8 << 20
+#: Text bytes of a block (the larger, the fewer n-grams are sent again by another block) and of a range.
+BLOCK, SHARE = 14 << 20, 8 << 20
 SCHEMA = "block string, part long, n int, payload binary"
 HOME = -1
 
@@ -77,22 +70,6 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(_unplanes(raw, n, np.uint64), dtype=np.uint64), _unplanes(raw[8 * n :], n, np.uint32).astype(np.int64)
 
 
-def pack_marked(marked: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> bytes:
-    """Which of a block's n-grams are marked, and hashes and counts of those."""
-    bits = zstandard.ZstdCompressor(level=1).compress(np.packbits(marked).tobytes())
-    return len(marked).to_bytes(4, "little") + len(bits).to_bytes(4, "little") + bits + pack(hashes[marked], counts[marked])
-
-
-def unpack_bits(blob: bytes, n: int) -> np.ndarray:
-    raw = zstandard.ZstdDecompressor().decompress(blob, max_output_size=n // 8 + 2)
-    return np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool)
-
-
-def unpack_marked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n, long = int.from_bytes(blob[:4], "little"), int.from_bytes(blob[4:8], "little")
-    return unpack_bits(blob[8 : 8 + long], n), *unpack(blob[8 + long :])
-
-
 def pack_counts(counts: np.ndarray) -> bytes:
     return len(counts).to_bytes(4, "little") + zstandard.ZstdCompressor(level=1).compress(_planes(counts.astype(np.uint64)))
 
@@ -145,7 +122,6 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     wide = max(3, math.ceil(math.log2(max(2, size / SHARE))))
     ranges = 1 << wide
-    bits = min(64, max(wide + 1, math.ceil(math.log2(max(2, size))) + 3))
     fields = ["block", "part", "n", "payload"]
 
     def numbered(batches):
@@ -154,34 +130,30 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
             words, bounds = word_hashes(block.column("text"))
             yield xxhash.xxh3_128_hexdigest(words.tobytes() + bounds.tobytes()), block, words, bounds
 
-    def cuts_of(own: np.ndarray) -> np.ndarray:
-        """Bounds of the ranges in ascending hashes."""
-        inner = np.searchsorted(own, np.arange(1, ranges, dtype=np.uint64) << np.uint64(64 - wide))
-        return np.concatenate([[0], inner, [len(own)]])
-
-    def brief(batches):
-        """The leading bits of each block's distinct n-grams from order 2, packed for every range, with counts up to the evidence."""
+    def explode(batches):
+        """The distinct n-grams of each block with their counts, packed for every range."""
         for name, _, words, bounds in numbered(batches):
-            for n, (_, hashes) in enumerate(grams(words, bounds, order)[1:], 2):
+            for n, (_, hashes) in enumerate(grams(words, bounds, order), 1):
                 own, times = np.unique(hashes, return_counts=True)
-                times, short = np.minimum(times, min_count), own >> np.uint64(64 - bits)
-                cuts = cuts_of(own)
-                rows = [(name, p, n, pack(short[a:b], times[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+                cuts = np.searchsorted(own, np.arange(1, ranges, dtype=np.uint64) << np.uint64(64 - wide))
+                cuts = np.concatenate([[0], cuts, [len(own)]])
+                rows = [(name, p, n, pack(own[a:b], times[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
                 for at in range(0, len(rows), 256):
                     yield _batch(rows[at : at + 256])
 
     def homes(batches):
         """The words of each block, for its scores."""
         for name, block, words, bounds in numbered(batches):
-            known, index = np.unique(words, return_inverse=True)
-            order_of = np.argsort(-np.bincount(index, minlength=len(known)), kind="stable")  # frequent words get small numbers
+            known, index, times = np.unique(words, return_inverse=True, return_counts=True)
+            # frequent words get small numbers; words of about the same frequency stand in ascending order, as differences
+            order_of = np.lexsort((known, -np.log2(np.maximum(times, 1)).astype(np.int64)))
             number = np.empty(len(known), np.int64)
             number[order_of] = np.arange(len(known))
             home = pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(np.diff(bounds))], ["doc_id", "words"])
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, home.schema) as writer:
                 writer.write_batch(home)
-            raw = known[order_of].tobytes() + _planes(number[index].astype(np.uint32))
+            raw = _planes(np.diff(known[order_of], prepend=np.uint64(0))) + _planes(number[index].astype(np.uint32))
             head = np.array([len(known), len(words)], np.int64).tobytes() + sink.getvalue().to_pybytes()
             body = zstandard.ZstdCompressor(level=1).compress(raw)
             yield _batch([(name, -1, HOME, len(body).to_bytes(8, "little") + body + head)])
@@ -189,94 +161,58 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     def _batch(rows):
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.binary())], fields)
 
-    def summed(group: pa.Table, read, answer) -> pa.Table:
-        """One range: for each order, ``answer`` of each message given its n-grams' sums over all messages."""
+    def count(group: pa.Table) -> pa.Table:
+        """One range: the sum over all blocks for each n-gram, as an answer to every block."""
         n = np.asarray(group.column("n").combine_chunks())
         payload = group.column("payload")
         out = [None] * len(n)
         for k in np.unique(n):
             mine = np.flatnonzero(n == k)
-            sent = [read(payload[i].as_py()) for i in mine]
-            times = np.concatenate([m[-1] for m in sent])
-            _, where = np.unique(np.concatenate([m[-2] for m in sent]), return_inverse=True)
-            total = np.bincount(where, times).astype(np.int64)[where] if len(where) else times
-            ends = np.cumsum([len(m[-1]) for m in sent])
-            for i, m, a, b in zip(mine, sent, np.append(0, ends[:-1]), ends):
-                out[i] = answer(m, total[a:b])
+            sent = [unpack(payload[i].as_py()) for i in mine]
+            hashes = np.concatenate([h for h, _ in sent])
+            times = np.concatenate([c for _, c in sent])
+            _, where = np.unique(hashes, return_inverse=True)
+            total = np.bincount(where, times).astype(np.int64)[where]
+            if k > 1:
+                total[total < min_count] = 0
+            ends = np.cumsum([len(h) for h, _ in sent])
+            for i, a, b in zip(mine, np.append(0, ends[:-1]), ends):
+                out[i] = pack_counts(total[a:b])
         return pa.Table.from_arrays([group.column("block"), group.column("part"), group.column("n"), pa.array(out, pa.binary())], fields)
 
-    def mark(group: pa.Table) -> pa.Table:
-        """Which n-grams of each block may have evidence."""
-        return summed(group, unpack, lambda m, total: zstandard.ZstdCompressor(level=1).compress(np.packbits(total >= min_count).tobytes()))
-
-    def count(group: pa.Table) -> pa.Table:
-        """The counts of each block's n-grams, 0 where not marked."""
-
-        def answer(message, total):
-            every = np.zeros(len(message[0]), np.int64)
-            every[message[0]] = total
-            return pack_counts(every)
-
-        return summed(group, unpack_marked, answer)
-
-    def parts_of(group: pa.Table) -> tuple[list[bytes], dict[tuple[int, int], bytes]]:
-        """The homes of one name, mostly one, and the answers by order and range."""
+    def gather(group: pa.Table) -> pa.Table:
+        """The blocks of one name, mostly one: their words with the answers of all ranges, summed per document."""
         n, part, payload = group.column("n").to_pylist(), group.column("part").to_pylist(), group.column("payload")
-        homes = [payload[i].as_py() for i, k in enumerate(n) if k == HOME]
+        homes = [i for i, k in enumerate(n) if k == HOME]
         if not homes:
             raise ValueError("a block was read twice in different orders; checkpoint the input first")
-        return homes, {(k, p): payload[i].as_py() for i, (k, p) in enumerate(zip(n, part)) if k != HOME}
-
-    def answered(answers: dict, k: int, own: np.ndarray, read) -> np.ndarray:
-        """The answers of all ranges for the n-grams of order ``k``, in their order."""
-        cuts = cuts_of(own)
-        full = [p for p in range(ranges) if cuts[p + 1] > cuts[p]]
-        if {p for j, p in answers if j == k} != {*full}:
-            raise ValueError("answers are missing: a block was read twice in different orders; checkpoint the input first")
-        return np.concatenate([read(answers[k, p], int(cuts[p + 1] - cuts[p])) for p in full]) if full else np.zeros(0, np.int64)
-
-    def home_words(blob: bytes) -> tuple[np.ndarray, pa.Table, np.ndarray]:
-        """Word hashes, ids with their numbers of words, and bounds of a block."""
+        blob = payload[homes[0]].as_py()
         long = int.from_bytes(blob[:8], "little")
         known, total = np.frombuffer(blob, np.int64, 2, 8 + long).tolist()
         raw = zstandard.ZstdDecompressor().decompress(blob[8 : 8 + long], max_output_size=8 * known + 4 * total + 1)
-        words = np.frombuffer(raw, np.uint64, known)[_unplanes(raw[8 * known :], total, np.uint32)]
+        words = np.cumsum(_unplanes(raw, known, np.uint64), dtype=np.uint64)[_unplanes(raw[8 * known :], total, np.uint32)]
         home = pa.ipc.open_stream(pa.py_buffer(blob[8 + long + 16 :])).read_all()
-        return words, home, np.concatenate([[0], np.cumsum(np.asarray(home.column("words").combine_chunks()))])
-
-    def send(group: pa.Table) -> pa.Table:
-        """A block's words and marked n-grams with their counts, packed by whole hashes for every range."""
-        homes, marks = parts_of(group)
-        words, _, bounds = home_words(homes[0])
-        name, rows = group.column("block")[0].as_py(), []
-        for k, (_, hashes) in enumerate(grams(words, bounds, order), 1):
-            own, times = np.unique(hashes, return_counts=True)
-            marked = answered(marks, k, own, unpack_bits).astype(bool) if k > 1 else np.ones(len(own), bool)
-            cuts = cuts_of(own)
-            # equal blocks count each, and are answered once
-            rows += [(name, p, k, pack_marked(marked[a:b], own[a:b], times[a:b] * len(homes))) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-        return pa.Table.from_batches([_batch(rows)])
-
-    def gather(group: pa.Table) -> pa.Table:
-        """The blocks of one name: their words with the answers of all ranges, summed per document."""
-        homes, answers = parts_of(group)
-        words, home, bounds = home_words(homes[0])
+        per_text = np.asarray(home.column("words").combine_chunks())
+        bounds = np.concatenate([[0], np.cumsum(per_text)])
+        answers: dict[tuple[int, int], np.ndarray] = {(k, p): unpack_counts(payload[i].as_py()) for i, (k, p) in enumerate(zip(n, part)) if k != HOME}
         found, counts = grams(words, bounds, order), []
         for k, (_, hashes) in enumerate(found, 1):
             own, where = np.unique(hashes, return_inverse=True)
-            counts.append(answered(answers, k, own, lambda blob, _: unpack_counts(blob))[where])
+            every = [answers[k, p] for p in sorted(p for j, p in answers if j == k)]
+            every = np.concatenate(every) if every else np.zeros(0, np.int64)
+            if len(every) != len(own):
+                raise ValueError("answers are missing: a block was read twice in different orders; checkpoint the input first")
+            counts.append(every[where])
         sums, alone = document_scores(words, bounds, found, counts, alpha, min_count)
         out = []
-        for blob in homes:
-            home = home_words(blob)[1]
-            out.append(pa.Table.from_arrays([home.column("doc_id").combine_chunks(), pa.array(np.diff(bounds), pa.int64()), pa.array(sums), pa.array(alone)], ["doc_id", "n_words", "sum", "alone"]))
+        for i in homes:
+            blob = payload[i].as_py()
+            home = pa.ipc.open_stream(pa.py_buffer(blob[8 + int.from_bytes(blob[:8], "little") + 16 :])).read_all()
+            out.append(pa.Table.from_arrays([home.column("doc_id").combine_chunks(), pa.array(per_text, pa.int64()), pa.array(sums), pa.array(alone)], ["doc_id", "n_words", "sum", "alone"]))
         return pa.concat_tables(out)
 
-    # words and n-grams go separate ways; all passes see the same blocks
-    home = source.mapInArrow(homes, SCHEMA)
-    marks = source.mapInArrow(brief, SCHEMA).groupBy("part").applyInArrow(mark, SCHEMA)
-    sent = marks.unionByName(home).groupBy("block").applyInArrow(send, SCHEMA)
-    counts = sent.groupBy("part").applyInArrow(count, SCHEMA)
-    scored = settled(counts.unionByName(home).groupBy("block").applyInArrow(gather, f"doc_id {kind}, n_words long, sum double, alone long"))
+    # words and n-grams go separate ways, so that the words are shuffled only once; both passes see the same blocks
+    answered = source.mapInArrow(explode, SCHEMA).groupBy("part").applyInArrow(count, SCHEMA)
+    scored = settled(answered.unionByName(source.mapInArrow(homes, SCHEMA)).groupBy("block").applyInArrow(gather, f"doc_id {kind}, n_words long, sum double, alone long"))
     words = scored.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     return scored.select("doc_id", "n_words", (F.col("sum") - F.col("alone") * F.lit(math.log(max(1, words)))).alias("log_score"))

@@ -179,7 +179,7 @@ def test_ngrams_with_nearly_the_same_hash(spark, tmp_path):
 
 @pytest.mark.parametrize("least", [1, 2, 3, 5])
 def test_other_evidence(spark, least, monkeypatch, tmp_path):
-    """Marks keep out what has less evidence, at any threshold and with leading bits that many n-grams share."""
+    """Answers leave out counts below the evidence, at any threshold."""
     monkeypatch.setattr(lm_scoring, "BLOCK", 200)
     rng = random.Random(least)
     texts = [" ".join(rng.choices("abcdefgh", k=rng.randint(0, 12))) for _ in range(150)]
@@ -208,8 +208,5 @@ def test_packing_of_counts():
         counts = rng.integers(1, 10**6, len(hashes))
         a, b = lm_scoring.unpack(lm_scoring.pack(hashes, counts))
         assert (a == hashes).all() and (b == counts).all()
-        marked = rng.random(len(hashes)) < 0.3
-        m, a, b = lm_scoring.unpack_marked(lm_scoring.pack_marked(marked, hashes, counts))
-        assert (m == marked).all() and (a == hashes[marked]).all() and (b == counts[marked]).all()
         big = counts * 10**9
         assert (lm_scoring.unpack_counts(lm_scoring.pack_counts(big)) == big).all()
