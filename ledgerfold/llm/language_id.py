@@ -1,16 +1,19 @@
 """Language identification by a bidirectional gated recurrent network over bytes (operator 9).
 
-Two recurrent passes run over the bytes of a word (lower case, letters only,
-between two blanks), one from either end. A softmax over both states labels every byte position; a document's
-probabilities are the mean over all its positions. The state begins anew at each word, so equal
-words have equal labels: each distinct word of a block is run once and counted as often
-as it occurs. Training is backpropagation through time in numpy with Adam,
-on a bounded sample of labelled documents: at most ``SAMPLE`` of each language,
-in the order of a hash of the id.
+Two recurrent passes run over the bytes of the whole document as they stand, letters, digits, punctuation and
+blanks alike, one from either end. A softmax over both states labels every byte position; a document's
+probabilities are the mean over all its positions. Texts are cut into spans of ``CORE`` bytes, wherever words end; each span
+is run with ``EDGE`` bytes before and after it, so that a position next to a cut has the context
+it is labelled by from both sides, and every byte of a document is labelled once. Spans of a block of documents go through the network
+together, so a long text costs what its bytes cost, and memory is bounded.
+
+Training is backpropagation through time in numpy with Adam, on a bounded sample of labelled documents: at
+most ``SAMPLE`` of each language, in the order of a hash of the id, with at most ``PIECES`` evenly spread
+pieces of ``PIECE`` bytes each. So at most SAMPLE * PIECES * PIECE bytes a language reach the driver, whatever the texts' lengths.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 ties go to the first language in order; repeated rows are labelled each; without labelled
-documents everything is ``und``; a word longer than ``SPAN`` bytes runs in spans of that length.
+documents everything is ``und``; extra columns have no effect.
 """
 
 from __future__ import annotations
@@ -24,12 +27,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.common import among_lowest, text_blocks
-from ledgerfold.llm.words import letter_words
 
-SAMPLE, SPAN, HIDDEN = 300, 24, 16
+SAMPLE, PIECES, PIECE, HIDDEN = 300, 12, 64, 8
+CORE, EDGE = 112, 8
+#: Spans that go through the network together.
+TOGETHER = 1024
 UNKNOWN = "und"
-#: Distinct words whose label sums a worker remembers.
-KEPT = 500_000
+LETTER = r"\p{L}"
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -37,7 +41,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Gru:
-    """One direction. ``w`` maps a byte to the inputs of both gates and the candidate, ``u`` the state; all words of a batch have one length."""
+    """One direction. ``w`` maps a byte to the inputs of both gates and the candidate, ``u`` the state; all spans of a batch have one length."""
 
     def __init__(self, w: np.ndarray, u: np.ndarray, b: np.ndarray):
         self.w, self.u, self.b = w, u, b
@@ -58,6 +62,38 @@ class Gru:
             h = states[t] = new
         return (states, trace) if keep else states
 
+    def states(self, x: np.ndarray, order) -> np.ndarray:
+        """(steps, spans, size) states as ``forward`` gives them, steps visited in ``order``; works in place.
+
+        A sigmoid is half a hyperbolic tangent and a half, so gates' weights are halved beforehand.
+        """
+        size, kind, n = self.u.shape[0], self.w.dtype, len(x)
+        half = kind.type(0.5)
+        # gates and candidate side by side in memory each, bytes by step
+        wg, ug = (self.w[:, : 2 * size] + self.b[: 2 * size]) * half, np.ascontiguousarray(self.u[:, : 2 * size]) * half
+        wc, uc, bc = np.ascontiguousarray(self.w[:, 2 * size :]), np.ascontiguousarray(self.u[:, 2 * size :]), self.b[2 * size :]
+        given = np.ascontiguousarray(x.T).astype(np.intp)
+        out = np.empty((x.shape[1], n, size), kind)
+        h = np.zeros((n, size), kind)
+        gates, own, c, z, r = np.empty((n, 2 * size), kind), np.empty((n, 2 * size), kind), np.empty((n, size), kind), np.empty((n, size), kind), np.empty((n, size), kind)
+        for t in order:
+            wg.take(given[t], axis=0, out=gates, mode="clip")
+            gates += np.matmul(h, ug, out=own)
+            np.tanh(gates, out=gates)
+            gates *= half
+            gates += half
+            z[:], r[:] = gates[:, :size], gates[:, size:]
+            np.matmul(h, uc, out=c)
+            c += bc
+            c *= r
+            c += wc.take(given[t], axis=0, out=r, mode="clip")
+            np.tanh(c, out=c)
+            new = np.subtract(h, c, out=out[t])
+            new *= z
+            new += c
+            h = new
+        return out
+
     def backward(self, x: np.ndarray, trace: list, given: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Gradients of w, u and b from those of the states, backwards through time."""
         size = self.u.shape[0]
@@ -102,20 +138,36 @@ class Network:
         return e / e.sum(axis=-1, keepdims=True)
 
     def positions(self, x: np.ndarray) -> np.ndarray:
-        """(steps, words, languages) probabilities of every position."""
-        both = np.concatenate([self.ahead.forward(x), self.back.forward(x[:, ::-1])[::-1]], axis=2)
-        return self._softmax(both)
-
-    def gradients(self, x: np.ndarray, labels: np.ndarray) -> tuple[float, list[np.ndarray]]:
-        """Mean cross-entropy over all positions of words of these labels, and its gradients."""
+        """(steps, spans, languages) probabilities of every position."""
+        steps = x.shape[1]
+        return self._softmax(np.concatenate([self.ahead.states(x, range(steps)), self.back.states(x, range(steps - 1, -1, -1))], axis=2))
+
+    def summed(self, x: np.ndarray, inside: np.ndarray, edge: int) -> np.ndarray:
+        """(spans, languages) probabilities summed over the positions ``inside`` (spans, steps), but for ``edge`` at both ends."""
+        steps = x.shape[1]
+        core = slice(edge, steps - edge)
+        ahead, back = self.ahead.states(x, range(steps))[core], self.back.states(x, range(steps - 1, -1, -1))[core]
+        size = ahead.shape[2]
+        logits = ahead.reshape(-1, size) @ self.v[:size]
+        logits += back.reshape(-1, size) @ self.v[size:]
+        logits += self.a
+        e = np.ascontiguousarray(logits.T)  # languages first: sums over them are then sums of long rows
+        e -= e.max(axis=0)
+        np.exp(e, out=e)
+        e *= inside[:, core].T.ravel() / e.sum(axis=0)
+        return e.reshape(len(e), steps - 2 * edge, len(x)).sum(axis=1, dtype=np.float64).T
+
+    def gradients(self, x: np.ndarray, labels: np.ndarray, inside: np.ndarray | None = None) -> tuple[float, list[np.ndarray]]:
+        """Mean cross-entropy over all positions of spans of these labels (those ``inside``), and its gradients."""
         ahead, trace_a = self.ahead.forward(x, True)
         back, trace_b = self.back.forward(x[:, ::-1], True)
         both = np.concatenate([ahead, back[::-1]], axis=2)
         p = self._softmax(both)
         steps, n, _ = p.shape
-        loss = -np.log(np.maximum(p[:, np.arange(n), labels], 1e-12)).mean()
+        share = np.full((steps, n), 1 / (steps * n)) if inside is None else inside.T / max(1, inside.sum())
+        loss = -(np.log(np.maximum(p[:, np.arange(n), labels], 1e-12)) * share).sum()
         p[:, np.arange(n), labels] -= 1
-        p /= steps * n
+        p *= share[:, :, None].astype(p.dtype)
         dv = np.einsum("tni,tnk->ik", both, p)
         dboth = p @ self.v.T
         size = ahead.shape[2]
@@ -124,59 +176,51 @@ class Network:
         return float(loss), [*own, *other, dv.astype(self.v.dtype), p.sum(axis=(0, 1))]
 
 
-def byte_words(words: pa.Array, span: int = SPAN):
-    """Groups of equal length: (numbers of the words, bytes with a blank on both sides); longer words come in spans."""
-    words = words.cast(pa.binary())
-    if not len(words):
-        return
-    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
-    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
-    sizes = np.diff(offsets)
-    parts = -(-sizes // span)
-    owner = np.repeat(np.arange(len(words)), parts)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
-    start = offsets[:-1][owner] + nth * span
-    length = np.minimum(span, offsets[1:][owner] - start)
-    for size in np.unique(length):
-        mine = np.flatnonzero(length == size)
-        for at in range(0, len(mine), 8192):
-            some = mine[at : at + 8192]
-            x = np.full((len(some), size + 2), 32, np.uint8)
-            x[:, 1:-1] = data[start[some][:, None] + np.arange(size)]
-            yield owner[some], x
-
-
-def word_sums(network: Network, words: pa.Array) -> np.ndarray:
-    """Per word: probabilities summed over its positions, and the number of positions last."""
-    out = np.zeros((len(words), len(network.languages) + 1), np.float32)
-    for owner, x in byte_words(words):
-        p = network.positions(x).sum(axis=0)
-        np.add.at(out, owner, np.column_stack([p, np.full(len(p), x.shape[1], np.float32)]))
-    return out
-
-
-def train(words: dict[str, dict[str, int]], hidden: int = HIDDEN, steps: int = 1500, batch: int = 256, rate: float = 0.01, seed: int = 5) -> Network:
-    """Fit on words with counts per language; batches hold words of one length, drawn as often as they occur, each language alike."""
+def spans(sizes: np.ndarray, core: int = CORE) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of texts of these sizes in bytes: each one's text and start."""
+    parts = -(-sizes // core)
+    owner = np.repeat(np.arange(len(sizes)), parts)
+    return owner, (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * core
+
+
+def text_sums(network: Network, texts: pa.Array, core: int = CORE, edge: int = EDGE) -> tuple[np.ndarray, np.ndarray]:
+    """Per text: probabilities summed over its bytes, and the number of bytes."""
+    texts = texts.fill_null("").cast(pa.large_binary())
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    sizes = np.diff(bounds)
+    owner, start = spans(sizes, core)
+    sums = np.zeros((len(texts), len(network.languages)))
+    for at in range(0, len(owner), TOGETHER):
+        some, first = owner[at : at + TOGETHER], start[at : at + TOGETHER]
+        place = first[:, None] + np.arange(-edge, core + edge)
+        inside = (place >= 0) & (place < sizes[some][:, None])
+        x = data.take(bounds[some][:, None] + place, mode="clip")
+        x[~inside] = 32
+        np.add.at(sums, some, network.summed(x, inside, edge))
+    return sums, sizes
+
+
+def train(pieces: dict[str, list[bytes]], hidden: int = HIDDEN, steps: int = 500, batch: int = 128, rate: float = 0.02, seed: int = 5) -> Network:
+    """Fit on pieces of text of each language, each language alike."""
     rng = np.random.default_rng(seed)
-    languages = sorted(words)
+    languages = sorted(pieces)
     network = Network.new(languages, hidden, rng)
-    groups: dict[int, list] = {}
-    for k, name in enumerate(languages):
-        listed = sorted(words[name])
-        counts = np.array([words[name][w] for w in listed], float)
-        counts /= counts.sum()
-        for owner, x in byte_words(pa.array(listed)):
-            groups.setdefault(x.shape[1], []).append((x, np.full(len(x), k), counts[owner]))
-    data = {n: tuple(np.concatenate(parts) for parts in zip(*g)) for n, g in groups.items()}
-    data = {n: (x, y, np.cumsum(c)) for n, (x, y, c) in data.items()}
-    sizes = sorted(data)
-    mass = np.array([data[n][2][-1] * n for n in sizes])
+    size = max(len(x) for own in pieces.values() for x in own)
+    data = []
+    for name in languages:
+        x = np.full((len(pieces[name]), size), 32, np.uint8)
+        inside = np.zeros(x.shape, bool)
+        for k, piece in enumerate(sorted(pieces[name])):
+            x[k, : len(piece)], inside[k, : len(piece)] = np.frombuffer(piece, np.uint8), True
+        data.append((x, inside))
     parameters = network.parameters()
     first, second = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
     for step in range(1, steps + 1):
-        x, y, c = data[sizes[rng.choice(len(sizes), p=mass / mass.sum())]]
-        pick = np.searchsorted(c, rng.random(batch) * c[-1]).clip(max=len(c) - 1)
-        _, grads = network.gradients(x[pick], y[pick])
+        labels = np.arange(batch) % len(languages)
+        picks = [rng.integers(0, len(data[k][0]), (labels == k).sum()) for k in range(len(languages))]
+        x, inside = (np.concatenate([d[i][pick] for d, pick in zip(data, picks)]) for i in (0, 1))
+        _, grads = network.gradients(x, np.sort(labels), inside)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
         pace = rate * min(1.0, step / 50) * (1 - 0.95 * step / steps)
         for p, g, m, s in zip(parameters, grads, first, second):
@@ -187,58 +231,40 @@ def train(words: dict[str, dict[str, int]], hidden: int = HIDDEN, steps: int = 1
     return network
 
 
-def sample_words(docs: DataFrame, learns: Column | None, doc_id: str, text: str, lang: str, sample: int) -> dict[str, dict[str, int]]:
-    """Words with counts per language, over the bounded sample."""
+def sample_pieces(docs: DataFrame, learns: Column | None, doc_id: str, text: str, lang: str, sample: int) -> dict[str, list[bytes]]:
+    """Pieces of text per language, over the bounded sample."""
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.where(learns) if learns is not None else rows
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))  # a row per language
-    likely = rows.select("id", "lang").join(sizes, "lang").where(among_lowest(F.col("id"), sample, F.col("total")))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
+    # a row per class of the network, which the driver holds whole
+    likely = rows.select("id", "lang").join(F.broadcast(sizes), "lang").where(among_lowest(F.col("id"), sample, F.col("total")))
     chosen = likely.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample)
     chosen = chosen.select("id", "lang").distinct()
 
     def run(batches):
         for block in text_blocks(batches):
-            words, index, bounds = letter_words(block.column("text"))
-            names = block.column("lang").dictionary_encode()
-            which = np.repeat(np.asarray(names.indices), np.diff(bounds)).astype(np.int64)
-            pair, n = np.unique(which * max(1, len(words)) + index, return_counts=True)
-            yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(pair // max(1, len(words)))), words.take(pa.array(pair % max(1, len(words)))), pa.array(n, pa.int64())], ["lang", "word", "n"])
-
-    # sample * languages ids
+            names, out = [], []
+            for name, raw in zip(block.column("lang").to_pylist(), block.column("text").cast(pa.binary()).to_pylist()):
+                count = min(PIECES, -(-len(raw) // PIECE))
+                starts = [k * max(0, len(raw) - PIECE) // max(1, count - 1) for k in range(count)]
+                out += [raw[at : at + PIECE] for at in starts]
+                names += [name] * count
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(out, pa.binary())], ["lang", "piece"])
+
+    # sample * languages ids, and as many texts' pieces
     texts = rows.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text")
-    found = texts.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).where("word <> ''").toArrow()
-    out: dict[str, dict[str, int]] = {}
-    for name, word, n in zip(*(found.column(c).to_pylist() for c in ("lang", "word", "n"))):
-        out.setdefault(name, {})[word] = n
+    found = texts.mapInArrow(run, "lang string, piece binary").toArrow()
+    out: dict[str, list[bytes]] = {}
+    for name, piece in zip(*(found.column(c).to_pylist() for c in ("lang", "piece"))):
+        out.setdefault(name, []).append(piece)
     return out
 
 
 def learn(docs: DataFrame, learns: Column | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, **how) -> Network | None:
-    words = sample_words(docs, learns, doc_id, text, lang, sample)
-    return train(words, **how) if words else None
-
-
-class _Remembered:
-    """Label sums of words seen before by this worker."""
-
-    def __init__(self, network: Network):
-        self.network, self.words = network, pa.array([], pa.string())
-        self.sums = np.zeros((0, len(network.languages) + 1), np.float32)
-
-    def __call__(self, words: pa.Array) -> np.ndarray:
-        found = pc.index_in(words, value_set=self.words)
-        new = words.filter(pc.is_null(found))
-        sums = np.concatenate([self.sums, word_sums(self.network, new)])
-        at = np.asarray(found.fill_null(-1)).astype(np.int64)
-        at[at < 0] = len(self.words) + np.arange(len(new))
-        if len(sums) <= KEPT:
-            self.words, self.sums = pa.concat_arrays([self.words, new]), sums
-        return sums[at]
-
-
-_remembered: dict[str, _Remembered] = {}
+    pieces = sample_pieces(docs, learns, doc_id, text, lang, sample)
+    return train(pieces, **how) if pieces else None
 
 
 def label(docs: DataFrame, network: Network | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -249,25 +275,16 @@ def label(docs: DataFrame, network: Network | None, doc_id: str = "doc_id", text
         return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     context = docs.sparkSession.sparkContext
     sent = context.broadcast(network)
-    key = f"{context.applicationId}-{sent._jbroadcast.id()}"
 
     def run(batches):
-        if key not in _remembered:
-            _remembered.clear()
-            _remembered[key] = _Remembered(sent.value)
-        names = sent.value.languages
+        network = sent.value
         for block in text_blocks(batches):
-            words, index, bounds = letter_words(block.column("text"))
-            sums = _remembered[key](words)
-            sums[np.asarray(pc.binary_length(words)) == 0] = 0
-            total = np.zeros((len(bounds) - 1, sums.shape[1]))
-            some = np.flatnonzero(np.diff(bounds))
-            if len(some):
-                total[some] = np.add.reduceat(sums[index].astype(np.float64), bounds[:-1][some], axis=0)
-            known = total[:, -1] > 0
-            shares = total[:, :-1] / np.maximum(total[:, -1:], 1)
+            texts = block.column("text")
+            sums, sizes = text_sums(network, texts)
+            known = np.asarray(pc.match_substring_regex(texts.fill_null(""), LETTER))
+            shares = sums / np.maximum(sizes, 1)[:, None]
             best = shares.argmax(axis=1)
-            predicted = [names[k] if ok else UNKNOWN for k, ok in zip(best, known)]
+            predicted = [network.languages[k] if ok else UNKNOWN for k, ok in zip(best, known)]
             score = np.where(known, shares[np.arange(len(best)), best], 0.0).clip(0, 1)
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(predicted, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 

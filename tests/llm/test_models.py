@@ -96,10 +96,38 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in language_id.label(docs, language_id.learn(docs.limit(0))).collect()} == {"und"}
 
 
-def test_word_spans():
-    words = pa.array(["a" * 60, "bc", ""])
-    groups = [(o.tolist(), x.shape[1]) for o, x in language_id.byte_words(words, 24)]
-    assert sorted((n, len(o)) for o, n in groups) == [(4, 1), (14, 1), (26, 2)]
+def test_every_byte_is_labelled_once_in_context():
+    """Spans with their edges give each position the probabilities of the whole text, as far as the network remembers."""
+    rng = np.random.default_rng(1)
+    net = language_id.Network.new(["a", "b", "c"], 6, rng)
+    texts = ["", "x", "é" * 40, "Some words, 12 and more. " * 30, "z" * 112, "z" * 113, None]
+    sums, sizes = language_id.text_sums(net, pa.array(texts), core=112, edge=40)
+    raw = [(t or "").encode() for t in texts]
+    assert sizes.tolist() == [len(t) for t in raw]
+    for k, t in enumerate(raw):
+        blanks = b" " * 40
+        whole = net.positions(np.frombuffer(blanks + t + blanks, np.uint8)[None])[40 : 40 + len(t), 0].sum(axis=0) if t else np.zeros(3)
+        assert np.abs(sums[k] - whole).max() < 1e-3 * max(1, len(t)) and abs(sums[k].sum() - len(t)) < 1e-2
+    owner, start = language_id.spans(np.array([0, 5, 112, 113, 300]), 112)
+    assert list(zip(owner.tolist(), start.tolist())) == [(1, 0), (2, 0), (3, 0), (3, 112), (4, 0), (4, 112), (4, 224)]
+
+
+def test_both_directions_and_forms_agree():
+    rng = np.random.default_rng(2)
+    net = language_id.Network.new(["a", "b"], 4, rng, np.float64)
+    x = rng.integers(0, 256, (5, 9)).astype(np.uint8)
+    assert np.allclose(net.ahead.states(x, range(9)), net.ahead.forward(x))
+    assert np.allclose(net.back.states(x, range(8, -1, -1)), net.back.forward(x[:, ::-1])[::-1])
+    inside = rng.random((5, 9)) < 0.6
+    loss, grads = net.gradients(x, rng.integers(0, 2, 5), inside)
+    assert loss > 0 and all(np.isfinite(g).all() for g in grads)
+
+
+def test_learning_does_not_shuffle_rows_by_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    pieces = language_id.sample_pieces(docs, None, "doc_id", "text", "lang", 5)
+    assert all(len(own) <= 5 * language_id.PIECES and max(map(len, own)) <= language_id.PIECE for own in pieces.values())
+    assert sum(map(len, pieces.values())) > 5
 
 
 def brute_nearest(rows, k):
