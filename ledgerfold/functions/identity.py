@@ -45,13 +45,14 @@ def norm_token(c) -> Column:
 
 
 def norm_date(c) -> Column:
-    """H2/H9: calendar date of a date, timestamp or ISO text (first 10 chars).
+    """H2/H9: calendar date of a date, timestamp or ISO text (first 10 chars, or 8 of the compact form).
 
     Dates and timestamps are first rendered as text so that a wall-clock
     timestamp keeps its written calendar day (no zone shift). Unparsable → null.
     """
-    text = F.substring(strip(c), 1, 10)
-    return F.try_to_date(text, "yyyy-MM-dd")
+    text = strip(c)
+    compact = F.when(text.rlike(r"^\d{8}($|T\d)"), F.try_to_date(F.substring(text, 1, 8), "yyyyMMdd"))
+    return F.coalesce(F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd"), compact)
 
 
 def norm_hours(c) -> Column:

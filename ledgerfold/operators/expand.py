@@ -292,9 +292,10 @@ def _weekday_plan(tagged: DataFrame) -> DataFrame:
     )
     why = (
         F.when(~F.col("_parsed"), F.lit("bad_time_span"))
+        .when(n == 0, F.lit(None).cast("string"))  # without a weekday nothing else is looked at
         .when(norm_token(F.col("_XRefCode")).isNull(), F.lit("bad_employee_key"))
         .when(norm_token(F.col("_type")).isNull(), F.lit("bad_type_code"))
-        .when((n > 0) & norm_hours(F.col("_hours")).isNull(), F.lit("bad_hours"))
+        .when(norm_hours(F.col("_hours")).isNull(), F.lit("bad_hours"))
     )
     p = with_materialized(p, {"reject_reason": why}).drop("_parsed")
     # identity parts are per request: normalise once, not once per exploded day

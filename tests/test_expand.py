@@ -212,3 +212,12 @@ def test_unreadable_weekday_hours(spark):
     df = df.selectExpr("*", "'VAC' AS PayAdjShortName", "0 AS status_rank")
     assert {r["entry_idx"]: r["reject_reason"] for r in expand.weekday_rejects(df).collect()} == {0: "bad_hours", 3: "bad_hours"}
     assert {(r["entry_idx"], str(r["Hours"])) for r in expand.weekday_days(df).collect()} == {(1, "4.50"), (2, "8.00")}
+
+
+def test_a_weekend_is_looked_at_no_further(spark):
+    """Without a weekday there is nothing to reject: key, type and hours may be blank."""
+    rows = [("A", " "), (" ", "VAC"), (None, None), ("B", " ")]
+    ends = ["2026-09-21T00:00:00"] * 3 + ["2026-09-22T00:00:00"]
+    df = spark.createDataFrame([(k, "APPROVED", 0, 0, i, "2026-09-19T00:00:00", end, -1.0, None, t) for i, ((k, t), end) in enumerate(zip(rows, ends))], TAG)
+    assert expand.weekday_days(df).count() == 0
+    assert [(r["entry_idx"], r["reject_reason"]) for r in expand.weekday_rejects(df).collect()] == [(3, "bad_type_code")]

@@ -83,3 +83,13 @@ def test_migrate_v1_is_prefix(spark):
     canon = "ABC123|2026-03-14|VACATION|8.00"
     v1 = hashlib.sha256(canon.encode()).hexdigest()
     assert one(spark, idf.migrate_v1_hash(F.lit(v1))) == "aaeadb0cbd49c96a"
+
+
+@pytest.mark.parametrize(
+    "text, day",
+    [("20260314", "2026-03-14"), (" 20260314 ", "2026-03-14"), ("20260314T093000", "2026-03-14"), ("2026-03-14", "2026-03-14"),
+     ("20261314", None), ("2026031412", None), ("202603", None), ("20260314x", None), ("", None)],
+)
+def test_compact_dates(spark, text, day):
+    got = one(spark, idf.norm_date(F.lit(text)))
+    assert (str(got) if got else None) == day
