@@ -2,15 +2,15 @@
 
 Plan shape (no driver collect, no IN-lists, no per-row Python):
 
-1. ``current ∪ stored`` tagged by side, grouped by identity
-   ``(employee, date, hash)``. The aggregate de-duplicates the snapshot
-   (first wins by ordinal) and yields presence flags in one pass; partial
-   aggregation collapses repeated copies before the shuffle.
-2. Per natural key ``(employee, date)`` — a window over the de-duplicated
-   identities: does anything new appear, does an active stored row vanish,
-   and which vanished hash is the "last" one (greatest
-   ``(first_seen_at, hash)``). Copies are gone by then, so a window group
-   holds the distinct identities of one employee-day only.
+1. ``current ∪ stored``, keys and flags only, grouped by identity
+   ``(employee, date, hash)``. All values are maxima or minima of fixed width, so
+   copies combine in a hash aggregate before the one exchange.
+2. Per natural key ``(employee, date)``: does anything new appear, does an active
+   stored row vanish, and which vanished hash is the "last" one (greatest
+   ``(first_seen_at, hash)``). Identities that neither appear nor vanish don't
+   take part. :func:`paired` takes partial maxima per (key, salt), then per key,
+   and joins them back, so that an employee-day with very many records is
+   spread over tasks; :func:`reconcile` uses a window where that isn't asked for.
 3. Each identity takes its action from a CASE over its flags and summary.
 """
 
@@ -21,14 +21,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerfold.sources.tables import settled
+
 NATURAL_KEY = ("employee_xref", "pto_date")
 HASH = "record_hash"
 ACTIONS = ("new", "changed", "unchanged", "cancelled", "superseded")
-CUR_ORDER = ("status_rank", "window_idx", "page_id", "entry_idx", "day_idx")
-
-
-def _struct_of(df: DataFrame, skip: Sequence[str] = ()) -> Column:
-    return F.struct(*[F.col(c) for c in df.columns if c not in skip])
+#: Columns that, with the natural key, make up an identity's text.
+HASHED = ("approval_type_code", "hours_requested")
+#: Parts a natural key is summed up in first.
+SALTS = 64
 
 
 def identities(
@@ -37,91 +38,85 @@ def identities(
     *,
     natural_key: Sequence[str] = NATURAL_KEY,
     hash_col: str = HASH,
-    order: Sequence[str] = CUR_ORDER,
-    colocate: bool = False,
+    stored_order: str = "first_seen_at",
+    copartitioned: bool = False,
 ) -> DataFrame:
-    """Step 1: one row per identity with ``cur`` (first-wins snapshot row) and ``sto`` structs.
+    """Step 1: one narrow row per identity.
 
-    ``colocate=True`` hash-partitions the union by the natural key first, so
-    this aggregate and the natural-key window share one exchange (the plan of
-    SURVEY §7.3.1). The default keeps map-side combining of repeated copies
-    before the shuffle, at the price of a second, smaller exchange.
+    ``copartitioned`` says that ``stored`` is bucketed by the identity: then the snapshot alone is
+    exchanged, and joined to it.
+
+    ``in_cur``, ``stored``, ``st_active`` (missing flag = active, P24), the stored row's
+    ``first_seen`` and ``last_seen``, and ``fresh`` / ``gone``. No payload takes part. Where both sides have the
+    hashed columns, least and greatest second hash of them are taken along, and an identity
+    that stands for two different texts (H17) raises.
     """
     keys = [*natural_key, hash_col]
-    order_cols = [c for c in order if c in current.columns]
-    cur = current.select(
-        *keys,
-        _struct_of(current).alias("cur"),
-        F.struct(*[F.col(c) for c in order_cols]).alias("_ord"),
-        F.lit(None).cast(stored.select(_struct_of(stored).alias("s")).schema["s"].dataType).alias("sto"),
-    )
-    sto = stored.select(
+    second = F.lit(None).cast("bigint")
+    if all(c in current.columns and c in stored.columns for c in HASHED):
+        second = F.xxhash64(F.col(HASHED[0]), F.col(HASHED[1]).cast("decimal(6,2)"))
+
+    def stamp(name: str) -> Column:
+        return F.col(name).cast("timestamp") if name in stored.columns else F.lit(None).cast("timestamp")
+
+    active = F.coalesce(F.col("is_active"), F.lit(True)) if "is_active" in stored.columns else F.lit(True)
+    none = F.lit(None).cast("timestamp")
+    cur = current.select(*keys, F.lit(True).alias("in_cur"), F.lit(False).alias("stored"), F.lit(False).alias("st_active"), none.alias("first_seen"), none.alias("last_seen"), second.alias("_text"))
+    sto = stored.select(*keys, F.lit(False).alias("in_cur"), F.lit(True).alias("stored"), active.alias("st_active"), stamp(stored_order).alias("first_seen"), stamp("last_seen_at").alias("last_seen"), second.alias("_text"))
+    flags = ("in_cur", "stored", "st_active", "first_seen", "last_seen")
+    ends = [F.min("_text").alias("_least"), F.max("_text").alias("_greatest")]
+    if copartitioned:
+        seen = cur.groupBy(*keys).agg(F.lit(True).alias("_seen"), *ends)
+        false = F.lit(False)
+        one = seen.join(sto.drop("in_cur"), keys, "full_outer").select(
+            *keys,
+            F.coalesce("_seen", false).alias("in_cur"),
+            *[F.coalesce(c, false).alias(c) for c in ("stored", "st_active")],
+            *("first_seen", "last_seen"),
+            F.least("_least", "_text").alias("_least"),
+            F.greatest("_greatest", "_text").alias("_greatest"),
+        )
+    else:
+        one = cur.unionByName(sto).groupBy(*keys).agg(*[F.max(c).alias(c) for c in flags], *ends)
+    clash = F.concat(F.lit("two records share the identity "), F.col(hash_col))
+    one = one.withColumn("in_cur", F.when(F.col("_least") != F.col("_greatest"), F.raise_error(clash).cast("boolean")).otherwise(F.col("in_cur")))
+    return one.select(
         *keys,
-        F.lit(None).cast(cur.schema["cur"].dataType).alias("cur"),
-        F.lit(None).cast(cur.schema["_ord"].dataType).alias("_ord"),
-        _struct_of(stored).alias("sto"),
-    )
-    union = cur.unionByName(sto)
-    if colocate:
-        union = union.repartition(*natural_key)
-    return (
-        union
-        .groupBy(*keys)
-        .agg(F.min_by("cur", "_ord").alias("cur"), F.first("sto", ignorenulls=True).alias("sto"))
+        *flags,
+        (F.col("in_cur") & ~F.col("st_active")).alias("fresh"),
+        (~F.col("in_cur") & F.col("st_active")).alias("gone"),
     )
 
 
-def _flags(ident: DataFrame) -> DataFrame:
-    active = F.col("sto").isNotNull() & F.coalesce(F.col("sto.is_active"), F.lit(True))
-    in_cur = F.col("cur").isNotNull()
-    return ident.withColumns(
-        {"in_cur": in_cur, "st_active": active, "fresh": in_cur & ~active, "gone": ~in_cur & active}
-    )
+def _parts(hash_col: str) -> dict[str, Column]:
+    last = F.when(F.col("gone"), F.struct(F.col("first_seen").alias("at"), F.col(hash_col).alias("hash")))
+    return {"_has_fresh": F.max("fresh"), "_has_gone": F.max("gone"), "_last": F.max(last)}
 
 
-def classify_identities(
-    ident: DataFrame,
-    *,
-    natural_key: Sequence[str] = NATURAL_KEY,
-    hash_col: str = HASH,
-    stored_order: str = "first_seen_at",
-    hot_keys: bool = False,
-) -> DataFrame:
-    """Steps 2-3: adds ``action`` (null for inactive stored rows not seen again).
-
-    By default the natural-key summary is a window over the *de-duplicated*
-    identities, so the snapshot is expanded and shuffled once; the window
-    group of one (employee, date) holds only its distinct identities.
-    ``hot_keys=True`` computes the summary as a partial aggregate and joins it
-    back instead (AQE splits a hot key in the join). That form never puts a
-    whole employee-day into one task, but re-runs the identity subtree.
-    """
-    has_order = "sto" in ident.columns and stored_order in ident.schema["sto"].dataType.fieldNames()
-    seen = F.col(f"sto.{stored_order}") if has_order else F.lit(None)
-    return _with_action(_flags(ident), seen, natural_key, hash_col, hot_keys)
-
-
-def _with_action(f: DataFrame, seen: Column, natural_key: Sequence[str], hash_col: str, hot_keys: bool) -> DataFrame:
-    tiebreak = F.struct(seen, F.col(hash_col))
-    parts = {
-        "_has_fresh": F.max(F.col("fresh").cast("int")),
-        "_has_gone": F.max(F.col("gone").cast("int")),
-        "_last_gone": F.max_by(F.when(F.col("gone"), F.col(hash_col)), F.when(F.col("gone"), tiebreak)),
-    }
-    if hot_keys:
-        summary = f.groupBy(*natural_key).agg(*[e.alias(n) for n, e in parts.items()])
-        j = f.join(summary, list(natural_key), "inner")
-    else:
-        w = Window.partitionBy(*natural_key)
-        j = f.withColumns({n: e.over(w) for n, e in parts.items()})
+def _with_action(j: DataFrame, hash_col: str) -> DataFrame:
     action = (
         F.when(F.col("in_cur") & F.col("st_active"), F.lit("unchanged"))
-        .when(F.col("fresh") & (F.col("_has_gone") == 1), F.lit("changed"))
+        .when(F.col("fresh") & F.col("_has_gone"), F.lit("changed"))
         .when(F.col("fresh"), F.lit("new"))
-        .when(F.col("gone") & (F.col("_has_fresh") == 1) & (F.col(hash_col) == F.col("_last_gone")), F.lit("superseded"))
+        .when(F.col("gone") & F.col("_has_fresh") & (F.col(hash_col) == F.col("_last.hash")), F.lit("superseded"))
         .when(F.col("gone"), F.lit("cancelled"))
     )
-    return j.withColumn("action", action).drop("_has_fresh", "_has_gone", "_last_gone")
+    return j.withColumn("action", action).drop("_has_fresh", "_has_gone", "_last")
+
+
+def paired(ident: DataFrame, *, natural_key: Sequence[str] = NATURAL_KEY, hash_col: str = HASH) -> DataFrame:
+    """Steps 2-3 with the summary in two levels. ``ident`` is read three times: give a settled table.
+
+    Only identities that appear or vanish are summed up and joined; the join's hot keys are split by AQE.
+    """
+    moved = ident.where(F.col("fresh") | F.col("gone"))
+    parts = _parts(hash_col)
+    salted = moved.groupBy(*natural_key, F.pmod(F.xxhash64(hash_col), F.lit(SALTS)).alias("_salt")).agg(*[c.alias(n) for n, c in parts.items()])
+    summary = salted.groupBy(*natural_key).agg(*[F.max(n).alias(n) for n in parts])
+    acted = _with_action(moved.join(summary, list(natural_key)), hash_col)
+    rest = ident.where(~(F.col("fresh") | F.col("gone")))
+    rest = rest.withColumn("action", F.when(F.col("in_cur") & F.col("st_active"), F.lit("unchanged")))
+    return acted.select(*ident.columns, "action").unionByName(rest.select(*ident.columns, "action"))
 
 
 def reconcile(
@@ -135,20 +130,19 @@ def reconcile(
 ) -> DataFrame:
     """J6-J9 as one frame: ``natural key, hash, action``.
 
-    Only keys, two flags and the stored row's first sight are shuffled; they
-    are maxima, so copies combine in a hash aggregate before the exchange.
     ``stored`` may hold every ledger row; only active ones (missing flag =
     active, P24) take part in the pairing. Inactive stored rows that do not
-    reappear get no action and are left out.
+    reappear get no action and are left out. By default the summary is a window over the
+    de-duplicated identities, and the plan stays lazy; a window group holds the identities of one
+    employee-day. ``hot_keys`` settles the identities and uses :func:`paired`.
     """
     keys = [*natural_key, hash_col]
-    order = F.col(stored_order).cast("timestamp") if stored_order in stored.columns else F.lit(None).cast("timestamp")
-    flag = F.coalesce(F.col("is_active"), F.lit(True)) if "is_active" in stored.columns else F.lit(True)
-    cur = current.select(*keys, F.lit(True).alias("in_cur"), F.lit(False).alias("st_active"), F.lit(None).cast("timestamp").alias("_seen"))
-    sto = stored.select(*keys, F.lit(False).alias("in_cur"), flag.alias("st_active"), order.alias("_seen"))
-    one = cur.unionByName(sto).groupBy(*keys).agg(*[F.max(c).alias(c) for c in ("in_cur", "st_active", "_seen")])
-    f = one.withColumns({"fresh": F.col("in_cur") & ~F.col("st_active"), "gone": ~F.col("in_cur") & F.col("st_active")})
-    c = _with_action(f, F.col("_seen"), natural_key, hash_col, hot_keys)
+    ident = identities(current, stored, natural_key=natural_key, hash_col=hash_col, stored_order=stored_order)
+    if hot_keys:
+        c = paired(settled(ident, "identities"), natural_key=natural_key, hash_col=hash_col)
+    else:
+        w = Window.partitionBy(*natural_key)
+        c = _with_action(ident.withColumns({n: e.over(w) for n, e in _parts(hash_col).items()}), hash_col)
     return c.filter(F.col("action").isNotNull()).select(*keys, "action")
 
 

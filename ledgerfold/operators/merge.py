@@ -1,10 +1,9 @@
-"""Conditional upserts as full-outer-join plans.
+"""Conditional upserts as join plans.
 
-Each merge returns the *whole next version* of the target plus a
-``merge_action`` column, so the counters (A7/A8) are exact aggregates of the
-same plan and the caller writes the result as a new snapshot version. One
-stamp ``now`` per call (Q21); never ``current_timestamp()`` inside a checked
-plan.
+Each merge returns the target's next rows plus a ``merge_action`` column, so the
+counters (A7/A8) are exact aggregates of the same plan, and a stored table's
+writer replaces the partitions in which a row changed. One stamp ``now`` per
+call (Q21); never ``current_timestamp()`` inside a checked plan.
 """
 
 from __future__ import annotations
@@ -14,9 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.operators.classify import NATURAL_KEY, classify_identities, identities
-from ledgerfold.sources.tables import DAY_SCHEMA, EMPLOYEE_SCHEMA, LEDGER_SCHEMA, typed
+from ledgerfold.operators.classify import HASH, NATURAL_KEY, identities, paired
+from ledgerfold.operators.dedupe import first_wins
+from ledgerfold.sources.tables import DAY_SCHEMA, EMPLOYEE_SCHEMA, LEDGER_SCHEMA, StoredTable, settled, typed
 
+IDENTITY = (*NATURAL_KEY, HASH)
 LEDGER_ACTIONS = ("insert", "update", "reactivate", "touch", "cancel")
 
 
@@ -31,87 +32,107 @@ def changed(a: Column, b: Column) -> Column:
     return ~a.eqNullSafe(b)
 
 
-def assert_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Q20: a merge source must be unique on its key; raise otherwise."""
-    dup = df.groupBy(*key).count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise ValueError(f"merge source is not unique on {list(key)}")
-    return df
+def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Q20: a merge source, grouped by its key; a key with two rows raises as the merge runs.
+
+    The aggregate deals rows out by the merge's own key, so the merge needs no further exchange of them.
+    """
+    packed = F.struct(*[F.col(c) for c in df.columns])
+    one = df.groupBy(*key).agg(F.any_value(packed).alias("_row"), F.count(F.lit(1)).alias("_n"))
+    named = F.concat(F.lit(f"merge source is not unique on {list(key)}: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in key]))
+    checked = F.when(F.col("_n") > 1, F.raise_error(named).cast(one.schema["_row"].dataType)).otherwise(F.col("_row"))
+    return one.select(*key, checked.alias("_row")).select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 # --------------------------------------------------------------------------- #
 # M1 / M5: ledger apply                                                        #
 # --------------------------------------------------------------------------- #
-def ledger_apply(
-    stored: DataFrame, current: DataFrame, *, now, run_id: str, colocate: bool = False, hot_keys: bool = False
-) -> DataFrame:
-    """Next ledger version from all stored rows and this cycle's day records.
-
-    ``current`` may still hold duplicates; first wins by ordinal. Per
-    identity: unseen → insert; seen but stored inactive → reactivate (keeps
-    ``first_seen_at``); seen and active → touch (``last_seen_at = now``) or
-    noop when already stamped; active but gone (cancelled or superseded) →
-    cancel (``is_active = false``, ``deleted_at = now``); everything else is
-    kept as stored. Carries ``action`` (A4) and ``merge_action`` (A7).
-    """
-    now_c = _ts(now)
-    stored = typed(stored, LEDGER_SCHEMA)
-    c = classify_identities(identities(current, stored, colocate=colocate), hot_keys=hot_keys)
-    cur_fields = set(c.schema["cur"].dataType.fieldNames())
+def ledger_actions(stored: DataFrame, current: DataFrame, *, now, copartitioned: bool = False) -> DataFrame:
+    """What happens to each identity, from keys, flags and stamps alone: ``action`` and ``merge_action``.
 
-    def cur(name: str) -> Column:
-        return F.col(f"cur.{name}") if name in cur_fields else F.lit(None)
-
-    sto_exists = F.col("sto").isNotNull()
+    Unseen → insert; seen but stored inactive → reactivate; seen and active → touch, or noop when already
+    stamped; active but gone (cancelled or superseded) → cancel; everything else is kept as stored.
+    The identities are settled, so that each side is read once. ``copartitioned``: see :func:`classify.identities`.
+    """
+    c = paired(settled(identities(current, stored, copartitioned=copartitioned), "identities"))
     merge_action = (
-        F.when(F.col("in_cur") & ~sto_exists, F.lit("insert"))
+        F.when(F.col("in_cur") & ~F.col("stored"), F.lit("insert"))
         .when(F.col("in_cur") & ~F.col("st_active"), F.lit("reactivate"))
-        .when(F.col("in_cur") & F.col("sto.last_seen_at").eqNullSafe(now_c), F.lit("noop"))
+        .when(F.col("in_cur") & F.col("last_seen").eqNullSafe(_ts(now)), F.lit("noop"))
         .when(F.col("in_cur"), F.lit("touch"))
         .when(F.col("gone"), F.lit("cancel"))
         .otherwise(F.lit("keep"))
     )
-    c = c.withColumn("merge_action", merge_action)
-    from_cur = F.col("merge_action").isin("insert", "reactivate")
-    out = {}
-    for f in LEDGER_SCHEMA.fields:
-        n = f.name
-        if n in ("first_seen_at", "last_seen_at", "is_active", "deleted_at", "ingest_run_id"):
-            continue
-        out[n] = F.when(from_cur, cur(n).cast(f.dataType)).otherwise(F.col(f"sto.{n}"))
-    out["record_hash"] = F.col("record_hash")
-    out["employee_xref"] = F.col("employee_xref")
-    out["pto_date"] = F.col("pto_date")
-    out["first_seen_at"] = F.when(F.col("merge_action") == "insert", now_c).otherwise(
-        F.coalesce(F.col("sto.first_seen_at"), now_c)
-    )
-    out["last_seen_at"] = F.when(F.col("in_cur"), now_c).otherwise(F.col("sto.last_seen_at"))
-    out["is_active"] = F.when(F.col("in_cur"), F.lit(True)).when(F.col("gone"), F.lit(False)).otherwise(
-        F.coalesce(F.col("sto.is_active"), F.lit(True))
-    )
-    out["deleted_at"] = (
-        F.when(from_cur, F.lit(None).cast("timestamp"))
-        .when(F.col("gone"), now_c)
-        .otherwise(F.col("sto.deleted_at"))
+    return c.select(*IDENTITY, "first_seen", "action", merge_action.alias("merge_action"))
+
+
+#: Actions whose row comes from the snapshot; all others keep the stored row.
+FROM_SNAPSHOT = ("insert", "reactivate")
+
+
+def ledger_next(stored: DataFrame, current: DataFrame, actions: DataFrame, *, now, run_id: str) -> DataFrame:
+    """The ledger rows after the actions (late materialisation of M1).
+
+    Stored rows meet their action on the identity. Of the snapshot, only rows to insert or reactivate are
+    fetched, by a semi-join before the first-wins collapse, so payloads of rows that stay are never shuffled.
+    """
+    now_c, keys = _ts(now), list(IDENTITY)
+    old = typed(stored, LEDGER_SCHEMA).join(actions.select(*keys, "action", "merge_action"), keys, "left")
+    # a stored row without an action took no part in this cycle
+    old = old.withColumn("merge_action", F.coalesce("merge_action", F.lit("keep"))).where(~F.col("merge_action").isin(*FROM_SNAPSHOT))
+    seen, gone = F.col("merge_action").isin("touch", "noop"), F.col("merge_action") == "cancel"
+    old = old.withColumns(
+        {
+            "first_seen_at": F.coalesce(F.col("first_seen_at"), now_c),
+            "last_seen_at": F.when(seen, now_c).otherwise(F.col("last_seen_at")),
+            "is_active": F.when(seen, F.lit(True)).when(gone, F.lit(False)).otherwise(F.coalesce(F.col("is_active"), F.lit(True))),
+            "deleted_at": F.when(gone, now_c).otherwise(F.col("deleted_at")),
+        }
     )
-    out["ingest_run_id"] = F.when(from_cur, F.lit(run_id)).otherwise(F.col("sto.ingest_run_id"))
-    return c.select(
-        *[out[f.name].cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA.fields],
-        "action",
-        "merge_action",
+    wanted = actions.where(F.col("merge_action").isin(*FROM_SNAPSHOT)).select(*keys, "first_seen", "action", "merge_action")
+    taken = first_wins(current.join(wanted.select(*keys), keys, "left_semi"), keys)
+    taken = typed(taken, LEDGER_SCHEMA).drop("first_seen_at").join(wanted, keys)
+    taken = taken.withColumns(
+        {
+            "first_seen_at": F.when(F.col("merge_action") == "insert", now_c).otherwise(F.coalesce(F.col("first_seen"), now_c)),
+            "last_seen_at": now_c,
+            "is_active": F.lit(True),
+            "deleted_at": F.lit(None).cast("timestamp"),
+            "ingest_run_id": F.lit(run_id),
+        }
     )
+    columns = [*LEDGER_SCHEMA.fieldNames(), "action", "merge_action"]
+    return old.select(*columns).unionByName(taken.select(*columns))
+
+
+def ledger_apply(stored: DataFrame, current: DataFrame, *, now, run_id: str) -> DataFrame:
+    """M1: the next ledger from all stored rows and this cycle's day records, with ``action`` (A4) and ``merge_action``.
+
+    ``current`` may still hold duplicates; first wins by ordinal. Both sides are read twice (once narrow, once for
+    the rows), so a caller settles what is expensive to compute; the actions are settled here.
+    """
+    actions = settled(ledger_actions(stored, current, now=now), "actions")
+    return ledger_next(stored, current, actions, now=now, run_id=run_id)
+
+
+def count_columns(column: str, names: dict[str, Sequence[str]]) -> list[Column]:
+    """A BIGINT count per name of the rows whose ``column`` is one of its values; for ``agg`` and ``observe``."""
+    return [F.count_if(F.coalesce(F.col(column).isin(*values), F.lit(False))).cast("bigint").alias(name) for name, values in names.items()]
+
+
+# fixed values: names of the counters and the actions they count
+LEDGER_COUNTERS = {"inserted": ("insert",), "updated": ("update",), "reactivated": ("reactivate",), "touched": ("touch",), "cancelled": ("cancel",)}
+MERGE_COUNTERS = {
+    "num_inserted_rows": ("insert",),
+    "num_updated_rows": ("update", "cancel"),
+    "num_affected_rows": ("insert", "update", "cancel"),
+    "num_unchanged_source_rows": ("unchanged",),
+}
 
 
 def ledger_counts(applied: DataFrame) -> DataFrame:
     """Exact merge counters of one apply."""
-    ma = F.col("merge_action")
-    return applied.agg(
-        F.count_if(ma == "insert").cast("bigint").alias("inserted"),
-        F.count_if(ma == "update").cast("bigint").alias("updated"),
-        F.count_if(ma == "reactivate").cast("bigint").alias("reactivated"),
-        F.count_if(ma == "touch").cast("bigint").alias("touched"),
-        F.count_if(ma == "cancel").cast("bigint").alias("cancelled"),
-    )
+    return applied.agg(*count_columns("merge_action", LEDGER_COUNTERS))
 
 
 def ledger_rows(applied: DataFrame) -> DataFrame:
@@ -136,10 +157,11 @@ EMPLOYEE_COMPARED = ("employee_name", "DepartmentXRefCode", "ProjectId", "TaskId
 def employee_merge(target: DataFrame, source: DataFrame, *, now) -> DataFrame:
     """M2: key ``XRefCode``; rewrite only when a compared column differs
     (null-safe) or the stamp is missing; the stamp moves only when the status
-    changed or was never set. Rows missing from the source stay (Q17)."""
+    changed or was never set. Rows missing from the source stay (Q17); a
+    source with two rows of one key raises (Q20)."""
     now_c = _ts(now)
     t = typed(target, EMPLOYEE_SCHEMA)
-    s = typed(source, EMPLOYEE_SCHEMA).drop("UpdatedDateTime")
+    s = unique_rows(typed(source, EMPLOYEE_SCHEMA).drop("UpdatedDateTime"), ["XRefCode"])
     j = t.select(F.col("XRefCode"), F.struct(*t.columns).alias("t")).join(
         s.select(F.col("XRefCode"), F.struct(*s.columns).alias("s")), "XRefCode", "full_outer"
     )
@@ -196,13 +218,6 @@ def day_merge(
     now_c = _ts(now)
     t = typed(target, DAY_SCHEMA)
     s = typed(source, DAY_SCHEMA).drop("UpdatedDateTime")
-    if run_keys is None:
-        t = t.withColumn("_in_run", F.lit(False))
-    else:
-        keys = run_keys.select(F.col(run_keys.columns[0]).alias("XRefCode")).distinct()
-        t = t.join(keys.withColumn("_in_run", F.lit(True)), "XRefCode", "left").withColumn(
-            "_in_run", F.coalesce(F.col("_in_run"), F.lit(False))
-        )
     j = t.select(F.col("RecordHash"), F.struct(*t.columns).alias("t")).join(
         s.select(F.col("RecordHash"), F.struct(*s.columns).alias("s")), "RecordHash", "full_outer"
     )
@@ -210,11 +225,19 @@ def day_merge(
     for c in DAY_COMPARED:
         diff = diff | changed(F.col(f"t.{c}"), F.col(f"s.{c}"))
     diff = diff | F.col("t.UpdatedDateTime").isNull()
-    in_scope = (
-        F.col("t._in_run")
+    candidate = (
+        F.col("s").isNull()
         & F.col("t.Date").between(F.to_date(F.lit(window_start)), F.to_date(F.lit(window_end)))
         & (F.col("t.Status") != CANCELED)
     )
+    if run_keys is None:
+        in_scope = F.lit(False)
+    else:
+        # only rows that may be canceled look for their employee; all others get a key of their own that none has
+        own = F.when(candidate, F.col("t.XRefCode")).otherwise(F.concat(F.lit("\u0000"), F.col("RecordHash")))
+        keys = run_keys.select(F.col(run_keys.columns[0]).cast("string").alias("_scope"), F.lit(True).alias("_in_run"))
+        j = j.withColumn("_scope", own).join(keys.distinct(), "_scope", "left")
+        in_scope = candidate & F.col("_in_run")
     action = (
         F.when(F.col("t").isNull(), F.lit("insert"))
         .when(F.col("s").isNotNull() & diff, F.lit("update"))
@@ -241,27 +264,41 @@ def day_merge(
     return j.select(*cols, "merge_action").select(*DAY_SCHEMA.fieldNames(), "merge_action")
 
 
-def merge_metrics(merged: DataFrame, source_rows: DataFrame | None = None) -> DataFrame:
+def day_merge_stored(
+    table: StoredTable, source: DataFrame, *, now, run_keys: DataFrame | None, window_start: str, window_end: str
+) -> tuple[DataFrame, list[str]]:
+    """M3 against a month-partitioned table: reads only months of the window and of the source's dates.
+
+    A record's hash holds its date, so a match can't lie in another month, and a row outside the window is never
+    canceled. Returns the next rows of those months and their names (the months of the source are few and named
+    by one narrow aggregate); the scan of ``table`` has them as partition filter. ``source`` is read twice.
+    """
+    named = source.select(F.date_format("Date", "yyyy-MM").alias("part")).distinct()
+    window = F.sequence(F.trunc(F.to_date(F.lit(window_start)), "month"), F.to_date(F.lit(window_end)), F.expr("INTERVAL 1 MONTH"))
+    span = source.sparkSession.range(1).select(F.explode(F.transform(window, lambda d: F.date_format(d, "yyyy-MM"))).alias("part"))
+    parts = sorted({r["part"] for r in named.unionByName(span).collect() if r["part"]})
+    merged = day_merge(table.read(parts), source, now=now, run_keys=run_keys, window_start=window_start, window_end=window_end)
+    return merged, parts
+
+
+def merge_metrics(merged: DataFrame) -> DataFrame:
     """Inserted / updated (incl. cancelled) / affected / unchanged source rows."""
-    ma = F.col("merge_action")
-    return merged.agg(
-        F.count_if(ma == "insert").cast("bigint").alias("num_inserted_rows"),
-        F.count_if(ma.isin("update", "cancel")).cast("bigint").alias("num_updated_rows"),
-        F.count_if(ma.isin("insert", "update", "cancel")).cast("bigint").alias("num_affected_rows"),
-        F.count_if(ma == "unchanged").cast("bigint").alias("num_unchanged_source_rows"),
-    )
+    return merged.agg(*count_columns("merge_action", MERGE_COUNTERS))
 
 
 __all__ = [
     "LEDGER_ACTIONS",
     "NATURAL_KEY",
     "active_records",
-    "assert_unique",
     "changed",
     "day_merge",
+    "day_merge_stored",
     "employee_merge",
+    "ledger_actions",
     "ledger_apply",
     "ledger_counts",
+    "ledger_next",
     "ledger_rows",
     "merge_metrics",
+    "unique_rows",
 ]

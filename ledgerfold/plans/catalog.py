@@ -19,7 +19,7 @@ from ledgerfold.operators import classify, dedupe, expand, merge, roster
 from ledgerfold.functions import items as it
 from ledgerfold.sources import mapping, pages, tables, windows
 from ledgerfold.plans import derive
-from ledgerfold.sources.tables import DAY_SCHEMA, EMPLOYEE_SCHEMA, LEDGER_SCHEMA, empty
+from ledgerfold.sources.tables import DAY_SCHEMA, EMPLOYEE_SCHEMA, LEDGER_SCHEMA, empty, settled
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,20 +53,20 @@ def ledger_days(spark: SparkSession, sf: str, cycle: int, multi: bool = True) ->
 
 def ledger_after(spark: SparkSession, sf: str, cycles: int) -> DataFrame:
     """Ledger rows after ``cycles`` simulated runs (cycle 3 repeats cycle 1)."""
-    stamps = {1: NOW1, 2: NOW2, 3: NOW3}
     led = empty(spark, LEDGER_SCHEMA)
     for c in range(1, cycles + 1):
-        led = merge.ledger_rows(
-            merge.ledger_apply(led, ledger_days(spark, sf, c), now=stamps[c], run_id=f"run-{c}")
-        )
+        led = settled(merge.ledger_rows(_applied(spark, sf, led, c)), "ledger")
     return led
 
 
-def apply_cycle(spark: SparkSession, sf: str, cycle: int) -> DataFrame:
+def _applied(spark: SparkSession, sf: str, stored: DataFrame, cycle: int) -> DataFrame:
     stamps = {1: NOW1, 2: NOW2, 3: NOW3}
-    return merge.ledger_apply(
-        ledger_after(spark, sf, cycle - 1), ledger_days(spark, sf, cycle), now=stamps[cycle], run_id=f"run-{cycle}"
-    )
+    days = settled(ledger_days(spark, sf, cycle), "days")  # read for the actions and for the rows
+    return merge.ledger_apply(stored, days, now=stamps[cycle], run_id=f"run-{cycle}")
+
+
+def apply_cycle(spark: SparkSession, sf: str, cycle: int) -> DataFrame:
+    return _applied(spark, sf, ledger_after(spark, sf, cycle - 1), cycle)
 
 
 LEDGER_OUT = [
@@ -287,9 +287,11 @@ def ledger_reactivate(spark, sf):
 @query("ledger_stats")
 def ledger_stats(spark, sf):
     """Exact merge counters of cycles 1-3."""
-    parts = []
+    parts, led = [], empty(spark, LEDGER_SCHEMA)
     for c in (1, 2, 3):
-        parts.append(merge.ledger_counts(apply_cycle(spark, sf, c)).select(F.lit(c).alias("cycle"), "*"))
+        applied = settled(_applied(spark, sf, led, c), "applied")
+        parts.append(merge.ledger_counts(applied).select(F.lit(c).alias("cycle"), "*"))
+        led = merge.ledger_rows(applied)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -357,6 +359,13 @@ def roster_flatten(spark, sf):
     return roster.order_columns(roster.flatten(derive.roster_rows(spark, sf)))
 
 
+@query("roster_empty")
+def roster_empty(spark, sf):
+    """A prefix that no key has gives a frame without rows that still has the key column first."""
+    frame = roster.roster_frame(derive.roster_rows(spark, sf), "NOBODY")
+    return frame.agg(F.count("XRefCode").alias("n_rows")).withColumn("first_column", F.lit(frame.columns[0]))
+
+
 @query("employee_keys")
 def employee_keys(spark, sf):
     """Roster keys as text, missing ones dropped, repeats kept."""
@@ -530,10 +539,20 @@ def day_merge_q(spark, sf):
 
 @query("day_merge_scoped")
 def day_merge_scoped(spark, sf):
-    """P26 + M4: cancel-if-missing limited to BUILDING-segment employees and the date window."""
+    """P26 + M4: cancel-if-missing limited to BUILDING-segment employees and the date window.
+
+    The table is stored by months; only months of the window and of the new rows are merged, all others are kept.
+    """
+    from ledgerfold.plans import jobs
+
     c = derive.table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
     keys = c.select(F.concat(F.lit("emp-"), F.col("c_custkey").cast("string")).alias("XRefCode"))
-    return _day_view(day_merged(spark, sf, keys))
+    table = jobs.day_table(spark, f"days-scoped-{_tag()}")
+    table.overwrite(day_table_v1(spark, sf))
+    source = settled(day_source(spark, sf, 2), "days")
+    merged, parts = merge.day_merge_stored(table, source, now=NOW2, run_keys=keys, window_start=WINDOW_START, window_end=WINDOW_END)
+    rest = table.with_parts().where(~F.col("part").isin(parts)).select(*DAY_SCHEMA.fieldNames(), F.lit("keep").alias("merge_action"))
+    return _day_view(merged.unionByName(rest))
 
 
 @query("merge_metrics")
@@ -592,6 +611,12 @@ def page_gaps(spark, sf):
     return pages.page_gaps(landed(spark, sf, gaps=True))
 
 
+@query("page_chains")
+def page_chains(spark, sf):
+    """S1 + S12: pages reached from first pages by their pointers, pages on cycles, unreachable pages."""
+    return pages.page_chains(pages.parse_pages(derive.chained_pages(spark, sf)))
+
+
 @query("single_unwrap")
 def single_unwrap(spark, sf):
     """Detail responses wrapped in ``Data`` (even keys) or bare (odd keys)."""
@@ -730,16 +755,12 @@ def schema_evolve(spark, sf):
 
 @query("table_roundtrip")
 def table_roundtrip(spark, sf):
-    """S15-S17 + S21: employee rows written as a table version in the shared folder and read back."""
-    import uuid
-
-    from ledgerfold.session import shared_dir
+    """S15-S17 + S21: employee rows merged into an empty stored table and read back."""
+    from ledgerfold.plans import jobs
 
-    root = f"{shared_dir(spark)}/roundtrip-{uuid.uuid4().hex[:12]}"
-    t = tables.SnapshotTable(spark, root, EMPLOYEE_SCHEMA)
-    m = merge.employee_merge(t.read(), employee_source(spark, sf), now=NOW1)
-    v = t.write(m)
-    return t.read(v).withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
+    t = jobs.employee_table(spark, f"roundtrip-{_tag()}")
+    t.overwrite(merge.employee_merge(t.read(), employee_source(spark, sf), now=NOW1))
+    return t.read().withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
 
 
 # --------------------------------------------------------------------------- #
@@ -774,34 +795,42 @@ def _tag() -> str:
 
 @query("job_employee_table")
 def job_employee_table(spark, sf):
-    """Roster → employee rows → employee table version 1 (written and re-read)."""
+    """Roster → employee rows → employee table, after its first run."""
     from ledgerfold.plans import jobs
 
-    t = jobs.new_table(spark, "employees", EMPLOYEE_SCHEMA, _tag())
-    out = jobs.employee_table_job(
-        t, derive.roster_rows(spark, sf), details(spark, sf), derive.department_map_rows(spark, sf), prefix=PREFIX, now=NOW1, strict=False
+    t = jobs.employee_table(spark, f"employees-{_tag()}")
+    run = jobs.employee_table_job(
+        t, derive.roster_rows(spark, sf), details(spark, sf), derive.department_map_rows(spark, sf), prefix=PREFIX, now=NOW1, pages=None, strict=False
     )
-    return out.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
+    return run.rows.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
 
 
 @query("job_day_table")
 def job_day_table(spark, sf):
-    """ACTIVE employees × statuses × windows → weekday rows → day table version 1."""
+    """ACTIVE employees × statuses × windows → weekday rows → day table, after its first run."""
     from ledgerfold.plans import jobs
 
-    t = jobs.new_table(spark, "days", DAY_SCHEMA, _tag())
-    out = jobs.day_table_job(t, employee_source(spark, sf), derive.requests(spark, sf, 0), now=NOW_SPAN, strict=False)
-    return out.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
+    t = jobs.day_table(spark, f"days-{_tag()}")
+    run = jobs.day_table_job(t, employee_source(spark, sf), derive.requests(spark, sf, 0), now=NOW_SPAN, pages=None, strict=False)
+    return run.rows.withColumn("UpdatedDateTime", ts_text("UpdatedDateTime"))
 
 
 @query("job_ledger")
 def job_ledger(spark, sf):
-    """Two ledger cycles written as versions; the second version with its actions."""
+    """Two ledger cycles; the stored ledger after the second with its actions."""
     from ledgerfold.plans import jobs
 
     return ledger_view(jobs.ledger_job(spark, sf, _tag(), stamps=(NOW1, NOW2)))
 
 
+@query("job_ledger_bucketed")
+def job_ledger_bucketed(spark, sf):
+    """C3 + S14 on a ledger bucketed by the identity: the same cycles, without an exchange of the stored rows."""
+    from ledgerfold.plans import jobs
+
+    return ledger_view(jobs.ledger_job(spark, sf, _tag(), stamps=(NOW1, NOW2), bucketed=True))
+
+
 @query("landed_requests_expand")
 def landed_requests_expand(spark, sf):
     """S3 + X4: requests landed as JSON pages, unwrapped and expanded (equals expand_choice)."""
@@ -837,15 +866,15 @@ def job_ledger_gate(spark, sf):
     from ledgerfold.plans import jobs
     from ledgerfold.plans.cycle import LedgerCycle, run_ledger_cycle
 
-    t = jobs.new_table(spark, "ledger-gate", LEDGER_SCHEMA, _tag(), month_of="pto_date")
-    run_ledger_cycle(t, derive.requests(spark, sf, 1), LedgerCycle(now=NOW1, run_id="run-1", expand_multi_day=True))
+    t = jobs.ledger_table(spark, f"ledger-gate-{_tag()}")
+    run_ledger_cycle(t, derive.requests(spark, sf, 1), LedgerCycle(now=NOW1, run_id="run-1", expand_multi_day=True), pages=None)
     two = derive.requests(spark, sf, 2)
     refused = F.col("entry_idx") % 50 == 3
     page = F.when(refused, F.parse_json(F.lit('{"Message":"Rate limit reached"}'))).otherwise(F.parse_json(F.lit('{"Data":[]}')))
     landed_run = two.select("employee_key", F.col("entry_idx").alias("page_id"), page.alias("page"))
     cfg = LedgerCycle(now=NOW2, run_id="run-2", expand_multi_day=True)
-    _, out = run_ledger_cycle(t, two.where(~refused), cfg, pages=landed_run, strict=False)
-    return out.select("record_hash", "employee_xref", "pto_date", "is_active", "ingest_run_id", "action", "merge_action")
+    run = run_ledger_cycle(t, two.where(~refused), cfg, pages=landed_run, strict=False)
+    return run.rows.select("record_hash", "employee_xref", "pto_date", "is_active", "ingest_run_id", "action", "merge_action")
 
 
 @query("job_day_table_gate")
@@ -853,10 +882,11 @@ def job_day_table_gate(spark, sf):
     """C2 on a second run in which requests are rejected: their employees' stored days aren't canceled."""
     from ledgerfold.plans import jobs
 
-    t = jobs.new_table(spark, "days-gate", DAY_SCHEMA, _tag(), month_of="Date")
+    t = jobs.day_table(spark, f"days-gate-{_tag()}")
+    people = settled(employee_source(spark, sf), "people")
     for cycle, now in ((1, NOW_SPAN), (2, NOW_SPAN_2)):
-        out = jobs.day_table_job(t, employee_source(spark, sf), derive.requests(spark, sf, cycle), now=now, strict=False)
-    return out.select("RecordHash", "XRefCode", "Date", "Status", "merge_action")
+        run = jobs.day_table_job(t, people, derive.requests(spark, sf, cycle), now=now, pages=None, strict=False)
+    return run.rows.select("RecordHash", "XRefCode", "Date", "Status", "merge_action")
 
 
 @query("expand_audit")
@@ -935,12 +965,11 @@ def job_ledger_scoped(spark, sf):
     from ledgerfold.plans import jobs
     from ledgerfold.plans.cycle import LedgerCycle, run_ledger_cycle
 
-    t = jobs.new_table(spark, "ledger-scoped", LEDGER_SCHEMA, _tag(), month_of="pto_date")
+    t = jobs.ledger_table(spark, f"ledger-scoped-{_tag()}")
     c = derive.table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
     keys = c.select(F.concat(F.lit("emp-"), F.col("c_custkey").cast("string")).alias("XRefCode"))
     cfg = LedgerCycle(now=NOW1, run_id="run-1", expand_multi_day=True, statuses=("APPROVED", "CANCELED"), span_now=NOW_SPAN)
-    _, out = run_ledger_cycle(t, derive.requests(spark, sf, 0), cfg, keys)
-    return ledger_view(out)
+    return ledger_view(run_ledger_cycle(t, derive.requests(spark, sf, 0), cfg, keys, pages=None).rows)
 
 
 __all__ = ["QUERIES", "NOW1", "NOW2", "NOW3", "query"]

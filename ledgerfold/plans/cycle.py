@@ -1,16 +1,16 @@
-"""Composite jobs (C1-C4) — the user entry points.
+"""The ledger cycle (C3) and its metrics.
 
-Each job is a lazy plan plus at most one write. Stored tables are
-:class:`~ledgerfold.sources.tables.SnapshotTable` versions in a shared
-folder, so a lost executor only re-runs tasks and a lost job leaves no
-half-written version behind.
+A cycle settles the day records and the narrow actions in the shared folder, then
+replaces the months of a :class:`~ledgerfold.sources.tables.StoredTable` in which a row
+changes. A lost executor only re-runs tasks, and a lost run is started again.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.identity import norm_token
@@ -18,7 +18,7 @@ from ledgerfold.operators import expand, merge
 from ledgerfold.operators.classify import ACTIONS
 from ledgerfold.sources import windows
 from ledgerfold.sources.pages import affected_employees, require_complete
-from ledgerfold.sources.tables import SnapshotTable
+from ledgerfold.sources.tables import BucketedTable, StoredTable, settled
 
 
 @dataclass(frozen=True)
@@ -28,8 +28,7 @@ class LedgerCycle:
     ``statuses`` (in request order) keeps requests whose status was queried and
     ranks them for first-wins; ``span_now`` keeps requests overlapping the
     look-back/horizon span around it (S8 + S10); ``keys`` restricts the run to
-    an explicit employee list (J5) instead of the whole roster. ``hot_keys``
-    picks the plan that splits an employee-day with very many records.
+    an explicit employee list (J5) instead of the whole roster.
     """
 
     now: str
@@ -38,7 +37,15 @@ class LedgerCycle:
     key: str = "employee_key"
     statuses: tuple[str, ...] | None = None
     span_now: str | None = None
-    hot_keys: bool = False
+
+
+@dataclass(frozen=True)
+class JobRun:
+    """What a job did: ``metrics`` observed on its own writes, with the duration in seconds, and the
+    table's ``rows`` after it with the actions of this run (lazy)."""
+
+    metrics: dict
+    rows: DataFrame
 
 
 def scope_requests(requests: DataFrame, cfg: LedgerCycle, keys: DataFrame | None = None) -> DataFrame:
@@ -61,14 +68,15 @@ def scope_requests(requests: DataFrame, cfg: LedgerCycle, keys: DataFrame | None
     return r
 
 
-def ledger_cycle_plan(stored: DataFrame, requests: DataFrame, cfg: LedgerCycle, keys: DataFrame | None = None) -> DataFrame:
-    """C3 as one plan: scoped requests → day records → classify against ``stored`` → next version.
-
-    Returns the apply frame (ledger columns + ``action`` + ``merge_action``).
-    """
-    scoped = scope_requests(requests, cfg, keys)
-    days = expand.ledger_days(scoped, key=cfg.key, expand_multi_day=cfg.expand_multi_day)
-    return merge.ledger_apply(stored, days, now=cfg.now, run_id=cfg.run_id, hot_keys=cfg.hot_keys)
+def cycle_counts() -> list[Column]:
+    """The counters of a cycle over its actions; for ``agg`` and ``observe``."""
+    seen = {"day_records": ("insert", "reactivate", "touch", "noop")}
+    merged = {"inserted": ("insert",), "reactivated": ("reactivate",), "touched": ("touch",), "cancelled_rows": ("cancel",)}
+    return [
+        *merge.count_columns("merge_action", seen),
+        *merge.count_columns("action", {a: (a,) for a in ACTIONS}),
+        *merge.count_columns("merge_action", merged),
+    ]
 
 
 def cycle_metrics(
@@ -84,15 +92,7 @@ def cycle_metrics(
     asked = checked.select(F.col(checked.columns[0]).alias("_key")) if checked is not None else requests.select(F.col(key).alias("_key"))
     src = asked.agg(F.count_distinct("_key").cast("bigint").alias("employees"))
     src = src.unionByName(requests.agg(F.count(F.lit(1)).cast("bigint").alias("fetched_entries")), allowMissingColumns=True)
-    ma, act = F.col("merge_action"), F.col("action")
-    res = applied.agg(
-        F.count_if(ma.isin("insert", "reactivate", "touch", "noop")).cast("bigint").alias("day_records"),
-        *[F.count_if(act == a).cast("bigint").alias(a) for a in ACTIONS],
-        F.count_if(ma == "insert").cast("bigint").alias("inserted"),
-        F.count_if(ma == "reactivate").cast("bigint").alias("reactivated"),
-        F.count_if(ma == "touch").cast("bigint").alias("touched"),
-        F.count_if(ma == "cancel").cast("bigint").alias("cancelled_rows"),
-    )
+    res = applied.agg(*cycle_counts())
     both = src.unionByName(res, allowMissingColumns=True)
     cols = [*src.columns, *res.columns]
     return both.agg(*[F.max(c).alias(c) for c in cols]).select(F.lit(cfg.run_id).alias("run_id"), *cols)
@@ -110,44 +110,57 @@ def metrics_text(metrics: DataFrame) -> Column:
 
 
 def run_ledger_cycle(
-    table: SnapshotTable,
+    table: StoredTable,
     requests: DataFrame,
     cfg: LedgerCycle,
     keys: DataFrame | None = None,
     *,
-    pages: DataFrame | None = None,
+    pages: DataFrame | None,
     strict: bool = True,
-    rejects: SnapshotTable | None = None,
-) -> tuple[int, DataFrame]:
-    """C3 with its single write: read newest version, apply, write the next one.
+    rejects: StoredTable | None = None,
+) -> JobRun:
+    """Read the stored rows, classify, replace the months that change.
 
-    ``pages`` are the landed pages behind ``requests``. With ``strict`` an
-    unreadable, refused or missing page ends the run before anything is
+    ``pages`` are the landed pages behind ``requests``; None says that the
+    requests didn't come as pages. With ``strict`` an unreadable, refused or missing page ends the run before anything is
     written; otherwise the stored rows of the employees concerned stay as
     they are in this cycle. Rejected requests go to ``rejects`` with their reasons.
-    Returns (new version, the written version with its audit columns).
+
+    Day records are computed once and settled; the actions are computed from keys and
+    flags and settled; counters are observed on those two writes (``employees`` where ``keys`` are given).
     """
+    began = time.monotonic()
     held = None
     if pages is not None:
         if strict:
             require_complete(pages)
         else:
             held = affected_employees(pages).select(norm_token(F.col("employee_key")).alias("employee_xref"))
+    seen: dict[str, Observation] = {}
+    if keys is not None:
+        seen["keys"] = Observation()
+        asked = keys.select(norm_token(F.col(keys.columns[0])).alias("key")).distinct()
+        keys = settled(asked.observe(seen["keys"], F.count(F.lit(1)).alias("employees")), "keys")
+    scoped = scope_requests(requests, cfg, keys)
     if rejects is not None:
-        refused = expand.rejected_entries(scope_requests(requests, cfg, keys), key=cfg.key, expand_multi_day=cfg.expand_multi_day)
-        rejects.write(refused.select(F.col(cfg.key).alias("employee_key"), "entry_idx", "reject_reason", F.lit(cfg.now).cast("timestamp").alias("run_at")))
+        refused = expand.rejected_entries(scoped, key=cfg.key, expand_multi_day=cfg.expand_multi_day)
+        rejects.overwrite(refused.select(F.col(cfg.key).alias("employee_key"), "entry_idx", "reject_reason", F.lit(cfg.now).cast("timestamp").alias("run_at")))
+    seen["fetched"], seen["actions"] = Observation(), Observation()
+    fetched = scoped.observe(seen["fetched"], F.count(F.lit(1)).alias("fetched_entries"))
+    days = settled(expand.ledger_days(fetched, key=cfg.key, expand_multi_day=cfg.expand_multi_day), "days")
     stored = table.read()
-    if held is None:
-        applied = ledger_cycle_plan(stored, requests, cfg, keys)
-    else:
-        named = requests.withColumn("_k", norm_token(F.col(cfg.key))).join(held.withColumnRenamed("employee_xref", "_k"), "_k", "left_anti").drop("_k")
-        applied = ledger_cycle_plan(stored.join(held, "employee_xref", "left_anti").select(*stored.columns), named, cfg, keys)
-        kept = stored.join(held, "employee_xref", "left_semi").select(*stored.columns, F.lit("keep").alias("merge_action"))
-        applied = applied.unionByName(kept, allowMissingColumns=True)
-    # The apply result is written once and re-read for the metrics, so the
-    # plan is not evaluated twice and lineage stops at the written version.
-    version = table.write(applied, audit=("action", "merge_action"))
-    return version, table.read(version, audit=True)
-
-
-__all__ = ["LedgerCycle", "scope_requests", "cycle_metrics", "ledger_cycle_plan", "metrics_json", "metrics_text", "run_ledger_cycle"]
+    if held is not None:
+        days = days.join(held, "employee_xref", "left_anti")
+        stored = stored.join(held, "employee_xref", "left_anti")
+    bucketed = isinstance(table, BucketedTable)
+    actions = settled(merge.ledger_actions(stored, days, now=cfg.now, copartitioned=bucketed).observe(seen["actions"], *cycle_counts()), "actions")
+    parts = table.changed_parts(actions)
+    moved = actions.where(table.part_column().isin(parts))
+    table.overwrite(merge.ledger_next(table.read(parts), days, moved, now=cfg.now, run_id=cfg.run_id))
+    named = actions.select(*merge.IDENTITY, "action", "merge_action")
+    rows = table.read().join(named, list(merge.IDENTITY), "left").withColumn("merge_action", F.coalesce("merge_action", F.lit("keep")))
+    metrics = {k: v for o in seen.values() for k, v in o.get.items()}
+    return JobRun({"run_id": cfg.run_id, **metrics, "duration_s": round(time.monotonic() - began, 3)}, rows.select(*table.schema.fieldNames(), "action", "merge_action"))
+
+
+__all__ = ["JobRun", "LedgerCycle", "cycle_counts", "cycle_metrics", "metrics_json", "metrics_text", "run_ledger_cycle", "scope_requests"]

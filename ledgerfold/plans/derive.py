@@ -298,6 +298,20 @@ def landed_pages(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFr
     )
 
 
+def chained_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages in chains, one per event: each points to the next event's page.
+
+    Of every 200 events, chains end after the 100th, the 150th and the last; the pages after the 30th, 80th, 130th and 180th
+    lead ten pages back instead, and pages 150 to 159 are a cycle that nothing leads to. Every 97th page never landed.
+    """
+    e = table(spark, sf_dir, "events", spread=True).filter(F.col("event_id") % 97 != 13)
+    eid = F.col("event_id")
+    back = (eid % 200 == 159) | (eid % 50 == 29)
+    to = F.when(eid % 200 == 149, F.lit(None)).when(back, eid - 9).when(eid % 100 == 99, F.lit(None)).otherwise(eid + 1)
+    text = F.concat(F.lit('{"Data":[],"Paging":{"Next":"'), F.coalesce(F.concat(F.lit("p/"), to.cast("string")), F.lit("")), F.lit('"}}'))
+    return e.select(eid.alias("page_id"), F.concat(F.lit("p/"), eid.cast("string")).alias("url"), text.alias("payload"))
+
+
 def employee_rows_v2(rows: DataFrame) -> DataFrame:
     """Second version of the employee source (M2): renames, status moves, leavers.
 

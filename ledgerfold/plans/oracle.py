@@ -741,6 +741,7 @@ SELECT XRefCode, Date, Hours, ReasonName, PayAdjShortName, Status, RecordHash,
   '1998-06-15 10:30:00' AS UpdatedDateTime, 'insert' AS merge_action FROM daysrcj"""
 
 ORACLE["job_ledger"] = ORACLE["ledger_apply"]
+ORACLE["job_ledger_bucketed"] = ORACLE["ledger_apply"]
 
 ORACLE["landed_requests_expand"] = ORACLE["expand_choice"]
 
@@ -781,6 +782,17 @@ FROM req1 WHERE Status IN ('APPROVED', 'CANCELED')
 ORACLE["reconcile_actions_hot_keys"] = ORACLE["reconcile_actions"]
 
 ORACLE["landed_rejects"] = ORACLE["expand_quarantine"]
+ORACLE["page_chains"] = """WITH RECURSIVE ev AS (SELECT event_id AS id, CASE WHEN event_id % 200 = 149 THEN NULL
+    WHEN event_id % 200 = 159 OR event_id % 50 = 29 THEN event_id - 9 WHEN event_id % 100 = 99 THEN NULL ELSE event_id + 1 END AS nxt
+  FROM events WHERE event_id % 97 <> 13),
+p AS (SELECT id, CASE WHEN nxt IN (SELECT id FROM ev) THEN nxt END AS nxt FROM ev),
+r(id, root, steps) AS (SELECT id, id, 0 FROM p WHERE id NOT IN (SELECT nxt FROM p WHERE nxt IS NOT NULL)
+  UNION ALL SELECT p.nxt, root, steps + 1 FROM r JOIN p USING (id) WHERE p.nxt IS NOT NULL AND steps < 220),
+c(id, there, steps) AS (SELECT id, nxt, 1 FROM p WHERE nxt IS NOT NULL
+  UNION ALL SELECT c.id, p.nxt, steps + 1 FROM c JOIN p ON p.id = c.there WHERE p.nxt IS NOT NULL AND steps < 20 AND c.there <> c.id)
+SELECT p.id AS page_id, min(root) AS first_page, CAST(min(steps) AS BIGINT) AS steps, p.id IN (SELECT id FROM c WHERE there = id) AS in_cycle
+FROM p LEFT JOIN r USING (id) GROUP BY p.id"""
+
 ORACLE["page_completeness"] = f"""WITH {EV_GAPS}, ptr AS (
   SELECT 'p/' || CAST(event_id + 1 AS VARCHAR) AS next_url FROM ev WHERE event_type IN ('view', 'click')
 )
@@ -794,6 +806,37 @@ SELECT record_hash, employee_xref, pto_date, is_active, ingest_run_id, action, m
 UNION ALL
 SELECT record_hash, employee_xref, pto_date, is_active, ingest_run_id, NULL, 'keep' FROM led1 WHERE employee_xref IN {_HELD}"""
 
+def _gate_run(c: int, day: int, w: str) -> str:
+    """Tagged requests (first-wins rows daysrcg{c}) and employees held back (held{c}) of the day job at June ``day``, 1998."""
+    now = f"TIMESTAMP '1998-06-{day} 10:30:00'"
+    run = f"""SELECT a.XRefCode, r.*, sts.status_rank, win.window_idx, TRY_CAST(r.TimeStart AS TIMESTAMP) AS t0, TRY_CAST(r.TimeEnd AS TIMESTAMP) AS t1
+  FROM (SELECT XRefCode FROM emprows WHERE employment_status = 'ACTIVE') a
+  JOIN req{c} r ON {norm('r.employee_key')} = {norm('a.XRefCode')} JOIN sts ON r.Status = sts.status
+  LEFT JOIN {w} AS win ON TRY_CAST(r.TimeStart AS TIMESTAMP) <= win.hi
+    AND COALESCE(TRY_CAST(r.TimeEnd AS TIMESTAMP), TRY_CAST(r.TimeStart AS TIMESTAMP)) >= win.lo"""
+    tag = f"""SELECT XRefCode, Status AS st, status_rank, window_idx, entry_idx, TimeStart, TimeEnd, NetHours, ReasonName, PayAdjShortName
+  FROM ({run}) WHERE t0 IS NOT NULL AND t1 IS NOT NULL AND window_idx IS NOT NULL"""
+    windows = f"""{w} AS (SELECT CAST(i AS INTEGER) AS window_idx, {now} - INTERVAL 30 DAY + to_days(CAST(30 * i AS INTEGER)) AS lo,
+  {now} - INTERVAL 30 DAY + to_days(CAST(30 * i + 30 AS INTEGER)) AS hi FROM generate_series(0, 3) AS g(i))"""
+    held = f"held{c} AS (SELECT DISTINCT XRefCode FROM ({run}) WHERE t0 IS NULL OR (t1 IS NULL AND (window_idx IS NOT NULL OR COALESCE(TimeEnd, '') <> '')))"
+    return f"{req_cte(c)}, {windows}, {held}, {wk_cte(f'g{c}', tag)}"
+
+
+ORACLE["job_day_table_gate"] = f"""WITH {EMP_ROWS}, {WINDOWS}, {_gate_run(1, 15, 'wa')}, {_gate_run(2, 16, 'wb')}
+SELECT COALESCE(t.RecordHash, s.RecordHash) AS RecordHash,
+  CASE WHEN s.RecordHash IS NOT NULL AND a IN ('insert', 'update') THEN s.XRefCode ELSE t.XRefCode END AS XRefCode,
+  COALESCE(t.Date, s.Date) AS Date,
+  CASE WHEN a IN ('insert', 'update') THEN s.Status WHEN a = 'cancel' THEN 'Canceled' ELSE t.Status END AS Status, a AS merge_action
+FROM (SELECT t, s, CASE WHEN t.RecordHash IS NULL THEN 'insert'
+    WHEN s.RecordHash IS NOT NULL AND (t.Status IS DISTINCT FROM s.Status OR t.ReasonName IS DISTINCT FROM s.ReasonName OR t.PayAdjShortName IS DISTINCT FROM s.PayAdjShortName) THEN 'update'
+    WHEN s.RecordHash IS NOT NULL THEN 'unchanged'
+    WHEN t.Date BETWEEN DATE '1998-05-17' AND DATE '1998-09-14' AND t.Status <> 'Canceled' AND t.XRefCode IN
+      (SELECT XRefCode FROM emprows WHERE employment_status = 'ACTIVE' AND XRefCode NOT IN (SELECT XRefCode FROM held2)) THEN 'cancel'
+    ELSE 'keep' END AS a
+  FROM daysrcg1 AS t FULL OUTER JOIN daysrcg2 AS s ON t.RecordHash = s.RecordHash)"""
+
+ORACLE["roster_empty"] = "SELECT 0 AS n_rows, 'XRefCode' AS first_column"
+
 ORACLE["expand_audit"] = f"""WITH {whole_days(True)}
 SELECT entry_idx, day_idx, ReasonName AS reason_name, NULLIF(Status, '') AS status, TimeStart AS time_start, TimeEnd AS time_end,
   CASE WHEN entry_idx % 4 = 0 THEN NULL ELSE entry_idx % 4 = 1 END AS all_day, substr(TimeStart, 1, 10) AS date_of_request,

@@ -9,12 +9,13 @@ whose target page never landed are reported by an anti-join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.functions import items as it
 from ledgerfold.functions.identity import strip
 from ledgerfold.operators.partitioning import with_materialized
+from ledgerfold.sources.tables import settled
 
 # --- fixed values: message keys and phrases that mark a denied request -------
 DENIAL_KEYS = ("Message", "Messages", "Error", "error", "errorMessage")
@@ -83,6 +84,51 @@ def page_gaps(pages: DataFrame, url: str = "url") -> DataFrame:
     return ptr.join(landed, "next_url", "left_anti")
 
 
+def page_chains(pages: DataFrame, url: str = "url") -> DataFrame:
+    """S12 audit: how each landed page is reached by following pointers from first pages.
+
+    A first page is one that no landed page points to. Per page: ``first_page`` (the smallest page id of the
+    first pages that lead to it, null if none does), ``steps`` (fewest steps from a first page, null if
+    none) and ``in_cycle`` (following its pointers leads back to it). :func:`page_gaps` sees
+    neither a cycle nor pages that only a cycle leads to.
+
+    Pointers are doubled: after k rounds a page knows the page 2^k steps on, so a chain of n
+    pages takes log2(n) joins of narrow rows. Rounds end when one changes nothing: pages on one path are reached in
+    order of their steps, and pages 2^k steps on from somewhere that stay as many are those of cycles.
+    Each round is settled. Of several pages with one url, the smallest page id stands for it; a null page id or url is
+    followed nowhere.
+    """
+    named = pages.where(F.col(url).isNotNull()).groupBy(F.col(url).alias("next_url")).agg(F.min("page_id").alias("jump"))
+    pointers = pages.where(F.col("page_id").isNotNull()).select("page_id", next_pointer(F.col("page")).alias("next_url"))
+    # a page without a pointer looks for a url that none has, so that nulls don't meet in one task
+    pointers = pointers.withColumn("next_url", F.coalesce("next_url", F.concat(F.lit("\u0000"), F.col("page_id").cast("string"))))
+    pointers = pointers.join(named, "next_url", "left").groupBy("page_id").agg(F.min("jump").alias("jump"))
+    pointers = settled(pointers, "pointers")
+    led_to = pointers.where("jump IS NOT NULL").select(F.col("jump").alias("page_id")).distinct().withColumn("led_to", F.lit(True))
+    state = pointers.join(led_to, "page_id", "left").select(
+        "page_id",
+        "jump",
+        F.when(F.col("led_to").isNull(), F.col("page_id")).alias("first_page"),
+        F.when(F.col("led_to").isNull(), F.lit(0).cast("bigint")).alias("steps"),
+        F.coalesce("led_to", F.lit(False)).alias("in_cycle"),
+    )
+    state, width, image = settled(state, "chains"), 1, None
+    while True:
+        ahead = state.where("jump IS NOT NULL")
+        reach = ahead.groupBy(F.col("jump").alias("page_id")).agg(F.min("first_page").alias("_first"), F.min(F.col("steps") + width).alias("_steps"), F.lit(True).alias("_hit"))
+        on = ahead.select("page_id", "jump").join(state.select(F.col("page_id").alias("jump"), F.col("jump").alias("_on")), "jump").select("page_id", "_on")
+        known = state.drop("in_cycle").join(reach, "page_id", "left").join(on, "page_id", "left")
+        first, steps = F.least("first_page", "_first"), F.least("steps", "_steps")
+        moved = ~first.eqNullSafe(F.col("first_page")) | ~steps.eqNullSafe(F.col("steps"))
+        counted = Observation()
+        known = known.observe(counted, F.count_if(moved).alias("moved"), F.count_if(F.coalesce("_hit", F.lit(False))).alias("image"))
+        state = settled(known.select("page_id", F.col("_on").alias("jump"), first.alias("first_page"), steps.alias("steps"), F.coalesce("_hit", F.lit(False)).alias("in_cycle")), "chains")
+        found = counted.get
+        if not found.get("moved") and found.get("image") == image:
+            return state.select("page_id", "first_page", "steps", "in_cycle")
+        image, width = found.get("image"), 2 * width
+
+
 def denial_text(page: Column) -> Column:
     """First message (string or list member, in key order) containing a denial phrase."""
     texts = []

@@ -1,9 +1,7 @@
-"""Stored tables: declared schemas, typed projection, versioned snapshots.
+"""Stored tables: declared schemas, typed projection, partitioned file tables.
 
-Plain file tables have no MERGE/UPDATE, so a cycle writes what it changed to
-a new folder and never overwrites what it reads in the same plan. A version
-counts once its pointer file exists, so a job lost half-way leaves nothing
-visible and can simply be retried.
+Plain file tables have no MERGE/UPDATE, so a cycle computes the next rows of the
+partitions it changes and replaces those by Spark's dynamic partition overwrite.
 """
 
 from __future__ import annotations
@@ -25,6 +23,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from ledgerfold.session import shared_dir
+
 # --- fixed values: column contracts of the three stored tables --------------
 LEDGER_DDL = (
     "record_hash STRING NOT NULL, employee_xref STRING NOT NULL, pto_date DATE NOT NULL, "
@@ -37,7 +37,6 @@ EMPLOYEE_DDL = (
     "XRefCode STRING NOT NULL, employee_name STRING, DepartmentXRefCode STRING, ProjectId INT, "
     "TaskId INT, employment_status STRING, UpdatedDateTime TIMESTAMP"
 )
-EMPLOYEE_ADDED_COLUMNS = (("employment_status", "STRING"), ("UpdatedDateTime", "TIMESTAMP"))
 DAY_DDL = (
     "XRefCode STRING NOT NULL, Date DATE NOT NULL, Hours DECIMAL(6,2) NOT NULL, ReasonName STRING, "
     "PayAdjShortName STRING, Status STRING NOT NULL, RecordHash STRING NOT NULL, UpdatedDateTime TIMESTAMP"
@@ -54,10 +53,6 @@ _TYPES = {
 }
 
 
-#: Files a month is spread over at most.
-MONTH_SPLITS = 16
-
-
 def schema_of(ddl: str) -> StructType:
     """Declared column list → ``StructType`` (no session needed)."""
     fields = []
@@ -70,6 +65,8 @@ def schema_of(ddl: str) -> StructType:
 LEDGER_SCHEMA = schema_of(LEDGER_DDL)
 EMPLOYEE_SCHEMA = schema_of(EMPLOYEE_DDL)
 DAY_SCHEMA = schema_of(DAY_DDL)
+#: Requests that a run set aside.
+REJECT_SCHEMA = schema_of("employee_key STRING, entry_idx STRING, reject_reason STRING, run_at TIMESTAMP NOT NULL")
 
 
 def typed(df: DataFrame, schema: StructType, *, fill_missing: bool = True) -> DataFrame:
@@ -100,23 +97,37 @@ def not_null_violations(df: DataFrame, schema: StructType) -> Column:
     return F.count_if(bad).cast("bigint")
 
 
+def enforced(df: DataFrame, schema: StructType) -> DataFrame:
+    """S19 at write: declared names, order and types; a null in a NOT NULL column raises while the rows are written."""
+    columns = []
+    for f in schema.fields:
+        c = F.col(f.name).cast(f.dataType)
+        if not f.nullable:
+            c = F.coalesce(c, F.raise_error(F.lit(f"null in NOT NULL column {f.name}")).cast(f.dataType))
+        columns.append(c.alias(f.name))
+    return df.select(*columns)
+
+
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     """A table that does not exist yet reads as empty with its schema."""
     return spark.createDataFrame([], schema)
 
 
-def add_missing_columns(df: DataFrame, added: Iterable[tuple[str, str]] = EMPLOYEE_ADDED_COLUMNS) -> DataFrame:
-    """Append columns the stored frame lacks (case-insensitive, fixed order)."""
-    have = {c.lower() for c in df.columns}
-    extra = [(n, t) for n, t in added if n.lower() not in have]
-    return df.select("*", *[F.lit(None).cast(t).alias(n) for n, t in extra]) if extra else df
+def lacking_fields(df: DataFrame, schema: StructType) -> list[StructField]:
+    """Fields of ``schema`` that ``df`` has under no spelling of their name, in the schema's order."""
+    known = [f.name.casefold() for f in df.schema.fields]
+    return [f for f in schema.fields if f.name.casefold() not in known]
+
+
+def add_missing_columns(df: DataFrame, schema: StructType = EMPLOYEE_SCHEMA) -> DataFrame:
+    """``df`` with a null column for each field of ``schema`` that it lacks."""
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking_fields(df, schema)})
 
 
 def evolve_table(spark: SparkSession, table: str, schema: StructType = None) -> list[str]:
     """S18 for a catalog table: add the fields of ``schema`` that it lacks, in one statement; returns their names."""
     schema = EMPLOYEE_SCHEMA if schema is None else schema
-    known = {f.name.lower() for f in spark.table(table).schema.fields}
-    lacking = [f for f in schema.fields if f.name.lower() not in known]
+    lacking = lacking_fields(spark.table(table), schema)
     if lacking:
         listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lacking)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
@@ -133,102 +144,104 @@ def create_table_sql(
     return f"CREATE TABLE IF NOT EXISTS {table} ({clean}) USING {fmt}{part}{loc}"
 
 
-class SnapshotTable:
-    """Immutable versions of a table, as a pointer file each and the folders it names.
+def settled(df: DataFrame, name: str = "settled") -> DataFrame:
+    """``df`` computed once into a folder of its own in the shared folder, and read back from there.
+
+    Plans that use it more than once read files instead of computing it again, and lost executors cost nothing.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def month_part(column: str) -> str:
+    """Partition text of a date column: its month."""
+    return f"date_format({column}, 'yyyy-MM')"
+
+
+def key_part(column: str, n: int = 16) -> str:
+    """Partition text of a key column: one of ``n`` hash buckets."""
+    return f"cast(pmod(xxhash64({column}), {n}) AS string)"
+
 
-    A write goes to a folder of its own and then becomes version n by creating
-    ``versions/n`` without overwriting, last of all: a writer that died leaves
-    nothing visible, and of two writers of one version the second fails. The
-    pointer names the folder of every month (a table without months has one),
-    so a cycle writes only months in which a row changed and takes over the rest.
+class StoredTable:
+    """Parquet files in one folder, partitioned by ``part`` (SQL text over the table's columns).
+
+    A write replaces the partitions it has rows for and no other
+    (``partitionOverwriteMode=dynamic``). Spark writes them aside and moves them in
+    when the job commits, so the rows may come from a plan that reads this table,
+    and a job lost before that leaves the table as it was. One lost while files are moved
+    is run again: the merges give the same rows for the same stamp.
     """
 
     #: ``merge_action`` values that leave a stored row as it is.
     UNCHANGED = ("keep", "noop", "unchanged")
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType, month_of: str | None = None):
-        self.spark, self.root, self.schema, self.month_of = spark, root.rstrip("/"), schema, month_of
-
-    def _path(self, name: str):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
-
-    def versions(self) -> list[int]:
-        fs, path = self._path("versions")
-        if not fs.exists(path):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(path)]
-        return sorted(int(n) for n in names if n.isdigit())
-
-    def current_version(self) -> int:
-        v = self.versions()
-        return v[-1] if v else 0
-
-    def folders(self, version: int) -> dict[str, str]:
-        """Month (or ``''``) → folder of a version."""
-        rows = self.spark.read.text(f"{self.root}/versions/{version:06d}").collect()  # a line per month
-        return dict(r["value"].split("\t") for r in rows)
-
-    def _commit(self, version: int, folders: dict[str, str]) -> None:
-        fs, path = self._path(f"versions/{version:06d}")
-        out = fs.create(path, False)  # fails where the version exists
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, part: str):
+        self.spark, self.path, self.schema, self.part = spark, path.rstrip("/"), schema, part
+        self._create()
+
+    def _create(self) -> None:
+        """The folder, if there is none yet."""
+        rows = empty(self.spark, self.schema).withColumn("part", F.lit("none"))
+        rows.write.mode("ignore").partitionBy("part").parquet(self.path)
+
+    def part_column(self) -> Column:
+        return F.coalesce(F.expr(self.part), F.lit("none"))
+
+    def with_parts(self) -> DataFrame:
+        """All rows with their ``part``; a filter on it is a partition filter of the scan."""
+        return self.spark.read.schema(StructType([*self.schema.fields, StructField("part", StringType())])).parquet(self.path)
+
+    def read(self, parts: Iterable[str] | None = None) -> DataFrame:
+        """The table's rows, or those of some partitions; empty where nothing was written yet."""
+        rows = self.with_parts()
+        rows = rows if parts is None else rows.where(F.col("part").isin(list(parts)))
+        return rows.select(*self.schema.fieldNames())
+
+    def changed_parts(self, merged: DataFrame) -> list[str]:
+        """Partitions that hold a row changed by a merge; as many as the table has partitions at most."""
+        moved = merged.where(~F.col("merge_action").isin(*self.UNCHANGED))
+        return sorted(r["part"] for r in moved.select(self.part_column().alias("part")).distinct().collect())
+
+    def overwrite(self, rows: DataFrame) -> None:
+        """Replace the partitions of ``rows``, which are whole partitions, by them.
+
+        Types are the declared ones; a null where the schema allows none fails the write.
+        AQE cuts or joins the written partitions to its advisory size (``REBALANCE``).
+        """
+        out = enforced(rows, self.schema).withColumn("part", self.part_column())
+        out.hint("rebalance", "part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(self.path)
+
+
+class BucketedTable(StoredTable):
+    """A stored table known to the catalog, its files bucketed by ``keys``.
+
+    A side that is dealt out by the same keys into as many parts meets it without an exchange (or a sort of
+    whole partitions) of the stored rows. ``buckets`` should be the session's ``spark.sql.shuffle.partitions``.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, path: str, schema: StructType, part: str, keys: Iterable[str], buckets: int):
+        self.name, self.keys, self.buckets = name, tuple(keys), buckets
+        super().__init__(spark, path, schema, part)
+
+    def _create(self) -> None:
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema.fields)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}, part STRING) USING parquet PARTITIONED BY (part) "
+            f"CLUSTERED BY ({', '.join(self.keys)}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+        )
+
+    def with_parts(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def overwrite(self, rows: DataFrame) -> None:
+        """As :meth:`StoredTable.overwrite`; a task writes one bucket of every partition."""
+        out = enforced(rows, self.schema).withColumn("part", self.part_column()).repartition(self.buckets, *self.keys)
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "dynamic")  # insertInto has no option for it
         try:
-            out.write(bytearray("".join(f"{m}\t{f}\n" for m, f in sorted(folders.items())).encode()))
+            out.write.insertInto(self.name, overwrite=True)
         finally:
-            out.close()
-
-    def read(self, version: int | None = None, *, audit: bool = False) -> DataFrame:
-        """Newest committed version (or ``version``). ``audit`` adds the audit columns
-        of its cycle; rows of months taken over unwritten have ``merge_action`` 'keep'."""
-        v = self.current_version() if version is None else version
-        if v == 0:
-            return empty(self.spark, self.schema)
-        paths = list(self.folders(v).values())
-        earlier = set(self.folders(v - 1).values()) if v > 1 and audit else set()
-        df = self._parts([p for p in paths if p not in earlier])
-        if not audit:
-            return typed(df, self.schema)
-        extra = [c for c in df.columns if c not in self.schema.fieldNames()]
-        own = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], *extra)
-        taken = [p for p in paths if p in earlier]
-        if not taken:
-            return own
-        rest = typed(self._parts(taken), self.schema)
-        rest = rest.withColumn("merge_action", F.lit("keep")) if "merge_action" in extra else rest
-        return own.unionByName(rest, allowMissingColumns=True)
-
-    def _parts(self, folders: list[str]) -> DataFrame:
-        if not folders:
-            return empty(self.spark, self.schema)
-        return self.spark.read.parquet(*[f"{self.root}/{f}" for f in folders])
-
-    def write(self, df: DataFrame, audit: tuple[str, ...] = ()) -> int:
-        """Write ``df`` as the next version; ``audit`` columns are stored alongside.
-
-        ``df`` is the whole next table. With a ``merge_action`` column and
-        months, only months that hold a changed row are written; the others' folders stay.
-        """
-        v = self.current_version() + 1
-        out = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields], *audit) if audit else typed(df, self.schema)
-        attempt = f"data/{uuid.uuid4().hex}"
-        if not self.month_of:
-            out.write.parquet(f"{self.root}/{attempt}")
-            self._commit(v, {"": attempt})
-            return v
-        month = F.coalesce(F.date_format(F.col(self.month_of), "yyyy-MM"), F.lit("none"))
-        old = self.folders(v - 1) if v > 1 else {}
-        monthly = out.withColumn("month", month)
-        if old and "merge_action" in df.columns:
-            changed = df.where(~F.col("merge_action").isin(*self.UNCHANGED)).select(month.alias("month")).distinct()
-            names = [r["month"] for r in changed.collect()]  # months, not rows
-            names += [r["month"] for r in df.select(month.alias("month")).distinct().collect() if r["month"] not in old]
-            monthly = monthly.where(F.col("month").isin(*names))
-        # By (month, hash of the first columns): each file holds one or few months, a big month is split.
-        spread = monthly.repartition("month", F.pmod(F.xxhash64(*[F.col(c) for c in out.columns[:3]]), F.lit(MONTH_SPLITS)))
-        spread.write.partitionBy("month").parquet(f"{self.root}/{attempt}")
-        fs, path = self._path(attempt)
-        written = [st.getPath().getName() for st in fs.listStatus(path)]
-        new = {n.removeprefix("month="): f"{attempt}/{n}" for n in written if n.startswith("month=")}
-        self._commit(v, old | new)
-        return v
+            self.spark.conf.set(setting, before)

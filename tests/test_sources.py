@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import tempfile
 
 import pytest
@@ -44,13 +45,17 @@ def test_create_and_evolve_catalog_table(spark):
     spark.sql("DROP TABLE lf_test_employees")
 
 
-def test_snapshot_versions_and_empty_read(spark):
-    root = tempfile.mkdtemp(dir=spark.conf.get("spark.checkpoint.dir"), prefix="snap-")
-    t = tables.SnapshotTable(spark, f"{root}/t", tables.EMPLOYEE_SCHEMA)
-    assert t.current_version() == 0 and t.read().count() == 0
-    src = spark.createDataFrame([("E1", "Ann", "D", 1, 1, "ACTIVE", None)], tables.EMPLOYEE_SCHEMA)
-    assert t.write(src) == 1 and t.write(src) == 2
-    assert t.versions() == [1, 2] and t.read().count() == 1
+def fresh(spark, name):
+    return tempfile.mkdtemp(dir=spark.conf.get("spark.checkpoint.dir"), prefix=name) + "/t"
+
+
+def test_stored_table_reads_empty_and_replaces_its_partitions(spark):
+    t = tables.StoredTable(spark, fresh(spark, "emp-"), tables.EMPLOYEE_SCHEMA, tables.key_part("XRefCode", 4))
+    assert t.read().count() == 0 and t.read().schema.fieldNames() == tables.EMPLOYEE_SCHEMA.fieldNames()
+    src = spark.createDataFrame([(f"E{i}", "Ann", "D", 1, 1, "ACTIVE", None) for i in range(40)], tables.EMPLOYEE_SCHEMA)
+    t.overwrite(src)
+    t.overwrite(t.read().withColumn("employee_name", F.lit("Bo")))  # from a plan that reads the table itself
+    assert t.read().count() == 40 and {r[0] for r in t.read().select("employee_name").distinct().collect()} == {"Bo"}
 
 
 def test_rows_to_struct_infers_schema_and_keeps_first_case(spark):
@@ -64,33 +69,64 @@ def test_rows_to_struct_infers_schema_and_keeps_first_case(spark):
     assert out.filter(F.col("page_id") == 0).first()["Org"]["X"] == "o"
 
 
-def test_versions_without_success_markers_and_untouched_months(spark):
-    """A version is its pointer file; a month without a changed row keeps its files."""
+def test_only_changed_months_are_rewritten(spark):
     import datetime as dt
     from decimal import Decimal
 
-    root = tempfile.mkdtemp(dir=spark.conf.get("spark.checkpoint.dir"), prefix="months-")
-    t = tables.SnapshotTable(spark, f"{root}/t", tables.DAY_SCHEMA, month_of="Date")
+    t = tables.StoredTable(spark, fresh(spark, "months-"), tables.DAY_SCHEMA, tables.month_part("Date"))
 
     def rows(*hours):
         data = [("A", dt.date(2031, m + 1, 3), Decimal(h), None, None, "Approved", f"h{m}", None, act) for m, (h, act) in enumerate(hours)]
         return spark.createDataFrame(data, tables.DAY_SCHEMA.simpleString()[7:-1].replace(":", " ") + ", merge_action string")
 
-    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        assert t.write(rows((8, "insert"), (8, "insert")), audit=("merge_action",)) == 1
-        assert t.write(rows((8, "keep"), (4, "update"), (2, "insert")), audit=("merge_action",)) == 2
-    finally:
-        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
-    one, two = t.folders(1), t.folders(2)
-    assert set(one) == {"2031-01", "2031-02"} and set(two) == {"2031-01", "2031-02", "2031-03"}
-    assert one["2031-01"] == two["2031-01"] and one["2031-02"] != two["2031-02"]
+    def files():
+        return {d: sorted(f for f in os.listdir(f"{t.path}/{d}") if f.endswith(".parquet")) for d in os.listdir(t.path) if d.startswith("part=")}
+
+    assert t.changed_parts(rows((8, "keep"), (8, "noop"), (8, "unchanged"))) == []
+    t.overwrite(rows((8, "insert"), (8, "insert")))
+    before, second = files(), rows((8, "keep"), (4, "update"), (2, "insert"))
+    assert t.changed_parts(second) == ["2031-02", "2031-03"]
+    t.overwrite(second.where(t.part_column().isin(t.changed_parts(second))))
+    after = files()
+    assert set(after) == {"part=2031-01", "part=2031-02", "part=2031-03"}
+    assert before["part=2031-01"] == after["part=2031-01"] and before["part=2031-02"] != after["part=2031-02"]
     assert {r["RecordHash"]: int(r["Hours"]) for r in t.read().collect()} == {"h0": 8, "h1": 4, "h2": 2}
-    assert {r["RecordHash"]: r["merge_action"] for r in t.read(audit=True).collect()} == {"h0": "keep", "h1": "update", "h2": "insert"}
-    assert t.read(1).count() == 2
-    with pytest.raises(Exception):  # two writers of one version: the second fails
-        t._commit(2, {})
-    assert t.read().count() == 3
+    assert [r["RecordHash"] for r in t.read(["2031-02"]).collect()] == ["h1"]
+    assert re.search(r"PartitionFilters: \[[^\]]*part#", t.read(["2031-02"])._jdf.queryExecution().executedPlan().toString())
+
+
+def test_a_null_where_none_is_allowed_fails_the_write(spark):
+    t = tables.StoredTable(spark, fresh(spark, "null-"), tables.EMPLOYEE_SCHEMA, tables.key_part("XRefCode"))
+    good = spark.createDataFrame([("E1", None, None, None, None, None, None)], tables.EMPLOYEE_SCHEMA)
+    t.overwrite(good)
+    nulls = spark.createDataFrame([(None, "x")], "XRefCode string, employee_name string")
+    with pytest.raises(Exception, match="null in NOT NULL column XRefCode"):
+        t.overwrite(tables.typed(nulls, tables.EMPLOYEE_SCHEMA).unionByName(good))
+    assert [r["XRefCode"] for r in t.read().collect()] == ["E1"]
+
+
+def test_page_chains(spark):
+    """First pages, a tail into a cycle, a cycle nothing leads to, merging chains, a gap, null urls, two pages of one url."""
+    to = {1: "u2", 2: "u3", 3: "u4", 4: "u5", 5: "u3", 10: "u11", 11: "u10", 20: "u21", 21: "u22", 30: "u21", 40: "u99", 60: "u60"}
+    ids = [*to, 22, 50]
+    rows = [(i, None if i == 50 else f"u{i}", json.dumps({"Paging": {"Next": to.get(i, "")}})) for i in ids] + [(61, "u22", "{}")]
+    p = spark.createDataFrame(rows, "page_id long, url string, t string").select("page_id", "url", F.parse_json("t").alias("page"))
+    got = {r["page_id"]: tuple(r)[1:] for r in pages.page_chains(p).collect()}
+    assert got == {
+        1: (1, 0, False), 2: (1, 1, False), 3: (1, 2, True), 4: (1, 3, True), 5: (1, 4, True),
+        10: (None, None, True), 11: (None, None, True), 60: (None, None, True),
+        20: (20, 0, False), 30: (30, 0, False), 21: (20, 1, False), 22: (20, 2, False), 61: (61, 0, False),
+        40: (40, 0, False), 50: (50, 0, False),
+    }
+    assert pages.page_chains(p.limit(0)).count() == 0
+
+
+def test_a_long_chain(spark):
+    n = 700
+    p = spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("u"), "id").alias("url"),
+                              F.parse_json(F.concat(F.lit('{"Paging":{"Next":"u'), F.col("id") + 1, F.lit('"}}'))).alias("page"))
+    got = pages.page_chains(p).agg(F.max("steps"), F.min("first_page"), F.max("first_page"), F.count_if("in_cycle")).first()
+    assert tuple(got) == (n - 1, 0, 0, 0)
 
 
 def test_names_that_are_null_blank_or_differ_in_case(spark):
