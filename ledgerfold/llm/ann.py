@@ -11,9 +11,13 @@ visited until these chances add up to ``REACH`` and enough rows are met for k ot
 merged and ranked by the exact inner product in double precision.
 
 The expected similarity is fitted on a bounded sample of ``SAMPLE`` rows in the order of
-a hash of the id; every row is indexed. Buckets and queries are dealt in blocks
-of bounded size, so that a vector that a third of all rows share fills
-many blocks rather than one task. The driver holds bucket counts (at most ``MOST_BUCKETS`` a table).
+a hash of the id; every row is indexed. Buckets are cut into blocks of bounded size, so that a vector that a third of all rows share fills
+many blocks rather than one task, and neighbouring blocks make up groups of about ``GROUP`` rows. A row is shuffled once a table, to its
+group; a query once to each group with a bucket it visits, with the list of its blocks there. A task holds the rows of one group and
+answers the queries as they stream by, so memory is bounded however many queries visit a group.
+The driver holds bucket counts (at most ``MOST_BUCKETS`` a table).
+
+Scores are summed coordinate by coordinate, so that a pair has one score wherever it is met, and ties are ties.
 
 Defined cases: vectors that are null, empty, zero, of another length than most
 rows, or hold null or non-finite components take no part, nor do null ids; a query's
@@ -117,27 +121,61 @@ def fit(sample: np.ndarray, n: int, norm: float, k: int, tables: int, seed: int)
     return index
 
 
-def _best(out: tuple[list, list, list], asked: np.ndarray, near: np.ndarray, score: np.ndarray, names: np.ndarray, k: int) -> None:
-    """Append each query's k best different neighbours, by score and then id."""
-    order = np.lexsort((names[near], -score, names[asked]))
-    asked, near, score = asked[order], near[order], score[order]
-    again = np.lexsort((np.arange(len(asked)), names[near], names[asked]))  # a neighbour's best row comes first
-    q, n = names[asked][again], names[near][again]
-    repeated = np.zeros(len(asked), bool)
-    repeated[again[1:]] = (q[1:] == q[:-1]) & (n[1:] == n[:-1])
-    asked, near, score = asked[~repeated], near[~repeated], score[~repeated]
-    q = names[asked]
-    first = np.searchsorted(q, q)
-    keep = np.arange(len(q)) - first < k
-    for held, part in zip(out, (asked, near, score)):
-        held.append(part[keep])
-
-
 def _matrix(column: pa.Array) -> np.ndarray:
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return np.asarray(lists.flatten(), np.float64).reshape(len(lists), -1)
 
 
+def inner(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Inner products row by row, summed in the order of the coordinates."""
+    out = np.zeros(len(x))
+    for j in range(x.shape[1]):
+        out += x[:, j] * y[:, j]
+    return out
+
+
+class Group:
+    """The rows of one group of blocks, by id."""
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(batches).combine_chunks()
+        self.ids = table.column("vec_id").combine_chunks()
+        names = np.asarray(self.ids)
+        order = np.argsort(names, kind="stable")
+        self.ids, self.names = self.ids.take(pa.array(order)), names[order]
+        self.v = _matrix(table.column("v"))[order]
+        self.blocks, self.block = np.unique(np.asarray(table.column("blocks").combine_chunks().flatten())[order], return_inverse=True)
+
+    def answers(self, asking: pa.RecordBatch, k: int) -> pa.RecordBatch:
+        """Each query's k best other ids among the rows of the blocks it visits, by score, then id."""
+        q, lists = _matrix(asking.column("v")), asking.column("blocks")
+        visited = np.zeros((len(q), len(self.blocks) + 1), bool)
+        blocks = np.asarray(lists.flatten())
+        place = np.searchsorted(self.blocks, blocks)
+        place[self.blocks[place.clip(max=len(self.blocks) - 1)] != blocks] = len(self.blocks)  # a block that got no row
+        visited[np.repeat(np.arange(len(q)), np.diff(np.asarray(lists.offsets))), place] = True
+        score = q @ self.v.T
+        score[~visited[:, self.block]] = -np.inf
+        asked = np.asarray(asking.column("vec_id"))
+        score[asked[:, None] == self.names[None]] = -np.inf
+        # the k-th best score of different ids; what comes within rounding of it is summed again in fixed order
+        starts = np.flatnonzero(np.append(True, self.names[1:] != self.names[:-1]))
+        each = np.maximum.reduceat(score, starts, axis=1) if len(starts) < len(self.names) else score
+        least = np.partition(each, each.shape[1] - k, axis=1)[:, each.shape[1] - k] if each.shape[1] > k else np.full(len(q), -np.inf)
+        near = 1e-9 * np.linalg.norm(q, axis=1) * np.linalg.norm(self.v, axis=1).max()
+        i, j = np.nonzero((score > -np.inf) & (score >= (least - near)[:, None]))
+        exact = inner(q[i], self.v[j])
+        order = np.lexsort((self.names[j], -exact, i))
+        i, j, exact = i[order], j[order], exact[order]
+        again = np.lexsort((np.arange(len(i)), self.names[j], i))  # an id's best row comes first
+        repeated = np.zeros(len(i), bool)
+        repeated[again[1:]] = (i[again][1:] == i[again][:-1]) & (self.names[j][again][1:] == self.names[j][again][:-1])
+        i, j, exact = i[~repeated], j[~repeated], exact[~repeated]
+        kept = np.arange(len(i)) - np.searchsorted(i, i) < k
+        i, j, exact = i[kept], j[kept], exact[kept]
+        return pa.RecordBatch.from_arrays([asking.column("vec_id").take(pa.array(i)), self.ids.take(pa.array(j)), pa.array(exact, pa.float64())], ["query_id", "vec_id", "score"])
+
+
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int, float, int]:
     """Rows that take part as ``vec_id, v``, with their number, the largest norm and the dimension."""
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).where("vec_id IS NOT NULL AND v IS NOT NULL")
@@ -184,8 +222,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     # blocks that are answered together: one result per query and group, GROUP rows or one block
     sizes = np.concatenate([np.repeat([m / -(-m // BLOCK) for _, m in h], s) for h, s in zip(held, splits)])
     group_of = np.floor((np.cumsum(sizes) - sizes) / GROUP).astype(np.int64)
-    queries = rows.where(is_query).count()
-    sets = max(1, -(-queries // BLOCK))  # blocks of queries
+    fields = ["part", "asks", "blocks", "vec_id", "v"]
 
     def deal(batches):
         for batch in batches:
@@ -196,62 +233,49 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
             x = index.lifted(v)
             asks = np.flatnonzero(np.asarray(batch.column("asks")))
             q = index.asked(v[asks])
-            keys, picks, sides = [], [], []
             for t in range(tables):
                 bucket = np.searchsorted(codes[t], index.code(index.cells(x, t)))
                 block = firsts[t][bucket] + salt % splits[t][bucket]
-                for s in range(sets):
-                    keys.append(block * sets + s)
-                    picks.append(np.arange(len(v)))
-                    sides.append(np.zeros(len(v), bool))
-                if len(asks):
-                    who, where = index.visits(q, t, codes[t], sizes_of[t], reach, least)
+                for at in range(0, len(v), 20_000):
+                    part = slice(at, at + 20_000)
+                    some, here = block[part], batch.slice(at, 20_000)
+                    own = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1), pa.int32()), pa.array(some))
+                    yield pa.RecordBatch.from_arrays([pa.array(group_of[some]), pa.array(np.zeros(len(some), bool)), own, here.column("vec_id"), here.column("v")], fields)
+                for at in range(0, len(asks), 256):
+                    who, where = index.visits(q[at : at + 256], t, codes[t], sizes_of[t], reach, least)
                     many = splits[t][where]
                     block = np.repeat(firsts[t][where], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                    who = np.repeat(asks[who], many)
-                    keys.append(block * sets + (salt[who] // 7919) % sets)
-                    picks.append(who)
-                    sides.append(np.ones(len(who), bool))
-            pick = np.concatenate(picks)
-            for at in range(0, len(pick), 20_000):
-                part = pa.array(pick[at : at + 20_000])
-                key = np.concatenate(keys)[at : at + 20_000]
-                group = group_of[key // sets] * sets + key % sets
-                yield pa.RecordBatch.from_arrays([pa.array(group), pa.array(key), pa.array(np.concatenate(sides)[at : at + 20_000]), batch.column("vec_id").take(part), batch.column("v").take(part)], ["part", "key", "asks", "vec_id", "v"])
-
-    dealt = rows.select("vec_id", "v", is_query.alias("asks"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 40)).alias("salt")).mapInArrow(deal, f"part long, key long, asks boolean, vec_id {kind}, v array<double>")
-
-    def rerank(group: pa.Table) -> pa.Table:
-        """Each query's k best in a group of blocks."""
-        asks = np.asarray(group.column("asks").combine_chunks())
-        ids = group.column("vec_id").combine_chunks()
-        block = np.asarray(group.column("key").combine_chunks())
-        v = _matrix(group.column("v"))
-        _, names = np.unique(np.asarray(ids), return_inverse=True)  # numbers in the order of ids
-        found = ([], [], [])
-        for one in np.unique(block):
-            here = np.flatnonzero(block == one)
-            them, us = here[~asks[here]], here[asks[here]]
-            them = them[np.argsort(names[them], kind="stable")]
-            _, starts = np.unique(names[them], return_index=True)
-            each = them[starts]  # one row of each id stands for all of them
-            for at in range(0, len(us) if len(them) else 0, 256):
-                q = us[at : at + 256]
-                score = v[q] @ v[them].T
-                if len(each) < len(them):
-                    score = np.maximum.reduceat(score, starts, axis=1)
-                score[names[q][:, None] == names[each][None]] = -np.inf
-                # everything that ties with the k-th stays until ties are settled by id
-                least = np.partition(score, len(each) - k, axis=1)[:, len(each) - k] if len(each) > k else np.full(len(q), -np.inf)
-                i, j = np.nonzero((score >= least[:, None]) & (score > -np.inf))
-                _best(found, q[i], each[j], score[i, j], names, k)
-        asked, near, score = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in found)
-        kept = ([], [], [])
-        _best(kept, asked, near, score, names, k)
-        asked, near, score = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in kept)
-        return pa.Table.from_arrays([ids.take(pa.array(asked, pa.int64())), ids.take(pa.array(near, pa.int64())), pa.array(score, pa.float64())], ["query_id", "vec_id", "score"])
-
-    pairs = dealt.groupBy("part").applyInArrow(rerank, schema)
+                    who = np.repeat(who, many)
+                    order = np.lexsort((block, group_of[block], who))
+                    who, block = who[order], block[order]
+                    group = group_of[block]
+                    first = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (group[1:] != group[:-1])))
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(block)), pa.int32()), pa.array(block))
+                    pick = pa.array(asks[at + who[first]])
+                    yield pa.RecordBatch.from_arrays([pa.array(group[first]), pa.array(np.ones(len(first), bool)), lists, batch.column("vec_id").take(pick), batch.column("v").take(pick)], fields)
+
+    dealt = rows.select("vec_id", "v", is_query.alias("asks"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 40)).alias("salt")).mapInArrow(deal, f"part long, asks boolean, blocks array<long>, vec_id {kind}, v array<double>")
+
+    def rerank(batches):
+        """Partitions sorted by group, rows before queries: each query's k best in a group, a batch of queries at a time."""
+        part, rows_of, group = None, [], None
+        for batch in batches:
+            parts, asking = np.asarray(batch.column("part")), np.asarray(batch.column("asks"))
+            edges = np.flatnonzero((parts[1:] != parts[:-1]) | (asking[1:] != asking[:-1])) + 1
+            for at, to in zip(np.append(0, edges).tolist(), np.append(edges, len(parts)).tolist()):
+                if to == at:
+                    continue
+                here = batch.slice(at, to - at)
+                if parts[at] != part:
+                    part, rows_of, group = parts[at], [], None
+                if not asking[at]:
+                    rows_of.append(here)
+                elif rows_of:
+                    group = group or Group(rows_of)
+                    for some in range(0, to - at, 64):
+                        yield group.answers(here.slice(some, 64), k)
+
+    pairs = dealt.repartition("part").sortWithinPartitions("part", "asks").mapInArrow(rerank, schema)
     best = pairs.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -145,15 +145,16 @@ def brute_nearest(rows, k):
     return out
 
 
-@pytest.mark.parametrize("n", [3, 15, 900])
-def test_nearest_neighbours(spark, n, monkeypatch):
-    monkeypatch.setattr(ann, "BLOCK", 64)  # several functions and blocks
+@pytest.mark.parametrize("n, reach", [(3, 0.9), (15, 0.9), (900, 0.9), (900, ann.REACH), (2500, ann.REACH)])
+def test_nearest_neighbours(spark, n, reach, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 64)  # several functions, blocks and groups
+    monkeypatch.setattr(ann, "GROUP", 200)
     rng = np.random.default_rng(n)
     rows = [(i, (rng.normal(size=8) * rng.choice([0.5, 1, 2])).tolist()) for i in range(n)]
-    rows += [(1000 + i, rows[1][1]) for i in range(n // 3)]  # a vector that a quarter of all rows share
+    rows += [(10_000 + i, rows[1][1]) for i in range(n // 3)]  # a vector that a quarter of all rows share
     rows += [(None, [1.0] * 8), (5001, None), (5002, []), (5003, [0.0] * 8), (5004, [float("nan")] * 8), (5005, [1.0] * 7 + [None]), (5006, [float("inf")] * 8), (5007, [1.0] * 7)]
     table = spark.createDataFrame([(i, v, 1, 0.0) for i, v in rows], "vec_id long, embedding array<double>, rank int, score double").repartition(3)
-    out = ann.nearest(table, F.col("vec_id") % 20 == 0, reach=0.9).collect()
+    out = ann.nearest(table, F.col("vec_id") % 20 == 0, reach=reach).collect()
     want = brute_nearest(rows, 20)
     got = {}
     for r in sorted(out, key=lambda r: (r["query_id"], r["rank"])):
@@ -164,7 +165,7 @@ def test_nearest_neighbours(spark, n, monkeypatch):
     for q, mine in got.items():
         assert [r for r, _, _ in mine] == list(range(1, len(mine) + 1))
         assert mine == sorted(mine, key=lambda c: (-c[2], c[1])) or np.allclose([c[2] for c in mine], sorted((c[2] for c in mine), reverse=True))
-        assert all(math.isclose(s, float(np.dot(vectors[q], vectors[v])), abs_tol=1e-9) and v != q for _, v, s in mine)
+        assert all(s == float(ann.inner(np.array([vectors[q]]), np.array([vectors[v]]))[0]) and v != q for _, v, s in mine)
         hits += len({v for _, v, _ in mine} & {v for v, _ in want[q]})
     assert hits >= 0.9 * sum(len(w) for w in want.values())
 
@@ -183,6 +184,28 @@ def test_all_candidates_of_a_small_table(spark, n):
     assert got == {q: {4 * i for i in range(n)} - {q} for q in range(0, 4 * n, 20)}
 
 
+def test_a_pair_has_one_score_and_ties_go_to_the_smaller_id():
+    """Queries alone and together, and equal vectors in different groups, give the same bits."""
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(300, 64))
+    v[100:200] = v[7]
+
+    def batch(ids, x, blocks):
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1), pa.int32()), pa.array(blocks, pa.int64()))
+        return pa.RecordBatch.from_arrays([lists, pa.array(ids, pa.int64()), pa.array(list(x))], ["blocks", "vec_id", "v"])
+
+    every = ann.Group([batch(np.arange(300), v, np.zeros(300))])
+    halves = [ann.Group([batch(np.arange(300)[k::2], v[k::2], np.zeros(150))]) for k in range(2)]
+    asked = batch(np.arange(40), v[:40], np.zeros(40))
+    together = every.answers(asked, 30).to_pylist()
+    alone = [r for i in range(40) for r in every.answers(asked.slice(i, 1), 30).to_pylist()]
+    assert together == alone and len(together) == 40 * 30
+    apart = [r for g in halves for r in g.answers(asked, 30).to_pylist()]
+    for i in range(40):
+        own = sorted((r for r in apart if r["query_id"] == i), key=lambda r: (-r["score"], r["vec_id"]))[:30]
+        assert own == [r for r in together if r["query_id"] == i]
+
+
 def test_no_vectors(spark):
     table = spark.createDataFrame([(1, None), (20, [0.0])], "vec_id long, embedding array<float>")
     assert ann.nearest(table, F.col("vec_id") % 20 == 0).count() == 0
