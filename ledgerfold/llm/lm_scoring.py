@@ -79,28 +79,27 @@ def unpack_counts(blob: bytes) -> np.ndarray:
     return _unplanes(zstandard.ZstdDecompressor().decompress(blob[4:], max_output_size=8 * n + 1), n, np.uint64).astype(np.int64)
 
 
-def grams(words: np.ndarray, bounds: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per n: the positions (of the last word) that have n words within their text, and the n-gram hashes there."""
-    nth = np.arange(len(words)) - np.repeat(bounds[:-1], np.diff(bounds))
-    out = []
+def grams(words: np.ndarray, bounds: np.ndarray, order: int):
+    """For each n in turn: the positions (of the last word) that have n words within their text, and the n-gram hashes there."""
+    nth = (np.arange(len(words)) - np.repeat(bounds[:-1], np.diff(bounds))).clip(max=order).astype(np.int8)
     for n in range(1, order + 1):
         at = np.flatnonzero(nth >= n - 1)
-        hashes = ngram_hashes(words, n)[at - (n - 1)] if len(at) else np.zeros(0, np.uint64)
-        out.append((at, hashes))
-    return out
+        yield at, (ngram_hashes(words, n)[at - (n - 1)] if len(at) else np.zeros(0, np.uint64))
 
 
-def document_scores(words: np.ndarray, bounds: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]], counts: list[np.ndarray], alpha: float, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per text: the sum of log S but for the corpus size, and how many words were scored by their own count."""
-    at, _ = found[0]
-    table = np.full((len(found) + 1, len(words)), 0, np.int64)
-    for n, ((where, _), c) in enumerate(zip(found, counts), 1):
+def document_scores(words: np.ndarray, bounds: np.ndarray, found: list[np.ndarray], counts: list[np.ndarray], alpha: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per text: the sum of log S but for the corpus size, and how many words were scored by their own count.
+
+    ``found`` and ``counts``: for each n, the positions that have n words, and the counts there.
+    """
+    table = np.zeros((len(found) + 1, len(words)), np.int64)
+    for n, (where, c) in enumerate(zip(found, counts), 1):
         table[n, where] = c
     score = np.log(np.maximum(table[1], 1).astype(np.float64))
     single = np.ones(len(words), bool)
     penalty = math.log(alpha)
     for n in range(2, len(found) + 1):
-        where = found[n - 1][0]
+        where = found[n - 1]
         hit = where[table[n, where] >= least]
         missed = where[table[n, where] < least]
         score[missed] += penalty
@@ -195,8 +194,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
         per_text = np.asarray(home.column("words").combine_chunks())
         bounds = np.concatenate([[0], np.cumsum(per_text)])
         answers: dict[tuple[int, int], np.ndarray] = {(k, p): unpack_counts(payload[i].as_py()) for i, (k, p) in enumerate(zip(n, part)) if k != HOME}
-        found, counts = grams(words, bounds, order), []
-        for k, (_, hashes) in enumerate(found, 1):
+        found, counts = [], []
+        for k, (at, hashes) in enumerate(grams(words, bounds, order), 1):
+            found.append(at)
             own, where = np.unique(hashes, return_inverse=True)
             every = [answers[k, p] for p in sorted(p for j, p in answers if j == k)]
             every = np.concatenate(every) if every else np.zeros(0, np.int64)
