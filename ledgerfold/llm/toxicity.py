@@ -8,11 +8,12 @@ penalised, so that the mention of a group by itself moves no score. Sentences
 with labels but without such terms get a term of each kind appended on one side and another on the other side of a pair,
 which ties the weights of all terms of a kind to each other, whatever the sample holds.
 
-Scoring reads whole texts in one pass without a shuffle. The model (a few
+The sample is bounded in bytes too: of a labelled row with more than ``MOST_FEATURES`` features, those of the
+least hash are learnt from, the same ones in every row. Scoring reads whole texts in one pass without a shuffle. The model (a few
 thousand non-zero weights) is the only thing that is sent out.
 
 Defined cases: null and empty texts, and texts without letters, get the model's score for no
-features; repeated rows are scored each; conflicting labels of an id count as
+features; repeated rows are scored each, also those with a null id, which are never learnt from; conflicting labels of an id count as
 toxic; labels that are null, or of ids without text, are not used; without usable
 labels of both values every score is the share of toxic labels (0 if none).
 """
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.common import among_lowest, text_blocks
-from ledgerfold.llm.words import letter_words
+from ledgerfold.llm.words import letter_words, mix
 
 # Identity terms, by kind. Terms of a kind are swapped for each other.
 IDENTITY = {
@@ -46,6 +47,8 @@ BEGINNINGS = (3, 4, 5, 6, 7)
 DIMENSIONS = 1 << 21
 #: Bound of the training sample: rows of either label, taken in the order of a hash of the id.
 SAMPLE = 3000
+#: Bound of the features that a row of the sample brings to the driver: 2 * SAMPLE * MOST_FEATURES * 4 bytes, about 200 MB, at most.
+MOST_FEATURES = 8192
 
 
 def _features(words: pa.Array) -> np.ndarray:
@@ -71,7 +74,10 @@ def featured(docs: DataFrame) -> DataFrame:
             for a, b in zip(bounds[:-1], bounds[1:]):
                 own = np.unique(index[a:b])
                 own = own[~empty[own]]
-                blobs.append(np.unique(features[own]).astype("<i4").tobytes())
+                few = np.unique(features[own])
+                if len(few) > MOST_FEATURES:
+                    few = np.sort(few[np.argpartition(mix(few.astype(np.uint64)), MOST_FEATURES)[:MOST_FEATURES]])
+                blobs.append(few.astype("<i4").tobytes())
                 mentions.append(" ".join(w for w in words.take(pa.array(own)).to_pylist() if w in TERMS))
             yield pa.RecordBatch.from_arrays([block.column("label"), pa.array(mentions), pa.array(blobs, pa.binary())], ["label", "mentions", "features"])
 

@@ -54,6 +54,18 @@ def test_toxicity_defined_cases(spark):
         assert all(r["score"] < 0.01 for r in toxicity.scored(docs, toxicity.learn(docs, some)).collect())
 
 
+def test_the_sample_is_bounded_in_bytes(spark, monkeypatch):
+    """A very long labelled text brings few features to the driver, the same of every text, and is scored whole."""
+    monkeypatch.setattr(toxicity, "MOST_FEATURES", 500)
+    words = ["".join(chr(97 + i * p % 26) for p in (1, 3, 7, 11)) + chr(97 + i // 26 % 26) + chr(97 + i // 676 % 26) for i in range(3000)]
+    docs = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(reversed(words)) + " again"), (1, "short text"), (None, "no id")], "label int, text string")
+    rows = toxicity.featured(docs).collect()
+    sets = [set(np.frombuffer(r["features"], "<i4").tolist()) for r in rows]
+    assert sorted(map(len, sets))[2:] == [500, 500]
+    long = [s for s in sets if len(s) == 500]
+    assert len(long[0] & long[1]) >= 495
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.learn(docs, labels, learns=F.crc32(F.col("id").cast("string")) % 5 != 0)
