@@ -841,6 +841,15 @@ def landed_requests_expand(spark, sf):
     return expand.ledger_days(e.drop("page_id"), expand_multi_day=True).select(*DAY_OUT)
 
 
+@query("landed_payloads")
+def landed_payloads(spark, sf):
+    """Each landed request as JSON text with its keys in order."""
+    from ledgerfold.sources import requests as req_src
+
+    p = pages.parse_pages(derive.landed_request_pages(spark, sf, 0))
+    return req_src.entries_from_pages(p).select("page_id", "entry_idx", "source_payload")
+
+
 @query("landed_rejects")
 def landed_rejects(spark, sf):
     """P14/P15 from landed JSON pages: requests rejected as a whole, with the reason."""

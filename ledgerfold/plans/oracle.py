@@ -745,6 +745,15 @@ ORACLE["job_ledger_bucketed"] = ORACLE["ledger_apply"]
 
 ORACLE["landed_requests_expand"] = ORACLE["expand_choice"]
 
+_DAYS_JSON = """'[' || array_to_string(list_transform(generate_series(0, span), lambda i: '{"Date":"' || strftime(CAST(o_orderdate AS DATE) + CAST(i AS INTEGER), '%Y-%m-%d') || '"'
+    || CASE WHEN entry_idx % 5 = 0 AND i = 0 THEN '' ELSE ',"NetHours":' || CAST((entry_idx + i) % 9 AS VARCHAR) END || '}'), ',') || ']'"""
+_PAYLOAD_TEXTS = ", ".join(f"""'"{c}":"' || {c} || '"'""" for c in ("PayAdjShortName", "PayAdjustmentCodeName", "PayAdjustmentCodeXRefCode", "ReasonName", "Status", "TimeEnd", "TimeStart"))
+ORACLE["landed_payloads"] = f"""WITH {REQ_WHOLE}
+SELECT entry_idx AS page_id, CAST(0 AS BIGINT) AS entry_idx, '{{' || concat_ws(',',
+  CASE WHEN entry_idx % 3 = 0 THEN '"DayList":' || CASE WHEN entry_idx % 8 = 0 THEN '[]' ELSE {_DAYS_JSON} END END,
+  CASE WHEN (entry_idx % 3 = 1 AND entry_idx % 2 = 0) OR entry_idx % 24 = 0 THEN '"Days":' || {_DAYS_JSON} END,
+  '"NetHours":' || CAST(NetHours AS VARCHAR), {_PAYLOAD_TEXTS}) || '}}' AS source_payload FROM req1"""
+
 ORACLE["not_null_audit"] = f"""{ledger_with(2)}
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE record_hash IS NULL OR employee_xref IS NULL OR pto_date IS NULL
   OR approval_type_code IS NULL OR hours_requested IS NULL OR first_seen_at IS NULL OR last_seen_at IS NULL
