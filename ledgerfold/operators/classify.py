@@ -8,7 +8,7 @@ Plan shape (no driver collect, no IN-lists, no per-row Python):
 2. Per natural key ``(employee, date)``: does anything new appear, does an active
    stored row vanish, and which vanished hash is the "last" one (greatest
    ``(first_seen_at, hash)``). Identities that neither appear nor vanish don't
-   take part. :func:`paired` takes partial maxima per (key, salt), then per key,
+   take part. :func:`paired` takes partial maxima of the vanished per (key, salt), then per key,
    and joins them back, so that an employee-day with very many records is
    spread over tasks; :func:`reconcile` uses a window where that isn't asked for.
 3. Each identity takes its action from a CASE over its flags and summary.
@@ -105,18 +105,25 @@ def _with_action(j: DataFrame, hash_col: str) -> DataFrame:
 
 
 def paired(ident: DataFrame, *, natural_key: Sequence[str] = NATURAL_KEY, hash_col: str = HASH) -> DataFrame:
-    """Steps 2-3 with the summary in two levels. ``ident`` is read three times: give a settled table.
+    """Steps 2-3 with the summary in two levels. ``ident`` is read five times, narrow: give a settled table.
 
-    Only identities that appear or vanish are summed up and joined; the join's hot keys are split by AQE.
+    Vanished identities give the last hash per (key, salt), then per key; identities that appear only look whether their
+    key is among those. So what is aggregated and joined is as much as vanished, and a hot key is one row of either side's summary.
     """
-    moved = ident.where(F.col("fresh") | F.col("gone"))
-    parts = _parts(hash_col)
-    salted = moved.groupBy(*natural_key, F.pmod(F.xxhash64(hash_col), F.lit(SALTS)).alias("_salt")).agg(*[c.alias(n) for n, c in parts.items()])
-    summary = salted.groupBy(*natural_key).agg(*[F.max(n).alias(n) for n in parts])
-    acted = _with_action(moved.join(summary, list(natural_key)), hash_col)
+    keys = list(natural_key)
+    fresh, gone = ident.where("fresh"), ident.where("gone")
+    salt = F.pmod(F.xxhash64(hash_col), F.lit(SALTS)).alias("_salt")
+    salted = gone.groupBy(*keys, salt).agg(F.max(F.struct(F.col("first_seen").alias("at"), F.col(hash_col).alias("hash"))).alias("_last"))
+    last = salted.groupBy(*keys).agg(F.max("_last").alias("_last"))
+    renewed = fresh.select(*keys).join(last.select(*keys), keys, "left_semi").distinct().withColumn("_renewed", F.lit(True))
+    came = fresh.join(last, keys, "left").withColumn("action", F.when(F.col("_last").isNull(), F.lit("new")).otherwise(F.lit("changed")))
+    went = gone.join(last, keys).join(renewed, keys, "left")
+    last_one = F.col("_renewed").isNotNull() & (F.col(hash_col) == F.col("_last.hash"))
+    went = went.withColumn("action", F.when(last_one, F.lit("superseded")).otherwise(F.lit("cancelled")))
     rest = ident.where(~(F.col("fresh") | F.col("gone")))
     rest = rest.withColumn("action", F.when(F.col("in_cur") & F.col("st_active"), F.lit("unchanged")))
-    return acted.select(*ident.columns, "action").unionByName(rest.select(*ident.columns, "action"))
+    columns = [*ident.columns, "action"]
+    return came.select(*columns).unionByName(went.select(*columns)).unionByName(rest.select(*columns))
 
 
 def reconcile(

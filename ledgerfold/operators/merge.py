@@ -66,6 +66,12 @@ def ledger_actions(stored: DataFrame, current: DataFrame, *, now, copartitioned:
     return c.select(*IDENTITY, "first_seen", "action", merge_action.alias("merge_action"))
 
 
+def stored_after(actions: DataFrame, *, now) -> DataFrame:
+    """Identities of the ledger after the actions, with ``is_active`` and ``first_seen_at``; no ledger row is read."""
+    seen = F.col("merge_action").isin("insert", "reactivate", "touch", "noop")
+    return actions.select(*IDENTITY, seen.alias("is_active"), F.coalesce(F.col("first_seen"), _ts(now)).alias("first_seen_at"))
+
+
 #: Actions whose row comes from the snapshot; all others keep the stored row.
 FROM_SNAPSHOT = ("insert", "reactivate")
 
@@ -74,7 +80,8 @@ def ledger_next(stored: DataFrame, current: DataFrame, actions: DataFrame, *, no
     """The ledger rows after the actions (late materialisation of M1).
 
     Stored rows meet their action on the identity. Of the snapshot, only rows to insert or reactivate are
-    fetched, by a semi-join before the first-wins collapse, so payloads of rows that stay are never shuffled.
+    fetched, by a join with their actions before the first-wins collapse; that join's side of few actions is broadcast, or
+    its runtime filter prunes the snapshot, so payloads of rows that stay aren't shuffled.
     """
     now_c, keys = _ts(now), list(IDENTITY)
     old = typed(stored, LEDGER_SCHEMA).join(actions.select(*keys, "action", "merge_action"), keys, "left")
@@ -90,9 +97,8 @@ def ledger_next(stored: DataFrame, current: DataFrame, actions: DataFrame, *, no
         }
     )
     wanted = actions.where(F.col("merge_action").isin(*FROM_SNAPSHOT)).select(*keys, "first_seen", "action", "merge_action")
-    taken = first_wins(current.join(wanted.select(*keys), keys, "left_semi"), keys)
-    taken = typed(taken, LEDGER_SCHEMA).drop("first_seen_at").join(wanted, keys)
-    taken = taken.withColumns(
+    taken = first_wins(current.join(wanted, keys), keys)
+    taken = typed(taken, LEDGER_SCHEMA, keep=("first_seen", "action", "merge_action")).withColumns(
         {
             "first_seen_at": F.when(F.col("merge_action") == "insert", now_c).otherwise(F.coalesce(F.col("first_seen"), now_c)),
             "last_seen_at": now_c,
@@ -300,5 +306,6 @@ __all__ = [
     "ledger_next",
     "ledger_rows",
     "merge_metrics",
+    "stored_after",
     "unique_rows",
 ]

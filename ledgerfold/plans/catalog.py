@@ -59,6 +59,12 @@ def ledger_after(spark: SparkSession, sf: str, cycles: int) -> DataFrame:
     return led
 
 
+def identities_after(spark: SparkSession, sf: str) -> DataFrame:
+    """Identities of the ledger after the first run, all that a reconcile reads of it."""
+    actions = merge.ledger_actions(empty(spark, LEDGER_SCHEMA), ledger_days(spark, sf, 1), now=NOW1)
+    return merge.stored_after(actions, now=NOW1)
+
+
 def _applied(spark: SparkSession, sf: str, stored: DataFrame, cycle: int) -> DataFrame:
     stamps = {1: NOW1, 2: NOW2, 3: NOW3}
     days = settled(ledger_days(spark, sf, cycle), "days")  # read for the actions and for the rows
@@ -237,21 +243,21 @@ def dedupe_day_records(spark, sf):
 @query("reconcile_actions")
 def reconcile_actions(spark, sf):
     """Cycle 2 against the ledger of cycle 1, one row per identity with its action."""
-    c = classify.reconcile(ledger_days(spark, sf, 2), ledger_after(spark, sf, 1))
+    c = classify.reconcile(ledger_days(spark, sf, 2), identities_after(spark, sf))
     return c.select("employee_xref", "pto_date", "record_hash", "action")
 
 
 @query("reconcile_actions_hot_keys")
 def reconcile_actions_hot_keys(spark, sf):
     """J6-J9 with the hot-key plan (natural-key summary as partial aggregate + join back)."""
-    c = classify.reconcile(ledger_days(spark, sf, 2), ledger_after(spark, sf, 1), hot_keys=True)
+    c = classify.reconcile(ledger_days(spark, sf, 2), identities_after(spark, sf), hot_keys=True)
     return c.select("employee_xref", "pto_date", "record_hash", "action")
 
 
 @query("reconcile_counts")
 def reconcile_counts(spark, sf):
     """A4: class counts of cycle 2."""
-    return classify.action_counts(classify.reconcile(ledger_days(spark, sf, 2), ledger_after(spark, sf, 1)))
+    return classify.action_counts(classify.reconcile(ledger_days(spark, sf, 2), identities_after(spark, sf)))
 
 
 @query("snapshot_overlap")
@@ -922,7 +928,7 @@ def ledger_active(spark, sf):
 @query("reconcile_writes")
 def reconcile_writes(spark, sf):
     """The hashes cycle 2 writes (new, changed) and retires (cancelled, superseded)."""
-    c = classify.reconcile(ledger_days(spark, sf, 2), ledger_after(spark, sf, 1))
+    c = classify.reconcile(ledger_days(spark, sf, 2), identities_after(spark, sf))
     up = classify.upserts(c).select("record_hash", F.lit("upsert").alias("write"))
     return up.unionByName(classify.deactivations(c).select("record_hash", F.lit("retire").alias("write")))
 

@@ -69,8 +69,8 @@ DAY_SCHEMA = schema_of(DAY_DDL)
 REJECT_SCHEMA = schema_of("employee_key STRING, entry_idx STRING, reject_reason STRING, run_at TIMESTAMP NOT NULL")
 
 
-def typed(df: DataFrame, schema: StructType, *, fill_missing: bool = True) -> DataFrame:
-    """Project ``df`` onto ``schema`` — fixed order, declared types, missing → null.
+def typed(df: DataFrame, schema: StructType, *, fill_missing: bool = True, keep: Iterable[str] = ()) -> DataFrame:
+    """Project ``df`` onto ``schema`` — fixed order, declared types, missing → null; columns to ``keep`` follow as they are.
 
     A value that can't be read as its type becomes null by ``try_cast``; a
     null where the schema allows none is found by :func:`not_null_violations`.
@@ -83,7 +83,7 @@ def typed(df: DataFrame, schema: StructType, *, fill_missing: bool = True) -> Da
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:
             raise ValueError(f"missing column {f.name}")
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 def not_null_violations(df: DataFrame, schema: StructType) -> Column:
