@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.operators.classify import HASH, NATURAL_KEY, identities, paired
@@ -33,15 +33,15 @@ def changed(a: Column, b: Column) -> Column:
 
 
 def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Q20: a merge source, grouped by its key; a key with two rows raises as the merge runs.
+    """Q20: a merge source; a key with two rows raises as the merge runs.
 
-    The aggregate deals rows out by the merge's own key, so the merge needs no further exchange of them.
+    Rows are counted per key where the merge deals and sorts them by that key anyway, so no exchange is added. The check stands in the
+    first column besides the key, which a merge always reads.
     """
-    packed = F.struct(*[F.col(c) for c in df.columns])
-    one = df.groupBy(*key).agg(F.any_value(packed).alias("_row"), F.count(F.lit(1)).alias("_n"))
     named = F.concat(F.lit(f"merge source is not unique on {list(key)}: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in key]))
-    checked = F.when(F.col("_n") > 1, F.raise_error(named).cast(one.schema["_row"].dataType)).otherwise(F.col("_row"))
-    return one.select(*key, checked.alias("_row")).select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    several = F.count(F.lit(1)).over(Window.partitionBy(*key)) > 1
+    first = next(f for f in df.schema.fields if f.name not in key)
+    return df.withColumn(first.name, F.when(several, F.raise_error(named).cast(first.dataType)).otherwise(F.col(first.name)))
 
 
 # --------------------------------------------------------------------------- #
