@@ -32,6 +32,24 @@ HASHED = ("approval_type_code", "hours_requested")
 SALTS = 64
 
 
+def identity_text(current: DataFrame, stored: DataFrame) -> Column:
+    """A second hash of an identity's text; null unless both sides have the hashed columns."""
+    if all(c in current.columns and c in stored.columns for c in HASHED):
+        return F.xxhash64(F.col(HASHED[0]), F.col(HASHED[1]).cast("decimal(6,2)"))
+    return F.lit(None).cast("bigint")
+
+
+def one_text(df: DataFrame, hash_col: str = HASH) -> DataFrame:
+    """An identity whose least and greatest second hash differ raises as its ``in_cur`` is read."""
+    clash = F.concat(F.lit("two records share the identity "), F.col(hash_col))
+    return df.withColumn("in_cur", F.when(F.col("_least") != F.col("_greatest"), F.raise_error(clash).cast("boolean")).otherwise(F.col("in_cur")))
+
+
+def moved(df: DataFrame) -> DataFrame:
+    """``fresh``: appears and wasn't active; ``gone``: was active and isn't there."""
+    return df.withColumns({"fresh": F.col("in_cur") & ~F.col("st_active"), "gone": ~F.col("in_cur") & F.col("st_active")})
+
+
 def identities(
     current: DataFrame,
     stored: DataFrame,
@@ -52,9 +70,7 @@ def identities(
     that stands for two different texts (H17) raises.
     """
     keys = [*natural_key, hash_col]
-    second = F.lit(None).cast("bigint")
-    if all(c in current.columns and c in stored.columns for c in HASHED):
-        second = F.xxhash64(F.col(HASHED[0]), F.col(HASHED[1]).cast("decimal(6,2)"))
+    second = identity_text(current, stored)
 
     def stamp(name: str) -> Column:
         return F.col(name).cast("timestamp") if name in stored.columns else F.lit(None).cast("timestamp")
@@ -78,22 +94,15 @@ def identities(
         )
     else:
         one = cur.unionByName(sto).groupBy(*keys).agg(*[F.max(c).alias(c) for c in flags], *ends)
-    clash = F.concat(F.lit("two records share the identity "), F.col(hash_col))
-    one = one.withColumn("in_cur", F.when(F.col("_least") != F.col("_greatest"), F.raise_error(clash).cast("boolean")).otherwise(F.col("in_cur")))
-    return one.select(
-        *keys,
-        *flags,
-        (F.col("in_cur") & ~F.col("st_active")).alias("fresh"),
-        (~F.col("in_cur") & F.col("st_active")).alias("gone"),
-    )
+    return moved(one_text(one, hash_col)).select(*keys, *flags, "fresh", "gone")
 
 
-def _parts(hash_col: str) -> dict[str, Column]:
+def key_summary(hash_col: str) -> dict[str, Column]:
     last = F.when(F.col("gone"), F.struct(F.col("first_seen").alias("at"), F.col(hash_col).alias("hash")))
     return {"_has_fresh": F.max("fresh"), "_has_gone": F.max("gone"), "_last": F.max(last)}
 
 
-def _with_action(j: DataFrame, hash_col: str) -> DataFrame:
+def with_action(j: DataFrame, hash_col: str) -> DataFrame:
     action = (
         F.when(F.col("in_cur") & F.col("st_active"), F.lit("unchanged"))
         .when(F.col("fresh") & F.col("_has_gone"), F.lit("changed"))
@@ -149,7 +158,7 @@ def reconcile(
         c = paired(settled(ident, "identities"), natural_key=natural_key, hash_col=hash_col)
     else:
         w = Window.partitionBy(*natural_key)
-        c = _with_action(ident.withColumns({n: e.over(w) for n, e in _parts(hash_col).items()}), hash_col)
+        c = with_action(ident.withColumns({n: e.over(w) for n, e in key_summary(hash_col).items()}), hash_col)
     return c.filter(F.col("action").isNotNull()).select(*keys, "action")
 
 

@@ -13,11 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerfold.operators.classify import HASH, NATURAL_KEY, identities, paired
-from ledgerfold.operators.dedupe import first_wins
+from ledgerfold.operators.classify import HASH, NATURAL_KEY, identities, identity_text, key_summary, moved, one_text, paired, with_action
+from ledgerfold.operators.dedupe import DEFAULT_ORDER, first_wins
 from ledgerfold.sources.tables import DAY_SCHEMA, EMPLOYEE_SCHEMA, LEDGER_SCHEMA, StoredTable, settled, typed
 
 IDENTITY = (*NATURAL_KEY, HASH)
+#: With the employee, what :func:`dealt_out` deals by.
+MONTH = "_month"
 LEDGER_ACTIONS = ("insert", "update", "reactivate", "touch", "cancel")
 
 
@@ -47,6 +49,17 @@ def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
 # --------------------------------------------------------------------------- #
 # M1 / M5: ledger apply                                                        #
 # --------------------------------------------------------------------------- #
+def _merge_action(now_c: Column) -> Column:
+    return (
+        F.when(F.col("in_cur") & ~F.col("stored"), F.lit("insert"))
+        .when(F.col("in_cur") & ~F.col("st_active"), F.lit("reactivate"))
+        .when(F.col("in_cur") & F.col("last_seen").eqNullSafe(now_c), F.lit("noop"))
+        .when(F.col("in_cur"), F.lit("touch"))
+        .when(F.col("gone"), F.lit("cancel"))
+        .otherwise(F.lit("keep"))
+    )
+
+
 def ledger_actions(stored: DataFrame, current: DataFrame, *, now, copartitioned: bool = False) -> DataFrame:
     """What happens to each identity, from keys, flags and stamps alone: ``action`` and ``merge_action``.
 
@@ -55,15 +68,7 @@ def ledger_actions(stored: DataFrame, current: DataFrame, *, now, copartitioned:
     The identities are settled, so that each side is read once. ``copartitioned``: see :func:`classify.identities`.
     """
     c = paired(settled(identities(current, stored, copartitioned=copartitioned), "identities"))
-    merge_action = (
-        F.when(F.col("in_cur") & ~F.col("stored"), F.lit("insert"))
-        .when(F.col("in_cur") & ~F.col("st_active"), F.lit("reactivate"))
-        .when(F.col("in_cur") & F.col("last_seen").eqNullSafe(_ts(now)), F.lit("noop"))
-        .when(F.col("in_cur"), F.lit("touch"))
-        .when(F.col("gone"), F.lit("cancel"))
-        .otherwise(F.lit("keep"))
-    )
-    return c.select(*IDENTITY, "first_seen", "action", merge_action.alias("merge_action"))
+    return c.select(*IDENTITY, "first_seen", "action", _merge_action(_ts(now)).alias("merge_action"))
 
 
 def stored_after(actions: DataFrame, *, now) -> DataFrame:
@@ -111,14 +116,74 @@ def ledger_next(stored: DataFrame, current: DataFrame, actions: DataFrame, *, no
     return old.select(*columns).unionByName(taken.select(*columns))
 
 
-def ledger_apply(stored: DataFrame, current: DataFrame, *, now, run_id: str) -> DataFrame:
+def dealt_out(df: DataFrame) -> DataFrame:
+    """Rows dealt out by employee and month: an employee-day lies whole in one partition, and days of one request lie together.
+
+    ``_month`` stays, as the sign that they are; rows that have it aren't exchanged again. The number of partitions is the
+    session's: merged ones would be sorted whole, and spill.
+    """
+    if MONTH in df.columns:
+        return df
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn(MONTH, F.trunc("pto_date", "month")).repartition(n, "employee_xref", MONTH)
+
+
+def ledger_apply(stored: DataFrame, current: DataFrame, *, now, run_id: str, settle: bool = True) -> DataFrame:
     """M1: the next ledger from all stored rows and this cycle's day records, with ``action`` (A4) and ``merge_action``.
 
-    ``current`` may still hold duplicates; first wins by ordinal. Both sides are read twice (once narrow, once for
-    the rows), so a caller settles what is expensive to compute; the actions are settled here.
+    ``current`` may still hold duplicates; first wins by ordinal. Each side is read and exchanged once, whole: rows are dealt
+    out by employee and month and sorted by identity, and flags, first copy and natural-key summary are windows over that one
+    order. All values of the summary are maxima, so a group is passed in order, and one that is large spills.
+
+    The result is settled, so that a collision of identities stops the cycle here; with ``settle=False`` it is a plan that raises as
+    it runs. Such a plan keeps the column ``_month``: its rows are dealt out as the next cycle needs its stored rows.
     """
-    actions = settled(ledger_actions(stored, current, now=now), "actions")
-    return ledger_next(stored, current, actions, now=now, run_id=run_id)
+    now_c, keys = _ts(now), list(IDENTITY)
+    order = [c for c in DEFAULT_ORDER if c in current.columns]
+    if not order:
+        raise ValueError("first wins needs at least one ordering column")
+    text = identity_text(current, stored)
+    cur = typed(current.withColumns({"_cur": F.lit(True), "_text": text}), LEDGER_SCHEMA, keep=("_cur", "_text", *order))
+    sto = stored.withColumns({"_cur": F.lit(False), "_text": text})
+    sto = typed(sto, LEDGER_SCHEMA, keep=("_cur", "_text", *[c for c in (MONTH,) if c in sto.columns]))
+    # what the snapshot says of stamps and flags isn't read
+    cur = cur.withColumns({c: F.lit(None).cast(LEDGER_SCHEMA[c].dataType) for c in ("first_seen_at", "last_seen_at", "is_active", "deleted_at", "ingest_run_id")})
+    rows = dealt_out(cur).unionByName(dealt_out(sto), allowMissingColumns=True)
+    copies = Window.partitionBy(MONTH, *keys).orderBy(F.col("_cur").desc(), *order)
+    whole = copies.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns(
+        {
+            "_copy": F.row_number().over(copies),
+            "in_cur": F.max("_cur").over(whole),
+            "stored": F.max(~F.col("_cur")).over(whole),
+            "st_active": F.max(~F.col("_cur") & F.coalesce(F.col("is_active"), F.lit(True))).over(whole),
+            "first_seen": F.max("first_seen_at").over(whole),
+            "last_seen": F.max("last_seen_at").over(whole),
+            "_least": F.min("_text").over(whole),
+            "_greatest": F.max("_text").over(whole),
+        }
+    )
+    rows = moved(one_text(rows, HASH))
+    day = Window.partitionBy(MONTH, *NATURAL_KEY)
+    rows = with_action(rows.withColumns({n: e.over(day) for n, e in key_summary(HASH).items()}), HASH)
+    # a row without a whole identity takes no part
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    rows = rows.withColumns({"action": F.when(known, F.col("action")), "merge_action": F.when(known, _merge_action(now_c)).otherwise(F.lit("keep"))})
+    taken = F.col("_cur") & F.col("merge_action").isin(*FROM_SNAPSHOT)
+    rows = rows.where((taken & (F.col("_copy") == 1)) | (~F.col("_cur") & ~F.col("merge_action").isin(*FROM_SNAPSHOT)))
+    seen, gone = F.col("merge_action").isin("touch", "noop"), F.col("merge_action") == "cancel"
+    first = F.when(F.col("merge_action") == "insert", now_c).when(F.col("_cur"), F.col("first_seen")).otherwise(F.col("first_seen_at"))
+    stamps = {
+        "first_seen_at": F.coalesce(first, now_c),
+        "last_seen_at": F.when(F.col("_cur") | seen, now_c).otherwise(F.col("last_seen_at")),
+        "is_active": F.when(F.col("_cur") | seen, F.lit(True)).when(gone, F.lit(False)).otherwise(F.coalesce(F.col("is_active"), F.lit(True))),
+        "deleted_at": F.when(gone, now_c).when(~F.col("_cur"), F.col("deleted_at")),
+        "ingest_run_id": F.when(F.col("_cur"), F.lit(run_id)).otherwise(F.col("ingest_run_id")),
+    }
+    applied = rows.select(*[stamps.get(c, F.col(c)).alias(c) for c in LEDGER_SCHEMA.fieldNames()], "action", "merge_action", MONTH)
+    return settled(applied.drop(MONTH), "applied") if settle else applied
 
 
 def count_columns(column: str, names: dict[str, Sequence[str]]) -> list[Column]:
@@ -141,9 +206,9 @@ def ledger_counts(applied: DataFrame) -> DataFrame:
     return applied.agg(*count_columns("merge_action", LEDGER_COUNTERS))
 
 
-def ledger_rows(applied: DataFrame) -> DataFrame:
-    """The stored columns of an apply result (what gets written)."""
-    return applied.select(*LEDGER_SCHEMA.fieldNames())
+def ledger_rows(applied: DataFrame, dealt: bool = False) -> DataFrame:
+    """The stored columns of an apply result (what gets written); ``dealt``: with its ``_month``, for the next apply."""
+    return applied.select(*LEDGER_SCHEMA.fieldNames(), *([MONTH] if dealt else []))
 
 
 def active_records(ledger: DataFrame) -> DataFrame:

@@ -281,3 +281,39 @@ def test_bucketed_ledger_is_not_exchanged(spark):
     columns = [c for c in want.columns]
     assert sorted(map(str, table.read().select(columns).collect())) == sorted(map(str, want.collect()))
     spark.sql(f"DROP TABLE lf_bucketed_{tag}")
+
+
+def in_two_steps(stored, current, now, run_id):
+    """The apply by narrow actions and rows fetched after them."""
+    return merge.ledger_next(stored, current, classify.settled(merge.ledger_actions(stored, current, now=now)), now=now, run_id=run_id)
+
+
+def test_cycles_exchange_each_snapshot_once(spark):
+    """M1: three cycles as one plan give the rows of three settled ones, and nothing is exchanged but the three snapshots and the first ledger."""
+    days = [f"2031-0{1 + i % 3}-{1 + i % 5:02d}" for i in range(40)]
+    one = [(f"E{i % 9}", d, "VAC", 1 + i % 4) for i, d in enumerate(days)]
+    two = one[10:] + one[12:14] + [("E1", "2031-01-01", "SICK", 2), ("E99", "2031-04-01", "VAC", 2)]
+    plan, want = empty(spark, LEDGER_SCHEMA), empty(spark, LEDGER_SCHEMA)
+    for c, rows in enumerate((one, two, one), 1):
+        now = f"2031-06-0{c} 00:00:00"
+        applied = merge.ledger_apply(plan, recs(spark, rows), now=now, run_id=f"r{c}", settle=False)
+        plan = merge.ledger_rows(applied, dealt=True)
+        expected = in_two_steps(want, recs(spark, rows), now, f"r{c}")
+        want = classify.settled(merge.ledger_rows(expected))
+        assert sorted(map(str, applied.drop(merge.MONTH).collect())) == sorted(map(str, expected.collect()))
+    text = applied._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange ") == text.count("Exchange hashpartitioning(employee_xref") == 4
+
+
+def test_apply_keeps_stored_copies_and_rows_without_a_whole_identity(spark):
+    """Stored rows that come twice take one action, those that lack a part of their identity none; such a snapshot row is left out."""
+    stored = ledger_of(spark, [("E1", "2031-01-01", "VAC", 8), ("E1", "2031-01-02", "VAC", 8), ("E2", "2031-01-03", "VAC", 8)])
+    stored = stored.unionByName(stored.withColumn("is_active", F.when(F.col("pto_date") == "2031-01-02", F.lit(False)).otherwise(F.lit(None).cast("boolean"))))
+    stored = stored.unionByName(stored.limit(1).withColumn("employee_xref", F.lit(None).cast("string"))).unionByName(stored.limit(1).withColumn("record_hash", F.lit(None).cast("string")))
+    now = recs(spark, [("E1", "2031-01-01", "VAC", 8), ("E1", "2031-01-02", "SICK", 8), ("E3", "2031-01-02", "SICK", 8)])
+    now = now.unionByName(now.limit(1).withColumn("pto_date", F.lit(None).cast("date")))
+    stored = classify.settled(stored)
+    got = merge.ledger_apply(stored, now, now="2031-02-01 00:00:00", run_id="r")
+    want = in_two_steps(stored, now, "2031-02-01 00:00:00", "r")
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
