@@ -109,6 +109,16 @@ def metrics_text(metrics: DataFrame) -> Column:
     return F.concat_ws(" ", *pairs)
 
 
+def _replaced_by_actions(table: BucketedTable, stored: DataFrame, days: DataFrame, cfg: LedgerCycle, counted: Observation) -> DataFrame:
+    """Narrow actions first, then the rows of the months that change: stored rows lie bucketed by identity and aren't exchanged."""
+    actions = settled(merge.ledger_actions(stored, days, now=cfg.now, copartitioned=True).observe(counted, *cycle_counts()), "actions")
+    parts = table.changed_parts(actions)
+    moved = actions.where(table.part_column().isin(parts))
+    table.overwrite(merge.ledger_next(table.read(parts), days, moved, now=cfg.now, run_id=cfg.run_id))
+    named = actions.select(*merge.IDENTITY, "action", "merge_action")
+    return table.read().join(named, list(merge.IDENTITY), "left").withColumn("merge_action", F.coalesce("merge_action", F.lit("keep")))
+
+
 def run_ledger_cycle(
     table: StoredTable,
     requests: DataFrame,
@@ -126,8 +136,8 @@ def run_ledger_cycle(
     written; otherwise the stored rows of the employees concerned stay as
     they are in this cycle. Rejected requests go to ``rejects`` with their reasons.
 
-    Day records are computed once and settled; the actions are computed from keys and
-    flags and settled; counters are observed on those two writes (``employees`` where ``keys`` are given).
+    The next rows are computed once, in one pass over stored rows and day records, and settled with their actions; the months that
+    change are replaced from there. Counters of actions are observed on that write (``employees`` where ``keys`` are given).
     """
     began = time.monotonic()
     held = None
@@ -145,21 +155,27 @@ def run_ledger_cycle(
     if rejects is not None:
         refused = expand.rejected_entries(scoped, key=cfg.key, expand_multi_day=cfg.expand_multi_day)
         rejects.overwrite(refused.select(F.col(cfg.key).alias("employee_key"), "entry_idx", "reject_reason", F.lit(cfg.now).cast("timestamp").alias("run_at")))
-    seen["fetched"], seen["actions"] = Observation(), Observation()
-    fetched = scoped.observe(seen["fetched"], F.count(F.lit(1)).alias("fetched_entries"))
-    days = settled(expand.ledger_days(fetched, key=cfg.key, expand_multi_day=cfg.expand_multi_day), "days")
+    seen["actions"] = Observation()
+    # counted apart: the stage that expands the requests may run again when its exchange is lost
+    fetched = {"fetched_entries": scoped.count()}
+    days = expand.ledger_days(scoped, key=cfg.key, expand_multi_day=cfg.expand_multi_day)
     stored = table.read()
     if held is not None:
+        held = settled(held.distinct(), "held")
         days = days.join(held, "employee_xref", "left_anti")
+        kept = stored.join(held, "employee_xref", "left_semi").select("*", *[F.lit(a).cast("string").alias(n) for n, a in (("action", None), ("merge_action", "keep"))])
         stored = stored.join(held, "employee_xref", "left_anti")
-    bucketed = isinstance(table, BucketedTable)
-    actions = settled(merge.ledger_actions(stored, days, now=cfg.now, copartitioned=bucketed).observe(seen["actions"], *cycle_counts()), "actions")
-    parts = table.changed_parts(actions)
-    moved = actions.where(table.part_column().isin(parts))
-    table.overwrite(merge.ledger_next(table.read(parts), days, moved, now=cfg.now, run_id=cfg.run_id))
-    named = actions.select(*merge.IDENTITY, "action", "merge_action")
-    rows = table.read().join(named, list(merge.IDENTITY), "left").withColumn("merge_action", F.coalesce("merge_action", F.lit("keep")))
-    metrics = {k: v for o in seen.values() for k, v in o.get.items()}
+    if isinstance(table, BucketedTable):
+        rows = _replaced_by_actions(table, stored, settled(days, "days"), cfg, seen["actions"])
+    else:
+        applied = merge.ledger_apply(stored, days, now=cfg.now, run_id=cfg.run_id, settle=False).drop(merge.MONTH)
+        rows = settled(applied.observe(seen["actions"], *cycle_counts()), "applied")
+        parts = table.changed_parts(rows)
+        rows = rows if held is None else rows.unionByName(settled(kept, "kept"))
+        if parts:
+            table.overwrite(rows.where(table.part_column().isin(parts)))
+    counted = {name: o.get for name, o in seen.items()}
+    metrics = {**counted.get("keys", {}), **fetched, **counted["actions"]}
     return JobRun({"run_id": cfg.run_id, **metrics, "duration_s": round(time.monotonic() - began, 3)}, rows.select(*table.schema.fieldNames(), "action", "merge_action"))
 
 

@@ -97,3 +97,23 @@ def test_roster_pages_are_gated(spark):
     bad = landed(spark, [("A", '{"Message":"too many requests"}')])
     with pytest.raises(IncompleteInput):
         jobs.employee_table_job(jobs.employee_table(spark, name()), None, None, None, prefix="A", now="2031-03-01 00:00:00", pages=bad)
+
+
+def test_a_cycle_settles_its_rows_only(spark, tmp_path):
+    """Day records, identities and actions aren't written beside the rows, and replacing months exchanges nothing."""
+    import os
+    import uuid
+
+    from ledgerfold.session import shared_dir
+
+    first = spark.createDataFrame(
+        [(i, f"E{i % 3}", f"2031-0{1 + i % 4}-05T00:00:00", "VAC", "APPROVED", 8.0) for i in range(20)],
+        "entry_idx bigint, employee_key string, TimeStart string, ReasonName string, Status string, NetHours double",
+    )
+    table = jobs.ledger_table(spark, f"ledger-{uuid.uuid4().hex[:8]}")
+    at = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(at))
+    run = run_ledger_cycle(table, first, LedgerCycle(now="2031-06-01 00:00:00", run_id="1"), pages=None)
+    assert {name.rsplit("-", 1)[0] for name in set(os.listdir(at)) - before} == {"applied"}
+    assert run.rows.count() == table.read().count() == 12
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
