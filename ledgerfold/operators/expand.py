@@ -149,7 +149,10 @@ def ledger_entries(
     else:
         e = e.withColumn("_end", F.lit(None).cast("date"))
     e = _spread_scalars(e.withColumn("_mode", mode.otherwise(F.lit("single"))))
-    list_ok = F.forall("_dl", lambda x: _elem_date(x, fields).isNotNull() & _elem_hours(x, fields).isNotNull())
+    # dates and hours of a list are read once, here; a day takes its element
+    listed = F.transform("_dl", lambda x: F.struct(_elem_date(x, fields).alias("day"), _elem_hours(x, fields).alias("hours")))
+    e = with_materialized(e, {"_listed": F.when(F.col("_mode") == "list", listed)})
+    list_ok = F.forall("_listed", lambda x: x["day"].isNotNull() & x["hours"].isNotNull())
     spread_ok = F.col("_lo").isNotNull() & F.when(
         F.col("_n") == 1, F.col("_one").isNotNull()
     ).otherwise(F.col("_per").isNotNull() & F.col("_last").isNotNull())
@@ -168,7 +171,7 @@ def ledger_entries(
     return e.withColumn("valid", F.col("reject_reason").isNull())
 
 
-_SCRATCH = ("type_raw", "_start", "_hours", "_dl", "_end", "_mode", "_lo", "_n", "_total", "_per_raw", "_per", "_last", "_one")
+_SCRATCH = ("type_raw", "_start", "_hours", "_dl", "_listed", "_end", "_mode", "_lo", "_n", "_total", "_per_raw", "_per", "_last", "_one")
 
 
 def ledger_days(
@@ -185,9 +188,6 @@ def ledger_days(
     computed after it from the request's scalars (or its list element).
     """
     e = ledger_entries(entries, key=key, expand_multi_day=expand_multi_day)
-    _, fields = _day_list(entries)
-    if not fields:
-        fields = {"Date": StringType(), "NetHours": None}
     status = F.coalesce(F.nullif(_null_col(e, "Status"), F.lit("")), _null_col(e, "query_status"), F.lit(query_status))
     audit = {
         "reason_name": _null_col(e, "ReasonName"),
@@ -200,7 +200,7 @@ def ledger_days(
     }
     lineage = [c for c in ("status_rank", "window_idx", "page_id", "entry_idx") if c in e.columns]
     count = (
-        F.when(F.col("_mode") == "list", F.size("_dl")).when(F.col("_mode") == "spread", F.col("_n")).otherwise(F.lit(1))
+        F.when(F.col("_mode") == "list", F.size("_listed")).when(F.col("_mode") == "spread", F.col("_n")).otherwise(F.lit(1))
     )
     # Invalid requests explode a null array (no rows) instead of being
     # filtered: a filter would be evaluated a second time, in the scan stage.
@@ -211,7 +211,7 @@ def ledger_days(
         norm_token(F.col("type_raw")).alias("approval_type_code"),
         *[v.alias(k) for k, v in audit.items()],
         "_mode",
-        "_dl",
+        "_listed",
         "_start",
         "_hours",
         "_lo",
@@ -221,15 +221,15 @@ def ledger_days(
         "_one",
         F.explode(F.when(F.col("valid"), F.sequence(F.lit(0), count - 1))).alias("day_idx"),
     )
-    elem = F.get(F.col("_dl"), F.col("day_idx"))
+    elem = F.get(F.col("_listed"), F.col("day_idx"))
     i, n = F.col("day_idx"), F.col("_n")
     pto_date = (
-        F.when(F.col("_mode") == "list", _elem_date(elem, fields))
+        F.when(F.col("_mode") == "list", elem["day"])
         .when(F.col("_mode") == "spread", F.date_add(F.col("_lo"), i))
         .otherwise(F.col("_start"))
     )
     hours = (
-        F.when(F.col("_mode") == "list", _elem_hours(elem, fields))
+        F.when(F.col("_mode") == "list", elem["hours"])
         .when((F.col("_mode") == "spread") & (n == 1), F.col("_one"))
         .when((F.col("_mode") == "spread") & (i == n - 1), F.col("_last"))
         .when(F.col("_mode") == "spread", F.col("_per"))

@@ -221,3 +221,14 @@ def test_a_weekend_is_looked_at_no_further(spark):
     df = spark.createDataFrame([(k, "APPROVED", 0, 0, i, "2026-09-19T00:00:00", end, -1.0, None, t) for i, ((k, t), end) in enumerate(zip(rows, ends))], TAG)
     assert expand.weekday_days(df).count() == 0
     assert [(r["entry_idx"], r["reject_reason"]) for r in expand.weekday_rejects(df).collect()] == [(3, "bad_type_code")]
+
+
+def test_list_days_are_read_once_per_request(spark):
+    """A listed day's date and hours are read before the explode, which carries them and not the source list."""
+    rows = [(1, "E1", "2031-01-02T00:00:00", "VAC", [("2031-01-02T08:00", 2.345), ("2031-01-03", 8.0)]), (2, "E2", "2031-01-02T00:00:00", "VAC", [("2031-01-02", -1.0)])]
+    df = spark.createDataFrame(rows, "entry_idx bigint, employee_key string, TimeStart string, ReasonName string, DayList array<struct<Date:string,NetHours:double>>")
+    d = expand.ledger_days(df, expand_multi_day=True)
+    got = [(r["entry_idx"], r["day_idx"], str(r["pto_date"]), str(r["hours_requested"])) for r in d.orderBy("entry_idx", "day_idx").collect()]
+    assert got == [(1, 0, "2031-01-02", "2.34"), (1, 1, "2031-01-03", "8.00")]
+    after = d._jdf.queryExecution().optimizedPlan().toString().split("Generate explode", 1)[0]
+    assert "_dl#" not in after and "NetHours" not in after
