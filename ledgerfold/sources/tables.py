@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -165,21 +164,6 @@ def key_part(column: str, n: int = 16) -> str:
     return f"cast(pmod(xxhash64({column}), {n}) AS string)"
 
 
-#: Files a task keeps open as it writes partitions; where there are more, its rows are sorted by partition.
-OPEN_FILES = 256
-
-
-@contextmanager
-def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    """A session setting that holds for the enclosed write."""
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 class StoredTable:
     """Parquet files in one folder, partitioned by ``part`` (SQL text over the table's columns).
 
@@ -223,12 +207,11 @@ class StoredTable:
     def overwrite(self, rows: DataFrame) -> None:
         """Replace the partitions of ``rows``, which are whole partitions, by them.
 
-        Types are the declared ones; a null where the schema allows none fails the write. Rows are written by the
-        tasks that have them, each with a file open per partition, so none is exchanged or sorted for the write.
+        Types are the declared ones; a null where the schema allows none fails the write.
+        AQE cuts or joins the written partitions to its advisory size (``REBALANCE``).
         """
-        out = enforced(rows, self.schema).withColumn("part", self.part_column())
-        with session_setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)):
-            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("part").parquet(self.path)
+        out = enforced(rows, self.schema).withColumn("part", self.part_column()).hint("rebalance", "part")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("part").parquet(self.path)
 
 
 class BucketedTable(StoredTable):
@@ -255,6 +238,10 @@ class BucketedTable(StoredTable):
     def overwrite(self, rows: DataFrame) -> None:
         """As :meth:`StoredTable.overwrite`; a task writes one bucket of every partition."""
         out = enforced(rows, self.schema).withColumn("part", self.part_column()).repartition(self.buckets, *self.keys)
-        # insertInto has no option for it
-        with session_setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "dynamic")  # insertInto has no option for it
+        try:
             out.write.insertInto(self.name, overwrite=True)
+        finally:
+            self.spark.conf.set(setting, before)
