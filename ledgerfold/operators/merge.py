@@ -13,13 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerfold.operators.classify import HASH, NATURAL_KEY, identities, identity_text, key_summary, moved, one_text, paired, with_action
+from ledgerfold.functions.identity import record_hash_normalized
+from ledgerfold.operators.classify import HASH, HASHED, NATURAL_KEY, identities, identity_text, key_summary, moved, one_text, paired, with_action
 from ledgerfold.operators.dedupe import DEFAULT_ORDER, first_wins
 from ledgerfold.sources.tables import DAY_SCHEMA, EMPLOYEE_SCHEMA, LEDGER_SCHEMA, StoredTable, settled, typed
 
 IDENTITY = (*NATURAL_KEY, HASH)
 #: With the employee, what :func:`dealt_out` deals by.
 MONTH = "_month"
+#: Columns that a day record takes from its request as they are.
+AUDIT = ("reason_name", "status", "time_start", "time_end", "all_day", "date_of_request", "source_payload")
 LEDGER_ACTIONS = ("insert", "update", "reactivate", "touch", "cancel")
 
 
@@ -138,18 +141,45 @@ def ledger_apply(stored: DataFrame, current: DataFrame, *, now, run_id: str, set
     The result is settled, so that a collision of identities stops the cycle here; with ``settle=False`` it is a plan that raises as
     it runs. Such a plan keeps the column ``_month``: its rows are dealt out as the next cycle needs its stored rows.
     """
-    now_c, keys = _ts(now), list(IDENTITY)
-    order = [c for c in DEFAULT_ORDER if c in current.columns]
-    if not order:
-        raise ValueError("first wins needs at least one ordering column")
+    now_c = _ts(now)
+    order = _copy_order(current)
     text = identity_text(current, stored)
     cur = typed(current.withColumns({"_cur": F.lit(True), "_text": text}), LEDGER_SCHEMA, keep=("_cur", "_text", *order))
     sto = stored.withColumns({"_cur": F.lit(False), "_text": text})
     sto = typed(sto, LEDGER_SCHEMA, keep=("_cur", "_text", *[c for c in (MONTH,) if c in sto.columns]))
-    # what the snapshot says of stamps and flags isn't read
-    cur = cur.withColumns({c: F.lit(None).cast(LEDGER_SCHEMA[c].dataType) for c in ("first_seen_at", "last_seen_at", "is_active", "deleted_at", "ingest_run_id")})
-    rows = dealt_out(cur).unionByName(dealt_out(sto), allowMissingColumns=True)
-    copies = Window.partitionBy(MONTH, *keys).orderBy(F.col("_cur").desc(), *order)
+    rows = dealt_out(cur.withColumns(_unread_stamps())).unionByName(dealt_out(sto), allowMissingColumns=True)
+    rows = _flagged(rows, [MONTH, *IDENTITY], order)
+    day = Window.partitionBy(MONTH, *NATURAL_KEY)
+    rows = with_action(rows.withColumns({n: e.over(day) for n, e in key_summary(HASH).items()}), HASH)
+    known = _whole_identity()
+    rows = rows.withColumns({"action": F.when(known, F.col("action")), "merge_action": F.when(known, _merge_action(now_c)).otherwise(F.lit("keep"))})
+    applied = _next_rows(rows, now_c, run_id, ("action", "merge_action", MONTH))
+    return settled(applied.drop(MONTH), "applied") if settle else applied
+
+
+def _copy_order(current: DataFrame) -> list[str]:
+    order = [c for c in DEFAULT_ORDER if c in current.columns]
+    if not order:
+        raise ValueError("first wins needs at least one ordering column")
+    return order
+
+
+def _unread_stamps() -> dict[str, Column]:
+    """What the snapshot says of stamps and flags isn't read."""
+    return {c: F.lit(None).cast(LEDGER_SCHEMA[c].dataType) for c in ("first_seen_at", "last_seen_at", "is_active", "deleted_at", "ingest_run_id")}
+
+
+def _whole_identity() -> Column:
+    """A row without a whole identity takes no part."""
+    known = F.lit(True)
+    for k in IDENTITY:
+        known = known & F.col(k).isNotNull()
+    return known
+
+
+def _flagged(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Day records (``_cur``) and stored rows with their identity's flags and stamps, as windows over the one order of the identities."""
+    copies = Window.partitionBy(*keys).orderBy(F.col("_cur").desc(), *order)
     whole = copies.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumns(
         {
@@ -163,14 +193,11 @@ def ledger_apply(stored: DataFrame, current: DataFrame, *, now, run_id: str, set
             "_greatest": F.max("_text").over(whole),
         }
     )
-    rows = moved(one_text(rows, HASH))
-    day = Window.partitionBy(MONTH, *NATURAL_KEY)
-    rows = with_action(rows.withColumns({n: e.over(day) for n, e in key_summary(HASH).items()}), HASH)
-    # a row without a whole identity takes no part
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
-    rows = rows.withColumns({"action": F.when(known, F.col("action")), "merge_action": F.when(known, _merge_action(now_c)).otherwise(F.lit("keep"))})
+    return moved(one_text(rows, HASH))
+
+
+def _next_rows(rows: DataFrame, now_c: Column, run_id: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Of flagged rows with their ``merge_action``, those that the ledger holds after it: first copies to insert or reactivate, stored rows else."""
     taken = F.col("_cur") & F.col("merge_action").isin(*FROM_SNAPSHOT)
     rows = rows.where((taken & (F.col("_copy") == 1)) | (~F.col("_cur") & ~F.col("merge_action").isin(*FROM_SNAPSHOT)))
     seen, gone = F.col("merge_action").isin("touch", "noop"), F.col("merge_action") == "cancel"
@@ -182,8 +209,92 @@ def ledger_apply(stored: DataFrame, current: DataFrame, *, now, run_id: str, set
         "deleted_at": F.when(gone, now_c).when(~F.col("_cur"), F.col("deleted_at")),
         "ingest_run_id": F.when(F.col("_cur"), F.lit(run_id)).otherwise(F.col("ingest_run_id")),
     }
-    applied = rows.select(*[stamps.get(c, F.col(c)).alias(c) for c in LEDGER_SCHEMA.fieldNames()], "action", "merge_action", MONTH)
-    return settled(applied.drop(MONTH), "applied") if settle else applied
+    return rows.select(*[stamps.get(c, F.col(c)).alias(c) for c in LEDGER_SCHEMA.fieldNames()], *keep)
+
+
+# --------------------------------------------------------------------------- #
+# M1 on a ledger bucketed by the identity                                      #
+# --------------------------------------------------------------------------- #
+def dealt_to_buckets(days: DataFrame, buckets: int) -> DataFrame:
+    """Day records dealt out by identity, as a bucketed ledger's rows lie. Their hash doesn't travel: it is taken again from the fields it stands for."""
+    again = record_hash_normalized("employee_xref", "pto_date", "approval_type_code", "hours_requested")
+    return days.drop(HASH).repartition(buckets, *NATURAL_KEY, again).withColumn(HASH, again)
+
+
+def bucketed_next(stored: DataFrame, days: DataFrame, *, now, run_id: str, buckets: int) -> DataFrame:
+    """The ledger rows after a cycle, from bucketed ``stored`` rows and day records of :func:`expand.ledger_days`; first wins by ordinal.
+
+    What happens to a row depends on its identity alone, so the snapshot is exchanged once and the next rows lie in the
+    buckets they are written to. An employee-day with very many records is spread over the buckets.
+    """
+    order, keys, text = _copy_order(days), list(IDENTITY), identity_text(days, stored)
+    cur = dealt_to_buckets(days.select(*NATURAL_KEY, *HASHED, HASH, *AUDIT, *order), buckets).withColumn("_text", text)
+    same = Window.partitionBy(*keys)
+    cur = cur.withColumns({"_first": F.row_number().over(same.orderBy(*order)), "_least": F.min("_text").over(same), "_greatest": F.max("_text").over(same)})
+    cur = typed(cur.where("_first = 1"), LEDGER_SCHEMA, keep=("_least", "_greatest")).withColumns(_unread_stamps())
+    cur = cur.select(*keys, F.struct("*").alias("c"))
+    sto = typed(stored, LEDGER_SCHEMA).withColumn("_text", text)
+    flags = {
+        "_copy": F.row_number().over(same.orderBy("last_seen_at")),
+        "st_active": F.max(F.coalesce(F.col("is_active"), F.lit(True))).over(same),
+        "first_seen": F.max("first_seen_at").over(same),
+        "last_seen": F.max("last_seen_at").over(same),
+        "_least": F.min("_text").over(same),
+        "_greatest": F.max("_text").over(same),
+    }
+    sto = sto.withColumns(flags).select(*keys, F.struct("*").alias("s"))
+    rows = cur.join(sto, keys, "full_outer").withColumns(
+        {
+            "in_cur": F.col("c").isNotNull(),
+            "stored": F.col("s").isNotNull(),
+            "st_active": F.coalesce("s.st_active", F.lit(False)),
+            "first_seen": F.col("s.first_seen"),
+            "last_seen": F.col("s.last_seen"),
+            "_copy": F.coalesce("s._copy", F.lit(1)),
+            "_least": F.least("c._least", "s._least"),
+            "_greatest": F.greatest("c._greatest", "s._greatest"),
+        }
+    )
+    rows = moved(one_text(rows, HASH))
+    rows = rows.withColumn("merge_action", F.when(_whole_identity(), _merge_action(_ts(now))).otherwise(F.lit("keep")))
+    # a day record without a whole identity is left out
+    rows = rows.withColumn("_cur", F.col("merge_action").isin(*FROM_SNAPSHOT)).where("_cur OR stored")
+    fields = [F.when(F.col("_cur"), F.col(f"c.{f}")).otherwise(F.col(f"s.{f}")).alias(f) for f in LEDGER_SCHEMA.fieldNames() if f not in keys]
+    return _next_rows(rows.select(*keys, *fields, "_cur", "_copy", "first_seen", "last_seen", "merge_action"), _ts(now), run_id)
+
+
+def identities_before(stored: DataFrame) -> DataFrame:
+    """Flags and stamps of stored identities, narrow: what a cycle keeps of a bucketed ledger before it replaces its rows."""
+    active = F.coalesce(F.col("is_active"), F.lit(True))
+    return stored.groupBy(*IDENTITY).agg(F.max(active).alias("st_active"), F.max("first_seen_at").alias("first_seen"), F.max("last_seen_at").alias("last_seen"))
+
+
+def identities_between(before: DataFrame, after: DataFrame) -> DataFrame:
+    """:func:`classify.identities` of a cycle that is done. A cycle leaves those identities active that its snapshot holds, and no others, and drops none."""
+    one = after.groupBy(*IDENTITY).agg(F.max("is_active").alias("in_cur"))
+    one = one.join(before.withColumn("stored", F.lit(True)), list(IDENTITY), "left")
+    false = F.lit(False)
+    return moved(one.withColumns({c: F.coalesce(F.col(c), false) for c in ("stored", "st_active")}))
+
+
+def settled_pairs(ident: DataFrame, *, now) -> DataFrame:
+    """Of :func:`identities_between`, those that appeared or vanished, with their ``action`` (:func:`classify.paired`) and ``merge_action``."""
+    pairs = paired(settled(ident.where(F.col("fresh") | F.col("gone")), "moved"))
+    return settled(pairs.select(*IDENTITY, "action", _merge_action(_ts(now)).alias("merge_action")), "pairs")
+
+
+def stayed(ident: DataFrame, *, now) -> DataFrame:
+    """The other ones with theirs."""
+    same = ident.where(~(F.col("fresh") | F.col("gone")))
+    return same.select(*IDENTITY, F.when(F.col("in_cur") & F.col("st_active"), F.lit("unchanged")).alias("action"), _merge_action(_ts(now)).alias("merge_action"))
+
+
+def with_actions(rows: DataFrame, ident: DataFrame, pairs: DataFrame, *, now) -> DataFrame:
+    """The rows after a cycle with their actions. ``rows`` and ``ident`` lie in the same buckets; what appeared or vanished alone is exchanged."""
+    keys = list(IDENTITY)
+    same = ident.select(*keys, F.col("in_cur") & F.col("st_active"), _merge_action(_ts(now))).toDF(*keys, "_stays", "merge_action")
+    rows = rows.join(same, keys, "left").join(pairs.select(*keys, "action"), keys, "left")
+    return rows.withColumn("action", F.when(F.col("_stays"), F.lit("unchanged")).otherwise(F.col("action"))).drop("_stays")
 
 
 def count_columns(column: str, names: dict[str, Sequence[str]]) -> list[Column]:

@@ -109,14 +109,33 @@ def metrics_text(metrics: DataFrame) -> Column:
     return F.concat_ws(" ", *pairs)
 
 
-def _replaced_by_actions(table: BucketedTable, stored: DataFrame, days: DataFrame, cfg: LedgerCycle, counted: Observation) -> DataFrame:
-    """Narrow actions first, then the rows of the months that change: stored rows lie bucketed by identity and aren't exchanged."""
-    actions = settled(merge.ledger_actions(stored, days, now=cfg.now, copartitioned=True).observe(counted, *cycle_counts()), "actions")
-    parts = table.changed_parts(actions)
-    moved = actions.where(table.part_column().isin(parts))
-    table.overwrite(merge.ledger_next(table.read(parts), days, moved, now=cfg.now, run_id=cfg.run_id))
-    named = actions.select(*merge.IDENTITY, "action", "merge_action")
-    return table.read().join(named, list(merge.IDENTITY), "left").withColumn("merge_action", F.coalesce("merge_action", F.lit("keep")))
+def _replaced_in_buckets(table: BucketedTable, days: DataFrame, held: DataFrame | None, cfg: LedgerCycle, counted: Observation) -> DataFrame:
+    """The months that may change are replaced in one pass that exchanges the snapshot alone; actions follow from the identities before and after it.
+
+    Months that may change have a day record or an active row. The days are expanded twice, for their months and for their rows.
+    """
+
+    def taking_part(rows: DataFrame) -> DataFrame:
+        return rows if held is None else rows.join(held, "employee_xref", "left_anti")
+
+    before = table.aside(merge.identities_before(taking_part(table.read())), "before")
+    named = days.select(table.part_column().alias("part"))
+    named = named.unionByName(table.with_parts().where(F.coalesce("is_active", F.lit(True))).select("part"))
+    parts = sorted(r["part"] for r in named.distinct().collect())
+    if parts:
+        rows = merge.bucketed_next(taking_part(table.read(parts)), days, now=cfg.now, run_id=cfg.run_id, buckets=table.buckets)
+        if held is not None:
+            rows = rows.unionByName(table.read(parts).join(held, "employee_xref", "left_semi"))
+        table.overwrite(rows, dealt=held is None)
+    ident = merge.identities_between(before, taking_part(table.read()))
+    pairs = merge.settled_pairs(ident, now=cfg.now)
+    both = merge.stayed(ident, now=cfg.now).unionByName(pairs)
+    both.observe(counted, *cycle_counts()).write.format("noop").mode("overwrite").save()
+    rows = merge.with_actions(taking_part(table.read()), ident, pairs, now=cfg.now)
+    if held is None:
+        return rows
+    kept = table.read().join(held, "employee_xref", "left_semi").withColumns({"action": F.lit(None).cast("string"), "merge_action": F.lit("keep")})
+    return rows.unionByName(kept)
 
 
 def run_ledger_cycle(
@@ -166,7 +185,7 @@ def run_ledger_cycle(
         kept = stored.join(held, "employee_xref", "left_semi").select("*", *[F.lit(a).cast("string").alias(n) for n, a in (("action", None), ("merge_action", "keep"))])
         stored = stored.join(held, "employee_xref", "left_anti")
     if isinstance(table, BucketedTable):
-        rows = _replaced_by_actions(table, stored, settled(days, "days"), cfg, seen["actions"])
+        rows = _replaced_in_buckets(table, days, held, cfg, seen["actions"])
     else:
         applied = merge.ledger_apply(stored, days, now=cfg.now, run_id=cfg.run_id, settle=False).drop(merge.MONTH)
         rows = settled(applied.observe(seen["actions"], *cycle_counts()), "applied")

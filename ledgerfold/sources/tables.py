@@ -228,16 +228,24 @@ class BucketedTable(StoredTable):
     def _create(self) -> None:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema.fields)
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}, part STRING) USING parquet PARTITIONED BY (part) "
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}, part STRING) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY (part) "
             f"CLUSTERED BY ({', '.join(self.keys)}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
         )
 
     def with_parts(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def overwrite(self, rows: DataFrame) -> None:
-        """As :meth:`StoredTable.overwrite`; a task writes one bucket of every partition."""
-        out = enforced(rows, self.schema).withColumn("part", self.part_column()).repartition(self.buckets, *self.keys)
+    def aside(self, rows: DataFrame, name: str) -> DataFrame:
+        """``rows``, which lie in this table's buckets, settled in a bucketed table of their own beside it."""
+        own = f"{self.name}_{name}_{uuid.uuid4().hex[:12]}"
+        at = f"{shared_dir(self.spark)}/{own}"
+        rows.write.bucketBy(self.buckets, *self.keys).option("path", at).option("compression", "zstd").format("parquet").saveAsTable(own)
+        return self.spark.table(own)
+
+    def overwrite(self, rows: DataFrame, dealt: bool = False) -> None:
+        """As :meth:`StoredTable.overwrite`; a task writes one bucket of every partition. ``dealt``: the rows lie in the buckets already."""
+        out = enforced(rows, self.schema).withColumn("part", self.part_column())
+        out = out if dealt else out.repartition(self.buckets, *self.keys)
         setting = "spark.sql.sources.partitionOverwriteMode"
         before = self.spark.conf.get(setting)
         self.spark.conf.set(setting, "dynamic")  # insertInto has no option for it
