@@ -117,13 +117,14 @@ def paired(ident: DataFrame, *, natural_key: Sequence[str] = NATURAL_KEY, hash_c
     """Steps 2-3 with the summary in two levels. ``ident`` is read five times, narrow: give a settled table.
 
     Vanished identities give the last hash per (key, salt), then per key; identities that appear only look whether their
-    key is among those. So what is aggregated and joined is as much as vanished, and a hot key is one row of either side's summary.
+    key is among those. The last hashes are settled, so that their size is known: where nothing vanished, what appeared isn't exchanged.
+    So what is aggregated and joined is as much as vanished, and a hot key is one row of either side's summary.
     """
     keys = list(natural_key)
     fresh, gone = ident.where("fresh"), ident.where("gone")
     salt = F.pmod(F.xxhash64(hash_col), F.lit(SALTS)).alias("_salt")
     salted = gone.groupBy(*keys, salt).agg(F.max(F.struct(F.col("first_seen").alias("at"), F.col(hash_col).alias("hash"))).alias("_last"))
-    last = salted.groupBy(*keys).agg(F.max("_last").alias("_last"))
+    last = settled(salted.groupBy(*keys).agg(F.max("_last").alias("_last")), "last")
     renewed = fresh.select(*keys).join(last.select(*keys), keys, "left_semi").distinct().withColumn("_renewed", F.lit(True))
     came = fresh.join(last, keys, "left").withColumn("action", F.when(F.col("_last").isNull(), F.lit("new")).otherwise(F.lit("changed")))
     went = gone.join(last, keys).join(renewed, keys, "left")

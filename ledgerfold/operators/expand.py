@@ -160,18 +160,19 @@ def ledger_entries(
     days_ok = (
         F.when(F.col("_mode") == "list", list_ok).when(F.col("_mode") == "spread", spread_ok).otherwise(single_ok)
     )
-    key_n, type_n = norm_token(F.col(key)), norm_token(F.col("type_raw"))
+    # identity parts are per request: normalised once, not once per exploded day
+    e = with_materialized(e, {"_key_n": norm_token(F.col(key)), "_type_n": norm_token(F.col("type_raw"))})
     reason = (
         F.when(F.col("type_raw").isNull(), F.lit("no_type_code"))
-        .when(key_n.isNull(), F.lit("bad_employee_key"))
-        .when(type_n.isNull(), F.lit("bad_type_code"))
+        .when(F.col("_key_n").isNull(), F.lit("bad_employee_key"))
+        .when(F.col("_type_n").isNull(), F.lit("bad_type_code"))
         .when(~F.coalesce(days_ok, F.lit(False)), F.lit("bad_day"))
     )
     e = with_materialized(e, {"reject_reason": reason})
     return e.withColumn("valid", F.col("reject_reason").isNull())
 
 
-_SCRATCH = ("type_raw", "_start", "_hours", "_dl", "_listed", "_end", "_mode", "_lo", "_n", "_total", "_per_raw", "_per", "_last", "_one")
+_SCRATCH = ("type_raw", "_start", "_hours", "_dl", "_listed", "_end", "_mode", "_lo", "_n", "_total", "_per_raw", "_per", "_last", "_one", "_key_n", "_type_n")
 
 
 def ledger_days(
@@ -207,8 +208,8 @@ def ledger_days(
     exploded = e.select(
         *keep,
         *lineage,
-        norm_token(F.col(key)).alias("employee_xref"),
-        norm_token(F.col("type_raw")).alias("approval_type_code"),
+        F.col("_key_n").alias("employee_xref"),
+        F.col("_type_n").alias("approval_type_code"),
         *[v.alias(k) for k, v in audit.items()],
         "_mode",
         "_listed",
