@@ -113,6 +113,25 @@ def with_action(j: DataFrame, hash_col: str) -> DataFrame:
     return j.withColumn("action", action).drop("_has_fresh", "_has_gone", "_last")
 
 
+def _last_vanished(gone: DataFrame, keys: Sequence[str], hash_col: str) -> DataFrame:
+    """The last hash of each natural key from which something vanished, settled: in two levels, so that a hot key is one row of a salt."""
+    salt = F.pmod(F.xxhash64(hash_col), F.lit(SALTS)).alias("_salt")
+    salted = gone.groupBy(*keys, salt).agg(F.max(F.struct(F.col("first_seen").alias("at"), F.col(hash_col).alias("hash"))).alias("_last"))
+    return settled(salted.groupBy(*keys).agg(F.max("_last").alias("_last")), "last")
+
+
+def renewed(fresh: DataFrame, gone: DataFrame, *, natural_key: Sequence[str] = NATURAL_KEY, hash_col: str = HASH) -> DataFrame:
+    """Steps 2-3 for those identities only whose action depends on others of their key: ``changed`` and ``superseded`` ones.
+
+    ``fresh`` and ``gone`` hold each identity once, ``gone`` with its ``first_seen``. Any other that appears is new, any other that vanishes is cancelled.
+    """
+    keys = list(natural_key)
+    last = _last_vanished(gone, keys, hash_col)
+    came = settled(fresh.select(*keys, hash_col).join(last.select(*keys), keys, "left_semi"), "changed")
+    went = last.join(came.select(*keys).distinct(), keys, "left_semi").select(*keys, F.col("_last.hash").alias(hash_col))
+    return came.withColumn("action", F.lit("changed")).unionByName(went.withColumn("action", F.lit("superseded")))
+
+
 def paired(ident: DataFrame, *, natural_key: Sequence[str] = NATURAL_KEY, hash_col: str = HASH) -> DataFrame:
     """Steps 2-3 with the summary in two levels. ``ident`` is read five times, narrow: give a settled table.
 
@@ -122,9 +141,7 @@ def paired(ident: DataFrame, *, natural_key: Sequence[str] = NATURAL_KEY, hash_c
     """
     keys = list(natural_key)
     fresh, gone = ident.where("fresh"), ident.where("gone")
-    salt = F.pmod(F.xxhash64(hash_col), F.lit(SALTS)).alias("_salt")
-    salted = gone.groupBy(*keys, salt).agg(F.max(F.struct(F.col("first_seen").alias("at"), F.col(hash_col).alias("hash"))).alias("_last"))
-    last = settled(salted.groupBy(*keys).agg(F.max("_last").alias("_last")), "last")
+    last = _last_vanished(gone, keys, hash_col)
     renewed = fresh.select(*keys).join(last.select(*keys), keys, "left_semi").distinct().withColumn("_renewed", F.lit(True))
     came = fresh.join(last, keys, "left").withColumn("action", F.when(F.col("_last").isNull(), F.lit("new")).otherwise(F.lit("changed")))
     went = gone.join(last, keys).join(renewed, keys, "left")

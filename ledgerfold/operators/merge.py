@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.identity import record_hash_normalized
-from ledgerfold.operators.classify import HASH, HASHED, NATURAL_KEY, identities, identity_text, key_summary, moved, one_text, paired, with_action
+from ledgerfold.operators.classify import HASH, HASHED, NATURAL_KEY, identities, identity_text, key_summary, moved, one_text, paired, renewed, with_action
 from ledgerfold.operators.dedupe import DEFAULT_ORDER, first_wins
 from ledgerfold.sources.tables import DAY_SCHEMA, EMPLOYEE_SCHEMA, LEDGER_SCHEMA, StoredTable, settled, typed
 
@@ -225,81 +225,77 @@ def bucketed_next(stored: DataFrame, days: DataFrame, *, now, run_id: str, bucke
     """The ledger rows after a cycle, from bucketed ``stored`` rows and day records of :func:`expand.ledger_days`; first wins by ordinal.
 
     What happens to a row depends on its identity alone, so the snapshot is exchanged once and the next rows lie in the
-    buckets they are written to. An employee-day with very many records is spread over the buckets.
+    buckets they are written to. An employee-day with very many records is spread over the buckets. With the rows come their
+    ``merge_action``, ``fresh``, ``gone`` and ``stays`` (was active and is seen); ``_one`` marks a single row of each identity.
     """
     order, keys, text = _copy_order(days), list(IDENTITY), identity_text(days, stored)
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
     cur = dealt_to_buckets(days.select(*NATURAL_KEY, *HASHED, HASH, *AUDIT, *order), buckets).withColumn("_text", text)
-    same = Window.partitionBy(*keys)
-    cur = cur.withColumns({"_first": F.row_number().over(same.orderBy(*order)), "_least": F.min("_text").over(same), "_greatest": F.max("_text").over(same)})
-    cur = typed(cur.where("_first = 1"), LEDGER_SCHEMA, keep=("_least", "_greatest")).withColumns(_unread_stamps())
-    cur = cur.select(*keys, F.struct("*").alias("c"))
+    copies = Window.partitionBy(*keys).orderBy(*order)
+    ends = {"c_least": F.min("_text").over(copies.rowsBetween(*whole)), "c_greatest": F.max("_text").over(copies.rowsBetween(*whole))}
+    cur = cur.withColumns({"_first": F.row_number().over(copies), **ends}).where("_first = 1")
+    cur = typed(cur, LEDGER_SCHEMA, keep=("c_least", "c_greatest")).withColumns({**_unread_stamps(), "c_here": F.lit(True)})
+    copies = Window.partitionBy(*keys).orderBy("last_seen_at")
     sto = typed(stored, LEDGER_SCHEMA).withColumn("_text", text)
-    flags = {
-        "_copy": F.row_number().over(same.orderBy("last_seen_at")),
-        "st_active": F.max(F.coalesce(F.col("is_active"), F.lit(True))).over(same),
-        "first_seen": F.max("first_seen_at").over(same),
-        "last_seen": F.max("last_seen_at").over(same),
-        "_least": F.min("_text").over(same),
-        "_greatest": F.max("_text").over(same),
-    }
-    sto = sto.withColumns(flags).select(*keys, F.struct("*").alias("s"))
-    rows = cur.join(sto, keys, "full_outer").withColumns(
+    flags = {"active": F.coalesce(F.col("is_active"), F.lit(True)), "first_seen": F.col("first_seen_at"), "last_seen": F.col("last_seen_at"), "greatest": F.col("_text")}
+    flags = {f"s_{n}": F.max(c).over(copies.rowsBetween(*whole)) for n, c in flags.items()}
+    sto = sto.withColumns({"s_copy": F.row_number().over(copies), **flags, "s_least": F.min("_text").over(copies.rowsBetween(*whole)), "s_here": F.lit(True)}).drop("_text")
+    fields = [f for f in LEDGER_SCHEMA.fieldNames() if f not in keys]
+    rows = cur.join(sto.withColumnsRenamed({f: f"s_{f}" for f in fields}), keys, "full_outer").withColumns(
         {
-            "in_cur": F.col("c").isNotNull(),
-            "stored": F.col("s").isNotNull(),
-            "st_active": F.coalesce("s.st_active", F.lit(False)),
-            "first_seen": F.col("s.first_seen"),
-            "last_seen": F.col("s.last_seen"),
-            "_copy": F.coalesce("s._copy", F.lit(1)),
-            "_least": F.least("c._least", "s._least"),
-            "_greatest": F.greatest("c._greatest", "s._greatest"),
+            "in_cur": F.col("c_here").isNotNull(),
+            "stored": F.col("s_here").isNotNull(),
+            "st_active": F.coalesce("s_active", F.lit(False)),
+            "first_seen": F.col("s_first_seen"),
+            "last_seen": F.col("s_last_seen"),
+            "_copy": F.coalesce("s_copy", F.lit(1)),
+            "_least": F.least("c_least", "s_least"),
+            "_greatest": F.greatest("c_greatest", "s_greatest"),
         }
     )
-    rows = moved(one_text(rows, HASH))
+    rows = moved(one_text(rows, HASH)).withColumns({"_one": F.col("_copy") == 1, "stays": F.col("in_cur") & F.col("st_active")})
     rows = rows.withColumn("merge_action", F.when(_whole_identity(), _merge_action(_ts(now))).otherwise(F.lit("keep")))
     # a day record without a whole identity is left out
     rows = rows.withColumn("_cur", F.col("merge_action").isin(*FROM_SNAPSHOT)).where("_cur OR stored")
-    fields = [F.when(F.col("_cur"), F.col(f"c.{f}")).otherwise(F.col(f"s.{f}")).alias(f) for f in LEDGER_SCHEMA.fieldNames() if f not in keys]
-    return _next_rows(rows.select(*keys, *fields, "_cur", "_copy", "first_seen", "last_seen", "merge_action"), _ts(now), run_id)
-
-
-def identities_before(stored: DataFrame) -> DataFrame:
-    """Flags and stamps of stored identities, narrow: what a cycle keeps of a bucketed ledger before it replaces its rows."""
-    active = F.coalesce(F.col("is_active"), F.lit(True))
-    return stored.groupBy(*IDENTITY).agg(F.max(active).alias("st_active"), F.max("first_seen_at").alias("first_seen"), F.max("last_seen_at").alias("last_seen"))
+    values = [F.when(F.col("_cur"), F.col(f)).otherwise(F.col(f"s_{f}")).alias(f) for f in fields]
+    flags = ("merge_action", "fresh", "gone", "stays", "_one")
+    return _next_rows(rows.select(*keys, *values, "_cur", "_copy", "first_seen", "last_seen", *flags), _ts(now), run_id, flags)
 
 
-def identities_between(before: DataFrame, after: DataFrame) -> DataFrame:
-    """:func:`classify.identities` of a cycle that is done. A cycle leaves those identities active that its snapshot holds, and no others, and drops none."""
-    one = after.groupBy(*IDENTITY).agg(F.max("is_active").alias("in_cur"))
-    one = one.join(before.withColumn("stored", F.lit(True)), list(IDENTITY), "left")
-    false = F.lit(False)
-    return moved(one.withColumns({c: F.coalesce(F.col(c), false) for c in ("stored", "st_active")}))
+def renamed_actions(applied: DataFrame) -> DataFrame:
+    """Identities that changed or were superseded, by :func:`classify.renewed`, of rows of :func:`bucketed_next`, settled."""
+    one = applied.where("_one")
+    narrow = [*IDENTITY, F.col("first_seen_at").alias("first_seen")]
+    return renewed(one.where("fresh").select(*narrow), one.where("gone").select(*narrow))
 
 
-def settled_pairs(ident: DataFrame, *, now) -> DataFrame:
-    """Of :func:`identities_between`, those that appeared or vanished, with their ``action`` (:func:`classify.paired`) and ``merge_action``."""
-    pairs = paired(settled(ident.where(F.col("fresh") | F.col("gone")), "moved"))
-    return settled(pairs.select(*IDENTITY, "action", _merge_action(_ts(now)).alias("merge_action")), "pairs")
+def _action_alone(named: Column) -> Column:
+    """What appeared is new and what vanished is cancelled, unless it is ``named`` otherwise."""
+    there = F.when(F.col("stays"), F.lit("unchanged")).when(F.col("fresh"), F.coalesce(named, F.lit("new")))
+    return there.when(F.col("gone"), F.coalesce(named, F.lit("cancelled")))
 
 
-def stayed(ident: DataFrame, *, now) -> DataFrame:
-    """The other ones with theirs."""
-    same = ident.where(~(F.col("fresh") | F.col("gone")))
-    return same.select(*IDENTITY, F.when(F.col("in_cur") & F.col("st_active"), F.lit("unchanged")).alias("action"), _merge_action(_ts(now)).alias("merge_action"))
+def with_actions(applied: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows of :func:`bucketed_next` with their ``action``; those ``named`` by :func:`renamed_actions` lie in the same buckets."""
+    rows = applied.join(named.select(*IDENTITY, F.col("action").alias("_named")).hint("shuffle_hash"), list(IDENTITY), "left")
+    return rows.withColumn("action", _action_alone(F.col("_named"))).drop("_named")
 
 
-def with_actions(rows: DataFrame, ident: DataFrame, pairs: DataFrame, *, now) -> DataFrame:
-    """The rows after a cycle with their actions. ``rows`` and ``ident`` lie in the same buckets; what appeared or vanished alone is exchanged."""
-    keys = list(IDENTITY)
-    same = ident.select(*keys, F.col("in_cur") & F.col("st_active"), _merge_action(_ts(now))).toDF(*keys, "_stays", "merge_action")
-    rows = rows.join(same, keys, "left").join(pairs.select(*keys, "action"), keys, "left")
-    return rows.withColumn("action", F.when(F.col("_stays"), F.lit("unchanged")).otherwise(F.col("action"))).drop("_stays")
+def action_numbers(applied: DataFrame, named: DataFrame) -> DataFrame:
+    """How many identities (``n``) have which ``action`` and ``merge_action``, without a join: the ``named`` ones are taken off what they were alone."""
+    alone = applied.where("_one").withColumn("action", _action_alone(F.lit(None).cast("string")))
+    alone = alone.groupBy("action", "merge_action").agg(F.count(F.lit(1)).alias("n"))
+    more = named.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+    less = more.select(F.when(F.col("action") == "changed", F.lit("new")).otherwise(F.lit("cancelled")).alias("action"), (-F.col("n")).alias("n"))
+    return alone.unionByName(more.unionByName(less), allowMissingColumns=True)
 
 
-def count_columns(column: str, names: dict[str, Sequence[str]]) -> list[Column]:
-    """A BIGINT count per name of the rows whose ``column`` is one of its values; for ``agg`` and ``observe``."""
-    return [F.count_if(F.coalesce(F.col(column).isin(*values), F.lit(False))).cast("bigint").alias(name) for name, values in names.items()]
+def count_columns(column: str, names: dict[str, Sequence[str]], weight: str | None = None) -> list[Column]:
+    """A BIGINT count per name of the rows whose ``column`` is one of its values; for ``agg`` and ``observe``. A row counts ``weight`` times."""
+    found = {name: F.coalesce(F.col(column).isin(*values), F.lit(False)) for name, values in names.items()}
+    if weight:
+        return [F.coalesce(F.sum(F.when(c, F.col(weight))), F.lit(0)).cast("bigint").alias(name) for name, c in found.items()]
+    return [F.count_if(c).cast("bigint").alias(name) for name, c in found.items()]
 
 
 # fixed values: names of the counters and the actions they count

@@ -68,14 +68,14 @@ def scope_requests(requests: DataFrame, cfg: LedgerCycle, keys: DataFrame | None
     return r
 
 
-def cycle_counts() -> list[Column]:
-    """The counters of a cycle over its actions; for ``agg`` and ``observe``."""
+def cycle_counts(weight: str | None = None) -> list[Column]:
+    """The counters of a cycle over its actions; for ``agg`` and ``observe``. With ``weight``, over numbers of them."""
     seen = {"day_records": ("insert", "reactivate", "touch", "noop")}
     merged = {"inserted": ("insert",), "reactivated": ("reactivate",), "touched": ("touch",), "cancelled_rows": ("cancel",)}
     return [
-        *merge.count_columns("merge_action", seen),
-        *merge.count_columns("action", {a: (a,) for a in ACTIONS}),
-        *merge.count_columns("merge_action", merged),
+        *merge.count_columns("merge_action", seen, weight),
+        *merge.count_columns("action", {a: (a,) for a in ACTIONS}, weight),
+        *merge.count_columns("merge_action", merged, weight),
     ]
 
 
@@ -110,28 +110,21 @@ def metrics_text(metrics: DataFrame) -> Column:
 
 
 def _replaced_in_buckets(table: BucketedTable, days: DataFrame, held: DataFrame | None, cfg: LedgerCycle, counted: Observation) -> DataFrame:
-    """The months that may change are replaced in one pass that exchanges the snapshot alone; actions follow from the identities before and after it.
-
-    Months that may change have a day record or an active row. The days are expanded twice, for their months and for their rows.
-    """
-
-    def taking_part(rows: DataFrame) -> DataFrame:
-        return rows if held is None else rows.join(held, "employee_xref", "left_anti")
-
-    before = table.aside(merge.identities_before(taking_part(table.read())), "before")
-    named = days.select(table.part_column().alias("part"))
-    named = named.unionByName(table.with_parts().where(F.coalesce("is_active", F.lit(True))).select("part"))
-    parts = sorted(r["part"] for r in named.distinct().collect())
+    """The next rows are computed once, in one pass that exchanges the snapshot alone, and settled in the table's buckets; the months that change
+    are replaced from there. Of the actions, those that depend on other identities of the day are exchanged, narrow."""
+    stored = table.read()
+    if held is not None:
+        stored = stored.join(held, "employee_xref", "left_anti")
+    applied = table.aside(merge.bucketed_next(stored, days, now=cfg.now, run_id=cfg.run_id, buckets=table.buckets), "applied")
+    parts = table.changed_parts(applied)
     if parts:
-        rows = merge.bucketed_next(taking_part(table.read(parts)), days, now=cfg.now, run_id=cfg.run_id, buckets=table.buckets)
+        rows = applied.where(table.part_column().isin(parts)).select(*table.schema.fieldNames())
         if held is not None:
             rows = rows.unionByName(table.read(parts).join(held, "employee_xref", "left_semi"))
         table.overwrite(rows, dealt=held is None)
-    ident = merge.identities_between(before, taking_part(table.read()))
-    pairs = merge.settled_pairs(ident, now=cfg.now)
-    both = merge.stayed(ident, now=cfg.now).unionByName(pairs)
-    both.observe(counted, *cycle_counts()).write.format("noop").mode("overwrite").save()
-    rows = merge.with_actions(taking_part(table.read()), ident, pairs, now=cfg.now)
+    named = table.aside(table.dealt(merge.renamed_actions(applied)), "named")
+    merge.action_numbers(applied, named).observe(counted, *cycle_counts("n")).write.format("noop").mode("overwrite").save()
+    rows = merge.with_actions(applied, named).select(*table.schema.fieldNames(), "action", "merge_action")
     if held is None:
         return rows
     kept = table.read().join(held, "employee_xref", "left_semi").withColumns({"action": F.lit(None).cast("string"), "merge_action": F.lit("keep")})

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -228,28 +229,41 @@ class BucketedTable(StoredTable):
     def _create(self) -> None:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema.fields)
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}, part STRING) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY (part) "
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}, part STRING) USING parquet OPTIONS (compression 'zstd', 'mapreduce.fileoutputcommitter.algorithm.version' '2') PARTITIONED BY (part) "
             f"CLUSTERED BY ({', '.join(self.keys)}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
         )
 
     def with_parts(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(self.buckets, *self.keys)
+
+    @contextmanager
+    def _settings(self, values: dict[str, str]) -> Iterator[None]:
+        """Session settings for one write."""
+        before = {name: self.spark.conf.get(name) for name in values}
+        try:
+            for name, value in values.items():
+                self.spark.conf.set(name, value)
+            yield
+        finally:
+            for name, value in before.items():
+                self.spark.conf.set(name, value)
+
     def aside(self, rows: DataFrame, name: str) -> DataFrame:
         """``rows``, which lie in this table's buckets, settled in a bucketed table of their own beside it."""
         own = f"{self.name}_{name}_{uuid.uuid4().hex[:12]}"
         at = f"{shared_dir(self.spark)}/{own}"
-        rows.write.bucketBy(self.buckets, *self.keys).option("path", at).option("compression", "zstd").format("parquet").saveAsTable(own)
+        # a task has one bucket, so it needs one file open and no order; wide merges generate methods that the JVM doesn't compile beyond 8000 bytes
+        with self._settings({"spark.sql.maxConcurrentOutputFileWriters": "1", "spark.sql.codegen.hugeMethodLimit": "8000"}):
+            rows.write.bucketBy(self.buckets, *self.keys).option("path", at).option("compression", "zstd").format("parquet").saveAsTable(own)
         return self.spark.table(own)
 
     def overwrite(self, rows: DataFrame, dealt: bool = False) -> None:
         """As :meth:`StoredTable.overwrite`; a task writes one bucket of every partition. ``dealt``: the rows lie in the buckets already."""
         out = enforced(rows, self.schema).withColumn("part", self.part_column())
-        out = out if dealt else out.repartition(self.buckets, *self.keys)
-        setting = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, "dynamic")  # insertInto has no option for it
-        try:
+        out = out if dealt else self.dealt(out)
+        # insertInto has no option for it
+        with self._settings({"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
             out.write.insertInto(self.name, overwrite=True)
-        finally:
-            self.spark.conf.set(setting, before)
