@@ -21,11 +21,13 @@ STATUS_OF_ORDER = {"O": "APPROVED", "F": "CANCELED", "P": "PENDING"}
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A driver table. ``spread`` deals out a table that came as fewer files than
-    there are cores, before a CPU-heavy derivation: such a file is one split.
+    there are cores, before a CPU-heavy derivation: such a file is one split. As many parts as a shuffle
+    has keep what a task derives and exchanges in its memory, however large the table is.
     The file list is all that is looked at; a table of many files stays as it is."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if spread and len(df.inputFiles()) < cores else df
+    parts = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts) if spread and len(df.inputFiles()) < cores else df
 
 
 def _status(c: Column) -> Column:
